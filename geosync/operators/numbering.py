@@ -58,31 +58,50 @@ def _number_by_range(df: DataFrame, partition: list[str], order: list[Column], o
     )
 
 
+# Width of the number ranges that one task walks through when free numbers are looked up.
+FREE_CHUNK = 100_000
+
+
 def allocate_free(losers: DataFrame, used: DataFrame, prefix: str = "prefix", seq: str = "seq",
-                  n: str = "n") -> DataFrame:
+                  n: str = "n", chunk: int = FREE_CHUNK) -> DataFrame:
     """Adds ``new_n``: the ``seq``-th number from 1 up that ``used`` leaves free for the prefix.
 
-    ``seq`` counts the losers of a prefix from 1. The free numbers below and above the used ones are
-    found by closed form over the gaps of the used numbers, so no series is written out.
+    ``seq`` counts the losers of a prefix from 1. With the i-th used number u there are u - i free
+    ones up to u, so the answer is seq plus the count of used numbers with fewer than seq free ones
+    up to them. That count is a running maximum, taken chunk by chunk; no series is written out.
     """
     taken = used.select(prefix, F.col(n).cast("long").alias("_n")).filter("_n >= 1").distinct()
-    # After the i-th used number u there are u - i free ones at or below it.
-    rank = number_rows(taken, [prefix], [F.col("_n").asc()], "_i")
-    gaps = rank.select(
-        F.col(prefix), F.col("_n"), F.col("_i"), (F.col("_n") - F.col("_i")).alias("_free")
+    ranked = number_rows(taken, [prefix], [F.col("_n").asc()], "_i")
+    steps = (
+        ranked.select(prefix, (F.col("_n") - F.col("_i")).alias("_free"), "_i")
+        .groupBy(prefix, "_free")
+        .agg(F.max("_i").alias("_i"))
+        .withColumn("_ask", F.lit(False))
     )
-    # The answer for seq is seq + (used numbers u with free(u) < seq).
-    steps = gaps.groupBy(prefix, "_free").agg(F.max("_i").alias("_i"))
-    marks = losers.select(F.col(prefix), F.col(seq).cast("long").alias("_free"), F.lit(None).cast("long").alias("_i"),
-                          F.lit(True).alias("_ask")).unionByName(steps.withColumn("_ask", F.lit(False)))
-    upto = (
-        Window.partitionBy(prefix).orderBy("_free", F.col("_ask").desc())
+    asks = losers.select(
+        prefix,
+        F.col(seq).cast("long").alias("_free"),
+        F.lit(None).cast("long").alias("_i"),
+        F.lit(True).alias("_ask"),
+    )
+    # An ask sees strictly smaller steps only, so it sorts before an equal one.
+    marks = asks.unionByName(steps).withColumn("_chunk", F.floor(F.col("_free") / chunk))
+    near = (
+        Window.partitionBy(prefix, "_chunk")
+        .orderBy("_free", F.col("_ask").desc())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    answers = (
-        marks.withColumn("_used", F.coalesce(F.max("_i").over(upto), F.lit(0)))
-        .filter("_ask")
-        .select(F.col(prefix), F.col("_free").alias("_seq"), (F.col("_free") + F.col("_used")).alias("new_n"))
+    local = marks.withColumn("_near", F.max("_i").over(near)).filter("_ask")
+    earlier = Window.partitionBy(prefix).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        marks.groupBy(prefix, "_chunk")
+        .agg(F.max("_i").alias("_top"))
+        .withColumn("_far", F.max("_top").over(earlier))
+        .select(prefix, "_chunk", "_far")
+    )
+    answers = local.join(carried, [prefix, "_chunk"]).select(
+        prefix,
+        F.col("_free").alias("_seq"),
+        (F.col("_free") + F.coalesce(F.col("_near"), F.col("_far"), F.lit(0))).alias("new_n"),
     )
-    keyed = losers.withColumn("_seq", F.col(seq).cast("long"))
-    return keyed.join(answers, [prefix, "_seq"]).drop("_seq")
+    return losers.withColumn("_seq", F.col(seq).cast("long")).join(answers, [prefix, "_seq"]).drop("_seq")
