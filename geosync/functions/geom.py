@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from geosync.functions.text import let
+
 VERTEX = "struct<x:double,y:double>"
 RINGS = f"array<array<{VERTEX}>>"
 PART = f"struct<kind:string,member:int,rings:{RINGS}>"
@@ -31,11 +33,6 @@ _E = math.sqrt(_E2)
 _RAD = math.pi / 180.0
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 # --- constructors and access -------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from geosync.functions.text import GEOMETRY_COLUMNS, strip_all, to_column_name
+from geosync.functions.text import GEOMETRY_COLUMNS, let, strip_all, to_column_name
 
 # Quoted strings and the text between them.
 _TOKENS = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+"""
@@ -13,17 +13,20 @@ _TOKENS = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+"""
 
 def kind_of(value: Column) -> Column:
     """``null``, ``json``, ``str``, ``int``, ``float`` or ``bool`` for a variant."""
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull() | (schema == "VOID"), F.lit("null"))
-        .when(schema.startswith("ARRAY") | schema.startswith("OBJECT"), F.lit("json"))
-        .when(schema == "STRING", F.lit("str"))
-        .when(schema == "BOOLEAN", F.lit("bool"))
-        .when(schema == "BIGINT", F.lit("int"))
-        # Integers beyond 64 bits come back as wide decimals; a decimal point gives narrow ones.
-        .when(schema.rlike(r"^DECIMAL\((19|[23]\d),0\)$"), F.lit("int"))
-        .otherwise(F.lit("float"))
-    )
+
+    def named(schema: Column) -> Column:
+        return (
+            F.when(schema.isNull() | (schema == "VOID"), F.lit("null"))
+            .when(schema == "STRING", F.lit("str"))
+            .when(schema == "BIGINT", F.lit("int"))
+            .when(schema == "BOOLEAN", F.lit("bool"))
+            .when(schema.startswith("ARRAY") | schema.startswith("OBJECT"), F.lit("json"))
+            # Integers beyond 64 bits come back as wide decimals; a decimal point gives narrow ones.
+            .when(schema.rlike(r"^DECIMAL\((19|[23]\d),0\)$"), F.lit("int"))
+            .otherwise(F.lit("float"))
+        )
+
+    return let(F.schema_of_variant(value), named)
 
 
 def _literal_to_json(text: Column) -> Column:
@@ -49,32 +52,41 @@ def _literal_to_json(text: Column) -> Column:
 
 def maybe_dict(text: Column) -> Column:
     """JSON object text for an object given as JSON or as a Python literal; NULL for anything else."""
-    trimmed = strip_all(text)
-    literal = _literal_to_json(trimmed)
-    return F.when(
-        trimmed.startswith("{"),
-        F.when(F.try_parse_json(trimmed).isNotNull(), trimmed).when(
-            F.try_parse_json(literal).isNotNull(), literal
-        ),
-    )
+
+    def read(trimmed: Column) -> Column:
+        literal = let(
+            _literal_to_json(trimmed), lambda made: F.when(F.try_parse_json(made).isNotNull(), made)
+        )
+        return F.when(
+            trimmed.startswith("{"),
+            F.when(F.try_parse_json(trimmed).isNotNull(), trimmed).otherwise(literal),
+        )
+
+    return let(strip_all(text), read)
+
+
+_ENTRY_ARRAY = "array<struct<name:string,raw:string,kind:string>>"
 
 
 def _entries(text: Column) -> Column:
     """Array of (name, raw, kind) for the members of an object, in order; empty when not an object."""
-    raw = F.from_json(text, "map<string,string>")
-    typed = F.from_json(text, "map<string,variant>")
 
-    def member(key: Column) -> Column:
+    def member(raw: Column, typed: Column, key: Column) -> Column:
         return F.struct(
             to_column_name(key).alias("name"),
             F.try_element_at(raw, key).alias("raw"),
             kind_of(F.try_element_at(typed, key)).alias("kind"),
         )
 
-    return F.coalesce(F.transform(F.map_keys(typed), member), F.array().cast(_ENTRY_ARRAY))
-
-
-_ENTRY_ARRAY = "array<struct<name:string,raw:string,kind:string>>"
+    parsed = F.struct(
+        F.from_json(text, "map<string,string>").alias("raw"),
+        F.from_json(text, "map<string,variant>").alias("typed"),
+    )
+    listed = let(
+        parsed,
+        lambda p: F.transform(F.map_keys(p["typed"]), lambda key: member(p["raw"], p["typed"], key)),
+    )
+    return F.coalesce(listed, F.array().cast(_ENTRY_ARRAY))
 
 
 def flatten_properties(properties: Column) -> Column:
@@ -86,18 +98,22 @@ def flatten_properties(properties: Column) -> Column:
         _entries(properties),
         lambda e: ~F.coalesce(e["name"], F.lit("")).isin("geometry", "attributes"),
     )
-    nested = _entries(maybe_dict(F.get_json_object(properties, "$.attributes")))
+    nested = let(maybe_dict(F.get_json_object(properties, "$.attributes")), _entries)
     every = F.filter(
         F.concat(flat, nested),
         lambda e: e["name"].isNotNull() & ~e["name"].isin(*GEOMETRY_COLUMNS),
     )
-    names = F.transform(every, lambda e: e["name"])
-    return F.filter(
-        every,
-        lambda e, i: ~F.array_contains(
-            F.slice(names, i + F.lit(2), F.size(names)), e["name"]
-        ),
-    )
+
+    def last_of_name(members: Column) -> Column:
+        return let(
+            F.transform(members, lambda e: e["name"]),
+            lambda names: F.filter(
+                members,
+                lambda e, i: ~F.array_contains(F.slice(names, i + F.lit(2), F.size(names)), e["name"]),
+            ),
+        )
+
+    return let(every, last_of_name)
 
 
 def type_of_flags(has_json: Column, has_other: Column, has_float: Column, has_int: Column,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Names a feature table keeps for itself, names that carry geometry, longest column name.
 RESERVED_COLUMNS = ("id", "geom", "loaded_at", "task_key")
@@ -17,8 +19,9 @@ PHOTO_SUFFIXES = (".jpg", ".jpeg", ".png")
 MAX_FILE_NAME = 200
 
 
-def col_of(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def strip_all(value: Column) -> Column:
@@ -45,11 +48,14 @@ def to_column_name(key: Column) -> Column:
     """Snake-case column name for a JSON key, NULL when the key cannot name a column."""
     name = F.regexp_replace(strip_all(key), "([a-z0-9])([A-Z])", "$1_$2")
     name = F.regexp_replace(name, "([A-Z]+)([A-Z][a-z])", "$1_$2")
-    name = F.regexp_replace(name, "[^a-zA-Z0-9]+", "_")
-    name = F.lower(F.regexp_replace(name, "^_|_$", ""))
-    name = F.when(name.rlike("^[0-9]"), F.concat(F.lit("field_"), name)).otherwise(name)
-    name = F.substring(name, 1, MAX_COLUMN_LENGTH)
-    return F.when(name.rlike("^[a-z][a-z0-9_]*$") & ~name.isin(*RESERVED_COLUMNS), name)
+    name = F.lower(F.trim(F.regexp_replace(name, "[^a-zA-Z0-9]+", "_"), F.lit("_")))
+
+    def checked(made: Column) -> Column:
+        full = F.when(made < ":", F.concat(F.lit("field_"), made)).otherwise(made)
+        return F.when((made != "") & ~made.isin(*RESERVED_COLUMNS), F.substring(full, 1, MAX_COLUMN_LENGTH))
+
+    # Only letters, digits and underscores are left, so a name below ":" starts with a digit.
+    return let(name, checked)
 
 
 def normalize_attr(value: Column) -> Column:
@@ -207,12 +213,11 @@ def item_key(business_id: Column) -> Column:
     )
 
 
-def nfc(value: Column) -> Column:
-    """Unicode NFC form, for short file-name lists."""
-    import pandas as pd
+@F.pandas_udf(StringType())
+def _compose(names: pd.Series) -> pd.Series:
+    return names.str.normalize("NFC")
 
-    @F.pandas_udf("string")
-    def compose(names: pd.Series) -> pd.Series:
-        return names.str.normalize("NFC")
 
-    return compose(value)
+def nfc(value: Column) -> Column:
+    """Unicode NFC form, for short file-name lists."""
+    return _compose(value)

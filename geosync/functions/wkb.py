@@ -10,7 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from geosync.functions.geom import from_geojson, let, to_geojson
+from geosync.functions.geom import from_geojson, to_geojson
+from geosync.functions.text import let
 
 # Geometry codes of the format, and its SRID flag.
 _CODES = {
