@@ -6,7 +6,7 @@ import importlib
 
 from geosync.contract import registry
 
-_MODULES = ("values",)
+_MODULES = ("values", "merges", "geoms")
 
 
 def _load() -> None:

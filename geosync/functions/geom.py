@@ -224,24 +224,21 @@ _KINDS = (
 
 def _assemble(kind: Column, leaves: Column, shells_only: bool, srid: int) -> Column:
     """Geometry from its kind and leaves ``struct(kind, coords)``; NULL when a leaf cannot be read."""
-    per_leaf = F.transform(
-        leaves, lambda leaf, i: _leaf_parts(leaf["kind"], leaf["coords"], i, shells_only)
-    )
-    broken = F.exists(
-        per_leaf,
-        lambda parts: parts.isNull()
-        | F.exists(
-            parts,
-            lambda p: F.exists(
-                p["rings"], lambda r: r.isNull() | F.exists(r, lambda v: v["x"].isNull() | v["y"].isNull())
-            ),
-        ),
-    )
-    parts = F.filter(
-        F.flatten(per_leaf), lambda p: F.exists(p["rings"], lambda r: F.size(r) > 0)
-    )
-    made = F.struct(kind.alias("kind"), parts.alias("parts"), F.lit(srid).alias("srid")).cast(GEOMETRY)
-    return F.when(kind.isin(*_KINDS) & ~F.coalesce(broken, F.lit(True)), made)
+
+    def unread(ring: Column) -> Column:
+        return ring.isNull() | F.exists(ring, lambda v: v["x"].isNull() | v["y"].isNull())
+
+    def checked(per_leaf: Column) -> Column:
+        broken = F.exists(
+            per_leaf,
+            lambda parts: parts.isNull() | F.exists(parts, lambda p: F.exists(p["rings"], unread)),
+        )
+        parts = F.filter(F.flatten(per_leaf), lambda p: F.exists(p["rings"], lambda r: F.size(r) > 0))
+        made = F.struct(kind.alias("kind"), parts.alias("parts"), F.lit(srid).alias("srid"))
+        return F.when(~F.coalesce(broken, F.lit(True)), made)
+
+    per_leaf = F.transform(leaves, lambda leaf, i: _leaf_parts(leaf["kind"], leaf["coords"], i, shells_only))
+    return F.when(kind.isin(*_KINDS), let(per_leaf, checked)).cast(GEOMETRY)
 
 
 def from_geojson(text: Column, shells_only: bool = False, srid: int = 4326) -> Column:
@@ -249,25 +246,31 @@ def from_geojson(text: Column, shells_only: bool = False, srid: int = 4326) -> C
 
     ``shells_only`` drops the holes, as the exporter's fallback does.
     """
-    kind = F.lower(F.get_json_object(text, "$.type"))
-    # Leaf geometries are the objects without braces inside, at whatever depth they sit.
-    texts = F.when(
-        kind == "geometrycollection", F.regexp_extract_all(text, F.lit(r"\{[^{}]*\}"), F.lit(0))
-    ).otherwise(F.array(text))
-    leaves = F.transform(
-        texts,
-        lambda t: F.struct(
+
+    def leaf(t: Column) -> Column:
+        return F.struct(
             F.lower(F.get_json_object(t, "$.type")).alias("kind"),
             F.get_json_object(t, "$.coordinates").alias("coords"),
-        ),
-    )
-    return _assemble(kind, leaves, shells_only, srid)
+        )
+
+    def read(body: Column) -> Column:
+        # Leaf geometries are the objects without braces inside, at whatever depth they sit.
+        inner = F.transform(F.regexp_extract_all(body, F.lit(r"\{[^{}]*\}"), F.lit(0)), leaf)
+        return let(
+            leaf(body),
+            lambda own: _assemble(
+                own["kind"],
+                F.when(own["kind"] == "geometrycollection", inner).otherwise(F.array(own)),
+                shells_only,
+                srid,
+            ),
+        )
+
+    return let(text, read)
 
 
 def from_wkt(text: Column, srid: int = 4326) -> Column:
     """Geometry from WKT or EWKT text; NULL when it cannot be read."""
-    upper = F.regexp_replace(F.upper(F.trim(text)), r"^SRID=\d+;\s*", "")
-    kind = F.lower(F.regexp_extract(upper, "^([A-Z]+)", 1))
     number = r"(-?[0-9.]+(?:E[+-]?[0-9]+)?)"
 
     def leaf(token: Column) -> Column:
@@ -275,18 +278,36 @@ def from_wkt(text: Column, srid: int = 4326) -> Column:
         body = F.regexp_replace(token, r"^[A-Z]+\s*Z?\s*", "")
         body = F.regexp_replace(body, rf"{number}\s+{number}(?:\s+{number})*", "[$1,$2]")
         body = F.translate(body, "()", "[]")
-        coords = (
-            F.when(name == "point", F.regexp_replace(body, r"^\[\s*|\s*\]$", ""))
-            .when(name == "multipoint", F.regexp_replace(body, r"\[\s*(\[[^\[\]]*\])\s*\](?=\s*[,\]])", "$1"))
-            .otherwise(body)
+
+        def coords(v: Column) -> Column:
+            return (
+                F.when(v["name"] == "point", F.regexp_replace(v["body"], r"^\[\s*|\s*\]$", ""))
+                .when(
+                    v["name"] == "multipoint",
+                    F.regexp_replace(v["body"], r"\[\s*(\[[^\[\]]*\])\s*\](?=\s*[,\]])", "$1"),
+                )
+                .otherwise(v["body"])
+            )
+
+        return let(
+            F.struct(name.alias("name"), body.alias("body")),
+            lambda v: F.struct(v["name"].alias("kind"), coords(v).alias("coords")),
         )
-        return F.struct(name.alias("kind"), coords.alias("coords"))
 
     pattern = r"(?:MULTI)?(?:POINT|LINESTRING|POLYGON)\s*Z?\s*\([^A-DF-Z]*\)"
-    leaves = F.transform(F.regexp_extract_all(upper, F.lit(pattern), F.lit(0)), leaf)
-    has_leaf = F.size(leaves) > 0
-    empty = upper.rlike(r"^[A-Z]+\s+EMPTY$")
-    return F.when(has_leaf | empty, _assemble(kind, leaves, False, srid))
+
+    def read(upper: Column) -> Column:
+        kind = F.lower(F.regexp_extract(upper, "^([A-Z]+)", 1))
+        leaves = F.transform(F.regexp_extract_all(upper, F.lit(pattern), F.lit(0)), leaf)
+        return let(
+            F.struct(kind.alias("kind"), leaves.alias("leaves")),
+            lambda v: F.when(
+                (F.size(v["leaves"]) > 0) | upper.rlike(r"^[A-Z]+\s+EMPTY$"),
+                _assemble(v["kind"], v["leaves"], False, srid),
+            ),
+        )
+
+    return let(F.regexp_replace(F.upper(F.trim(text)), r"^SRID=\d+;\s*", ""), read)
 
 
 def to_geojson(geom: Column) -> Column:
@@ -339,7 +360,9 @@ def extract_geometry(row: Column) -> Column:
     """
 
     def parsed(value: Column) -> Column:
-        text = F.trim(value)
+        return F.when(value.isNotNull(), let(F.trim(value), candidate))
+
+    def candidate(text: Column) -> Column:
         one = F.from_json(text, "array<double>")
         many = F.filter(F.from_json(text, "array<array<double>>"), lambda c: F.size(c) >= 2)
         line = F.transform(many, lambda c: vertex(F.get(c, F.lit(0)), F.get(c, F.lit(1))))

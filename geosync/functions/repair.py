@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from geosync.functions import geom as g
+from geosync.functions.text import let
 
 
 def _area(ring: list) -> float:
@@ -99,10 +100,8 @@ def simple_loops(ring: list) -> list | None:
 
 
 @F.pandas_udf(StringType())
-def _untangle(texts: pd.Series) -> pd.Series:
-    def fixed(text: str | None) -> str | None:
-        if text is None:
-            return None
+def _untangle(texts: pd.Series, wanted: pd.Series) -> pd.Series:
+    def fixed(text: str) -> str | None:
         doc = json.loads(text)
         solids = [doc["coordinates"]] if doc["type"] == "Polygon" else doc["coordinates"]
         if doc["type"] not in ("Polygon", "MultiPolygon") or any(len(s) > 1 for s in solids):
@@ -115,7 +114,7 @@ def _untangle(texts: pd.Series) -> pd.Series:
             return json.dumps({"type": "Polygon", "coordinates": loops[0]})
         return json.dumps({"type": "MultiPolygon", "coordinates": loops})
 
-    return pd.Series([fixed(t) for t in texts], dtype=object)
+    return pd.Series([fixed(t) if w else None for t, w in zip(texts, wanted)], dtype=object)
 
 
 def make_valid(df: DataFrame, geom: str, out: str = "geom", status: str = "geom_status") -> DataFrame:
@@ -126,8 +125,11 @@ def make_valid(df: DataFrame, geom: str, out: str = "geom", status: str = "geom_
     step = df.withColumn("_clean", g.clean(F.col(geom))).withColumn(
         "_tangled", F.col("_clean.kind").isNotNull() & (g.validity(F.col("_clean"))["reason"] == "self-intersection")
     )
+    # The text is named twice, so that Spark keeps it as a column instead of copying its expression
+    # into the arguments of the Python function, where it could not be evaluated.
+    loops = _untangle(F.col("_text"), F.col("_text").isNotNull())
     step = step.withColumn("_text", F.when(F.col("_tangled"), g.to_geojson(F.col("_clean")))).withColumn(
-        "_fixed", g.let(_untangle(F.col("_text")), lambda text: g.clean(g.from_geojson(text)))
+        "_fixed", let(loops, lambda text: g.clean(g.from_geojson(text)))
     )
     mark = (
         F.when(F.col(f"{geom}.kind").isNull(), None)
@@ -148,7 +150,7 @@ def _widest_span(p: Column) -> Column:
 
     def mid_height(edges: Column) -> Column:
         ys = F.flatten(F.transform(edges, lambda e: F.array(e["y1"], e["y2"])))
-        return g.let(ys, lambda v: (F.array_min(v) + F.array_max(v)) / 2)
+        return let(ys, lambda v: (F.array_min(v) + F.array_max(v)) / 2)
 
     def hits(edges: Column, y: Column) -> Column:
         met = F.filter(edges, lambda e: (e["y1"] > y) != (e["y2"] > y))
@@ -168,11 +170,11 @@ def _widest_span(p: Column) -> Column:
             )
         )
 
-    return g.let(
+    return let(
         g.part_edges(p),
-        lambda edges: g.let(
+        lambda edges: let(
             mid_height(edges),
-            lambda y: g.let(hits(edges, y), lambda xs: F.when(F.size(xs) >= 2, widest(xs, y))),
+            lambda y: let(hits(edges, y), lambda xs: F.when(F.size(xs) >= 2, widest(xs, y))),
         ),
     )
 
@@ -198,9 +200,9 @@ def point_on_surface(geom: Column) -> Column:
 
     solids = F.filter(geom["parts"], lambda p: p["kind"] == "polygon")
     chosen = F.when(F.size(solids) > 0, F.array_max(F.transform(solids, _widest_span))).otherwise(
-        g.let(g.centroid(geom), nearest)
+        let(g.centroid(geom), nearest)
     )
-    return g.let(chosen, lambda v: g.point(v["x"], v["y"]))
+    return let(chosen, lambda v: g.point(v["x"], v["y"]))
 
 
 def line_to_polygon(df: DataFrame, geom: str, out: str = "polygon", threshold: float = g.CLOSE_RATIO) -> DataFrame:

@@ -1,4 +1,7 @@
-"""One row per key, by partial aggregation: a hot key is reduced on every task before the shuffle."""
+"""One row per key, by partial aggregation: a hot key is reduced on every task before the shuffle.
+
+``order`` is a list of plain columns, compared in turn.
+"""
 
 from __future__ import annotations
 

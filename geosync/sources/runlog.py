@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from geosync.operators.keep import latest_per
 
-SCHEMA = "run_id string, job_name string, status string, message string, rows_affected bigint, at double"
+SCHEMA = "run_id string, job_name string, status string, message string, rows_affected bigint, logged_at double"
 
 
 def log_run(spark: SparkSession, path: str, job: str, status: str, message: str, rows: int | None = None,
@@ -24,6 +24,6 @@ def log_run(spark: SparkSession, path: str, job: str, status: str, message: str,
 
 def runs(log: DataFrame) -> DataFrame:
     """One row per run in its latest state, with start and end."""
-    ended = F.when(F.col("status") != "running", F.col("at"))
-    times = log.groupBy("run_id").agg(F.min("at").alias("started_at"), F.max(ended).alias("finished_at"))
-    return latest_per(log, [F.col("run_id")], [F.col("at"), F.col("status")]).drop("at").join(times, "run_id")
+    ended = F.when(F.col("status") != "running", F.col("logged_at"))
+    times = log.groupBy("run_id").agg(F.min("logged_at").alias("started_at"), F.max(ended).alias("finished_at"))
+    return latest_per(log, [F.col("run_id")], [F.col("logged_at"), F.col("status")]).drop("logged_at").join(times, "run_id")
