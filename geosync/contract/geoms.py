@@ -13,6 +13,7 @@ from geosync.functions import grid, repair, wkb
 from geosync.functions.reproject import LOCAL_SRID, reproject
 from geosync.operators import layers, purge, spatial
 from geosync.plans import areas as area_jobs
+from geosync.session import cut_lineage
 from geosync.sources import docs, geojson
 from geosync.streaming import refresh
 
@@ -44,11 +45,11 @@ _NVERT = "CASE id % 9 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 5 WHEN 3 THEN 2 WH
 
 
 def _shapes(t: Tables) -> DataFrame:
-    return t.bind(WKT).withColumn("geom", g.from_wkt(c("wkt")))
+    return t.spread(WKT).withColumn("geom", g.from_wkt(c("wkt")))
 
 
 def _points(t: Tables) -> DataFrame:
-    return t.bind(b.POINTS).withColumn("geom", g.point(c("lon"), c("lat")))
+    return t.spread(b.POINTS).withColumn("geom", g.point(c("lon"), c("lat")))
 
 
 def _boxed(df: DataFrame) -> DataFrame:
@@ -117,7 +118,7 @@ COLLECTIONS = f"SELECT id, concat('{{{{\"type\":\"FeatureCollection\",\"features
 
 @query("geojson_read", f"""SELECT 'f' || id AS file_name, CAST(i AS INTEGER) AS ord, CAST(id AS VARCHAR) AS n, CASE WHEN id % 4 <> 0 THEN 'linestring' END AS kind, CASE WHEN id % 4 <> 0 THEN CAST(xs AS DOUBLE) END AS x FROM {sub(WKT)}, range(2) r(i)""")
 def geojson_read(t: Tables):
-    features = geojson.parse_collections(t.bind(COLLECTIONS))
+    features = geojson.parse_collections(t.spread(COLLECTIONS))
     return features.select(
         "file_name", "ord", F.get_json_object("properties", "$.n").alias("n"), c("geom.kind").alias("kind"), g.x_of(c("geom")).alias("x")
     )
@@ -146,7 +147,7 @@ ROWS = (
 @query("geom_extract", f"""SELECT id, CASE id % 7 WHEN 0 THEN 'point' WHEN 1 THEN 'point' WHEN 2 THEN 'linestring' WHEN 3 THEN 'point' WHEN 4 THEN 'multipoint' WHEN 6 THEN 'linestring' END AS kind,
 CASE WHEN id % 7 <> 5 THEN CAST(xs AS DOUBLE) END AS x, CASE WHEN id % 7 <> 5 THEN CAST(ys AS DOUBLE) END AS y FROM {sub(WKT)}""")
 def geom_extract(t: Tables):
-    made = t.bind(ROWS).select("id", g.extract_geometry(c("doc")).alias("geom"))
+    made = t.spread(ROWS).select("id", g.extract_geometry(c("doc")).alias("geom"))
     return made.select("id", c("geom.kind").alias("kind"), g.x_of(c("geom")).alias("x"), g.y_of(c("geom")).alias("y"))
 
 
@@ -339,7 +340,7 @@ def _lines(t: Tables) -> DataFrame:
     path = F.array(
         g.vertex(x, y), g.vertex(x + side, y), g.vertex(x + side, y + side), g.vertex(x, y + side), g.vertex(x, y + side * c("gap"))
     )
-    return t.bind(LINES).withColumn("geom", g.linestring(path))
+    return t.spread(LINES).withColumn("geom", g.linestring(path))
 
 
 _SPAN = " + ".join(
@@ -520,12 +521,13 @@ _FLAG_DOC = f"""SELECT o_orderkey AS id, concat('{{{{"type":"Feature","geometry"
 SELECT d.gid, d.rayon, count(p.lon) AS parts FROM {DISTRICTS} d LEFT JOIN p ON {_IN} GROUP BY 1, 2""")
 def flagship_districts(t: Tables):
     """Parts of unexpired permits per district: parse, type, purge, split, join, count."""
-    raw = t.bind(_FLAG_DOC).select(
+    raw = t.spread(_FLAG_DOC).select(
         "id", F.get_json_object("feature", "$.properties").alias("properties"),
         g.from_geojson(F.get_json_object("feature", "$.geometry")).alias("geom"),
     )
     typed, _ = geojson.typed_features(raw)
-    live = purge.purge_date(typed, "work_end_date", F.to_date(F.lit(AS_OF))).filter("action = 'keep'").drop("action")
+    # The load is written before the rules run over it, as a feature table is.
+    live = purge.purge_date(cut_lineage(typed), "work_end_date", F.to_date(F.lit(AS_OF))).filter("action = 'keep'").drop("action")
     table = live.withColumn("tasked", F.lit(False)).withColumn("derived_from_id", F.lit(None).cast("long"))
     parts = layers.split_layers(table).filter("layer IS NOT NULL").withColumn(
         "part_id", F.concat_ws(":", "source_id", "part_no")

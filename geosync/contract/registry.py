@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from geosync.session import spread
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -31,6 +33,10 @@ class Tables:
         used = {name: getattr(self, name) for name in TABLES if "{" + name + "}" in text}
         return self.spark.sql(text, **used)
 
+    def spread(self, text: str) -> DataFrame:
+        """Like ``bind``, over all cores, for queries with much work per row."""
+        return spread(self.bind(text))
+
 
 def sub(text: str) -> str:
     """The same SELECT text as a subquery for the oracle."""

@@ -259,7 +259,7 @@ WITH j AS (SELECT id, CASE WHEN id % 6 = 1 THEN replace(replace(replace(v, '''',
 o AS (SELECT id, CASE WHEN json_valid(v) THEN CASE WHEN json_type(v) = 'OBJECT' THEN v END END AS v FROM j)
 SELECT id, v IS NOT NULL AS is_dict, json_extract_string(v, '$.type') AS type, json_extract_string(v, '$.k') AS k, json_extract_string(v, '$.flag') AS flag FROM o""")
 def maybe_dict(t: Tables):
-    return t.bind(LOOSE).select("id", jsonx.maybe_dict(c("v")).alias("d")).select(
+    return t.spread(LOOSE).select("id", jsonx.maybe_dict(c("v")).alias("d")).select(
         "id", c("d").isNotNull().alias("is_dict"),
         *[F.get_json_object("d", f"$.{k}").alias(k) for k in ("type", "k", "flag")],
     )
@@ -287,7 +287,7 @@ UNION ALL SELECT id, 'total_price', json_extract_string(doc, '$.attributes.total
 UNION ALL SELECT id, 'is_open', 'true', 'bool' FROM d WHERE id % 2 = 1""")
 def property_flatten(t: Tables):
     members = jsonx.flatten_properties(c("doc"))
-    return t.bind(PERMITS).select("id", F.explode(members).alias("m")).select("id", "m.*")
+    return t.spread(PERMITS).select("id", F.explode(members).alias("m")).select("id", "m.*")
 
 
 MIXED = (
@@ -302,7 +302,7 @@ _FLAGS = """SELECT name, bool_or(ty IN ('ARRAY','OBJECT')) AS j, bool_or(ty = 'V
 
 
 def _mixed_members(t: Tables, where: str | None = None):
-    df = t.bind(MIXED)
+    df = t.spread(MIXED)
     df = df.filter(where) if where else df
     return df.withColumn("members", jsonx.flatten_properties(c("doc")))
 
@@ -341,7 +341,7 @@ CASE WHEN ty = 'BOOLEAN' THEN CASE WHEN s = 'true' THEN 1e0 ELSE 0e0 END WHEN ty
 CASE WHEN ty = 'NULL' THEN NULL WHEN ty = 'VARCHAR' THEN s ELSE raw END AS as_text,
 CASE WHEN ty = 'NULL' THEN NULL ELSE raw END AS as_json FROM v""")
 def typed_coerce(t: Tables):
-    m = t.bind(VALUES).select("id", F.explode(jsonx.flatten_properties(c("doc"))).alias("m")).select("id", "m.*")
+    m = t.spread(VALUES).select("id", F.explode(jsonx.flatten_properties(c("doc"))).alias("m")).select("id", "m.*")
     wanted = {"as_bool": "boolean", "as_long": "bigint", "as_double": "double", "as_text": "string", "as_json": "json"}
     return m.select("id", *[jsonx.coerce(c("raw"), c("kind"), ty).alias(name) for name, ty in wanted.items()])
 
@@ -363,12 +363,12 @@ WHEN NOT (json_exists(doc, '$.wkt') OR json_exists(doc, '$.uuids') OR json_exist
 
 @query("doc_classify", f"SELECT id, {_KIND} AS kind FROM {sub(DOCS)}")
 def doc_classify(t: Tables):
-    return t.bind(DOCS).select("id", jsonx.classify_document(c("doc")).alias("kind"))
+    return t.spread(DOCS).select("id", jsonx.classify_document(c("doc")).alias("kind"))
 
 
 @query("json_docs_route", f"SELECT coalesce({_KIND}, 'reject') AS kind, count(*) AS n, min(id) AS first_id FROM {sub(DOCS)} GROUP BY 1")
 def json_docs_route(t: Tables):
-    routed = docs.route_docs(t.bind(DOCS))
+    routed = docs.route_docs(t.spread(DOCS))
     return routed.groupBy(F.coalesce("kind", F.lit("reject")).alias("kind")).agg(
         F.count("*").alias("n"), F.min("id").alias("first_id")
     )
@@ -377,7 +377,7 @@ def json_docs_route(t: Tables):
 @query("explode_uuids", f"""SELECT id, json_extract_string(doc, '$.note') AS note, json_extract_string(doc, '$.uuids[' || i || ']') AS uuid
 FROM {sub(DOCS)}, range(2) r(i) WHERE json_type(doc, '$.uuids') = 'ARRAY'""")
 def explode_uuids(t: Tables):
-    areas = docs.route_docs(t.bind(DOCS)).filter("kind = 'uuid_area'")
+    areas = docs.route_docs(t.spread(DOCS)).filter("kind = 'uuid_area'")
     return docs.explode_ids(areas).select("id", F.get_json_object("doc", "$.note").alias("note"), "uuid")
 
 
@@ -388,7 +388,7 @@ v AS (SELECT id, TRY_CAST(CASE pair WHEN 'lat' THEN json_extract_string(doc, '$.
 SELECT k.id, CASE WHEN v.lat BETWEEN -90 AND 90 AND v.lng BETWEEN -180 AND 180 THEN v.lat END AS lat,
  CASE WHEN v.lat BETWEEN -90 AND 90 AND v.lng BETWEEN -180 AND 180 THEN v.lng END AS lng FROM k LEFT JOIN v ON k.id = v.id""")
 def coord_parse(t: Tables):
-    return docs.with_coords(t.bind(DOCS)).select("id", "lat", "lng")
+    return docs.with_coords(t.spread(DOCS)).select("id", "lat", "lng")
 
 
 @query("payload_merge", f"""SELECT event_id AS id, CAST(event_id AS VARCHAR) AS a, CASE WHEN event_id % 2 = 0 THEN NULL ELSE 'r' END AS b, CAST(user_id AS VARCHAR) AS c,
@@ -415,7 +415,7 @@ _PERMIT_SQL = ", ".join(
 @query("permit_flatten", f"""SELECT id, CAST(json_extract_string(doc, '$.datasetId') AS INTEGER) AS dataset_id, nullif(json_extract_string(doc, '$.rowId'), '') AS row_id,
 nullif(json_extract_string(doc, '$.versionNumber'), '') AS version_number, nullif(json_extract_string(doc, '$.releaseNumber'), '') AS release_number, {_PERMIT_SQL} FROM {sub(PERMITS)}""")
 def permit_flatten(t: Tables):
-    return docs.flatten_permit(t.bind(PERMITS)).drop("doc")
+    return docs.flatten_permit(t.spread(PERMITS)).drop("doc")
 
 
 ANSWERS = (
@@ -433,7 +433,7 @@ nullif(json_extract_string(doc, '$.order.date_start'), '') AS order_date_start,
 CAST(json_extract_string(doc, '$.yolo.label') AS INTEGER) AS yolo_label, CAST(json_extract(doc, '$.yolo.votes') AS VARCHAR) AS yolo_votes,
 json_exists(doc, '$.photo_coordinate.lng') AS has_point FROM {sub(ANSWERS)}""")
 def response_flatten(t: Tables):
-    flat = docs.flatten_response(t.bind(ANSWERS))
+    flat = docs.flatten_response(t.spread(ANSWERS))
     return flat.select(
         "id", "opening", "image", "photo_lat", "photo_lng", "photo_azimuth_deg", "order_source",
         c("order_date_start").cast("string").alias("order_date_start"), c("order_date_end").cast("string").alias("order_date_end"),
@@ -464,7 +464,7 @@ WITH p AS (SELECT id, CASE WHEN json_type(page) = 'ARRAY' THEN json(page) WHEN j
  WHEN json_type(page, '$.data') = 'ARRAY' THEN json_extract(page, '$.data') WHEN json_type(page, '$.Items') = 'ARRAY' THEN json_extract(page, '$.Items') END AS list FROM {sub(PAGES)})
 SELECT id, CAST(i AS INTEGER) AS idx, json_extract_string(list, '$[' || i || '].k') AS k FROM p, range(3) r(i) WHERE list IS NOT NULL AND i < json_array_length(list)""")
 def envelope_unwrap(t: Tables):
-    listed = t.bind(PAGES).select("id", F.posexplode(jsonx.unwrap_envelope(c("page"))).alias("idx", "f"))
+    listed = t.spread(PAGES).select("id", F.posexplode(jsonx.unwrap_envelope(c("page"))).alias("idx", "f"))
     return listed.select("id", "idx", F.get_json_object("f", "$.k").alias("k"))
 
 

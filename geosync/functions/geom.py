@@ -359,9 +359,6 @@ def extract_geometry(row: Column) -> Column:
     Text may be WKT or GeoJSON, a list may be one position or several.
     """
 
-    def parsed(value: Column) -> Column:
-        return F.when(value.isNotNull(), let(F.trim(value), candidate))
-
     def candidate(text: Column) -> Column:
         one = F.from_json(text, "array<double>")
         many = F.filter(F.from_json(text, "array<array<double>>"), lambda c: F.size(c) >= 2)
@@ -381,19 +378,18 @@ def extract_geometry(row: Column) -> Column:
             .when(text.rlike("^[A-Za-z]"), from_wkt(text))
         )
 
-    own = F.when(
-        F.get_json_object(row, "$.type") == "Feature",
-        from_geojson(F.get_json_object(row, "$.geometry"), shells_only=True),
-    )
+    own = F.when(F.get_json_object(row, "$.type") == "Feature", F.get_json_object(row, "$.geometry"))
     cells = [
-        parsed(F.get_json_object(row, f"$.Cells.{key}"))
+        F.get_json_object(row, f"$.Cells.{key}")
         for key in ("geoData", "GeoData", "geometry", "coordinates", "wkt", "geom")
     ]
     root = [
-        parsed(F.get_json_object(row, f"$.{key}"))
-        for key in ("geoData", "GeoData", "geometry", "coordinates", "wkt")
+        F.get_json_object(row, f"$.{key}") for key in ("geoData", "GeoData", "geometry", "coordinates", "wkt")
     ]
-    return F.coalesce(own, *cells, *root)
+    # In the order of preference; only a feature's own geometry must be GeoJSON.
+    texts = F.filter(F.array(F.when(F.trim(own).startswith("{"), own), *cells, *root), lambda t: t.isNotNull())
+    read = F.transform(texts, lambda t: let(F.trim(t), candidate))
+    return F.get(F.filter(read, lambda made: made["kind"].isNotNull()), F.lit(0))
 
 
 # --- edges and measures ------------------------------------------------------------------------

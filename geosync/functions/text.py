@@ -46,8 +46,9 @@ def effective_id(*candidates: Column) -> Column:
 
 def to_column_name(key: Column) -> Column:
     """Snake-case column name for a JSON key, NULL when the key cannot name a column."""
-    name = F.regexp_replace(strip_all(key), "([a-z0-9])([A-Z])", "$1_$2")
+    name = F.regexp_replace(key, "([a-z0-9])([A-Z])", "$1_$2")
     name = F.regexp_replace(name, "([A-Z]+)([A-Z][a-z])", "$1_$2")
+    # White space at the ends turns into underscores and goes with them.
     name = F.lower(F.trim(F.regexp_replace(name, "[^a-zA-Z0-9]+", "_"), F.lit("_")))
 
     def checked(made: Column) -> Column:

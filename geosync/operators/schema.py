@@ -31,7 +31,8 @@ def infer_types(df: DataFrame, members: str = "members") -> DataFrame:
     ``members`` is the list :func:`geosync.functions.jsonx.flatten_properties` makes. Flags are
     combined on each task before the shuffle, which then carries one row per name and task.
     """
-    seen = df.select(F.explode(members).alias("m")).select("m.name", "m.kind")
+    # The outer form, as Spark would parse every row a second time to test a plain explode's list.
+    seen = df.select(F.explode_outer(members).alias("m")).select("m.name", "m.kind").filter("name IS NOT NULL")
     has = lambda kind: F.max(F.col("kind") == kind)
     flags = seen.groupBy("name").agg(
         has("json").alias("j"), has("str").alias("s"), has("float").alias("f"), has("int").alias("i"),

@@ -39,18 +39,17 @@ def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     is kept in one of them only, so no distinct is needed. A right side of checked size is broadcast;
     otherwise both sides shuffle by cell, and cells holding a large share of the left rows are salted.
     """
+    # Rows without a box get a NULL cell, which no join keeps. A plain explode, or a filter on the box,
+    # would make Spark compute the box once more below it.
     lhs = (
         left.select(F.col(left_id).alias("_lid"), F.col(left_geom).alias("_lg"))
         .withColumn("_lb", g.bbox(F.col("_lg")))
-        .filter(F.col("_lb").isNotNull())
-        .withColumn("_cell", F.explode(grid.cover(F.col("_lb"), cell)))
+        .withColumn("_cell", F.explode_outer(grid.cover(F.col("_lb"), cell)))
     )
-    # Areas are cut down to what the tests need once, before they are copied or shuffled.
     rhs = (
         right.select(F.col(right_id).alias("_rid"), F.col(right_geom).alias("_rg"))
         .withColumn("_rb", g.bbox(F.col("_rg")))
-        .filter(F.col("_rb").isNotNull())
-        .withColumn("_cell", F.explode(grid.cover(F.col("_rb"), cell)))
+        .withColumn("_cell", F.explode_outer(grid.cover(F.col("_rb"), cell)))
     )
     if small_enough(rhs, broadcast_rows):
         pairs = lhs.join(F.broadcast(rhs), "_cell")
