@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geosync.functions.text import is_not_true, is_true
+from geosync.functions.text import is_true
 
 
 def filtered_counts(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
@@ -141,10 +141,6 @@ def high_water(df: DataFrame, key: str, tag: Column) -> DataFrame:
     return df.agg(F.coalesce(F.max(F.when(tag, F.col(key))), F.lit(0)).cast("long").alias("high_water"))
 
 
-def open_scoped(items: DataFrame) -> DataFrame:
-    return items.filter(is_not_true(F.col("is_field_data")) & is_not_true(F.col("is_office_task")))
-
-
 def recent(df: DataFrame, n: int = 10) -> DataFrame:
     """Latest runs, unfinished ones last, message cut to 200 characters."""
     return (
