@@ -6,7 +6,7 @@ import importlib
 
 from geosync.contract import registry
 
-_MODULES = ("values", "merges", "geoms")
+_MODULES = ("values", "merges", "geoms", "jobs")
 
 
 def _load() -> None:

@@ -136,9 +136,3 @@ def reactivate(pattern: str, items: DataFrame, geometries: DataFrame, districts:
     keys = by_name.unionByName(by_place).filter("task_key IS NOT NULL").distinct()
     return guards.clear_snapshots(snapshots, keys, items)
 
-
-def check_cleared(report: DataFrame, cleared: DataFrame, items_after: DataFrame | None = None) -> None:
-    """Raises when the cleared snapshots do not add up with the report."""
-    left = report.agg(F.coalesce(F.sum("left"), F.lit(0)).alias("n")).first()["n"]
-    if cleared.count() != left:
-        raise RuntimeError("snapshots and report disagree")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import time
@@ -63,10 +64,10 @@ class _Reader(DataSourceReader):
 
     def _load(self, page: int) -> object:
         if not self.path.startswith(("http://", "https://")):
-            name = os.path.join(self.path, f"page-{page}.json")
-            if not os.path.exists(name):
+            names = glob.glob(os.path.join(self.path, f"page={page}", "part-*"))
+            if not names:
                 return []
-            with open(name, encoding="utf-8") as handle:
+            with open(names[0], encoding="utf-8") as handle:
                 return json.load(handle)
         query = urllib.parse.urlencode({"$skip": self.start + page * self.page_size, "$top": self.page_size})
         url = f"{self.path}{'&' if '?' in self.path else '?'}{query}"
@@ -82,7 +83,8 @@ class _Reader(DataSourceReader):
 
 
 class PagedFeatures(DataSource):
-    """``path`` is a service address or a folder of ``page-<n>.json``; ``stripes`` sets the parallel readers."""
+    """``path`` is a service address, or a folder all executors can reach with one text file below each
+    ``page=<n>``, as ``partitionBy("page").text`` writes them; ``stripes`` sets the parallel readers."""
 
     @classmethod
     def name(cls) -> str:

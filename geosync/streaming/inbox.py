@@ -64,12 +64,14 @@ def inbox_stream(spark: SparkSession, inbox: str, target_root: str, log_path: st
         .option("pathGlobFilter", "[!~.]*.csv")
         .csv(inbox)
         .withColumn("file_name", F.col("_metadata.file_name"))
-        .withColumn("ord", F.col("_metadata.file_block_start") * 1_000_000_000 + F.monotonically_increasing_id())
+        .withColumn("block", F.col("_metadata.file_block_start"))
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # A batch that is run again finds its own log and changes nothing twice: the update is by key.
-        updated, log = apply_assignments(batch, read_current(spark, target_root))
+        # Blocks start far enough apart for the row number within a task to keep file order.
+        ordered = batch.withColumn("ord", F.col("block") * 1_000_000_000 + F.monotonically_increasing_id())
+        updated, log = apply_assignments(ordered, read_current(spark, target_root))
         write_version(updated, target_root)
         log.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
 
@@ -78,9 +80,9 @@ def inbox_stream(spark: SparkSession, inbox: str, target_root: str, log_path: st
 
 
 def paged_stream(spark: SparkSession, pages: str, target: str, types_root: str, checkpoint: str,
-                 once: bool = False) -> StreamingQuery:
+                 once: bool = False, suffix: str = "*.json") -> StreamingQuery:
     """Appends pages of features as they arrive; the first type seen for a column holds for all pages."""
-    stream = spark.readStream.option("wholetext", "true").option("pathGlobFilter", "*.json").text(pages).select(
+    stream = spark.readStream.option("wholetext", "true").option("pathGlobFilter", suffix).text(pages).select(
         F.col("_metadata.file_name").alias("page"), F.posexplode(unwrap_envelope(F.col("value"))).alias("ord", "feature")
     )
 
