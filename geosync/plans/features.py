@@ -42,18 +42,20 @@ def load_reload(features: DataFrame, rule: PurgeRule | None, as_of: Column,
     return merge.settle(tagged), merge.count_actions(tagged)
 
 
-def add_derived(table: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Table with the polygons derived from its lines, under new ids, and the counts by outcome."""
+def add_derived(table: DataFrame, numbered_up_to: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Table with the polygons derived from its lines, under new ids, and the counts by outcome.
+
+    New ids follow the highest one of ``numbered_up_to``, a frame that still has the rows just deleted.
+    """
     tried = cut_lineage(layers.derive_polygons(table))
     made = tried.filter("outcome = 'derived'").drop("outcome")
-    return _append_numbered(table, made, ["derived_from_id", "part_no"]), tried.groupBy("outcome").agg(
-        F.count("*").alias("n")
-    )
+    grown = _append_numbered(table, made, ["derived_from_id", "part_no"], numbered_up_to)
+    return grown, tried.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-def _append_numbered(table: DataFrame, new: DataFrame, order: list[str]) -> DataFrame:
+def _append_numbered(table: DataFrame, new: DataFrame, order: list[str], numbered_up_to: DataFrame | None) -> DataFrame:
     """Adds rows with the ids after the highest one."""
-    top = table.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("_top"))
+    top = (table if numbered_up_to is None else numbered_up_to).agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("_top"))
     numbered = number_rows(new, [], [F.col(c) for c in order], "_n")
     # The highest id is a single row.
     fresh = numbered.join(F.broadcast(top)).withColumn("id", F.col("_top") + F.col("_n"))
@@ -105,7 +107,7 @@ def load_preserving(features: DataFrame, target: DataFrame, old_layers: DataFram
         "loaded_at", F.when(written, as_of.cast("timestamp")).otherwise(F.col("loaded_at"))
     )
     purged = cut_lineage(apply_rule(merge.settle(stamped), rule, as_of))
-    table, derived = add_derived(merge.settle(purged))
+    table, derived = add_derived(merge.settle(purged), merged)
     table = cut_lineage(table)
     rebuilt, split = rebuild_layers(table, old_layers)
     synced = sync_layer_items(cut_lineage(rebuilt), items, table, service, as_of)
