@@ -22,7 +22,7 @@ HEADLINE = (
 def main() -> None:
     spark = build_session(
         "bench", f"local[{CPUS}]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "16g"},
+        **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "16g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     registered = contract.queries()

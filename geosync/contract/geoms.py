@@ -379,7 +379,7 @@ def geom_split(t: Tables):
     return _split(t).filter("layer IS NOT NULL").select("source_id", "part_no", "layer")
 
 
-@query("geom_split_counts", f"""SELECT count(*) FILTER (WHERE id % 9 IN (0, 3, 6)) AS points, count(*) FILTER (WHERE id % 9 IN (1, 4, 6)) AS lines, count(*) FILTER (WHERE id % 9 IN (2, 5, 6)) AS polygons, 0 AS derived,
+@query("geom_split_counts", f"""SELECT count(*) FILTER (WHERE id % 9 IN (0, 3, 6)) AS points, count(*) FILTER (WHERE id % 9 IN (1, 4, 6)) AS lines, count(*) FILTER (WHERE id % 9 IN (2, 5, 6)) AS polygons, CAST(0 AS BIGINT) AS derived,
 count(*) FILTER (WHERE id % 9 = 6) AS collection_rows, 3 * count(*) FILTER (WHERE id % 9 = 6) AS collection_parts, count(*) FILTER (WHERE id % 9 = 7) AS skipped FROM {sub(WKT)} WHERE o_orderstatus <> 'P'""")
 def geom_split_counts(t: Tables):
     return layers.split_counts(_split(t))

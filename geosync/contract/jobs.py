@@ -180,7 +180,7 @@ def job_label_ingest(t: Tables):
     return done["table"].select("label_text", "source_json", "source_fid")
 
 
-@query("job_replace_by_key", """SELECT c_nationkey AS orbis_id, max(c_custkey) AS last FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY 1 HAVING max(c_custkey) IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')""")
+@query("job_replace_by_key", """SELECT CAST(c_nationkey AS BIGINT) AS orbis_id, max(c_custkey) AS last FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY 1 HAVING max(c_custkey) IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')""")
 def job_replace_by_key(t: Tables):
     state = F.when(c("c_mktsegment") == "BUILDING", F.lit("Истек вчера")).otherwise(F.lit("Действует"))
     key = F.when(c("c_mktsegment") != "MACHINERY", c("c_nationkey"))

@@ -69,17 +69,24 @@ def scoped_counts(items: DataFrame, id_columns: list[str]) -> DataFrame:
     )
 
 
+def _side_by_side(*rows: DataFrame) -> DataFrame:
+    """One row from several one-row frames with different columns."""
+    stacked = rows[0]
+    for row in rows[1:]:
+        stacked = stacked.unionByName(row, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def summary(links: DataFrame, flags: DataFrame, scoped: DataFrame, duplicate_keys: DataFrame,
             expected: list[str]) -> DataFrame:
     """One alert row: ``alert`` and ``message``, with the sums behind them."""
-    # Each side is a single row of totals.
     totals = links.agg(F.sum("with_geom").alias("with_geom"), F.sum("gap").alias("gap"))
     wrong = flags.agg(F.sum("n").alias("false_flags"))
     empty = scoped.filter(F.col("id_column").isin(*expected) & (F.col("total") == 0)).agg(
         F.array_join(F.array_sort(F.collect_list("id_column")), ",").alias("zero_scoped")
     )
     twice = duplicate_keys.agg(F.count("*").alias("duplicate_keys"))
-    row = totals.join(F.broadcast(wrong)).join(F.broadcast(empty)).join(F.broadcast(twice))
+    row = _side_by_side(totals, wrong, empty, twice)
     parts = F.concat_ws(
         "; ",
         F.when(F.col("gap") > 0, F.concat(F.lit("gap="), F.col("gap").cast("string"))),
@@ -119,7 +126,7 @@ def check_links(before: DataFrame, after: DataFrame, link: str = "task_key") ->
     """One row: links before and after, and whether some were lost."""
     a = before.agg(F.count(link).alias("linked_before"))
     b = after.agg(F.count(link).alias("linked_after"))
-    return a.join(F.broadcast(b)).withColumn("dropped", F.col("linked_after") < F.col("linked_before"))
+    return _side_by_side(a, b).withColumn("dropped", F.col("linked_after") < F.col("linked_before"))
 
 
 def require_links(before: DataFrame, after: DataFrame, link: str = "task_key") -> None:
@@ -133,7 +140,7 @@ def first_keys(df: DataFrame, key: str, n: int = 20) -> DataFrame:
     """The first ``n`` keys in order as one text, and how many there are."""
     head = df.select(F.col(key).cast("string").alias("_k")).orderBy("_k").limit(n)
     text = head.agg(F.array_join(F.array_sort(F.collect_list("_k")), ", ").alias("keys"))
-    return df.agg(F.count("*").alias("n")).join(F.broadcast(text))
+    return _side_by_side(df.agg(F.count("*").alias("n")), text)
 
 
 def high_water(df: DataFrame, key: str, tag: Column) -> DataFrame:

@@ -30,6 +30,14 @@ def _equal(keys: list[str], left: str = "t", right: str = "s") -> Column:
     return same
 
 
+def _complete(keys) -> Column:
+    """Every key column has a value."""
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    return whole
+
+
 def _marked(df: DataFrame, alias: str) -> DataFrame:
     return df.withColumn("_here", F.lit(True)).alias(alias)
 
@@ -39,6 +47,11 @@ def replace_all(new: DataFrame, order: list[Column], id_col: str = "id") -> Data
     return number_rows(new.drop(id_col), [], order, id_col)
 
 
+def highest_id(df: DataFrame, id_col: str = "id") -> int:
+    """Highest id in use, 0 when there is none."""
+    return df.agg(F.max(id_col)).first()[0] or 0
+
+
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[Column],
            when: Column | None = None, keep_non_null: list[str] | None = None) -> DataFrame:
     """Insert or update by key, the last change per key winning.
@@ -46,9 +59,12 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[C
     ``when`` tests the old row (as ``t``) and lets it stand when not true; columns in
     ``keep_non_null`` keep the old value where the change has none. Columns the changes lack stay.
     """
-    order_only = [c for c in changes.columns if c not in target.columns]
-    last = last_wins(changes, keys, order)
-    joined = _marked(target, "t").join(_marked(last, "s"), _equal(keys), "full_outer")
+    # A NULL key meets nothing. Such rows are left out of the join, where they would all land in one
+    # task, and put back after it.
+    lone_changes = changes.filter(~_complete(keys)).select(*[c for c in target.columns if c in changes.columns])
+    lone_targets = target.filter(~_complete(keys))
+    last = last_wins(changes.filter(_complete(keys)), keys, order)
+    joined = _marked(target.filter(_complete(keys)), "t").join(_marked(last, "s"), _equal(keys), "full_outer")
     old, new = F.col("t._here").isNotNull(), F.col("s._here").isNotNull()
     allowed = F.lit(True) if when is None else F.coalesce(when, F.lit(False))
     written = new & (~old | allowed)
@@ -64,7 +80,10 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[C
     action = (
         F.when(new & ~old, F.lit("insert")).when(written, F.lit("update")).otherwise(F.lit("keep"))
     )
-    return joined.select(*columns, action.alias("action")).drop(*order_only)
+    merged = joined.select(*columns, action.alias("action"))
+    return merged.unionByName(lone_targets.withColumn("action", F.lit("keep"))).unionByName(
+        lone_changes.withColumn("action", F.lit("insert")), allowMissingColumns=True
+    )
 
 
 def insert_absent(target: DataFrame, changes: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -132,18 +151,15 @@ def match_upsert(target: DataFrame, changes: DataFrame, order: list[Column], mat
     new rows get the ids after the highest one, in ``order``. ``action`` is ``insert``, ``update``,
     ``frozen`` or ``unseen`` (a target row no change matched).
     """
-    last = last_wins(changes, list(match), order)
-    found = (
-        target.filter(F.col(match[0]).isNotNull() & F.col(match[1]).isNotNull())
-        .groupBy(*match)
-        .agg(F.min(id_col).alias("_id"))
-    )
-    matched = last.join(found, list(match), "left").drop(id_col)
+    found = target.filter(_complete(match)).groupBy(*match).agg(F.min(id_col).alias("_id"))
+    last = last_wins(changes.filter(_complete(match)), list(match), order).drop(id_col)
+    matched = last.join(found, list(match), "left")
     hit = matched.filter(F.col("_id").isNotNull()).withColumnRenamed("_id", id_col)
-    new = number_rows(matched.filter(F.col("_id").isNull()).drop("_id"), [], order, "_nr")
-    highest = target.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_top"))
-    # One row against many: the highest id is a single value.
-    fresh = new.join(F.broadcast(highest)).withColumn(id_col, F.col("_top") + F.col("_nr")).drop("_top", "_nr")
+    # Changes that cannot match stay out of the join, where they would all land in one task.
+    lone = changes.filter(~_complete(match)).drop(id_col)
+    unmatched = matched.filter(F.col("_id").isNull()).drop("_id").unionByName(lone)
+    new = number_rows(unmatched, [], order, "_nr")
+    fresh = new.withColumn(id_col, F.col("_nr") + highest_id(target, id_col)).drop("_nr")
 
     joined = _marked(target, "t").join(_marked(hit, "s"), _equal([id_col]), "left")
     seen = F.col("s._here").isNotNull()

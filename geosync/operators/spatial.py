@@ -19,14 +19,15 @@ def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def _hot_cells(celled: DataFrame) -> DataFrame:
-    """Cells holding more than their share of rows: at most ``1 / HOT_SHARE`` of them."""
-    counts = celled.groupBy("_cell").agg(F.count("*").alias("_n"))
-    whole = counts.agg(F.sum("_n").alias("_all"))
-    # The right side is a single row.
-    return counts.join(F.broadcast(whole), F.col("_n") > F.col("_all") * HOT_SHARE).select(
-        "_cell", F.lit(True).alias("_hot")
-    )
+def _hot_cells(celled: DataFrame, rows: int) -> list[int]:
+    """Cells holding more than their share of the ``rows`` on the left, the fullest first.
+
+    There are at most ``1 / HOT_SHARE`` of them when every row lies in one cell; rows over several
+    cells can make more, of which the fullest are taken. Cells left out are joined all the same.
+    """
+    counts = celled.groupBy("_cell").agg(F.count("*").alias("_n")).filter(F.col("_n") > rows * HOT_SHARE)
+    top = counts.filter("_cell IS NOT NULL").orderBy(F.col("_n").desc(), "_cell").limit(int(1 / HOT_SHARE))
+    return [r["_cell"] for r in top.collect()]
 
 
 def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_geom: str = "geom",
@@ -54,14 +55,11 @@ def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     if small_enough(rhs, broadcast_rows):
         pairs = lhs.join(F.broadcast(rhs), "_cell")
     else:
-        # At most 1 / HOT_SHARE rows by construction.
-        hot = F.broadcast(_hot_cells(lhs))
-        salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64("_lid"), F.lit(SALTS))).otherwise(F.lit(0))
-        salts = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-            F.array(F.lit(0))
-        )
-        spread = lhs.join(hot, "_cell", "left").withColumn("_salt", salt.cast("int")).drop("_hot")
-        copied = rhs.join(hot, "_cell", "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+        is_hot = F.col("_cell").isin(*_hot_cells(lhs, left.count()))
+        salt = F.when(is_hot, F.pmod(F.xxhash64("_lid"), F.lit(SALTS))).otherwise(F.lit(0))
+        salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        spread = lhs.withColumn("_salt", salt.cast("int"))
+        copied = rhs.withColumn("_salt", F.explode_outer(salts))
         pairs = spread.join(copied, ["_cell", "_salt"])
     near = pairs.filter(
         grid.boxes_meet(F.col("_lb"), F.col("_rb"))

@@ -55,10 +55,9 @@ def add_derived(table: DataFrame, numbered_up_to: DataFrame | None = None) -> tu
 
 def _append_numbered(table: DataFrame, new: DataFrame, order: list[str], numbered_up_to: DataFrame | None) -> DataFrame:
     """Adds rows with the ids after the highest one."""
-    top = (table if numbered_up_to is None else numbered_up_to).agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("_top"))
+    top = merge.highest_id(table if numbered_up_to is None else numbered_up_to)
     numbered = number_rows(new, [], [F.col(c) for c in order], "_n")
-    # The highest id is a single row.
-    fresh = numbered.join(F.broadcast(top)).withColumn("id", F.col("_top") + F.col("_n"))
+    fresh = numbered.withColumn("id", F.col("_n") + top)
     keep = [c for c in fresh.columns if c in table.columns]
     return table.unionByName(fresh.select(*keep), allowMissingColumns=True)
 
@@ -79,10 +78,9 @@ def rebuild_layers(table: DataFrame, old: DataFrame) -> tuple[DataFrame, DataFra
         .withColumn("task_key", F.lit(None).cast("string"))
     )
     # New ids follow the highest old one, dropped rows included, so that no id comes back.
-    top = old.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("_top"))
     numbered = number_rows(made, [], [F.col("layer"), F.col("source_id"), F.col("part_no")], "_n")
-    fresh = numbered.join(F.broadcast(top)).withColumn("id", F.col("_top") + F.col("_n"))
-    drop = [c for c in ("_top", "_n", "part_no", "from_collection", "geom_status") if c in fresh.columns]
+    fresh = numbered.withColumn("id", F.col("_n") + merge.highest_id(old))
+    drop = [c for c in ("_n", "part_no", "from_collection", "geom_status") if c in fresh.columns]
     rows = kept.unionByName(fresh.drop(*drop), allowMissingColumns=True)
     saved = old.filter("task_key IS NOT NULL").select("task_key", "global_id", "geom_hash", F.col("id").alias("old_id"))
     restored = links.restore_links(cut_lineage(rows), saved)

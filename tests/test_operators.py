@@ -143,3 +143,12 @@ def test_evolving_keeps_old_types(spark):
     grown = merge.evolve(target, new)
     assert dict(grown.dtypes) == {"id": "int", "n": "int", "b": "boolean"}
     assert rows(grown, "id", "n", "b") == [(1, 2, None), (2, None, True)]
+
+
+def test_null_keys_always_insert(spark):
+    target = spark.createDataFrame([(None, "old"), (1, "a")], "k int, v string")
+    changes = spark.createDataFrame([(None, "x", 1), (None, "y", 2), (1, "b", 3)], "k int, v string, ord int")
+    done = merge.upsert(target, changes, ["k"], [c("ord")])
+    assert rows(done, "k", "v", "action") == sorted(
+        [(None, "old", "keep"), (None, "x", "insert"), (None, "y", "insert"), (1, "b", "update")], key=repr
+    )

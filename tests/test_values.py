@@ -136,3 +136,18 @@ def test_purge_keeps_unreadable_and_linked(spark):
     tagged = purge.purge_date(df, "d", F.lit(date(2024, 6, 15)))
     assert {r["id"] for r in tagged.filter("action = 'delete'").collect()} == {1, 5}
     assert purge.purge_date(df, "absent", F.lit(date(2024, 6, 15))).filter("action = 'delete'").count() == 0
+
+
+def test_sql_names_agree(spark):
+    from geosync.functions import sqlnames
+
+    sqlnames.register(spark)
+    values = ["2024-02-01", "01.02.99", "01.02.24", "2024-02-01 x", "Ново - Пере\r\nделкино", " a  b ", None, "", "-", "in 2019 or so"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    pairs = {
+        "parse_text_date": dates.parse_text_date, "extract_year": dates.extract_year, "normalize_attr": text.normalize_attr,
+        "normalize_label": text.normalize_label,
+    }
+    for name, function in pairs.items():
+        rows = df.select(F.expr(f"{name}(v)").alias("a"), function(F.col("v")).alias("b")).collect()
+        assert [r["a"] for r in rows] == [r["b"] for r in rows], name
