@@ -41,10 +41,11 @@ def split_layers(table: DataFrame) -> DataFrame:
     """One row per routed geometry: ``layer``, ``source_id``, ``part_no`` and the attributes.
 
     Simple and multi geometries keep whole, collections give one row per simple part and no
-    ``derived_from_id``. Rows that cannot be routed come back with a NULL ``layer``; frozen parents
-    are left out.
+    ``derived_from_id``. Rows that cannot be routed come back with a NULL ``layer``, those without a
+    geometry with a NULL ``geom_status`` besides; frozen parents are left out.
     """
-    open_rows = table.filter(F.col("geom").isNotNull() & is_not_true(F.col("tasked")))
+    # No filter on the geometry: Spark would push it below the parsing and parse every row twice.
+    open_rows = table.filter(is_not_true(F.col("tasked")))
     fixed = repair.make_valid(open_rows, "geom", "_valid", "geom_status")
     is_collection = F.col("_valid.kind") == "geometrycollection"
     # An empty geometry keeps one row without a layer, to be counted as skipped.
@@ -74,5 +75,5 @@ def split_counts(split: DataFrame) -> DataFrame:
         F.count_if((F.col("layer") == "polygons") & F.col("derived_from_id").isNotNull()).alias("derived"),
         F.count_if(F.col("from_collection") & (F.coalesce(F.col("part_no"), F.lit(0)) == 0)).alias("collection_rows"),
         F.count_if(F.col("from_collection") & routed).alias("collection_parts"),
-        F.count_if(~routed).alias("skipped"),
+        F.count_if(~routed & F.col("geom_status").isNotNull()).alias("skipped"),
     )
