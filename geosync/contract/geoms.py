@@ -151,14 +151,15 @@ def geom_extract(t: Tables):
     return made.select("id", c("geom.kind").alias("kind"), g.x_of(c("geom")).alias("x"), g.y_of(c("geom")).alias("y"))
 
 
-@query("wkb_roundtrip")
+@query("wkb_roundtrip", f"""SELECT CASE WHEN id % 9 < 8 THEN true END AS same, count(*) AS n,
+CAST(max(CASE id % 9 WHEN 0 THEN 25 WHEN 1 THEN 45 WHEN 2 THEN 97 WHEN 3 THEN 55 WHEN 4 THEN 95 WHEN 5 THEN 106 WHEN 6 THEN 168 WHEN 7 THEN 13 END) AS INTEGER) AS longest FROM {sub(WKT)} GROUP BY 1""")
 def wkb_roundtrip(t: Tables):
     step = _shapes(t).withColumn("blob", wkb.to_ewkb(c("geom")))
     back = step.withColumn("back", wkb.from_ewkb(c("blob")))
     return back.groupBy((c("back") == c("geom")).alias("same")).agg(F.count("*").alias("n"), F.max(F.length("blob")).alias("longest"))
 
 
-@query("geom_hash")
+@query("geom_hash", f"SELECT count(*) AS hashed, count(DISTINCT wkt) AS different FROM {sub(WKT)} WHERE id % 9 < 8")
 def geom_hash(t: Tables):
     hashed = _shapes(t).select("id", g.geom_hash(c("geom")).alias("h"))
     return hashed.agg(F.count("h").alias("hashed"), F.countDistinct("h").alias("different"))

@@ -171,7 +171,7 @@ def content_hash(t: Tables):
     return t.documents.select("doc_id", F.md5(body).alias("md5"), F.sha2(body, 256).alias("sha256"))
 
 
-@query("nfc_name")
+@query("nfc_name", "SELECT source, lang, nfc_normalize(min(text)) AS name FROM documents GROUP BY 1, 2")
 def nfc_name(t: Tables):
     return t.documents.groupBy("source", "lang").agg(F.min("text").alias("name")).select(
         "source", "lang", text.nfc(c("name")).alias("name")

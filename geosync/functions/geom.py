@@ -188,7 +188,8 @@ def _leaf_parts(kind: Column, coords: Column, member: Column, shells_only: bool)
     single = F.array(F.array(vertex(F.get(flat, F.lit(0)), F.get(flat, F.lit(1)))))
     solids = F.from_json(coords, "array<array<array<array<double>>>>")
     return (
-        F.when((kind == "point") & (F.size(flat) >= 2), F.array(made("point", single)))
+        F.when((kind == "point") & (F.size(flat) == 0), F.array())
+        .when((kind == "point") & (F.size(flat) >= 2), F.array(made("point", single)))
         .when(kind == "linestring", F.array(made("linestring", F.array(_ring(coords)))))
         .when(kind == "polygon", F.array(made("polygon", holes(_rings(coords)))))
         .when(
@@ -319,7 +320,8 @@ def to_geojson(geom: Column) -> Column:
     def coords(kind: Column, parts: Column) -> Column:
         head = F.get(parts, F.lit(0))
         return (
-            F.when(kind == "point", F.to_json(flat(F.get(first(head), F.lit(0)))))
+            F.when(F.size(parts) == 0, F.lit("[]"))
+            .when(kind == "point", F.to_json(flat(F.get(first(head), F.lit(0)))))
             .when(kind == "linestring", F.to_json(F.transform(first(head), flat)))
             .when(kind == "polygon", F.to_json(rings(head)))
             .when(kind == "multipoint", F.to_json(F.transform(parts, lambda p: flat(F.get(first(p), F.lit(0))))))

@@ -35,7 +35,7 @@ def _pack(doc: dict, srid: int | None) -> bytes:
         members = [{"type": _SIMPLE[name], "coordinates": c} for c in coords]
         return head + struct.pack("<I", len(members)) + b"".join(_pack(m, None) for m in members)
     if name == "Point":
-        return head + struct.pack("<2d", *coords[:2])
+        return head + struct.pack("<2d", *(coords[:2] or (float("nan"), float("nan"))))
 
     def line(positions: list) -> bytes:
         flat = [n for p in positions for n in p[:2]]
@@ -66,7 +66,8 @@ def _unpack(data: bytes, at: int) -> tuple[dict, int]:
 
     if name == "Point":
         flat = struct.unpack_from(f"{order}{width}d", data, at)
-        return {"type": name, "coordinates": list(flat[:2])}, at + 8 * width
+        # An empty point is written as not-a-number.
+        return {"type": name, "coordinates": [n for n in flat[:2] if n == n]}, at + 8 * width
     if name == "LineString":
         coords, at = positions(at)
         return {"type": name, "coordinates": coords}, at

@@ -32,9 +32,11 @@ def _hot_cells(celled: DataFrame, rows: int) -> list[int]:
 
 def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_geom: str = "geom",
                  right_geom: str = "geom", cell: float = 0.05, within: bool = False,
-                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                 broadcast_rows: int = BROADCAST_ROWS, keep_geometry: bool = False) -> DataFrame:
     """Pairs (``left_id``, ``right_id``) whose geometries intersect, each once.
 
+    ``keep_geometry`` adds ``left_geom`` and ``right_geom``, so that they need not be joined back.
+
     With ``within`` the left geometry is a point that must lie strictly inside. Ids must be unique on
     their side. Each side is spread over the cells its box touches; a pair that meets in several cells
     is kept in one of them only, so no distinct is needed. A right side of checked size is broadcast;
@@ -69,7 +71,9 @@ def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         exact = g.point_within(g.start_point(F.col("_lg")), F.col("_rg"))
     else:
         exact = g.area_intersects(F.col("_lg"), F.col("_rg"))
-    return near.filter(exact).select(F.col("_lid").alias(left_id), F.col("_rid").alias(right_id))
+    ids = [F.col("_lid").alias(left_id), F.col("_rid").alias(right_id)]
+    geometries = [F.col("_lg").alias("left_geom"), F.col("_rg").alias("right_geom")] if keep_geometry else []
+    return near.filter(exact).select(*ids, *geometries)
 
 
 def area_keys(geometries: DataFrame, areas: DataFrame, key: str = "task_key", area_key: str = "area_key",
@@ -90,17 +94,15 @@ def points_within(points: DataFrame, polygons: DataFrame, point_id: str, polygon
 def coverage(areas: DataFrame, districts: DataFrame, area_id: str, district_id: str,
              cell: float = 0.05) -> DataFrame:
     """Intersecting pairs with their common area, the area's own size, and whether its centroid is inside."""
-    pairs = spatial_join(areas, districts, area_id, district_id, cell=cell)
-    full = pairs.join(areas.select(area_id, F.col("geom").alias("_ag")), area_id).join(
-        districts.select(district_id, F.col("geom").alias("_dg")), district_id
-    )
-    sized = (
-        full.withColumn("_mid", g.centroid(F.col("_ag")))
-        .withColumn("area_sqm", g.area_sqm(F.col("_ag")))
-        .withColumn("overlap_sqm", g.overlap_sqm(F.col("_ag"), F.col("_dg")))
-        .withColumn("centroid_within", g.point_within(F.col("_mid"), F.col("_dg")))
+    pairs = spatial_join(areas, districts, area_id, district_id, cell=cell, keep_geometry=True)
+    area, district = F.col("left_geom"), F.col("right_geom")
+    return pairs.withColumn("_mid", g.centroid(area)).select(
+        area_id,
+        district_id,
+        g.area_sqm(area).alias("area_sqm"),
+        g.overlap_sqm(area, district).alias("overlap_sqm"),
+        g.point_within(F.col("_mid"), district).alias("centroid_within"),
     )
-    return sized.select(area_id, district_id, "area_sqm", "overlap_sqm", "centroid_within")
 
 
 def best_cover(areas: DataFrame, districts: DataFrame, area_id: str, district_id: str,

@@ -53,7 +53,7 @@ def test_collections_flatten_in_order(spark):
 
 def test_text_and_binary_forms_agree(spark):
     texts = ["POINT (1 2)", "LINESTRING (0 0, 1.5 -1e-7)", "POLYGON ((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 1.5, 1 1))", "MULTIPOINT (1 2, 3 4)",
-             "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5 5, 6 5, 6 6, 5 5)))", "GEOMETRYCOLLECTION (POINT (1 2), MULTILINESTRING ((0 0, 1 1), (2 2, 3 3)))"]
+             "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5 5, 6 5, 6 6, 5 5)))", "GEOMETRYCOLLECTION (POINT (1 2), MULTILINESTRING ((0 0, 1 1), (2 2, 3 3)))", "POINT EMPTY", "POLYGON EMPTY"]
     df = shapes(spark, texts).withColumn("blob", wkb.to_ewkb(F.col("geom"))).withColumn("back", wkb.from_ewkb(F.col("blob")))
     assert all(column(df, F.col("back") == F.col("geom")))
     assert all(column(df, g.from_geojson(g.to_geojson(F.col("geom"))) == F.col("geom")))
