@@ -228,28 +228,28 @@ def job_reactivate(t: Tables):
     return done[1].filter("status <> 'none'")
 
 
-@query("job_photo_worklist", """SELECT o_orderkey AS oid, CASE WHEN o_custkey % 3 = 0 THEN 'bad_path' WHEN o_custkey % 3 = 1 THEN 'missing' ELSE 'photo' END AS outcome FROM orders WHERE (o_orderstatus <> 'F') AND o_orderpriority = '1-URGENT'""")
+@query("job_photo_worklist", """SELECT o_orderkey AS oid, CASE WHEN o_totalprice < 150000 THEN 'bad_path' WHEN o_totalprice < 300000 THEN 'missing' ELSE 'photo' END AS outcome FROM orders WHERE (o_orderstatus <> 'F') AND o_orderpriority = '1-URGENT'""")
 def job_photo_worklist(t: Tables):
     from datetime import date
 
     work = t.orders.select(
         c("o_orderkey").alias("oid"), F.when(c("o_orderstatus") != "P", F.concat("o_orderstatus", "o_orderkey")).alias("ono"),
-        c("o_orderstatus").alias("ogno"), c("o_orderpriority").alias("opernm"), c("o_orderdate").cast("date").alias("edf"), "o_custkey",
+        c("o_orderstatus").alias("ogno"), c("o_orderpriority").alias("opernm"), c("o_orderdate").cast("date").alias("edf"), "o_totalprice",
     )
-    name = F.when(c("o_custkey") % 3 == 0, F.concat(F.lit("/abs/"), c("oid"))).otherwise(
+    name = F.when(c("o_totalprice") < 150000, F.concat(F.lit("/abs/"), c("oid"))).otherwise(
         F.concat(F.lit("dir\\"), c("oid"), F.lit("\\p.jpg"))
     )
     files = work.select("oid", name.alias("fnm"))
-    listing = work.filter(c("o_custkey") % 3 == 2).select(F.concat(F.lit("dir/"), c("oid"), F.lit("/p.jpg")).alias("relpath"))
+    listing = work.filter("o_totalprice >= 300000").select(F.concat(F.lit("dir/"), c("oid"), F.lit("/p.jpg")).alias("relpath"))
     todo = photos.file_worklist(work, files, "F", "1-URGENT", date(1990, 1, 1))
     return photos.match_files(todo, listing).select("oid", "outcome")
 
 
-@query("job_download_worklist", """SELECT action, count(*) AS n FROM (SELECT CASE WHEN p_size % 5 = 0 THEN 'stored' WHEN count(*) OVER (PARTITION BY p_name, p_size) = 1 AND p_size % 2 = 0 THEN 'reuse' ELSE 'fetch' END AS action FROM part) GROUP BY 1""")
+@query("job_download_worklist", """SELECT action, count(*) AS n FROM (SELECT CASE WHEN p_size > 40 THEN 'stored' WHEN count(*) OVER (PARTITION BY p_name, p_size) = 1 AND p_size < 20 THEN 'reuse' ELSE 'fetch' END AS action FROM part) GROUP BY 1""")
 def job_download_worklist(t: Tables):
     name = F.concat_ws(" ", "p_name", "p_size")
     meta = t.part.select(F.concat(F.lit("u"), c("p_partkey")).alias("uuid"), F.concat(name, F.lit(".jpg")).alias("image_name"))
-    stored = t.part.filter("p_size % 5 = 0").select(F.concat(F.lit("u"), c("p_partkey"), F.lit(".png")).alias("name")).unionByName(
-        t.part.filter("p_size % 2 = 0").select(F.concat(name, F.lit(".jpg")).alias("name"))
+    stored = t.part.filter("p_size > 40").select(F.concat(F.lit("u"), c("p_partkey"), F.lit(".png")).alias("name")).unionByName(
+        t.part.filter("p_size < 20").select(F.concat(name, F.lit(".jpg")).alias("name"))
     )
     return photos.download_worklist(meta, stored).groupBy("action").agg(F.count("*").alias("n"))

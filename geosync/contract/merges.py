@@ -191,10 +191,10 @@ def schema_evolve(t: Tables):
     return merge.evolve(target, new)
 
 
-@query("guarded_delete", f"""SELECT key, CASE WHEN o_custkey % 5 <> 0 THEN 'keep' WHEN owner = 'etl' THEN 'blocked' ELSE 'delete' END AS action FROM {ITEMS}""")
+@query("guarded_delete", f"""SELECT key, CASE WHEN NOT is_field_data THEN 'keep' WHEN owner = 'etl' THEN 'blocked' ELSE 'delete' END AS action FROM {ITEMS}""")
 def guarded_delete(t: Tables):
     items = t.bind(b.ITEMS).withColumn("user_created", F.array("owner", "key"))
-    tagged, _ = guards.guarded_delete(items, items.filter(c("o_custkey") % 5 == 0))
+    tagged, _ = guards.guarded_delete(items, items.filter("is_field_data"))
     return tagged.select("key", "action")
 
 
@@ -348,7 +348,7 @@ def missing_keys_list(t: Tables):
     return audit.first_keys(t.bind(b.ITEMS).filter("permit_id IS NULL"), "key")
 
 
-_KNOWN = "SELECT service, business_id FROM {l} WHERE id % 4 = 0".replace("{l}", LAYERS)
+_KNOWN = "SELECT service, business_id FROM {l} WHERE layer <> 'lines' OR service = 'A'".replace("{l}", LAYERS)
 _AUDIT = f"""SELECT l.service, l.layer, count(*) AS total, count(*) FILTER (WHERE has_geom) AS with_geom, count(task_key) AS linked, count(*) FILTER (WHERE has_geom AND task_key IS NULL) AS gap,
 count(task_key) + count(*) FILTER (WHERE has_geom AND task_key IS NULL AND k.business_id IS NOT NULL) AS item_match, count(*) FILTER (WHERE has_geom AND task_key IS NULL AND k.business_id IS NULL) AS would_insert,
 coalesce(round(100e0 * count(task_key) / nullif(count(*) FILTER (WHERE has_geom), 0), 1), 0) AS linked_pct
@@ -357,7 +357,7 @@ FROM {LAYERS} l LEFT JOIN (SELECT DISTINCT service, business_id FROM ({_KNOWN}))
 
 def _audited(t: Tables):
     layers = t.bind(b.LAYER_ROWS)
-    return audit.link_audit(layers, layers.filter("id % 4 = 0"))
+    return audit.link_audit(layers, layers.filter("layer <> 'lines' OR service = 'A'"))
 
 
 @query("link_audit", _AUDIT)
