@@ -36,7 +36,6 @@ def load_reload(features: DataFrame, rule: PurgeRule | None, as_of: Column,
                 order: list[str] = ("ord",)) -> tuple[DataFrame, DataFrame]:
     """New table from ``properties``, ``geom`` and the ``order`` columns, and its row counts by action."""
     typed, _ = typed_features(features)
-    typed = cut_lineage(typed)
     numbered = merge.replace_all(typed, [F.col(c) for c in order]).drop(*order)
     tagged = cut_lineage(apply_rule(numbered.withColumn("loaded_at", as_of.cast("timestamp")), rule, as_of))
     return merge.settle(tagged), merge.count_actions(tagged)

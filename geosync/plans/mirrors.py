@@ -97,7 +97,6 @@ def replace_by_key(features: DataFrame, key: str, order: str = "ord") -> dict[st
     Types are inferred anew. Features without a key are left out and counted.
     """
     typed, types = typed_features(features)
-    typed = cut_lineage(typed)
     if key not in dict(types):
         raise ValueError(f"no feature has {key}")
     present = F.trim(F.col(key).cast("string")) != ""

@@ -9,6 +9,7 @@ from geosync.functions import geom as g
 from geosync.functions.jsonx import flatten_properties, unwrap_envelope
 from geosync.functions.reproject import reproject
 from geosync.operators.schema import infer_types, to_columns, type_list
+from geosync.session import cut_lineage
 
 WEB_MERCATOR = "3857"
 
@@ -55,9 +56,10 @@ def _parse(listed: DataFrame) -> DataFrame:
 def typed_features(features: DataFrame, known: list[tuple[str, str]] | None = None) -> tuple[DataFrame, list]:
     """Properties as typed columns beside the other columns, and the types.
 
-    Types already known stay; names seen first here are added. Reads the features once for the types.
+    Types already known stay; names seen first here are added. The features are parsed once and
+    written; the types and the columns are then read from there.
     """
-    members = features.withColumn("members", flatten_properties(F.col("properties"))).drop("properties")
+    members = cut_lineage(features.withColumn("members", flatten_properties(F.col("properties"))).drop("properties"))
     types = dict(type_list(infer_types(members)))
     types.update(dict(known or []))
     ordered = sorted(types.items())
