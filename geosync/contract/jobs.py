@@ -81,18 +81,18 @@ _INBOX = "SELECT CAST(o_orderkey AS STRING) AS order_no, CASE o_orderkey % 4 WHE
 
 @query("inbox_stream", f"""WITH a AS (SELECT o_orderkey AS k, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d, 'ex' || o_custkey AS e FROM orders WHERE o_orderkey % 4 <> 3 AND o_custkey % 9 <> 0),
 t AS (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_custkey END AS n1, c_custkey + 1 AS n2 FROM customer)
-SELECT c_custkey, coalesce(f.d, s.d) AS ozn_date, coalesce(f.e, s.e) AS executor FROM t LEFT JOIN a f ON f.k = n1 LEFT JOIN a s ON s.k = n2 AND s.k NOT IN (SELECT n1 FROM t WHERE n1 IS NOT NULL)""")
+SELECT c_custkey, coalesce(f.d, s.d) AS assigned_on, coalesce(f.e, s.e) AS executor FROM t LEFT JOIN a f ON f.k = n1 LEFT JOIN a s ON s.k = n2 AND s.k NOT IN (SELECT n1 FROM t WHERE n1 IS NOT NULL)""")
 def inbox_stream(t: Tables):
     root = _scratch(t, "inbox")
     t.bind(_INBOX).write.option("header", "true").csv(f"{root}/files")
     target = t.customer.select(
         "c_custkey", F.when(c("c_custkey") % 2 == 0, c("c_custkey").cast("string")).alias("order_name"),
-        (c("c_custkey") + 1).cast("string").alias("order"), F.lit(None).cast("date").alias("ozn_date"),
+        (c("c_custkey") + 1).cast("string").alias("order"), F.lit(None).cast("date").alias("assigned_on"),
         F.lit(None).cast("string").alias("executor"),
     )
     write_version(target, f"{root}/target")
     inbox.inbox_stream(t.spark, f"{root}/files", f"{root}/target", f"{root}/log", f"{root}/checkpoint", once=True).awaitTermination()
-    return read_current(t.spark, f"{root}/target").select("c_custkey", c("ozn_date").cast("string").alias("ozn_date"), "executor")
+    return read_current(t.spark, f"{root}/target").select("c_custkey", c("assigned_on").cast("string").alias("assigned_on"), "executor")
 
 
 # --- jobs --------------------------------------------------------------------------------------
@@ -180,13 +180,13 @@ def job_label_ingest(t: Tables):
     return done["table"].select("label_text", "source_json", "source_fid")
 
 
-@query("job_replace_by_key", """SELECT CAST(c_nationkey AS BIGINT) AS orbis_id, max(c_custkey) AS last FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY 1 HAVING max(c_custkey) IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')""")
+@query("job_replace_by_key", """SELECT CAST(c_nationkey AS BIGINT) AS boundary_id, max(c_custkey) AS last FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY 1 HAVING max(c_custkey) IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')""")
 def job_replace_by_key(t: Tables):
     state = F.when(c("c_mktsegment") == "BUILDING", F.lit("Истек вчера")).otherwise(F.lit("Действует"))
     key = F.when(c("c_mktsegment") != "MACHINERY", c("c_nationkey"))
-    properties = F.to_json(F.struct(key.alias("orbisId"), state.alias("status"), c("c_custkey").alias("last")))
+    properties = F.to_json(F.struct(key.alias("boundaryId"), state.alias("status"), c("c_custkey").alias("last")))
     loaded = t.customer.select(properties.alias("properties"), g.point(F.lit(1.0), F.lit(1.0)).alias("geom"), c("c_custkey").alias("ord"))
-    return mirrors.replace_by_key(loaded, "orbis_id")["table"].select("orbis_id", "last")
+    return mirrors.replace_by_key(loaded, "boundary_id")["table"].select("boundary_id", "last")
 
 
 @query("job_refresh_area_keys", f"""SELECT p.id AS key, string_agg(CAST(s.key AS VARCHAR), ',' ORDER BY s.key) AS keys, CASE WHEN count(s.key) = 0 THEN 'keep' ELSE 'update' END AS action FROM {sub(b.POINTS)} p LEFT JOIN {SQUARES} s

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geosync.session import cut_lineage
 
 # Rows of one group that a single task may sort.
-GROUP_LIMIT = 2_000_000
+GROUP_LIMIT = 500_000
 
 
 def number_rows(

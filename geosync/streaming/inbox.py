@@ -25,9 +25,9 @@ def parse_assignments(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     read = rows.select(
         "file_name", "ord", strip_to_null(F.col("order_no")).alias("order_no"),
-        multi_format_date(F.col("date")).alias("ozn_date"), strip_to_null(F.col("executor")).alias("executor"),
+        multi_format_date(F.col("date")).alias("assigned_on"), strip_to_null(F.col("executor")).alias("executor"),
     )
-    whole = F.col("order_no").isNotNull() & F.col("ozn_date").isNotNull() & F.col("executor").isNotNull()
+    whole = F.col("order_no").isNotNull() & F.col("assigned_on").isNotNull() & F.col("executor").isNotNull()
     kept = last_wins(read.filter(whole), ["file_name", "order_no"], [F.col("ord")])
     return kept, read.filter(~whole)
 
@@ -38,7 +38,7 @@ def apply_assignments(rows: DataFrame, target: DataFrame) -> tuple[DataFrame, Da
     # Files are taken in name order: of two files naming an order the later one holds.
     final = last_wins(kept, ["order_no"], [F.col("file_name"), F.col("ord")])
     matched = links.fallback_match(final, target, "order_no", "order_name", "order")
-    updated = links.apply_fallback(target, matched, "order_no", "order_name", "order", ["ozn_date", "executor"])
+    updated = links.apply_fallback(target, matched, "order_no", "order_name", "order", ["assigned_on", "executor"])
     per_row = links.fallback_match(kept, target, "order_no", "order_name", "order")
     counted = per_row.groupBy("file_name").agg(
         F.count("*").alias("rows"),

@@ -133,11 +133,11 @@ def test_inbox_applies_files_once(spark, tmp_path):
     folder.mkdir()
     (folder / "a.csv").write_text("order_no,date,executor\nN1,2026-08-12,Old\nN1,12.08.2026,New\n,2026-08-12,X\nN2,bad,Y\nN3,45292,\nO2,45292,Second\nZ,1/2/2026,Lost\n")
     (folder / "~$b.csv").write_text("order_no,date,executor\nN1,2026-08-12,Locked\n")
-    target = spark.createDataFrame([("N1", "O1", None, None), (None, "O2", None, None)], "order_name string, order string, ozn_date date, executor string")
+    target = spark.createDataFrame([("N1", "O1", None, None), (None, "O2", None, None)], "order_name string, order string, assigned_on date, executor string")
     versions.write_version(target, f"{tmp_path}/target")
     for _ in range(2):
         inbox.inbox_stream(spark, str(folder), f"{tmp_path}/target", f"{tmp_path}/log", f"{tmp_path}/cp", once=True).awaitTermination()
-    got = {r["order"]: (r["ozn_date"], r["executor"]) for r in versions.read_current(spark, f"{tmp_path}/target").collect()}
+    got = {r["order"]: (r["assigned_on"], r["executor"]) for r in versions.read_current(spark, f"{tmp_path}/target").collect()}
     assert got == {"O1": (date(2026, 8, 12), "New"), "O2": (date(2024, 1, 1), "Second")}
     log = spark.read.parquet(f"{tmp_path}/log").first()
     assert (log["rows"], log["filled_first"], log["filled_second"], log["missing"], log["skipped_rows"]) == (3, 1, 1, 1, 3)
@@ -178,3 +178,15 @@ def test_uploaded_outcomes_stand(spark):
     new = spark.createDataFrame([("a", "failed", None, 1), ("b", "uploaded", None, 2), ("c", "failed", None, 3)], "source_relpath string, status string, photo_uuid string, ord int")
     done = {r["source_relpath"]: (r["status"], r["photo_uuid"]) for r in photos.record_outcomes(log, new, [c("ord")]).collect()}
     assert done == {"a": ("uploaded", "id1"), "b": ("uploaded", "id2"), "c": ("failed", None)}
+
+
+def test_touched_items_are_refreshed(spark, tmp_path):
+    from geosync.streaming.refresh import refresh_stream
+
+    zones = spark.createDataFrame([("z1", box(0, 0, 1, 1)), ("z2", box(0.5, 0, 2, 1))], "area_key string, wkt string").select("area_key", g.from_wkt(c("wkt")).alias("geom"))
+    places = spark.createDataFrame([("a", 0.7, 0.5), ("b", 0.2, 0.5), ("c", 9.0, 9.0)], "task_key string, x double, y double").select("task_key", g.point(c("x"), c("y")).alias("geom"))
+    spark.createDataFrame([("a",), ("c",), ("a",), (None,)], "task_key string").write.parquet(f"{tmp_path}/changes")
+    changes = spark.readStream.schema("task_key string").parquet(f"{tmp_path}/changes")
+    refresh_stream(changes, places, zones, f"{tmp_path}/out", f"{tmp_path}/cp", cell=0.3).awaitTermination()
+    got = {r["task_key"]: r["area_keys"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {"a": ["z1", "z2"], "c": None}
