@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -30,6 +31,9 @@ PLAIN_BYTES = (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100))
 #: Fixed by the vocabulary file: how words are split, and the suffix of a word's last symbol.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 WORD_END = "</w>"
+#: The same split for texts of these characters only, which a simpler pattern can do.
+LATIN_ONLY = r"[^\x00-\x7fß-öø-ÿœ]"
+LATIN_PATTERN = r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿœ]+|[0-9]|[^ \t-\ra-z0-9ß-öø-ÿœ]+"
 #: Stands for the suffix inside the encoder; not in the byte-level alphabet.
 END = "Ȁ"
 #: Words and pairs kept per worker; a full table is emptied and filled anew.
@@ -113,10 +117,14 @@ class Vocabulary:
             known = self.pairs[key] = self.merged(a + b) == ["".join(a), "".join(b)]
         return known
 
+    def spelled(self, word: str) -> str:
+        """A word in the byte-level alphabet."""
+        chars = self.chars
+        return "".join([chars[b] for b in word.encode()])
+
     def encode_word(self, word: str) -> list[int]:
         """The ids of one word."""
-        chars = self.chars
-        text = "".join([chars[b] for b in word.encode("utf-8", "surrogatepass")]) + END
+        text = self.spelled(word) + END
         size = len(text)
         starting: list[list[tuple[int, int]]] = [[] for _ in range(size)]
         for last, (token, length) in self.automaton.iter(text):
@@ -156,17 +164,23 @@ class Vocabulary:
 
 
 class Encoder(dict):
-    """Ids of whole texts as little-endian 32-bit integers; a dictionary of the words met so far."""
+    """Ids of whole texts as little-endian 32-bit integers; a dictionary of the words met so far.
 
-    def __init__(self, vocabulary: Vocabulary):
+    ``word_ids`` gives the ids of a word not met yet.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, word_ids: Callable[[str], list[int]]):
         super().__init__()
         self.vocabulary = vocabulary
+        self.word_ids = word_ids
         self.words = regex.compile(WORD_PATTERN).findall
+        self.latin_words = re.compile(LATIN_PATTERN).findall
+        self.beyond_latin = re.compile(LATIN_ONLY).search
         special = sorted(vocabulary.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.vocabulary.encode_word(word), "<u4").tobytes()
+        ids = np.array(self.word_ids(word), "<u4").tobytes()
         if len(self) >= KEPT_WORDS:
             self.clear()
         self[word] = ids
@@ -175,7 +189,9 @@ class Encoder(dict):
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # a capital sigma doesn't look at its neighbours
-        return b"".join(map(self.__getitem__, self.words(text.lower())))
+        text = text.lower()
+        words = self.words(text) if self.beyond_latin(text) else self.latin_words(text)
+        return b"".join(map(self.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
         if self.marks is None or "<|" not in text:
@@ -186,8 +202,25 @@ class Encoder(dict):
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file."""
-    return per_worker(("bpe", path), lambda: Encoder(Vocabulary(path)))
+    """The worker's backtracking encoder for a vocabulary file."""
+
+    def make() -> Encoder:
+        vocabulary = Vocabulary(path)
+        return Encoder(vocabulary, vocabulary.encode_word)
+
+    return per_worker(("bpe", path), make)
+
+
+def library_encoder(path: str) -> Encoder:
+    """The worker's encoder whose words are encoded by the tokenizers library."""
+
+    def make() -> Encoder:
+        from tokenizers import Tokenizer
+
+        vocabulary, model = Vocabulary(path), Tokenizer.from_file(path).model
+        return Encoder(vocabulary, lambda word: [x.id for x in model.tokenize(vocabulary.spelled(word))])
+
+    return per_worker(("library", path), make)
 
 
 def default_path(name: str = "word_bpe_49k.json") -> str:

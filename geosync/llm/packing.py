@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from geosync.llm.bpe import default_path, encoder
+from geosync.llm.bpe import default_path, library_encoder
 from geosync.llm.staging import documents
 
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -164,7 +164,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, rules: Rules = Rules(), id
     marks = (".</w>", "!</w>", "?</w>")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = library_encoder(path)
         names = (bytes(x) for x in np.split(own.vocabulary.blob, own.vocabulary.places[1:]))
         ends = np.array([i for i, name in enumerate(names) if name.decode().rstrip() in marks], "<u4")
         closing = np.array([end_id], "<u4").tobytes()
