@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geosync.llm import bpe, fertility, language, licenses, neighbours, packing, quality, sharding
+from geosync.llm import bpe, fertility, jaccard, language, licenses, neighbours, packing, quality, sharding
 
 _QUERIES = (
     neighbours.op1_inverted_multi_index,
@@ -17,6 +17,7 @@ _QUERIES = (
     licenses.op7_license_similarity_join,
     fertility.op8_tokeniser_fertility,
     packing.op9_order_preserving_packing,
+    jaccard.op10_multi_order_jaccard,
 )
 
 
