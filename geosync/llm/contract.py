@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geosync.llm import bpe, fertility, jaccard, language, licenses, neighbours, packing, quality, sharding
+from geosync.llm import bpe, fertility, jaccard, language, licenses, neighbours, packing, quality, repeats, sharding
 
 _QUERIES = (
     neighbours.op1_inverted_multi_index,
@@ -14,6 +14,7 @@ _QUERIES = (
     bpe.op3_bpe_round_trip,
     quality.op4_co_training_quality,
     language.op5_rank_order_language,
+    repeats.op6_bwt_interval_dedup,
     licenses.op7_license_similarity_join,
     fertility.op8_tokeniser_fertility,
     packing.op9_order_preserving_packing,
