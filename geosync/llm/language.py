@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geosync.llm.staging import documents, per_worker
+from geosync.llm.staging import carried, documents, per_worker
 from geosync.llm.textbytes import Slice, text_slices
 
 #: Length of a language's profile and most n-grams taken of a document.
@@ -170,9 +170,10 @@ def learn(rows: DataFrame, label: str, text: str, chosen_by: str, length: int =
     return Profiles([tuple(r) for r in ranked.where(F.col("rank") < length).select("name", "gram", "rank").collect()], length)
 
 
-def predict(docs: DataFrame, profiles: Profiles, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def predict(docs: DataFrame, profiles: Profiles, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Per document the nearest language and a score: one less the distance as a share of the largest possible one.
 
+    ``keep`` are columns carried along.
     A null text, one without a letter, and any text where nothing was learned, give ``und`` and 0. Of equally near
     languages the first by name wins. Repeated rows each give a row; other columns are not read. No shuffle.
     """
@@ -196,18 +197,19 @@ def predict(docs: DataFrame, profiles: Profiles, id_column: str = "doc_id", text
             picks = np.concatenate(picks) if picks else np.zeros(0, np.int64)
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names[picks], pa.string()), pa.array(np.clip(scores, 0, 1), pa.float64())],
-                names=["doc_id", "lang_pred", "score"],
+                [batch.column(0), pa.array(names[picks], pa.string()), pa.array(np.clip(scores, 0, 1), pa.float64()), *batch.columns[2:]],
+                names=["doc_id", "lang_pred", "score", *keep],
             )
 
-    return docs.select(docs[id_column].cast("long"), docs[text_column].cast("string")).mapInArrow(run, RESULT)
+    schema = RESULT + "".join(f", {name} {kind}" for name, kind in docs.select(*keep).dtypes) if keep else RESULT
+    return carried(docs, id_column, text_column, keep).mapInArrow(run, schema)
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Predictions for all ``docs`` by profiles learned from those that are not held out."""
     profiles = learn(docs.where(~is_held_out(docs["doc_id"])), "lang", "text", "doc_id")
-    found = predict(docs, profiles)
-    return found.select("doc_id", is_held_out(found["doc_id"]).alias("held_out"), "lang_pred", "score")
+    found = predict(docs, profiles, keep=keep)
+    return found.select("doc_id", is_held_out(found["doc_id"]).alias("held_out"), "lang_pred", "score", *keep)
 
 
 def op5_rank_order_language(spark: SparkSession, folder: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from geosync.llm.bwt import MOST, repeated, spans
 from geosync.llm.jaccard import thinned
-from geosync.llm.staging import documents, stage
+from geosync.llm.staging import carried, documents, stage
 from geosync.llm.textbytes import Hashes, Slice, mix, text_slices
 
 #: Starts of one long text that are handled at once.
@@ -220,9 +220,7 @@ def strip(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     other's copies, so all of a long one goes. ``keep`` are columns carried along; others are not read. Equality of
     strings outside blocks, and of rows, goes by 64-bit hashes under a key.
     """
-    rows = docs.select(
-        docs[id_column].cast("long").alias("_id"), F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("_text"), *(docs[c].alias(f"_keep_{c}") for c in keep)
-    ).withColumn("_key", F.xxhash64("_id", "_text"))
+    rows = carried(docs, id_column, text_column, keep).withColumn("_text", F.coalesce("_text", F.lit(""))).withColumn("_key", F.xxhash64("_id", "_text"))
     # each row is counted, also where id and text come again
     starts = repeated_starts(rows, rules).groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("_runs"))
     joined = rows.join(starts, rows["_key"] == starts["key"], "left").select("_id", "_text", "_runs", *(f"_keep_{c}" for c in keep))

@@ -42,3 +42,10 @@ def per_worker(key: object, make: Callable[[], object]) -> object:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def carried(docs: DataFrame, id_column: str, text_column: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Id and text, and the columns to carry along, under names that can't clash."""
+    return docs.select(
+        docs[id_column].cast("long").alias("_id"), docs[text_column].cast("string").alias("_text"), *(docs[c].alias(f"_keep_{c}") for c in keep)
+    )
