@@ -7,6 +7,7 @@
    keys are compared each for itself, over the whole cluster. A passage that a third of all documents hold is spread
    over its cells, and what surrounds it makes other keys.
 3. Under a key, copies of the same bytes are one segment, and all their starts repeat. Keys with one segment are done.
+   Copies that one task meets travel as one row.
 4. *Blocks.* The different segments of a key are compared by interval expansion on the Burrows-Wheeler transform
    (``bwt.repeated``), which stops at ``least``. A block holds whole keys, up to a bounded number of bytes.
 5. A key with more segments than a block may hold is not given to one task: each of its windows becomes a row, and
@@ -17,6 +18,7 @@ Starts found come back to their documents, where the bytes they cover are cut ou
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -42,8 +44,8 @@ class Rules:
     least: int = 400
     gram: int = 64
     cell: int = 96
-    block: int = 1 << 20
-    segments: int = 1_500
+    block: int = 1 << 19
+    segments: int = 500
 
     def most_segments(self) -> int:
         return max(1, min(self.segments, (MOST - self.block) // (self.least + self.cell) - 1))
@@ -100,22 +102,29 @@ def pieces(part: Slice, rules: Rules) -> Iterator[tuple[Slice, int]]:
 
 
 def cells(docs: DataFrame, rules: Rules) -> DataFrame:
-    """All cells of the texts of ``docs`` (_key, _text)."""
+    """All cells of the texts of ``docs`` (_key, _text). ``more`` has the other places of a segment met more than once."""
+    place = pa.list_(pa.struct([("key", pa.int64()), ("start", pa.int64())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            keys = np.asarray(batch.column(0))
             for part in text_slices(batch.column(1)):
                 for piece, shift in pieces(part, rules):
-                    key, segment, owner, start, count = cells_of(piece, rules)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(key.view(np.int64)), pa.array(segment.view(np.int64)), batch.column(0).take(pa.array(owner + part.lo)),
-                            pa.array(start + shift), pa.array(count.astype(np.int32)),
-                        ],
-                        names=["cell", "segment", "key", "start", "n"],
-                    )
-
-    return docs.select("_key", "_text").mapInArrow(run, "cell long, segment long, key long, start long, n int")
+                    cell, segment, owner, start, count = cells_of(piece, rules)
+                    order = np.argsort(mix(segment ^ mix(cell)), kind="stable")
+                    cell, segment, owner, start, count = (x[order] for x in (cell, segment, owner, start + shift, count))
+                    new = np.ones(len(cell), bool)
+                    new[1:] = (cell[1:] != cell[:-1]) | (segment[1:] != segment[:-1])
+                    first = np.flatnonzero(new)
+                    key = keys[owner + part.lo]
+                    others = np.concatenate([[0], np.cumsum(np.diff(np.append(first, len(cell))) - 1)]).astype(np.int32)
+                    values = pa.StructArray.from_arrays([pa.array(key[~new]), pa.array(start[~new])], fields=list(place.value_type))
+                    more = pa.ListArray.from_arrays(pa.array(others), values, mask=pa.array(np.diff(others) == 0)).cast(place)
+                    columns = [cell[first].view(np.int64), segment[first].view(np.int64), key[first], start[first], count[first].astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), more], names=["cell", "segment", "key", "start", "n", "more"])
+
+    shape = "cell long, segment long, key long, start long, n int, more array<struct<key:long,start:long>>"
+    return docs.select("_key", "_text").mapInArrow(run, shape)
 
 
 def compared(segments: DataFrame, rules: Rules) -> DataFrame:
@@ -159,7 +168,8 @@ def compared(segments: DataFrame, rules: Rules) -> DataFrame:
         if held:
             yield search(held)
 
-    dealt = segments.repartition("cell").sortWithinPartitions("cell")
+    size = segments.agg(F.sum(F.length("bytes") + 1)).first()[0] or 0
+    dealt = segments.repartition(max(1, math.ceil(size / (2 * rules.block))), "cell").sortWithinPartitions("cell")
     return dealt.select("cell", "key", "start", "n", "bytes").mapInArrow(run, "key long, start long, n int")
 
 
@@ -173,8 +183,10 @@ def repeated_starts(docs: DataFrame, rules: Rules) -> DataFrame:
     )
     after = F.coalesce(F.col("next") == F.col("segment"), F.lit(False)).alias("after")
     head = F.when(F.expr("rank = 2 AND NOT before"), F.col("head")).alias("head")  # the first segment, once there is a second
-    several = stage(rows.where("row > 1 OR next IS NOT NULL").select("cell", "key", "start", "n", "before", after, "rank", head), "cells")
-    copies = several.where("before OR after").select("key", "start", "n")
+    several = rows.where("row > 1 OR next IS NOT NULL OR more IS NOT NULL")
+    several = stage(several.select("cell", "key", "start", "n", "more", "before", after, "rank", head), "cells")
+    copies = several.where("before OR after OR more IS NOT NULL").select("key", "start", "n")
+    copies = copies.unionAll(several.where("more IS NOT NULL").select("n", F.explode("more").alias("m")).select("m.key", "m.start", "n"))
 
     different = several.where("rank > 1 AND NOT before").select("cell", "key", "start", "n")
     different = different.unionAll(several.where("head IS NOT NULL").select("cell", "head.key", "head.start", "head.n"))
