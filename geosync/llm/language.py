@@ -26,6 +26,8 @@ from geosync.llm.textbytes import Slice, text_slices
 PROFILE = 400
 #: A profile is learned from about so many documents of a language at most, chosen by a hash of the id.
 LEARN_DOCUMENTS = 5_000
+#: Languages learned at most, those with the most documents first; so what is broadcast has a bound.
+LANGUAGES = 500
 #: Rows of a result below this score look like none of the learned languages.
 LEAST_SCORE = 0.25
 #: Stands for the blank beside a word in an n-gram; 0 is for n-grams of fewer letters.
@@ -145,9 +147,9 @@ def learn(rows: DataFrame, label: str, text: str, chosen_by: str, length: int =
     known = rows.where(rows[label].isNotNull() & rows[text].isNotNull()).select(
         rows[label].cast("string").alias("name"), rows[text].cast("string").alias("text"), F.xxhash64(rows[chosen_by].cast("string")).alias("draw")
     )
-    sizes = known.groupBy("name").agg(F.count("*").alias("n"))
+    sizes = known.groupBy("name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name").limit(LANGUAGES)
     drawn = F.shiftrightunsigned("draw", 33) < F.lit(float(1 << 31)) * most_documents / F.col("n")
-    sample = known.join(sizes, "name").where(drawn).select("name", "text")
+    sample = known.join(F.broadcast(sizes), "name").where(drawn).select("name", "text")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
