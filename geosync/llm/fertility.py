@@ -50,8 +50,9 @@ class Bands:
     scatter: float = 16.0
     least: tuple[float, float, float] = (0.04, 0.006, 0.02)
     fewest_words: int = 20
-    #: Fewer documents than this give no band.
+    #: Fewer documents than this give no band; at most so many bands are made, of the largest groups.
     fewest_documents: int = 30
+    most_bands: int = 1_000
 
 
 def base_counts(part: Slice) -> dict[str, np.ndarray]:
@@ -164,21 +165,21 @@ def judge(measured: DataFrame, group: str, bands: Bands = Bands()) -> DataFrame:
     """``measured`` with ``base_failed`` and ``kept``: the base rules, then the bands of the rows' group.
 
     Bands come from the quartiles of all rows that pass the base rules; a group of few rows has none and keeps its rows.
-    Only quartiles are shuffled and joined, one row for each group.
+    Only the quartiles are shuffled, and ``most_bands`` of them broadcast at most.
     """
     failed = (F.col("n_words") < bands.fewest_words) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     rows = measured.withColumn("base_failed", failed).withColumn("band", F.coalesce(F.col(group), F.concat(F.lit("script:"), F.col("script"))))
     quartiles = rows.where("NOT base_failed").groupBy("band").agg(
         F.count("*").alias("band_rows"), *(F.percentile_approx(m, [0.25, 0.75], 2000).alias(f"{m}_q") for m in MEASURES)
     )
-    judged = rows.join(quartiles, "band", "left")
+    quartiles = quartiles.where(F.col("band_rows") >= bands.fewest_documents).orderBy(F.desc("band_rows"), "band").limit(bands.most_bands)
+    judged = rows.join(F.broadcast(quartiles), "band", "left")
     good = F.lit(True)
     for m, least in zip(MEASURES, bands.least):
         low, high = F.col(f"{m}_q")[0], F.col(f"{m}_q")[1]
         width = F.greatest(high - low, F.lit(least)) * bands.reach * (1 + bands.scatter / F.sqrt(F.greatest("n_tokens", F.lit(1))))
         good &= F.col(m) <= high + width if m == "byte_share" else F.col(m) >= low - width
-    banded = F.coalesce(F.col("band_rows") >= bands.fewest_documents, F.lit(False))
-    kept = ~F.col("base_failed") & (~banded | F.coalesce(good, F.lit(True)))
+    kept = ~F.col("base_failed") & F.coalesce(good, F.lit(True))
     return judged.withColumn("kept", kept).drop("band", "band_rows", *(f"{m}_q" for m in MEASURES))
 
 
