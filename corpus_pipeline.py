@@ -33,9 +33,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts bytes of long strings that come more than once; characters cut in half go, and ``n_chars`` follows."""
-    found = repeats.strip(docs.withColumn("whole", F.col("text")), keep=("whole", *COLUMNS[2:]))
+    found = repeats.strip(docs, keep=COLUMNS[1:])
     cut = F.col("n_removed") > 0
-    rest = F.when(cut, F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))).otherwise(F.col("whole"))
+    rest = F.when(cut, F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))).otherwise(F.col("text"))
     return found.withColumn("text", rest).select(
         "doc_id", "text", "lang", "source", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
     )

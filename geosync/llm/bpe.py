@@ -37,8 +37,8 @@ LATIN_PATTERN = r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿœ]+|[0-9]|[^ \t-\ra-z0-9
 #: Stands for the suffix inside the encoder; not in the byte-level alphabet.
 END = "Ȁ"
 #: Words and pairs kept per worker; a full table is emptied and filled anew.
-KEPT_WORDS = 400_000
-KEPT_PAIRS = 1_000_000
+KEPT_WORDS = 300_000
+KEPT_PAIRS = 500_000
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 

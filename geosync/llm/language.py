@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geosync.llm.staging import carried, documents, per_worker
+from geosync.llm.staging import carried, carried_arrays, documents, per_worker
 from geosync.llm.textbytes import Slice, text_slices
 
 #: Length of a language's profile and most n-grams taken of a document.
@@ -199,7 +199,7 @@ def predict(docs: DataFrame, profiles: Profiles, id_column: str = "doc_id", text
             picks = np.concatenate(picks) if picks else np.zeros(0, np.int64)
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names[picks], pa.string()), pa.array(np.clip(scores, 0, 1), pa.float64()), *batch.columns[2:]],
+                [batch.column(0), pa.array(names[picks], pa.string()), pa.array(np.clip(scores, 0, 1), pa.float64()), *carried_arrays(keep, text_column, batch.column(1), batch.columns[2:])],
                 names=["doc_id", "lang_pred", "score", *keep],
             )
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from geosync.llm.bwt import MOST, repeated, spans
 from geosync.llm.jaccard import thinned
-from geosync.llm.staging import carried, documents, stage
+from geosync.llm.staging import carried, carried_arrays, documents, stage
 from geosync.llm.textbytes import Hashes, Slice, mix, text_slices
 
 #: Starts of one long text that are handled at once.
@@ -229,13 +229,15 @@ def strip(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     A byte goes if it lies in a string of ``rules.least`` bytes that starts anywhere else too, in the same text or
     another; strings are judged on the input. A null text is empty, and shorter texts stay whole. Repeated rows are each
-    other's copies, so all of a long one goes. ``keep`` are columns carried along; others are not read. Equality of
+    other's copies, so all of a long one goes. ``keep`` are columns carried along
+    (the text with null as empty); others are not read. Equality of
     strings outside blocks, and of rows, goes by 64-bit hashes under a key.
     """
     rows = carried(docs, id_column, text_column, keep).withColumn("_text", F.coalesce("_text", F.lit(""))).withColumn("_key", F.xxhash64("_id", "_text"))
     # each row is counted, also where id and text come again
     starts = repeated_starts(rows, rules).groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("_runs"))
-    joined = rows.join(starts, rows["_key"] == starts["key"], "left").select("_id", "_text", "_runs", *(f"_keep_{c}" for c in keep))
+    others = (f"_keep_{c}" for c in keep if c != text_column)
+    joined = rows.join(starts, rows["_key"] == starts["key"], "left").select("_id", "_text", "_runs", *others)
     names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
@@ -261,7 +263,8 @@ def strip(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 cuts.append(lists)
                 rest.append(data_kept)
             own = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(cuts, spans_type), pa.array(rest, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*own, *batch.columns[3:]], names=[*names, *keep])
+            others = carried_arrays(keep, text_column, batch.column(1), batch.columns[3:])
+            yield pa.RecordBatch.from_arrays([*own, *others], names=[*names, *keep])
 
     shape = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, kept binary"
     shape += "".join(f", {c} {t}" for c, t in docs.select(*keep).dtypes) if keep else ""

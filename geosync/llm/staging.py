@@ -7,6 +7,7 @@ import types
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from geosync.session import shared_folder
@@ -45,7 +46,15 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def carried(docs: DataFrame, id_column: str, text_column: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Id and text, and the columns to carry along, under names that can't clash."""
+    """Id and text, and the columns to carry along, under names that can't clash; the text is there once."""
     return docs.select(
-        docs[id_column].cast("long").alias("_id"), docs[text_column].cast("string").alias("_text"), *(docs[c].alias(f"_keep_{c}") for c in keep)
+        docs[id_column].cast("long").alias("_id"),
+        docs[text_column].cast("string").alias("_text"),
+        *(docs[c].alias(f"_keep_{c}") for c in keep if c != text_column),
     )
+
+
+def carried_arrays(keep: tuple[str, ...], text_column: str, text: pa.Array, others: list[pa.Array]) -> list[pa.Array]:
+    """The arrays of ``keep`` in a batch of what ``carried`` gave: the text, and the others in their order."""
+    rest = iter(others)
+    return [text if c == text_column else next(rest) for c in keep]
