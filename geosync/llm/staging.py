@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from geosync.session import shared_folder
 
+#: Rows of an Arrow batch that holds texts.
+TEXT_ROWS = 1_000
+
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a new folder of the shared folder and read back.
@@ -42,6 +45,10 @@ def per_worker(key: object, make: Callable[[], object]) -> object:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents; and Arrow batches of few rows from now on, as a batch of the usual 10,000 may hold long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
