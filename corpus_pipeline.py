@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geosync.llm import fertility, jaccard, language, packing, repeats
+from geosync.llm.bitmaps import without
 from geosync.llm.bpe import default_path
 from geosync.llm.staging import discard, documents, stage
 
@@ -22,8 +23,10 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail the quality rules."""
-    measured = fertility.measure(docs, default_path(fertility.VOCABULARY), keep=COLUMNS[1:])
-    return fertility.judge(stage(measured, "measured"), "lang").where("kept").select(*COLUMNS)
+    rows = docs.select(*COLUMNS).withColumn("_key", F.xxhash64("doc_id", "text"))
+    measured = stage(fertility.measure(rows, default_path(fertility.VOCABULARY), keep=("lang", "_key")), "measured")
+    rejected = fertility.judge(measured, "lang").where("NOT kept").select("_key").distinct()
+    return without(rows, "_key", rejected).select(*COLUMNS)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from geosync.llm.staging import documents, per_worker
+from geosync.llm.staging import documents, per_worker, tidy
 
 #: Fixed by the byte-level alphabet: the bytes that stand for themselves; all others follow from U+0100 on.
 PLAIN_BYTES = (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100))
@@ -38,6 +38,7 @@ LATIN_PATTERN = r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿœ]+|[0-9]|[^ \t-\ra-z0-9
 END = "Ȁ"
 #: Words and pairs kept per worker; a full table is emptied and filled anew.
 KEPT_WORDS = 300_000
+KEPT_LIBRARY_WORDS = 100_000
 KEPT_PAIRS = 500_000
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -52,20 +53,16 @@ def byte_alphabet() -> list[str]:
 
 
 class Vocabulary:
-    """The tokens and merges of a vocabulary file, with the tables that encoding and decoding need."""
+    """The tokens and merges of a vocabulary file, with the tables that encoding and decoding need.
 
-    def __init__(self, path: str):
+    Without ``own_encoding`` those for ``encode_word`` are left out.
+    """
+
+    def __init__(self, path: str, own_encoding: bool = True):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab = spec["model"]["vocab"]
         self.chars = byte_alphabet()
-        own = {c: c for c in self.chars} | {c + WORD_END: c + END for c in self.chars}
-        self.merges: dict[tuple[str, str], int] = {}
-        for rank, pair in enumerate(spec["model"]["merges"]):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            own[a + b] = own[a] + own[b]
-            self.merges.setdefault((own[a], own[b]), rank)
-        self.ids = {mine: vocab[name] for name, mine in own.items() if name in vocab}
         self.special = {x["content"]: x["id"] for x in spec.get("added_tokens") or []}
         names = [""] * (1 + max([*vocab.values(), *self.special.values()]))
         for name, i in [*vocab.items(), *self.special.items()]:
@@ -74,6 +71,15 @@ class Vocabulary:
         self.blob = np.frombuffer(b"".join(parts), np.uint8)
         self.sizes = np.array([len(x) for x in parts], np.int64)
         self.places = np.cumsum(self.sizes) - self.sizes
+        if not own_encoding:
+            return
+        own = {c: c for c in self.chars} | {c + WORD_END: c + END for c in self.chars}
+        self.merges: dict[tuple[str, str], int] = {}
+        for rank, pair in enumerate(spec["model"]["merges"]):
+            a, b = pair if isinstance(pair, list) else pair.split(" ")
+            own[a + b] = own[a] + own[b]
+            self.merges.setdefault((own[a], own[b]), rank)
+        self.ids = {mine: vocab[name] for name, mine in own.items() if name in vocab}
         self.automaton = ahocorasick.Automaton()
         for token, i in self.ids.items():
             self.automaton.add_word(token, (i, len(token)))
@@ -169,8 +175,9 @@ class Encoder(dict):
     ``word_ids`` gives the ids of a word not met yet.
     """
 
-    def __init__(self, vocabulary: Vocabulary, word_ids: Callable[[str], list[int]]):
+    def __init__(self, vocabulary: Vocabulary, word_ids: Callable[[str], list[int]], kept: int = KEPT_WORDS):
         super().__init__()
+        self.kept = kept
         self.vocabulary = vocabulary
         self.word_ids = word_ids
         self.words = regex.compile(WORD_PATTERN).findall
@@ -181,7 +188,7 @@ class Encoder(dict):
 
     def __missing__(self, word: str) -> bytes:
         ids = np.array(self.word_ids(word), "<u4").tobytes()
-        if len(self) >= KEPT_WORDS:
+        if len(self) >= self.kept:
             self.clear()
         self[word] = ids
         return ids
@@ -217,8 +224,8 @@ def library_encoder(path: str) -> Encoder:
     def make() -> Encoder:
         from tokenizers import Tokenizer
 
-        vocabulary, model = Vocabulary(path), Tokenizer.from_file(path).model
-        return Encoder(vocabulary, lambda word: [x.id for x in model.tokenize(vocabulary.spelled(word))])
+        vocabulary, model = Vocabulary(path, own_encoding=False), Tokenizer.from_file(path).model
+        return Encoder(vocabulary, lambda word: [x.id for x in model.tokenize(vocabulary.spelled(word))], KEPT_LIBRARY_WORDS)
 
     return per_worker(("library", path), make)
 
@@ -251,7 +258,7 @@ def round_trip(docs: DataFrame, path: str, id_column: str = "doc_id", text_colum
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.select(docs[id_column].cast("long"), docs[text_column].cast("string")).mapInArrow(run, RESULT)
+    return docs.select(docs[id_column].cast("long"), docs[text_column].cast("string")).mapInArrow(tidy(run), RESULT)
 
 
 def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -263,7 +270,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
             ids = [np.frombuffer(own.encode(x.as_py() or ""), "<u4").astype(np.int32) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return docs.select(docs[id_column].cast("long"), docs[text_column].cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select(docs[id_column].cast("long"), docs[text_column].cast("string")).mapInArrow(tidy(run), "doc_id long, ids array<int>")
 
 
 def decode(rows: DataFrame, path: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
@@ -275,7 +282,7 @@ def decode(rows: DataFrame, path: str, id_column: str = "doc_id", ids_column: st
             texts = [vocabulary.decode(np.array(x.as_py() or [], np.int64)).decode() for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return rows.select(rows[id_column].cast("long"), rows[ids_column].cast("array<int>")).mapInArrow(run, "doc_id long, text string")
+    return rows.select(rows[id_column].cast("long"), rows[ids_column].cast("array<int>")).mapInArrow(tidy(run), "doc_id long, text string")
 
 
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:

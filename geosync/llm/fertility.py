@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geosync.llm.bpe import default_path
-from geosync.llm.staging import carried, carried_arrays, documents, per_worker, stage
+from geosync.llm.staging import carried, carried_arrays, documents, per_worker, stage, tidy
 from geosync.llm.textbytes import SPACE, Hashes, Slice, mix, shingle_hashes, text_slices
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -158,7 +158,7 @@ def measure(docs: DataFrame, path: str, id_column: str = "doc_id", text_column:
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, *carried_arrays(keep, text_column, batch.column(1), batch.columns[2:])], names=[*names, *keep])
 
     schema = RESULT + "".join(f", {name} {kind}" for name, kind in docs.select(*keep).dtypes) if keep else RESULT
-    return carried(docs, id_column, text_column, keep).mapInArrow(run, schema)
+    return carried(docs, id_column, text_column, keep).mapInArrow(tidy(run), schema)
 
 
 def judge(measured: DataFrame, group: str, bands: Bands = Bands()) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geosync.llm.staging import carried, carried_arrays, documents, per_worker
+from geosync.llm.staging import carried, carried_arrays, documents, per_worker, tidy
 from geosync.llm.textbytes import Slice, text_slices
 
 #: Length of a language's profile and most n-grams taken of a document.
@@ -167,7 +167,7 @@ def learn(rows: DataFrame, label: str, text: str, chosen_by: str, length: int =
                         names=["name", "gram", "n"],
                     )
 
-    counted = sample.mapInArrow(count, "name string, gram long, n long").groupBy("name", "gram").agg(F.sum("n").alias("n"))
+    counted = sample.mapInArrow(tidy(count), "name string, gram long, n long").groupBy("name", "gram").agg(F.sum("n").alias("n"))
     ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("name").orderBy(F.desc("n"), "gram")) - 1)
     return Profiles([tuple(r) for r in ranked.where(F.col("rank") < length).select("name", "gram", "rank").collect()], length)
 
@@ -179,10 +179,8 @@ def predict(docs: DataFrame, profiles: Profiles, id_column: str = "doc_id", text
     A null text, one without a letter, and any text where nothing was learned, give ``und`` and 0. Of equally near
     languages the first by name wins. Repeated rows each give a row; other columns are not read. No shuffle.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = profiles
         names = np.array([*own.names, "und"], object)
         for batch in batches:
             picks, scores = [], []
@@ -204,7 +202,7 @@ def predict(docs: DataFrame, profiles: Profiles, id_column: str = "doc_id", text
             )
 
     schema = RESULT + "".join(f", {name} {kind}" for name, kind in docs.select(*keep).dtypes) if keep else RESULT
-    return carried(docs, id_column, text_column, keep).mapInArrow(run, schema)
+    return carried(docs, id_column, text_column, keep).mapInArrow(tidy(run), schema)
 
 
 def identify(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

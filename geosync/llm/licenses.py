@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from geosync.llm.staging import documents
+from geosync.llm.staging import documents, tidy
 from geosync.llm.textbytes import LOWER, Hashes, Slice, text_slices
 
 #: Characters of words: digits, letters, and all beyond ASCII.
@@ -142,7 +142,7 @@ def template_counts(docs: DataFrame, text_column: str, templates: tuple[tuple[st
                 total += np.bincount(np.searchsorted(table, words[member(words, table)]), minlength=len(table))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(table))), pa.array(total)], names=["k", "n"])
 
-    rows = docs.select(docs[text_column].cast("string")).mapInArrow(count, "k long, n long").groupBy("k").sum("n").collect()
+    rows = docs.select(docs[text_column].cast("string")).mapInArrow(tidy(count), "k long, n long").groupBy("k").sum("n").collect()
     return {int(table[k]): n for k, n in rows}
 
 
@@ -157,11 +157,9 @@ def scan(
     """
     known = Templates(templates, template_counts(docs, text_column, templates), threshold)
     searched = [(hashed(words), label) for words, label in phrases]
-    shared = docs.sparkSession.sparkContext.broadcast((known, searched))
     names = [x.split()[0] for x in RESULT.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, searched = shared.value
         for batch in batches:
             columns: list[list] = [[] for _ in names[1:]]
             for part in text_slices(batch.column(1)):
@@ -196,7 +194,7 @@ def scan(
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=names)
 
-    return docs.select(docs[id_column].cast("long"), docs[text_column].cast("string")).mapInArrow(run, RESULT)
+    return docs.select(docs[id_column].cast("long"), docs[text_column].cast("string")).mapInArrow(tidy(run), RESULT)
 
 
 def op7_license_similarity_join(spark: SparkSession, folder: str) -> DataFrame:

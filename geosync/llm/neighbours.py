@@ -169,23 +169,22 @@ def search(vectors: DataFrame, is_query: str, index: Index = Index()) -> DataFra
     halves = tuple(centroids_of(part, k, index.rounds) for part in np.split(x, [width // 2], axis=1))
     quantiser = Quantiser(halves, width)
     enough = max(index.ranked, math.ceil(n * quantiser.share(x, index.probes, index.nearest, index.recall)))
-    first = spark.sparkContext.broadcast(quantiser)
 
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = first.value.cells(unit(matrix(batch.column(1), width))) if len(batch) else np.zeros(0, np.int64)
+            cells = quantiser.cells(unit(matrix(batch.column(1), width))) if len(batch) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int64())], names=["key", "vector", "ids", "cell"])
 
     assigned = stage(kept.select("key", "vector", "ids").mapInArrow(assign, "key long, vector array<double>, ids array<long>, cell long"), "cells")
     sizes = np.zeros(len(halves[0]) * len(halves[1]), np.int64)
     for cell, count in assigned.groupBy("cell").count().collect():
         sizes[cell] = count
-    shared = spark.sparkContext.broadcast(Quantiser(halves, width, sizes))
+    sized = Quantiser(halves, width, sizes)
     buckets = max(1, math.ceil(n / index.bucket))
     most = index.cell_part
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = sized
         for batch in batches:
             keys, cells = np.asarray(batch.column(0)), np.asarray(batch.column(3))
             part = mix(keys.astype(np.uint64)) % (1 + own.sizes[cells] // most).astype(np.uint64)
@@ -193,7 +192,7 @@ def search(vectors: DataFrame, is_query: str, index: Index = Index()) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(bucket), *batch.columns], names=["bucket", "key", "vector", "ids", "cell"])
 
     def visit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = sized
         for batch in batches:
             if not len(batch):
                 continue

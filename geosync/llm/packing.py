@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from geosync.llm.bpe import default_path, library_encoder
-from geosync.llm.staging import documents
+from geosync.llm.staging import documents, tidy
 
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Rows of a result batch.
@@ -176,7 +176,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, rules: Rules = Rules(), id
         packer.plan(True)
         yield from packer.take()
 
-    return docs.select(docs[id_column].cast("long"), docs[text_column].cast("string")).mapInArrow(run, RESULT)
+    return docs.select(docs[id_column].cast("long"), docs[text_column].cast("string")).mapInArrow(tidy(run), RESULT)
 
 
 def op9_order_preserving_packing(spark: SparkSession, folder: str) -> DataFrame:

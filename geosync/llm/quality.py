@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geosync.llm.fertility import base_counts
-from geosync.llm.staging import documents
+from geosync.llm.staging import documents, tidy
 from geosync.llm.textbytes import Slice, mix, text_slices
 
 #: Buckets of the hashed n-grams and of the hashed metadata.
@@ -215,7 +215,7 @@ def score(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFra
                 )
 
     shape = "doc_id long, label int, place array<short>, weight array<float>, mark array<short>, times array<float>"
-    table = sample.select("doc_id", "label", "text", "source", "lang", "n_chars").mapInArrow(collect, shape).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
+    table = sample.select("doc_id", "label", "text", "source", "lang", "n_chars").mapInArrow(tidy(collect), shape).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
 
     def dense(places: str, values: str, width: int) -> np.ndarray:
         out = np.zeros((len(table), width), np.float32)
@@ -228,10 +228,8 @@ def score(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFra
     if len(table):
         text, meta = dense("place", "weight", (1 << GRAM_BITS) + SHARES), dense("mark", "times", 1 << META_BITS)
         model = co_train(text, meta, np.asarray(table.column("label")), rules)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = model
         for batch in batches:
             parts = [np.zeros((3, 0))]
             for _, text, meta in features(pa.RecordBatch.from_arrays(batch.columns[1:], names=["t", "s", "l", "n"])):
@@ -240,7 +238,7 @@ def score(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFra
             kept = scores[2] >= (rules.least if own else 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(s) for s in scores), pa.array(kept)], names=[x.split()[0] for x in RESULT.split(", ")])
 
-    return wanted.mapInArrow(run, RESULT)
+    return wanted.mapInArrow(tidy(run), RESULT)
 
 
 def op4_co_training_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -28,9 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from geosync.llm.bitmaps import thinned
 from geosync.llm.bwt import MOST, repeated, spans
-from geosync.llm.jaccard import thinned
-from geosync.llm.staging import carried, carried_arrays, documents, stage
+from geosync.llm.staging import carried, carried_arrays, documents, stage, tidy
 from geosync.llm.textbytes import Hashes, Slice, mix, text_slices
 
 #: Starts of one long text that are handled at once.
@@ -124,7 +124,7 @@ def cells(docs: DataFrame, rules: Rules) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([*map(pa.array, columns), more], names=["cell", "segment", "key", "start", "n", "more"])
 
     shape = "cell long, segment long, key long, start long, n int, more array<struct<key:long,start:long>>"
-    return docs.select("_key", "_text").mapInArrow(run, shape)
+    return docs.select("_key", "_text").mapInArrow(tidy(run), shape)
 
 
 def compared(segments: DataFrame, rules: Rules) -> DataFrame:
@@ -170,7 +170,7 @@ def compared(segments: DataFrame, rules: Rules) -> DataFrame:
 
     size = segments.agg(F.sum(F.length("bytes") + 1)).first()[0] or 0
     dealt = segments.repartition(max(1, math.ceil(size / (2 * rules.block))), "cell").sortWithinPartitions("cell")
-    return dealt.select("cell", "key", "start", "n", "bytes").mapInArrow(run, "key long, start long, n int")
+    return dealt.select("cell", "key", "start", "n", "bytes").mapInArrow(tidy(run), "key long, start long, n int")
 
 
 def repeated_starts(docs: DataFrame, rules: Rules) -> DataFrame:
@@ -217,7 +217,7 @@ def repeated_starts(docs: DataFrame, rules: Rules) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["cell", "key", "start", "n", "bytes", "window"])
 
     shape = "cell long, key long, start long, n int, bytes binary, window long"
-    segments = stage(asked.join(texts, "key").select("key", "cuts", "text").mapInArrow(cut, shape), "segments")
+    segments = stage(asked.join(texts, "key").select("key", "cuts", "text").mapInArrow(tidy(cut), shape), "segments")
     found = compared(segments.where("window IS NULL"), rules)
     alike = Window.partitionBy("cell", "window").orderBy("key", "start")
     singles = segments.where("window IS NOT NULL").select("key", "start", "n", F.lag("key").over(alike).isNotNull().alias("x"), F.lead("key").over(alike).isNotNull().alias("y"))
@@ -268,7 +268,7 @@ def strip(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     shape = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, kept binary"
     shape += "".join(f", {c} {t}" for c, t in docs.select(*keep).dtypes) if keep else ""
-    return joined.mapInArrow(run, shape)
+    return joined.mapInArrow(tidy(run), shape)
 
 
 def op6_bwt_interval_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -44,6 +45,19 @@ def per_worker(key: object, make: Callable[[], object]) -> object:
     return store[key]
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` over a partition's batches; afterwards the worker gives freed memory back, as the next task may be another's."""
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only in the GNU C library
+        if trim is not None:
+            trim(0)
+
+    return whole
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """The documents; and Arrow batches of few rows from now on, as a batch of the usual 10,000 may hold long texts."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
