@@ -404,7 +404,7 @@ def spatial_intersects(t: Tables):
 
 @query("spatial_shapes", f"""SELECT s.key, d.gid FROM {SQUARES} s JOIN {DISTRICTS} d ON s.x0 <= d.x1 AND s.x1 >= d.x0 AND s.y0 <= d.y1 AND s.y1 >= d.y0""")
 def spatial_shapes(t: Tables):
-    return spatial.spatial_join(_squares(t), _districts(t), "key", "gid", cell=CELL, broadcast_rows=0)
+    return spatial.spatial_join(_squares(t), _districts(t), "key", "gid", cell=CELL, hot_rows=5)
 
 
 @query("points_in_districts", f"SELECT p.id FROM {POINTS} p WHERE EXISTS (SELECT 1 FROM {DISTRICTS} d WHERE d.n_regionkey = 1 AND p.lon > d.x0 AND p.lon < d.x1 AND p.lat > d.y0 AND p.lat < d.y1)")

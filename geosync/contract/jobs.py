@@ -16,7 +16,6 @@ from geosync.functions.reproject import LOCAL_SRID
 from geosync.operators.numbering import number_rows
 from geosync.plans import areas, features, items, mirrors, photos
 from geosync.session import shared_folder
-from geosync.sources.files import list_files
 from geosync.sources.paged import PAGE_SIZE, paged_features as read_pages
 from geosync.sources.versions import read_current, write_version
 from geosync.streaming import inbox
@@ -52,15 +51,10 @@ def _pages(t: Tables, rows: DataFrame, key: str, feature, name: str) -> str:
 def paged_features(t: Tables):
     feature = F.concat(F.lit('{"type":"Feature","k":'), c("p_partkey"), F.lit("}"))
     folder = _pages(t, t.part, "p_partkey", feature, "pages")
-    read = read_pages(t.spark, folder.removeprefix("file:"), stripes=4)
+    read = read_pages(t.spark, folder, stripes=4)
     return read.select("page", "idx", F.get_json_object("feature", "$.k").alias("k"))
 
 
-@query("file_listing")
-def file_listing(t: Tables):
-    return list_files(t.spark, t.folder, (".parquet",)).select("relpath", "length")
-
-
 @query("paged_stream", "SELECT event_id AS id, event_type AS kind, CASE WHEN event_type = 'view' THEN NULL ELSE CAST(user_id AS BIGINT) END AS size FROM events")
 def paged_stream(t: Tables):
     size = F.when(c("event_type") == "view", F.lit("null")).otherwise(c("user_id").cast("string"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from geosync.contract import bindings as b
-from geosync.contract.registry import Tables, query, sub
+from geosync.contract.registry import TABLES, Tables, query, sub
 from geosync.functions.text import blank_to_null, legacy_name
 from geosync.operators import audit, guards, keep, links, merge, numbering
 from geosync.session import shared_folder
@@ -47,12 +49,12 @@ def missing_keys(t: Tables):
     return tables.missing_keys(t.customer.select((c("c_custkey") * 2).alias("k")), t.orders, "o_custkey")
 
 
-_SYNCED = ("region", "nation", "customer", "supplier", "part", "orders", "labels")
+_SYNCED = TABLES
 
 
 @query("schema_sync_counts", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in _SYNCED))
 def schema_sync_counts(t: Tables):
-    return tables.sync_schema(t.spark, t.folder, list(_SYNCED), f"{shared_folder(t.spark)}/synced")
+    return tables.sync_schema(t.spark, t.folder, list(_SYNCED), f"{shared_folder(t.spark)}/synced-{uuid.uuid4().hex}")
 
 
 # --- write modes -------------------------------------------------------------------------------
@@ -132,18 +134,20 @@ def delete_absent(t: Tables):
 
 
 @query("insert_if_absent", f"""SELECT DISTINCT 'label' AS type, label_id FROM {ITEMS} WHERE label_id IS NOT NULL
-UNION ALL SELECT 'new', CAST(c_custkey AS VARCHAR) FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT label_id FROM {ITEMS} WHERE label_id IS NOT NULL)""")
+UNION ALL SELECT 'new', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 7 <> 0 AND CAST(c_custkey AS VARCHAR) NOT IN (SELECT label_id FROM {ITEMS} WHERE label_id IS NOT NULL)
+UNION ALL SELECT 'new', NULL FROM customer WHERE c_custkey % 7 = 0""")
 def insert_if_absent(t: Tables):
     target = t.bind(b.ITEMS).filter("label_id IS NOT NULL").select(F.lit("label").alias("type"), "label_id")
-    changes = t.customer.select(F.lit("new").alias("type"), c("c_custkey").cast("string").alias("label_id"))
+    changes = t.customer.select(F.lit("new").alias("type"), F.when(c("c_custkey") % 7 != 0, c("c_custkey").cast("string")).alias("label_id"))
     return merge.insert_absent(target, changes, ["label_id"], [c("type")]).drop("action")
 
 
-@query("insert_only_conflicts", """WITH s AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+@query("insert_only_conflicts", """WITH s AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events WHERE event_id % 11 <> 0)
 SELECT event_id, user_id FROM s WHERE rn > 1 OR user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
 def insert_only_conflicts(t: Tables):
     target = t.customer.filter("c_mktsegment = 'BUILDING'").select(c("c_custkey").alias("user_id"))
-    _, refused = merge.insert_only(target, t.events.select("user_id", "event_id"), ["user_id"], [c("event_id")])
+    changes = t.events.select(F.when(c("event_id") % 11 != 0, c("user_id")).alias("user_id"), "event_id")
+    _, refused = merge.insert_only(target, changes, ["user_id"], [c("event_id")])
     return refused.select("event_id", "user_id")
 
 
@@ -177,7 +181,8 @@ FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_ord
 def update_from_join(t: Tables):
     target = t.customer.select("c_custkey", c("c_nationkey").cast("long").alias("n"), "c_acctbal")
     counts = t.orders.filter("o_orderstatus = 'F'").groupBy(c("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
-    return merge.update_from(target, counts, ["c_custkey"], ["n"], c("t.c_acctbal") > 0).drop("c_acctbal")
+    doubled = counts.unionByName(counts.withColumn("n", c("n") + 5))
+    return merge.update_from(target, doubled, ["c_custkey"], ["n"], c("t.c_acctbal") > 0).drop("c_acctbal")
 
 
 @query("schema_evolve", """SELECT c_custkey AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS size, CAST(NULL AS VARCHAR) AS brand FROM customer
@@ -311,12 +316,12 @@ def latest_eligible(t: Tables):
     return links.eligible_items(items, t.bind(b.PHOTOS), "photo_id")
 
 
-_LINKITEMS = "SELECT concat('n', CAST(o_orderkey AS STRING)) AS key, concat('point:', CAST(o_orderkey AS STRING)) AS permit_id FROM {orders}"
+_LINKITEMS = "SELECT concat('n', CAST(o_orderkey AS STRING)) AS key, concat('point:', CAST(o_orderkey AS STRING)) AS permit_id FROM {orders} UNION ALL SELECT concat('z', CAST(o_orderkey AS STRING)), concat('point:', CAST(o_orderkey AS STRING)) FROM {orders} WHERE o_orderkey % 2 = 0"
 _LINKROWS = "SELECT event_id AS id, concat('point:', CAST(user_id * 3 AS STRING)) AS business_id, CASE WHEN event_type = 'click' THEN concat('n', CAST(user_id AS STRING)) END AS task_key, CASE WHEN event_type <> 'view' THEN 1 END AS geom FROM {events}"
 
 
 @query("link_one_to_one", f"""
-WITH r AS {sub(_LINKROWS)}, o AS (SELECT key, permit_id FROM {sub(_LINKITEMS)} WHERE key NOT IN (SELECT task_key FROM r WHERE task_key IS NOT NULL)),
+WITH r AS {sub(_LINKROWS)}, o AS (SELECT min(key) AS key, permit_id FROM {sub(_LINKITEMS)} WHERE key NOT IN (SELECT task_key FROM r WHERE task_key IS NOT NULL) GROUP BY permit_id),
 ch AS (SELECT min(r.id) AS id, o.key FROM r JOIN o ON r.business_id = o.permit_id WHERE r.task_key IS NULL AND geom IS NOT NULL GROUP BY o.key)
 SELECT r.id, coalesce(r.task_key, ch.key) AS task_key, CASE WHEN ch.key IS NOT NULL THEN 'update' ELSE 'keep' END AS action FROM r LEFT JOIN ch ON r.id = ch.id""")
 def link_one_to_one(t: Tables):
@@ -460,12 +465,12 @@ _NUMBERED = "SELECT p_partkey AS key, concat(p_type, '-', CAST(p_size AS STRING)
 _RANKED = f"""SELECT *, row_number() OVER (PARTITION BY task_number ORDER BY CASE status WHEN 'done' THEN 0 WHEN 'wip' THEN 1 ELSE 2 END, north DESC, key) AS keep_rn, count(*) OVER (PARTITION BY task_number) AS cnt FROM {sub(_NUMBERED)}"""
 
 
-def _ranked(t: Tables, limit: int = numbering.GROUP_LIMIT):
+def _ranked(t: Tables):
     rows = t.bind(_NUMBERED)
     doubled = audit.duplicates(rows, ["task_number"]).select("task_number")
     state = F.when(c("status") == "done", 0).when(c("status") == "wip", 1).otherwise(2)
     return numbering.number_rows(
-        rows.join(doubled, "task_number"), ["task_number"], [state.asc(), c("north").desc_nulls_last(), c("key").asc()], "keep_rn", limit
+        rows.join(doubled, "task_number"), ["task_number"], [state.asc(), c("north").desc_nulls_last(), c("key").asc()], "keep_rn"
     )
 
 

@@ -171,11 +171,9 @@ def content_hash(t: Tables):
     return t.documents.select("doc_id", F.md5(body).alias("md5"), F.sha2(body, 256).alias("sha256"))
 
 
-@query("nfc_name", "SELECT source, lang, nfc_normalize(min(text)) AS name FROM documents GROUP BY 1, 2")
+@query("nfc_name", "SELECT doc_id, nfc_normalize(text) AS name FROM documents")
 def nfc_name(t: Tables):
-    return t.documents.groupBy("source", "lang").agg(F.min("text").alias("name")).select(
-        "source", "lang", text.nfc(c("name")).alias("name")
-    )
+    return t.documents.select("doc_id", text.nfc(c("text")).alias("name"))
 
 
 @query("array_funcs", f"""SELECT key, list_contains(a, 'etl') AS owned, CAST(len(a) AS INTEGER) AS size, a[1] AS first FROM

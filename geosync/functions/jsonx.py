@@ -157,7 +157,9 @@ def coerce(raw: Column, kind: Column, type_name: str) -> Column:
         kind.isin("int", "float", "str"), F.trim(raw)
     )
     if type_name == "json":
-        quoted = F.concat(F.lit('"'), F.replace(raw, F.lit('"'), F.lit('\\"')), F.lit('"'))
+        # The writer escapes what JSON wants escaped; the array's brackets go.
+        listed = F.to_json(F.array(raw))
+        quoted = F.substring(listed, F.lit(2), F.length(listed) - 2)
         return F.when(kind == "null", None).when(
             kind == "str", F.coalesce(maybe_dict(raw), quoted)
         ).otherwise(raw)

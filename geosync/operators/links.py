@@ -14,13 +14,13 @@ def link_once(rows: DataFrame, items: DataFrame, business_id: str, item_id: str,
               link: str = "task_key", key: str = "key") -> DataFrame:
     """Links unlinked rows to the item with the same business id; ``action`` is ``update`` or ``keep``.
 
-    An item already linked to a row is not linked again, and of several rows the lowest id gets it.
+    An item already linked to a row is not linked again. Of several rows the lowest id gets it, of several free items
+    with one id the lowest key is given.
     """
     taken = rows.filter(F.col(link).isNotNull()).select(F.col(link).alias("_taken")).distinct()
-    by_id = items.filter(F.col(item_id).isNotNull()).groupBy(F.col(item_id).alias("_bid")).agg(
-        F.min(key).alias("_key")
-    )
-    open_items = by_id.join(taken, F.col("_key") == F.col("_taken"), "left_anti")
+    named = items.filter(F.col(item_id).isNotNull()).select(F.col(item_id).alias("_bid"), F.col(key).alias("_key"))
+    free = named.join(taken, F.col("_key") == F.col("_taken"), "left_anti")
+    open_items = free.groupBy("_bid").agg(F.min("_key").alias("_key"))
     open_rows = rows.filter(F.col(link).isNull() & F.col("geom").isNotNull())
     chosen = (
         open_rows.groupBy(F.col(business_id).alias("_bid"))

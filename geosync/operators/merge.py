@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geosync.functions.text import is_distinct
-from geosync.operators.keep import last_wins
+from geosync.operators.keep import first_per, last_wins
 from geosync.operators.numbering import number_rows
 
 
@@ -87,11 +87,13 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[C
 
 
 def insert_absent(target: DataFrame, changes: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Insert changes whose key the target lacks; the first change per key wins, the target stands."""
-    from geosync.operators.keep import first_per
+    """Insert changes whose key the target lacks; the first change per key wins, the target stands.
 
-    once = first_per(changes, [F.col(k) for k in keys], order)
+    A key with a NULL meets nothing, so such changes are all inserted.
+    """
+    once = first_per(changes.filter(_complete(keys)), [F.col(k) for k in keys], order)
     fresh = once.alias("s").join(target.select(*keys).alias("t"), _equal(keys), "left_anti")
+    fresh = fresh.unionByName(changes.filter(~_complete(keys)))
     return target.withColumn("action", F.lit("keep")).unionByName(
         fresh.select(*[c for c in target.columns if c in once.columns]).withColumn("action", F.lit("insert")),
         allowMissingColumns=True,
@@ -101,17 +103,17 @@ def insert_absent(target: DataFrame, changes: DataFrame, keys: list[str], order:
 def insert_only(target: DataFrame, changes: DataFrame, keys: list[str],
                 order: list[Column]) -> tuple[DataFrame, DataFrame]:
     """Insert new keys; the second frame holds the changes refused because their key was there
-    already, in the target or earlier in the changes."""
-    from geosync.operators.keep import first_per
-
+    already, in the target or earlier in the changes. Changes with a NULL in the key are never refused."""
+    lone = changes.filter(~_complete(keys))
+    changes = changes.filter(_complete(keys))
     first = first_per(changes, [F.col(k) for k in keys], order)
     first_order = first.select(*keys, F.struct(*order).alias("_first"))
-    known = target.select(*keys).distinct().withColumn("_known", F.lit(True))
+    known = target.filter(_complete(keys)).select(*keys).distinct().withColumn("_known", F.lit(True))
     judged = changes.withColumn("_order", F.struct(*order)).join(known, keys, "left").join(
         first_order, keys, "left"
     )
     refused = judged.filter(F.col("_known").isNotNull() | (F.col("_order") != F.col("_first")))
-    fresh = first.alias("s").join(known.alias("t"), _equal(keys), "left_anti")
+    fresh = first.alias("s").join(known.alias("t"), _equal(keys), "left_anti").unionByName(lone)
     added = target.unionByName(
         fresh.select(*[c for c in target.columns if c in first.columns]), allowMissingColumns=True
     )
@@ -119,11 +121,13 @@ def insert_only(target: DataFrame, changes: DataFrame, keys: list[str],
 
 
 def mirror(target: DataFrame, source: DataFrame, key: str, compare: list[str],
-           delete_missing: bool = True) -> DataFrame:
+           delete_missing: bool = True, order: list[Column] | None = None) -> DataFrame:
     """Three-way merge: delete what the source lost, update what differs, insert what is new.
 
-    Columns only the target has keep their values.
+    Columns only the target has keep their values. Of source rows with one key the last in ``order`` counts, without
+    an order the greatest by ``compare``.
     """
+    source = last_wins(source, [key], order or [F.col(c) for c in compare])
     joined = _marked(target, "t").join(_marked(source, "s"), _equal([key]), "full_outer")
     old, new = F.col("t._here").isNotNull(), F.col("s._here").isNotNull()
     differs = is_distinct(
@@ -192,11 +196,13 @@ def delete_absent(tagged: DataFrame, frozen: str = "tasked") -> DataFrame:
 
 
 def update_from(target: DataFrame, source: DataFrame, on: list[str], columns: list[str],
-                where: Column | None = None) -> DataFrame:
-    """Sets ``columns`` from the one source row with the same key; ``action`` is ``update`` or ``keep``.
+                where: Column | None = None, order: list[Column] | None = None) -> DataFrame:
+    """Sets ``columns`` from the source row with the same key; ``action`` is ``update`` or ``keep``.
 
-    ``source`` must have at most one row per key. ``where`` may test ``t`` and ``s``.
+    Of source rows with one key the first in ``order`` counts, without an order the least by ``columns``. So no target
+    row comes out twice. ``where`` may test ``t`` and ``s``.
     """
+    source = first_per(source.filter(_complete(on)), [F.col(k) for k in on], order or [F.col(c) for c in columns])
     joined = target.alias("t").join(_marked(source, "s"), _equal(on), "left")
     hit = F.col("s._here").isNotNull()
     if where is not None:

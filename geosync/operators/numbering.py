@@ -7,54 +7,37 @@ from pyspark.sql import functions as F
 
 from geosync.session import cut_lineage
 
-# Rows of one group that a single task may sort.
-GROUP_LIMIT = 500_000
 
-
-def number_rows(
-    df: DataFrame, partition: list[str], order: list[Column], out: str, group_limit: int = GROUP_LIMIT
-) -> DataFrame:
+def number_rows(df: DataFrame, partition: list[str], order: list[Column], out: str) -> DataFrame:
     """Adds ``row_number()`` over ``partition`` in ``order``, as a long.
 
-    ``order`` must be total within a group. The size of the largest group is checked first: small
-    groups take one window; beyond ``group_limit`` the rows are range-sorted over the cluster and
-    numbered by position, so no task ever holds a whole group.
+    ``order`` must be total within a group. The rows are range-sorted over the cluster and numbered by
+    position, so no task ever holds a whole group.
     """
-    if not partition:
-        biggest = df.count()
-    else:
-        biggest = df.groupBy(*partition).count().agg(F.max("count")).first()[0] or 0
-    if biggest <= group_limit:
-        window = Window.partitionBy(*partition).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(window).cast("long"))
-    return _number_by_range(df, partition, order, out)
-
-
-def _number_by_range(df: DataFrame, partition: list[str], order: list[Column], out: str) -> DataFrame:
     keys = [*[F.col(c).asc() for c in partition], *order]
     # The sorted rows are written once: both passes below must see the same ranges.
     ranged = cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
-    placed = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_at", F.monotonically_increasing_id()
+    placed = ranged.withColumn("_nr_pid", F.spark_partition_id()).withColumn(
+        "_nr_at", F.monotonically_increasing_id()
     )
-    local = Window.partitionBy("_pid", *partition).orderBy("_at")
-    numbered = placed.withColumn("_n", F.row_number().over(local).cast("long"))
+    local = Window.partitionBy("_nr_pid", *partition).orderBy("_nr_at")
+    numbered = placed.withColumn("_nr_n", F.row_number().over(local).cast("long"))
     # Rows of the same group in earlier ranges. Only the first group of a range can have any, so
     # there are no more such entries than ranges.
-    sizes = placed.groupBy("_pid", *partition).agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(*partition).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_nr_pid", *partition).agg(F.count("*").alias("_nr_size"))
+    before = Window.partitionBy(*partition).orderBy("_nr_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sizes.withColumn("_skip", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .filter("_skip > 0")
-        .drop("_size")
+        sizes.withColumn("_nr_skip", F.coalesce(F.sum("_nr_size").over(before), F.lit(0)))
+        .filter("_nr_skip > 0")
+        .drop("_nr_size")
     )
-    same = F.col("n._pid") == F.col("o._pid")
+    same = F.col("n._nr_pid") == F.col("o._nr_pid")
     for c in partition:
         same = same & F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}"))
     joined = numbered.alias("n").join(F.broadcast(offsets).alias("o"), same, "left")
     return joined.select(
         *[F.col(f"n.`{c}`") for c in df.columns],
-        (F.col("n._n") + F.coalesce(F.col("o._skip"), F.lit(0))).alias(out),
+        (F.col("n._nr_n") + F.coalesce(F.col("o._nr_skip"), F.lit(0))).alias(out),
     )
 
 

@@ -8,39 +8,22 @@ from pyspark.sql import functions as F
 from geosync.functions import geom as g
 from geosync.functions import grid
 
-# Rows of the smaller side up to which it is copied to every task; counted, never assumed.
-BROADCAST_ROWS = 50_000
-# A cell with more than this share of the left rows is split over several tasks.
-HOT_SHARE = 0.01
-SALTS = 32
-
-
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(rows + 1).count() <= rows
-
-
-def _hot_cells(celled: DataFrame, rows: int) -> list[int]:
-    """Cells holding more than their share of the ``rows`` on the left, the fullest first.
-
-    There are at most ``1 / HOT_SHARE`` of them when every row lies in one cell; rows over several
-    cells can make more, of which the fullest are taken. Cells left out are joined all the same.
-    """
-    counts = celled.groupBy("_cell").agg(F.count("*").alias("_n")).filter(F.col("_n") > rows * HOT_SHARE)
-    top = counts.filter("_cell IS NOT NULL").orderBy(F.col("_n").desc(), "_cell").limit(int(1 / HOT_SHARE))
-    return [r["_cell"] for r in top.collect()]
+# Left rows of a cell beyond which it is split over several tasks, each with so many.
+HOT_ROWS = 1_000_000
 
 
 def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_geom: str = "geom",
                  right_geom: str = "geom", cell: float = 0.05, within: bool = False,
-                 broadcast_rows: int = BROADCAST_ROWS, keep_geometry: bool = False) -> DataFrame:
+                 hot_rows: int = HOT_ROWS, keep_geometry: bool = False) -> DataFrame:
     """Pairs (``left_id``, ``right_id``) whose geometries intersect, each once.
 
     ``keep_geometry`` adds ``left_geom`` and ``right_geom``, so that they need not be joined back.
 
     With ``within`` the left geometry is a point that must lie strictly inside. Ids must be unique on
     their side. Each side is spread over the cells its box touches; a pair that meets in several cells
-    is kept in one of them only, so no distinct is needed. A right side of checked size is broadcast;
-    otherwise both sides shuffle by cell, and cells holding a large share of the left rows are salted.
+    is kept in one of them only, so no distinct is needed. Cells with more than ``hot_rows`` left rows are salted;
+    the list of them has a row for each ``hot_rows`` of the left side at most. Adaptive execution broadcasts a side of
+    few bytes.
     """
     # Rows without a box get a NULL cell, which no join keeps. A plain explode, or a filter on the box,
     # would make Spark compute the box once more below it.
@@ -54,15 +37,12 @@ def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         .withColumn("_rb", g.bbox(F.col("_rg")))
         .withColumn("_cell", F.explode_outer(grid.cover(F.col("_rb"), cell)))
     )
-    if small_enough(rhs, broadcast_rows):
-        pairs = lhs.join(F.broadcast(rhs), "_cell")
-    else:
-        is_hot = F.col("_cell").isin(*_hot_cells(lhs, left.count()))
-        salt = F.when(is_hot, F.pmod(F.xxhash64("_lid"), F.lit(SALTS))).otherwise(F.lit(0))
-        salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        spread = lhs.withColumn("_salt", salt.cast("int"))
-        copied = rhs.withColumn("_salt", F.explode_outer(salts))
-        pairs = spread.join(copied, ["_cell", "_salt"])
+    hot = lhs.groupBy("_cell").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = F.broadcast(hot.select("_cell", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    spread = lhs.join(hot, "_cell", "left").withColumn("_salt", F.pmod(F.xxhash64("_lid"), parts).cast("int")).drop("_parts")
+    copied = rhs.join(hot, "_cell", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    pairs = spread.join(copied, ["_cell", "_salt"])
     near = pairs.filter(
         grid.boxes_meet(F.col("_lb"), F.col("_rb"))
         & (F.col("_cell") == grid.home_cell(F.col("_lb"), F.col("_rb"), cell))
@@ -118,7 +98,10 @@ def best_cover(areas: DataFrame, districts: DataFrame, area_id: str, district_id
 
 
 def radius_search(points: DataFrame, lat: float, lng: float, radius_m: float) -> DataFrame:
-    """Points within ``radius_m`` metres of a position, by box first and distance after."""
+    """Points within ``radius_m`` metres of a position, by box first and distance after.
+
+    The box may cross the 180th meridian: longitudes are compared by their difference the short way round.
+    """
     from math import cos, radians
 
     # A degree is nowhere shorter than 110 km on a meridian; the box errs on the large side.
@@ -126,8 +109,10 @@ def radius_search(points: DataFrame, lat: float, lng: float, radius_m: float) ->
     dx = dy / max(cos(radians(min(abs(lat) + dy, 89.9))), 1e-6)
     position = F.struct(F.lit(lng).alias("x"), F.lit(lat).alias("y"))
     here = g.start_point(F.col("geom"))
-    boxed = points.filter(here["x"].between(lng - dx, lng + dx) & here["y"].between(lat - dy, lat + dy))
-    return boxed.filter(g.distance_m(here, position) <= radius_m)
+    away = F.pmod(here["x"] - lng + 180, F.lit(360.0)) - 180
+    boxed = points.filter((F.abs(away) <= dx) & here["y"].between(lat - dy, lat + dy))
+    near = F.struct((F.lit(lng) + away).alias("x"), here["y"].alias("y"))
+    return boxed.filter(g.distance_m(near, position) <= radius_m)
 
 
 def item_geometries(items: DataFrame, layers: DataFrame, by_id: list[tuple[DataFrame, str, str, str]]) -> DataFrame:

@@ -58,15 +58,14 @@ def attribute_areas(areas: DataFrame, districts: DataFrame, cell: float = 0.05)
     )
 
 
-def number_areas(areas: DataFrame, districts: DataFrame, as_of: Column, cell: float = 0.05,
-                 group_limit: int = numbering.GROUP_LIMIT) -> DataFrame:
+def number_areas(areas: DataFrame, districts: DataFrame, as_of: Column, cell: float = 0.05) -> DataFrame:
     """``key``, ``task_number`` and ``area_sqm`` of the areas that have both labels, numbered from the north."""
     # The spatial work is done once; numbering reads its result more than once.
     labelled = cut_lineage(
         attribute_areas(areas, districts, cell).filter("okrug_label IS NOT NULL AND rayon_label IS NOT NULL")
     )
     numbered = numbering.number_rows(
-        labelled, ["okrug_label", "rayon_label"], [F.col("centroid_y").desc(), F.col("key").asc()], "n", group_limit
+        labelled, ["okrug_label", "rayon_label"], [F.col("centroid_y").desc(), F.col("key").asc()], "n"
     )
     number = F.format_string(
         "М/%s-%s-%d/%s-%d", "okrug_label", F.date_format(as_of, "yy"), F.quarter(as_of), "rayon_label", "n"
@@ -86,8 +85,7 @@ def number_areas_job(areas: DataFrame, districts: DataFrame, as_of: Column, cell
     return updated, audit.first_keys(nameless, "key")
 
 
-def repair_numbers(areas: DataFrame, districts: DataFrame, cell: float = 0.05,
-                   group_limit: int = numbering.GROUP_LIMIT) -> DataFrame:
+def repair_numbers(areas: DataFrame, districts: DataFrame, cell: float = 0.05) -> DataFrame:
     """Areas with double numbers resolved; ``action`` tells the renumbered ones.
 
     Of several areas with one number the finished, covered, northern one keeps it; the others get the
@@ -106,11 +104,11 @@ def repair_numbers(areas: DataFrame, districts: DataFrame, cell: float = 0.05,
     ranked = numbering.number_rows(
         cut_lineage(candidates), ["task_number"],
         [F.col("state").asc(), F.col("outside").asc(), F.col("north").desc_nulls_last(), F.col("key").asc()],
-        "keep_rn", group_limit,
+        "keep_rn",
     )
     losers = numbering.number_rows(
         ranked.filter("keep_rn > 1").select("key", "prefix", "keep_rn"), ["prefix"],
-        [F.col("keep_rn").asc(), F.col("key").asc()], "seq", group_limit,
+        [F.col("keep_rn").asc(), F.col("key").asc()], "seq",
     )
     kept = used.join(losers.select("key"), "key", "left_anti").select(
         F.col("_split.prefix").alias("prefix"), F.col("_split.n").alias("n")

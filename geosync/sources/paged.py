@@ -1,26 +1,30 @@
-"""Paged feature services as a Spark data source, one feature per row."""
+"""Paged feature services as a Spark data source, and pages stored as files."""
 
 from __future__ import annotations
 
-import glob
 import json
-import os
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from geosync.functions.jsonx import unwrap_envelope
+
 # Rows per page, first row number a service accepts, answers worth a retry, tries.
 PAGE_SIZE = 500
 FIRST_ROW = 1
 RETRY_STATUS = (429, 500, 502, 503, 504)
 RETRIES = 5
 
-SCHEMA = "page bigint, idx int, feature string"
+# Where a page holds its elements.
+LISTS = ("features", "data", "Items")
+
+SCHEMA = "page bigint, body string"
 
 
 class _Stripe(InputPartition):
@@ -31,13 +35,11 @@ class _Stripe(InputPartition):
         self.step = step
 
 
-def _elements(payload: object) -> list:
-    if isinstance(payload, dict):
-        for key in ("features", "data", "Items"):
-            if isinstance(payload.get(key), list):
-                return payload[key]
-        return []
-    return payload if isinstance(payload, list) else []
+def _size(body: str) -> int:
+    """How many elements ``unwrap_envelope`` will find in a page."""
+    page = json.loads(body)
+    lists = [page] if isinstance(page, list) else [page.get(name) for name in LISTS] if isinstance(page, dict) else []
+    return next((len(x) for x in lists if isinstance(x, list)), 0)
 
 
 class _Reader(DataSourceReader):
@@ -55,36 +57,31 @@ class _Reader(DataSourceReader):
         # and a page that cannot be had fails the task instead of going missing.
         page = partition.first
         while True:
-            features = _elements(self._load(page))
-            for idx, feature in enumerate(features):
-                yield page, idx, json.dumps(feature, ensure_ascii=False)
-            if len(features) < self.page_size:
+            body = self._load(page)
+            yield page, body
+            if _size(body) < self.page_size:
                 return
             page += partition.step
 
-    def _load(self, page: int) -> object:
-        if not self.path.startswith(("http://", "https://")):
-            names = glob.glob(os.path.join(self.path, f"page={page}", "part-*"))
-            if not names:
-                return []
-            with open(names[0], encoding="utf-8") as handle:
-                return json.load(handle)
+    def _load(self, page: int) -> str:
         query = urllib.parse.urlencode({"$skip": self.start + page * self.page_size, "$top": self.page_size})
         url = f"{self.path}{'&' if '?' in self.path else '?'}{query}"
         for attempt in range(RETRIES):
             try:
                 with urllib.request.urlopen(url, timeout=120) as answer:
-                    return json.load(answer)
+                    return answer.read().decode("utf-8")
             except urllib.error.HTTPError as error:
                 if error.code not in RETRY_STATUS or attempt == RETRIES - 1:
                     raise
+            except (urllib.error.URLError, OSError):  # no connection, or lost while reading
+                if attempt == RETRIES - 1:
+                    raise
             time.sleep(1.5 * 2**attempt)
         raise RuntimeError(f"no answer for page {page}")
 
 
 class PagedFeatures(DataSource):
-    """``path`` is a service address, or a folder all executors can reach with one text file below each
-    ``page=<n>``, as ``partitionBy("page").text`` writes them; ``stripes`` sets the parallel readers."""
+    """Pages of the service at ``path`` as text; ``stripes`` sets the parallel readers."""
 
     @classmethod
     def name(cls) -> str:
@@ -97,12 +94,28 @@ class PagedFeatures(DataSource):
         return _Reader(dict(self.options))
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """Features of pages stored below ``page=<n>``, each in any number of files, in any folder that Spark can read."""
+    pages = spark.read.text(path, wholetext=True)
+    if "page" not in pages.columns or pages.filter("page = 0").isEmpty():
+        raise FileNotFoundError(f"{path} has no page 0")
+    listed = pages.select(
+        F.col("page").cast("long").alias("page"), F.input_file_name().alias("_file"), F.posexplode(unwrap_envelope(F.col("value"))).alias("_at", "feature")
+    )
+    # A window over one page, which the service bounds.
+    place = F.row_number().over(Window.partitionBy("page").orderBy("_file", "_at")) - 1
+    return listed.select("page", place.cast("int").alias("idx"), "feature")
+
+
 def paged_features(spark: SparkSession, path: str, page_size: int = PAGE_SIZE, start: int = FIRST_ROW,
                    stripes: int = 8) -> DataFrame:
-    """Every feature of a paged service: ``page``, ``idx`` within the page, ``feature`` as JSON text."""
+    """Every feature of a paged service or of stored pages: ``page``, ``idx`` within the page, ``feature`` as JSON text."""
+    if not path.startswith(("http://", "https://")):
+        return _stored(spark, path)
     spark.dataSource.register(PagedFeatures)
-    return (
+    pages = (
         spark.read.format("paged_features")
         .options(path=path, pagesize=page_size, start=start, stripes=stripes)
         .load()
     )
+    return pages.select("page", F.posexplode(unwrap_envelope(F.col("body"))).alias("idx", "feature"))

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geosync.operators.spatial import small_enough
-
 FETCH_ROWS = "250"
 
 
@@ -34,9 +32,8 @@ def read_incremental(df: DataFrame, key: str, last: int, bootstrap: int = 50) ->
 
 
 def read_by_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows whose key is listed; the list is broadcast only when counted small."""
+    """Rows whose key is listed; adaptive execution broadcasts a list of few bytes."""
     wanted = keys.select(F.col(keys.columns[0]).alias("_key")).distinct()
-    wanted = F.broadcast(wanted) if small_enough(wanted) else wanted
     return df.join(wanted, F.col(key) == F.col("_key"), "left_semi")
 
 

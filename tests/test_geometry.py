@@ -127,7 +127,7 @@ def inside(x, y, ring):
     return odd
 
 
-@pytest.mark.parametrize("limit", [50_000, 0])
+@pytest.mark.parametrize("limit", [50_000, 3])
 def test_grid_join_equals_brute_force(spark, limit):
     rng = random.Random(7)
     # A third of the points sit in one cell.
@@ -139,7 +139,7 @@ def test_grid_join_equals_brute_force(spark, limit):
     left = spark.createDataFrame(points, "id int, x double, y double").withColumn("geom", g.point(F.col("x"), F.col("y")))
     texts = [(k, "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + "))") for k, ring in stars]
     right = spark.createDataFrame(texts, "gid int, wkt string").withColumn("geom", g.from_wkt(F.col("wkt")))
-    pairs = spatial.spatial_join(left, right, "id", "gid", cell=0.07, broadcast_rows=limit).collect()
+    pairs = spatial.spatial_join(left, right, "id", "gid", cell=0.07, hot_rows=limit).collect()
     wanted = {(i, k) for i, x, y in points for k, ring in stars if inside(x, y, ring)}
     assert len(pairs) == len(wanted) and {tuple(p) for p in pairs} == wanted
 

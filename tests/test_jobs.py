@@ -151,6 +151,13 @@ def test_pages_are_all_read(spark, tmp_path):
     for stripes in (1, 3):
         df = paged_features(spark, str(tmp_path), page_size=3, stripes=stripes)
         assert sorted(json.loads(r["feature"])["k"] for r in df.collect()) == list(range(13))
+    (tmp_path / "page=1" / "part-1.txt").write_text(json.dumps([{"k": 13}, {"k": 14}]))
+    df = paged_features(spark, f"file://{tmp_path}", page_size=3)
+    assert sorted((r["page"], r["idx"]) for r in df.collect())[3:8] == [(1, k) for k in range(5)] and df.count() == 15
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "empty" / "page=7").mkdir(parents=True)
+        (tmp_path / "empty" / "page=7" / "part-0.txt").write_text("[]")
+        paged_features(spark, str(tmp_path / "empty"))
 
 
 def test_geojson_files(spark, tmp_path):

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -12,18 +13,17 @@ def rows(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
 
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_numbers_do_not_depend_on_the_way(spark, limit):
+def test_numbers_in_groups_and_overall(spark):
     rng = random.Random(3)
     data = [(i, "hot" if i % 3 == 0 else f"g{rng.randint(0, 20)}", rng.randint(0, 50)) for i in range(3000)]
     df = spark.createDataFrame(data, "id int, grp string, v int").repartition(7)
-    got = numbering.number_rows(df, ["grp"], [c("v").desc(), c("id").asc()], "n", limit).collect()
+    got = numbering.number_rows(df, ["grp"], [c("v").desc(), c("id").asc()], "n").collect()
     wanted = {}
     for grp in {d[1] for d in data}:
         for n, d in enumerate(sorted((d for d in data if d[1] == grp), key=lambda d: (-d[2], d[0])), 1):
             wanted[d[0]] = n
     assert {r["id"]: r["n"] for r in got} == wanted and len(got) == len(data)
-    flat = numbering.number_rows(df, [], [c("id").asc()], "n", limit).collect()
+    flat = numbering.number_rows(df, [], [c("id").asc()], "n").collect()
     assert all(r["n"] == r["id"] + 1 for r in flat) and len(flat) == len(data)
 
 
@@ -152,3 +152,46 @@ def test_null_keys_always_insert(spark):
     assert rows(done, "k", "v", "action") == sorted(
         [(None, "old", "keep"), (None, "x", "insert"), (None, "y", "insert"), (1, "b", "update")], key=repr
     )
+
+
+def test_null_keys_are_inserted_and_never_refused(spark):
+    target = spark.createDataFrame([("a", 1)], "k string, v int")
+    changes = spark.createDataFrame([("a", 2), (None, 3), (None, 4), ("b", 5), ("b", 6), (None, 7)], "k string, v int")
+    added = merge.insert_absent(target, changes, ["k"], [c("v")])
+    assert rows(added, "k", "v") == sorted([("a", 1), (None, 3), (None, 4), ("b", 5), (None, 7)], key=repr)
+    done, refused = merge.insert_only(target, changes, ["k"], [c("v")])
+    assert rows(done, "k", "v") == rows(added, "k", "v")
+    assert rows(refused, "k", "v") == [("a", 2), ("b", 6)]
+
+
+def test_doubled_source_keys_do_not_double_the_target(spark):
+    target = spark.createDataFrame([(1, 0), (2, 0), (None, 0)], "k int, v int")
+    source = spark.createDataFrame([(1, 5), (1, 4), (None, 9), (3, 1)], "k int, v int")
+    assert rows(merge.update_from(target, source, ["k"], ["v"]), "k", "v", "action") == sorted([(1, 4, "update"), (2, 0, "keep"), (None, 0, "keep")], key=repr)
+    merged = merge.mirror(target.dropna(), source.dropna(), "k", ["v"])
+    assert rows(merged, "k", "v", "action") == [(1, 5, "update"), (2, 0, "delete"), (3, 1, "insert")]
+
+
+def test_a_taken_item_does_not_hide_a_free_one(spark):
+    layer = spark.createDataFrame([(1, "x", None, 1), (2, "y", "k1", 1)], "id int, bid string, task_key string, geom int")
+    items = spark.createDataFrame([("k1", "x"), ("k2", "x")], "key string, permit_id string")
+    done = links.link_once(layer, items, "bid", "permit_id")
+    assert rows(done, "id", "task_key", "action") == [(1, "k2", "update"), (2, "k1", "keep")]
+
+
+def test_json_text_is_escaped(spark):
+    from geosync.functions import jsonx
+
+    texts = ['a\\b', 'x"y', "line\nbreak", "plain", "tab\t"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    made = df.select("v", jsonx.coerce(c("v"), F.lit("str"), "json").alias("j")).collect()
+    assert [json.loads(r["j"]) for r in made] == [r["v"] for r in made]
+
+
+def test_radius_across_the_meridian(spark):
+    from geosync.functions import geom as g
+    from geosync.operators import spatial
+
+    df = spark.createDataFrame([(1, 179.999), (2, -179.999), (3, 179.9)], "id int, lon double").withColumn("geom", g.point(c("lon"), F.lit(0.0)))
+    for centre in (179.999, -179.999):
+        assert sorted(r["id"] for r in spatial.radius_search(df, 0.0, centre, 1000).collect()) == [1, 2]
