@@ -175,6 +175,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, rules: Rules = Rules(), id
                 yield from packer.take(ROWS)
         packer.plan(True)
         yield from packer.take()
+        own.clear()  # the worker's next task may be of another stage
 
     return docs.select(docs[id_column].cast("long"), docs[text_column].cast("string")).mapInArrow(tidy(run), RESULT)
 

@@ -44,8 +44,8 @@ class Rules:
     least: int = 400
     gram: int = 64
     cell: int = 96
-    block: int = 1 << 19
-    segments: int = 500
+    block: int = 1 << 18
+    segments: int = 250
 
     def most_segments(self) -> int:
         return max(1, min(self.segments, (MOST - self.block) // (self.least + self.cell) - 1))

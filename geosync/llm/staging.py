@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from geosync.session import shared_folder
 
 #: Rows of an Arrow batch that holds texts.
-TEXT_ROWS = 1_000
+TEXT_ROWS = 500
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -50,6 +51,7 @@ def tidy(run: Callable) -> Callable:
 
     def whole(batches):
         yield from run(batches)
+        gc.collect()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only in the GNU C library
         if trim is not None:
