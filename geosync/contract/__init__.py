@@ -6,7 +6,7 @@ import importlib
 
 from geosync.contract import registry
 
-_MODULES = ("values", "merges", "geoms", "jobs")
+_MODULES = ("values", "merges", "geoms", "jobs", "loads")
 
 
 def _load() -> None:

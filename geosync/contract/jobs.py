@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geosync.contract import bindings as b
-from geosync.contract.geoms import CELL, SQUARES, _districts, _points, _squares
+from geosync.contract.geoms import _BESSEL as BESSEL
+from geosync.contract.geoms import _COVERED as COVERED
+from geosync.contract.geoms import CELL, DISTRICTS, SQUARES, _districts, _points, _squares
 from geosync.contract.registry import Tables, query, sub
 from geosync.contract.values import _PARSED, AS_OF
 from geosync.functions import geom as g
@@ -116,15 +118,24 @@ def _layer_rows(t: Tables) -> DataFrame:
     )
 
 
-@query("job_sync_layer_items", """SELECT 'inserted' AS step, count(*) AS n FROM orders WHERE o_orderpriority <> '5-LOW' UNION ALL SELECT 'linked', count(*) FROM orders WHERE o_orderpriority <> '5-LOW'
-UNION ALL SELECT 'anchored', count(*) FROM orders WHERE o_orderpriority <> '5-LOW' UNION ALL SELECT 'flagged', count(*) FROM orders WHERE o_orderpriority <> '5-LOW'""")
+def uuid_sql(text: str) -> str:
+    """The key of an item by its business id, as the oracle writes it."""
+    return f"concat_ws('-', substr(md5({text}), 1, 8), substr(md5({text}), 9, 4), substr(md5({text}), 13, 4), substr(md5({text}), 17, 4), substr(md5({text}), 21, 12))"
+
+
+@query("job_sync_layer_items", f"""WITH r AS (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'points' WHEN 'O' THEN 'lines' ELSE 'polygons' END AS layer, o_orderpriority <> '5-LOW' AS open FROM orders),
+k AS (SELECT *, replace(layer, 's', '') || ':' || o_orderkey AS b FROM r)
+SELECT o_orderkey AS id, layer, CASE WHEN open THEN {uuid_sql("'permit_id|' || b")} END AS task_key, CASE WHEN open THEN b END AS permit_id, CASE WHEN open THEN 'permits' END AS source_table,
+CASE WHEN open THEN o_orderkey END AS source_row_id, CASE WHEN open THEN o_custkey END AS source_global_id, CASE WHEN open THEN md5(o_orderpriority) END AS source_geom_hash, open AS tasked FROM k""")
 def job_sync_layer_items(t: Tables):
     rows = _layer_rows(t)
     parents = rows.select(c("source_id").alias("id"), F.lit(False).alias("tasked"))
     done = items.sync_layer_items(rows, _no_items(t), parents, PERMITS, _day())
-    anchored = done["items"].agg(F.count_if(c("source_row_id").isNotNull()).alias("n")).select(F.lit("anchored").alias("step"), "n")
-    flagged = done["parents"].agg(F.count_if("tasked").alias("n")).select(F.lit("flagged").alias("step"), "n")
-    return done["counts"].unionByName(anchored).unionByName(flagged)
+    made = done["items"].select(c("key").alias("task_key"), "permit_id", "source_table", "source_row_id", "source_global_id", "source_geom_hash")
+    # An item without a row, or made twice, would show as a row of its own.
+    linked = done["layers"].select("id", "source_id", "layer", "task_key").join(made, "task_key", "full")
+    flags = done["parents"].select(c("id").alias("source_id"), "tasked")
+    return linked.join(flags, "source_id", "left").drop("source_id")
 
 
 _ELIGIBLE = f"SELECT p.cam_id, max(i.key) AS key FROM {sub(b.PHOTOS)} p JOIN {sub(b.ITEMS)} i ON p.id = i.o_orderkey WHERE i.field_observed IS NOT TRUE AND i.owner = 'etl' GROUP BY 1"
@@ -136,27 +147,34 @@ r AS (SELECT e.key, n.id FROM e JOIN n ON e.cam_id = n.cam_id JOIN {sub(b.ITEMS)
 k AS (SELECT i.key, coalesce(r.id, i.o_orderkey) AS photo, i.field_observed, CASE WHEN r.id IS NOT NULL THEN 'etl' ELSE i.owner END AS owner FROM {sub(b.ITEMS)} i LEFT JOIN r ON i.key = r.key),
 busy AS (SELECT DISTINCT a.cam_id FROM {sub(b.PHOTOS)} a JOIN k ON a.id = k.photo WHERE field_observed IS NOT TRUE AND owner = 'etl'),
 w AS (SELECT cam_id, max(id) AS id FROM p WHERE id NOT IN (SELECT photo FROM k) AND cam_id NOT IN (SELECT cam_id FROM busy) GROUP BY 1)
-SELECT 'updated' AS step, count(*) AS n FROM r UNION ALL SELECT 'inserted', count(*) FROM w UNION ALL
-SELECT 'anchored', (SELECT count(*) FROM k JOIN {sub(b.PHOTOS)} a ON a.id = k.photo WHERE k.key NOT IN (SELECT key FROM r)) + (SELECT count(*) FROM w)""")
+SELECT k.key, 'u' || k.photo AS photo_id, a.id AS source_row_id, k.owner FROM k LEFT JOIN {sub(b.PHOTOS)} a ON a.id = k.photo
+UNION ALL SELECT {uuid_sql("'photo_id|u' || id")}, 'u' || id, id, 'etl' FROM w""")
 def job_sync_photo_items(t: Tables):
     seen = t.bind(b.PHOTOS).withColumn("geom", g.point(c("id"), c("cam_id")))
     have = t.bind(b.ITEMS).select(
         "key", F.concat(F.lit("u"), c("o_orderkey")).alias("photo_id"), "field_observed", F.array("owner").alias("user_last_edit")
     )
     current = _no_items(t).unionByName(have, allowMissingColumns=True)
-    return items.sync_photo_items(seen, current, "Photos", "photos", _day())["counts"]
+    done = items.sync_photo_items(seen, current, "Photos", "photos", _day())["items"]
+    return done.select("key", "photo_id", "source_row_id", c("user_last_edit")[0].alias("owner"))
 
 
-@query("job_mirror", """SELECT 'insert' AS action, count(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT 'unchanged', count(*) FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY') UNION ALL SELECT 'update', count(*) FROM customer WHERE c_mktsegment = 'MACHINERY'""")
+@query("job_mirror", f"""WITH src AS (SELECT c_custkey AS id, CAST(c_custkey % 997 * 60 - 30000 AS DOUBLE) AS x, CAST(c_custkey % 991 * 50 - 25000 AS DOUBLE) AS y FROM customer), {BESSEL}
+SELECT id, c_name, CASE WHEN c_mktsegment <> 'BUILDING' THEN 'seen' END AS executor, 'multipoint' AS kind, round(degrees(atan2(wy, wx)), 8) AS lon,
+round(degrees(atan2(wz + f2/(1-f2)*wb*pow(sin(th),3), p - f2*wa*pow(cos(th),3))), 8) AS lat FROM u JOIN customer ON id = c_custkey""")
 def job_mirror(t: Tables):
-    source = t.customer.select(
-        c("c_custkey").alias("id"), "c_name", g.point((c("c_custkey") % 997).cast("double"), F.lit(100.0), LOCAL_SRID).alias("geom"), "c_mktsegment"
-    )
+    place = g.point((c("c_custkey") % 997 * 60 - 30000).cast("double"), (c("c_custkey") % 991 * 50 - 25000).cast("double"), LOCAL_SRID)
+    source = t.customer.select(c("c_custkey").alias("id"), "c_name", place.alias("geom"), "c_mktsegment")
     empty = source.select("id", "c_name", "geom").limit(0).withColumn("executor", F.lit(None).cast("string"))
     first = mirrors.mirror_job(source, empty, "id", ["c_name", "geom"])["table"]
     old = first.join(source.select("id", "c_mktsegment"), "id").filter("c_mktsegment <> 'BUILDING'")
     target = old.withColumn("c_name", F.when(c("c_mktsegment") == "MACHINERY", F.lit("old")).otherwise(c("c_name"))).drop("c_mktsegment")
-    return mirrors.mirror_job(source, target, "id", ["c_name", "geom"])["counts"]
+    # A row that the source no longer has goes; what only the target knows stays.
+    gone = target.withColumn("id", -1 - c("id"))
+    known = target.withColumn("executor", F.lit("seen")).unionByName(gone)
+    done = mirrors.mirror_job(source, known, "id", ["c_name", "geom"])["table"]
+    at = g.start_point(c("geom"))
+    return done.select("id", "c_name", "executor", c("geom.kind").alias("kind"), F.round(at["x"], 8).alias("lon"), F.round(at["y"], 8).alias("lat"))
 
 
 @query("job_label_ingest", """SELECT c_name AS label_text, CAST(c_nationkey AS VARCHAR) AS source_json, max(c_custkey) AS source_fid FROM customer WHERE contains(lower(c_mktsegment), 'build') OR contains(lower(c_mktsegment), 'house') GROUP BY c_name, c_nationkey, c_custkey""")
@@ -195,14 +213,16 @@ def job_refresh_area_keys(t: Tables):
 _DOUBLE = "SELECT s_suppkey AS key, concat('M-', CAST(s_nationkey % 3 AS STRING), '/x-', CAST(s_suppkey % 20 + 1 AS STRING)) AS task_number, CASE s_suppkey % 3 WHEN 0 THEN 'done' WHEN 1 THEN 'wip' ELSE 'free' END AS status FROM {supplier}"
 
 
-@query("job_repair_numbers", f"""SELECT count(*) AS n, count(DISTINCT key) AS keys, 0 AS doubles, count(*) - (SELECT count(DISTINCT task_number) FROM {sub(_DOUBLE)}) AS renumbered FROM {sub(_DOUBLE)}""")
+@query("job_repair_numbers", f"""WITH z AS (SELECT a.*, regexp_extract(task_number, '^(.*)-[0-9]+$', 1) AS prefix, CAST(regexp_extract(task_number, '([0-9]+)$', 1) AS BIGINT) AS n, d.gid, round((s.y0 + s.y1) / 2, 9) AS north
+ FROM {sub(_DOUBLE)} a JOIN {SQUARES} s ON a.key = s.key LEFT JOIN {DISTRICTS} d ON {COVERED}),
+r AS (SELECT *, row_number() OVER (PARTITION BY task_number ORDER BY CASE status WHEN 'done' THEN 0 WHEN 'wip' THEN 1 ELSE 2 END, gid IS NULL, north DESC, key) AS rn FROM z),
+l AS (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY rn, key) AS seq FROM r WHERE rn > 1),
+x AS (SELECT prefix, unnest(range(1, 21 + count(*))) AS n FROM r GROUP BY 1),
+f AS (SELECT x.*, row_number() OVER (PARTITION BY x.prefix ORDER BY x.n) AS seq FROM x LEFT JOIN r ON rn = 1 AND r.prefix = x.prefix AND r.n = x.n WHERE r.n IS NULL)
+SELECT r.key, coalesce(r.prefix || '-' || f.n, r.task_number) AS task_number, CASE WHEN r.rn > 1 THEN 'update' ELSE 'keep' END AS action FROM r LEFT JOIN l ON l.key = r.key LEFT JOIN f ON f.prefix = l.prefix AND f.seq = l.seq""")
 def job_repair_numbers(t: Tables):
     numbered = t.bind(_DOUBLE).join(_squares(t).select("key", "geom"), "key")
-    done = areas.repair_numbers(numbered, _districts(t), cell=CELL)
-    return done.agg(
-        F.count("*").alias("n"), F.countDistinct("key").alias("keys"),
-        (F.count("*") - F.countDistinct("task_number")).cast("int").alias("doubles"), F.count_if(c("action") == "update").alias("renumbered"),
-    )
+    return areas.repair_numbers(numbered, _districts(t), cell=CELL).select("key", "task_number", "action")
 
 
 @query("job_reactivate", f"""WITH d AS (SELECT * FROM {sub(b.DISTRICTS)} WHERE rayon = 'NATION_12'),
@@ -239,11 +259,11 @@ def job_photo_worklist(t: Tables):
     return photos.match_files(todo, listing).select("oid", "outcome")
 
 
-@query("job_download_worklist", """SELECT action, count(*) AS n FROM (SELECT CASE WHEN p_size > 40 THEN 'stored' WHEN count(*) OVER (PARTITION BY p_name, p_size) = 1 AND p_size < 20 THEN 'reuse' ELSE 'fetch' END AS action FROM part) GROUP BY 1""")
+@query("job_download_worklist", """SELECT 'u' || p_partkey AS uuid, CASE WHEN p_size > 40 THEN 'stored' WHEN count(*) OVER (PARTITION BY p_name, p_size) = 1 AND p_size < 20 THEN 'reuse' ELSE 'fetch' END AS action FROM part""")
 def job_download_worklist(t: Tables):
     name = F.concat_ws(" ", "p_name", "p_size")
     meta = t.part.select(F.concat(F.lit("u"), c("p_partkey")).alias("uuid"), F.concat(name, F.lit(".jpg")).alias("image_name"))
     stored = t.part.filter("p_size > 40").select(F.concat(F.lit("u"), c("p_partkey"), F.lit(".png")).alias("name")).unionByName(
         t.part.filter("p_size < 20").select(F.concat(name, F.lit(".jpg")).alias("name"))
     )
-    return photos.download_worklist(meta, stored).groupBy("action").agg(F.count("*").alias("n"))
+    return photos.download_worklist(meta, stored).select("uuid", "action")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,16 +117,20 @@ def radius_search(points: DataFrame, lat: float, lng: float, radius_m: float) ->
     return boxed.filter(g.distance_m(near, position) <= radius_m)
 
 
-def item_geometries(items: DataFrame, layers: DataFrame, by_id: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
+def item_geometries(items: DataFrame, layers: DataFrame | None, by_id: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
     """Every geometry an item can be found by: ``task_key``, ``geom``, ``prio``, ``source``, ``row_id``.
 
-    ``layers`` are linked layer rows. Each of ``by_id`` is a point table with ``id`` and ``geom``, its
+    ``layers`` are linked layer rows, if there are any. Each of ``by_id`` is a point table with ``id`` and ``geom``, its
     business-id column, the item column holding that id, and the table's name for anchors.
     """
-    prio = F.when(F.col("layer") == "polygons", 2).when(F.col("layer") == "lines", 1).otherwise(0)
-    found = layers.filter(F.col("task_key").isNotNull() & ~g.is_empty(F.col("geom"))).select(
-        "task_key", "geom", prio.alias("prio"), F.col("layer").alias("source"), F.col("id").alias("row_id")
-    )
+    ways = []
+    if layers is not None:
+        prio = F.when(F.col("layer") == "polygons", 2).when(F.col("layer") == "lines", 1).otherwise(0)
+        ways.append(
+            layers.filter(F.col("task_key").isNotNull() & ~g.is_empty(F.col("geom"))).select(
+                "task_key", "geom", prio.alias("prio"), F.col("layer").alias("source"), F.col("id").alias("row_id")
+            )
+        )
     for table, business_id, item_id, name in by_id:
         rows = table.filter(~g.is_empty(F.col("geom"))).select(
             F.col("id").alias("row_id"), "geom", F.col(business_id).cast("string").alias("_bid")
@@ -139,12 +145,12 @@ def item_geometries(items: DataFrame, layers: DataFrame, by_id: list[tuple[DataF
             "row_id",
         )
         for part in (named, anchored):
-            found = found.unionByName(
+            ways.append(
                 part.select(
                     F.col("key").alias("task_key"), "geom", F.lit(0).alias("prio"), F.lit(name).alias("source"), "row_id"
                 )
             )
-    return found
+    return reduce(DataFrame.unionByName, ways)
 
 
 def best_geometry(found: DataFrame) -> DataFrame:

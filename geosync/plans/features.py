@@ -87,8 +87,9 @@ def rebuild_layers(table: DataFrame, old: DataFrame) -> tuple[DataFrame, DataFra
 
 
 def load_preserving(features: DataFrame, target: DataFrame, old_layers: DataFrame, items: DataFrame, service: Service,
-                    rule: PurgeRule | None, as_of: Column, order: str = "ord") -> dict[str, DataFrame]:
-    """A load that keeps ids and links: upsert, delete absent, purge, derive, split, link, check.
+                    rule: PurgeRule | None, as_of: Column, order: str = "ord",
+                    areas: DataFrame | None = None) -> dict[str, DataFrame]:
+    """A load that keeps ids and links: upsert, delete absent, purge, derive, split, link, tag with ``areas``, check.
 
     Raises when links were lost. Returns ``table``, ``layers``, ``items`` and the counts of each step.
     """
@@ -107,7 +108,7 @@ def load_preserving(features: DataFrame, target: DataFrame, old_layers: DataFram
     table, derived = add_derived(merge.settle(purged), merged)
     table = cut_lineage(table)
     rebuilt, split = rebuild_layers(table, old_layers)
-    synced = sync_layer_items(cut_lineage(rebuilt), items, table, service, as_of)
+    synced = sync_layer_items(cut_lineage(rebuilt), items, table, service, as_of, areas)
     audit.require_links(old_layers, synced["layers"])
     return {
         "table": synced["parents"],

@@ -111,7 +111,7 @@ def replace_by_key(features: DataFrame, key: str, order: str = "ord") -> dict[st
 
 
 def mirror_schema(spark: SparkSession, source: str, names: list[str], folder: str, reports: str, items: DataFrame,
-                  item_type: str, as_of: Column) -> dict[str, DataFrame]:
+                  item_type: str, as_of: Column, areas: DataFrame | None = None) -> dict[str, DataFrame]:
     """Copies every table, gives the reports a point, purges the old ones, makes items of the rest."""
     copied = sync_schema(spark, source, names, folder)
     table = spark.read.parquet(f"{folder}/{reports}.parquet")
@@ -121,7 +121,7 @@ def mirror_schema(spark: SparkSession, source: str, names: list[str], folder: st
     kept = merge.settle(tagged)
     synced = sync_photo_items(
         kept.withColumn("uuid", F.col("external_report_id")), items, item_type, reports, as_of,
-        id_column="report_id", per_camera=False,
+        id_column="report_id", per_camera=False, areas=areas,
     )
     return {
         "copied": copied, "reports": kept, "purge_counts": merge.count_actions(tagged),
