@@ -88,11 +88,17 @@ def dump_parts(t: Tables):
     return parts.select("id", "part_no", c("p.kind").alias("kind"))
 
 
-@query("dump_vertices", f"""WITH w AS (SELECT id, CAST(xs AS DOUBLE) AS x, CAST(ys AS DOUBLE) AS y, CAST(xs2 AS DOUBLE) AS x2, CAST(ys2 AS DOUBLE) AS y2 FROM {sub(WKT)} WHERE id % 9 = 2)
-SELECT id, CAST(i AS INTEGER) AS pos, [x, x2, x2, x, x][i + 1] AS x, [y, y, y2, y2, y][i + 1] AS y FROM w, range(5) r(i)""")
+_RING_X, _RING_Y = "x, x2, x2, x, x", "y, y, y2, y2, y"
+_VERTICES = " ".join(
+    f"WHEN {k} THEN [{v}]" for k, v in enumerate(("x", "x, x2", _RING_X, "x, x2", "x, x2, x, x2", _RING_X, f"x, x, x2, {_RING_X}"))
+)
+
+
+@query("dump_vertices", f"""WITH w AS (SELECT id, CAST(xs AS DOUBLE) AS x, CAST(ys AS DOUBLE) AS y, CAST(xs2 AS DOUBLE) AS x2, CAST(ys2 AS DOUBLE) AS y2 FROM {sub(WKT)} WHERE id % 9 < 7),
+v AS (SELECT id, CASE id % 9 {_VERTICES} END AS xs, CASE id % 9 {_VERTICES.replace(_RING_X, 'RING').replace('x', 'y').replace('RING', _RING_Y)} END AS ys FROM w)
+SELECT id, CAST(i - 1 AS INTEGER) AS pos, xs[i] AS x, ys[i] AS y FROM (SELECT *, unnest(range(1, len(xs) + 1)) AS i FROM v)""")
 def dump_vertices(t: Tables):
-    simple = _shapes(t).filter("geom.kind = 'polygon'")
-    return simple.select("id", F.posexplode(g.vertices(c("geom"))).alias("pos", "v")).select("id", "pos", "v.x", "v.y")
+    return _shapes(t).select("id", F.posexplode(g.vertices(c("geom"))).alias("pos", "v")).select("id", "pos", "v.x", "v.y")
 
 
 @query("to_multi", f"SELECT id, CASE WHEN id % 9 < 3 OR id % 9 = 7 THEN 'multi' || {_KIND} ELSE {_KIND} END AS kind FROM {sub(WKT)}")
@@ -236,11 +242,41 @@ def point_on_surface(t: Tables):
     return on.select("key", F.round(g.x_of(c("p")), 6).alias("x"), F.round(g.y_of(c("p")), 6).alias("y"))
 
 
-@query("grid_cells", f"""SELECT key, CAST((floor(x1 / {CELL}) - floor(x0 / {CELL}) + 1) * (floor(y1 / {CELL}) - floor(y0 / {CELL}) + 1) AS INTEGER) AS n_cells,
-CAST(floor(x0 / {CELL}) AS BIGINT) * 4294967296 + CAST(floor(y0 / {CELL}) AS BIGINT) + 2147483648 AS first_cell FROM {SQUARES}""")
+# Boxes from the width of a door to that of a continent: what a box covers must not grow with it.
+_WIDE = f"SELECT id, lon, lat, CASE WHEN id % 40 = 0 THEN 35e0 WHEN id % 10 = 1 THEN 0.3e0 ELSE 0.0004e0 END AS half FROM {POINTS}"
+_WIDE_SQUARES = f"SELECT key, x0, y0, CASE WHEN key % 20 = 0 THEN 45e0 WHEN key % 3 = 1 THEN 0.06e0 ELSE 0.002e0 END AS half FROM {SQUARES}"
+_LEVEL = f"CASE WHEN 2 * half <= {CELL} THEN 0 ELSE CAST(ceil(ln(2 * half / {CELL}) / ln(4)) AS INTEGER) END"
+
+
+def _wide(rows: DataFrame, x: str, y: str, half) -> DataFrame:
+    ring = g.box_ring(c(x) - half, c(y) - half, c(x) + half, c(y) + half)
+    return rows.withColumn("geom", g.polygon(ring))
+
+
+def _wide_points(t: Tables) -> DataFrame:
+    half = F.when(c("id") % 40 == 0, 35.0).when(c("id") % 10 == 1, 0.3).otherwise(0.0004)
+    return _wide(t.bind(b.POINTS), "lon", "lat", half)
+
+
+def _wide_squares(t: Tables) -> DataFrame:
+    half = F.when(c("key") % 20 == 0, 45.0).when(c("key") % 3 == 1, 0.06).otherwise(0.002)
+    return _wide(t.bind(b.SQUARES), "x0", "y0", half)
+
+
+@query("grid_cells", f"""WITH w AS (SELECT *, {_LEVEL} AS level, {CELL}::DOUBLE * pow(4e0, {_LEVEL}) AS s FROM ({_WIDE}))
+SELECT id, level, CAST((floor((lon + half) / s) - floor((lon - half) / s) + 1) * (floor((lat + half) / s) - floor((lat - half) / s) + 1) AS INTEGER) AS n_cells,
+CAST(floor((lon - half) / s) AS BIGINT) AS first_x, CAST(floor((lat - half) / s) AS BIGINT) AS first_y FROM w""")
 def grid_cells(t: Tables):
-    cells = _squares(t).select("key", grid.cover(g.bbox(c("geom")), CELL).alias("cells"))
-    return cells.select("key", F.size("cells").alias("n_cells"), F.array_min("cells").alias("first_cell"))
+    boxes = _wide_points(t).withColumn("box", g.bbox(c("geom"))).withColumn("level", grid.level_of(c("box"), CELL))
+    cells = boxes.select("id", "level", grid.cover(c("box"), CELL, c("level")).alias("cells"))
+    first = F.array_min("cells")
+    return cells.select("id", "level", F.size("cells").alias("n_cells"), first["cx"].alias("first_x"), first["cy"].alias("first_y"))
+
+
+@query("spatial_all_sizes", f"""SELECT p.id, s.key FROM ({_WIDE}) p JOIN ({_WIDE_SQUARES}) s
+ON p.lon - p.half <= s.x0 + s.half AND s.x0 - s.half <= p.lon + p.half AND p.lat - p.half <= s.y0 + s.half AND s.y0 - s.half <= p.lat + p.half""")
+def spatial_all_sizes(t: Tables):
+    return spatial.spatial_join(_wide_points(t), _wide_squares(t), "id", "key", cell=CELL, hot_rows=50)
 
 
 _BESSEL = """lat0 AS (SELECT 0.006674372231802145e0 AS e2, 6377397.155e0 AS a),

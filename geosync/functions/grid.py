@@ -1,28 +1,39 @@
-"""Square grid over coordinates: cells that a box covers."""
+"""Square grids over coordinates, one for each size of box: cells that a box covers."""
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_HALF = 2147483648
-_FULL = 4294967296
+#: Cells of a level are so many times as wide as those of the level below.
+STEP = 4
+
+
+def _width(size: float, level: Column) -> Column:
+    return F.lit(float(size)) * F.pow(F.lit(float(STEP)), level)
 
 
-def cell_of(x: Column, y: Column, size: float) -> Column:
-    """Number of the cell that holds a position."""
-    return _cell(F.floor(x / size), F.floor(y / size))
+def cell_of(x: Column, y: Column, size: float, level: Column) -> Column:
+    """The cell of a level that holds a position; cells of level 0 are ``size`` wide."""
+    width = _width(size, level)
+    return F.struct(F.floor(x / width).alias("cx"), F.floor(y / width).alias("cy"))
 
 
-def _cell(cx: Column, cy: Column) -> Column:
-    return cx.cast("long") * _FULL + (cy.cast("long") + _HALF)
+def level_of(box: Column, size: float) -> Column:
+    """The finest level with cells as wide as the box, whatever its size, so that it touches four cells at most."""
+    extent = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
+    coarse = F.ceil(F.log(F.greatest(extent, F.lit(float(size))) / size) / log(STEP))
+    return F.when(extent.isNotNull(), coarse.cast("int"))
 
 
-def cover(box: Column, size: float) -> Column:
-    """Cells that a bounding box touches."""
-    xs = F.sequence(F.floor(box["xmin"] / size), F.floor(box["xmax"] / size))
-    ys = F.sequence(F.floor(box["ymin"] / size), F.floor(box["ymax"] / size))
-    return F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: _cell(cx, cy))))
+def cover(box: Column, size: float, level: Column) -> Column:
+    """Cells of a level that a bounding box touches."""
+    width = _width(size, level)
+    xs = F.sequence(F.floor(box["xmin"] / width), F.floor(box["xmax"] / width))
+    ys = F.sequence(F.floor(box["ymin"] / width), F.floor(box["ymax"] / width))
+    return F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
 
 
 def boxes_meet(a: Column, b: Column) -> Column:
@@ -32,6 +43,6 @@ def boxes_meet(a: Column, b: Column) -> Column:
     )
 
 
-def home_cell(a: Column, b: Column, size: float) -> Column:
+def home_cell(a: Column, b: Column, size: float, level: Column) -> Column:
     """The one cell, of those two meeting boxes share, in which their pair is to be kept."""
-    return cell_of(F.greatest(a["xmin"], b["xmin"]), F.greatest(a["ymin"], b["ymin"]), size)
+    return cell_of(F.greatest(a["xmin"], b["xmin"]), F.greatest(a["ymin"], b["ymin"]), size, level)

@@ -9,10 +9,43 @@ from pyspark.sql import functions as F
 
 from geosync.functions import geom as g
 from geosync.functions import grid
+from geosync.session import stage
 
-# Left rows of a cell beyond which it is split over several tasks, each with so many.
+# Rows of one side in a cell beyond which they are split over several tasks, each with so many.
 HOT_ROWS = 1_000_000
 
+# How two rows may meet in a cell: on one level, or on that of the coarser one.
+_SAME, _LEFT_COARSER, _RIGHT_COARSER = 0, 1, 2
+_PLACE = ["_meet", "_level", "_cell"]
+
+
+def _located(df: DataFrame, key: str, geom: str, side: str, cell: float) -> DataFrame:
+    """Id, geometry, box and level of the rows with a box, parsed and measured once."""
+    boxed = df.select(F.col(key).alias(f"_{side}id"), F.col(geom).alias(f"_{side}g")).withColumn(f"_{side}b", g.bbox(F.col(f"_{side}g")))
+    return stage(boxed.withColumn(f"_{side}l", grid.level_of(F.col(f"_{side}b"), cell)), f"located-{side}")
+
+
+def _levels(located: DataFrame, side: str) -> list[int]:
+    """Levels in use: one for each fourfold size of box, so a few dozen whatever the data."""
+    return sorted(row[0] for row in located.select(f"_{side}l").distinct().collect() if row[0] is not None)
+
+
+def _placed(located: DataFrame, side: str, others: list[int], coarser: int, finer: int, cell: float) -> DataFrame:
+    """A row for each cell in which a geometry can meet one of the other side.
+
+    It meets coarser ones in cells of their level, and all others in cells of its own.
+    """
+    own = F.col(f"_{side}l")
+    meets = F.transform(
+        F.array(*[F.lit(level) for level in others]).cast("array<int>"),
+        lambda level: F.struct(
+            F.when(level == own, _SAME).when(level > own, coarser).otherwise(finer).alias("_meet"),
+            F.greatest(level, own).alias("_level"),
+        ),
+    )
+    met = located.select("*", F.explode(F.array_distinct(meets)).alias("_m")).select(*located.columns, "_m._meet", "_m._level")
+    return met.withColumn("_cell", F.explode(grid.cover(F.col(f"_{side}b"), cell, F.col("_level"))))
+
 
 def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_geom: str = "geom",
                  right_geom: str = "geom", cell: float = 0.05, within: bool = False,
@@ -22,32 +55,33 @@ def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     ``keep_geometry`` adds ``left_geom`` and ``right_geom``, so that they need not be joined back.
 
     With ``within`` the left geometry is a point that must lie strictly inside. Ids must be unique on
-    their side. Each side is spread over the cells its box touches; a pair that meets in several cells
-    is kept in one of them only, so no distinct is needed. Cells with more than ``hot_rows`` left rows are salted;
-    the list of them has a row for each ``hot_rows`` of the left side at most. Adaptive execution broadcasts a side of
-    few bytes.
+    their side. Both sides are staged once with their boxes. A box lies on the level of the grid that fits its size and
+    touches four cells there at most; two rows meet in cells of the coarser one's level, and a pair that meets in
+    several is kept in one of them only, so no distinct is needed. Where one side has more than ``hot_rows`` rows in a
+    cell, they are split and the other side's are copied; the list of such cells has an entry for each ``hot_rows``
+    rows at most. Adaptive execution broadcasts a side of few bytes.
     """
-    # Rows without a box get a NULL cell, which no join keeps. A plain explode, or a filter on the box,
-    # would make Spark compute the box once more below it.
-    lhs = (
-        left.select(F.col(left_id).alias("_lid"), F.col(left_geom).alias("_lg"))
-        .withColumn("_lb", g.bbox(F.col("_lg")))
-        .withColumn("_cell", F.explode_outer(grid.cover(F.col("_lb"), cell)))
-    )
-    rhs = (
-        right.select(F.col(right_id).alias("_rid"), F.col(right_geom).alias("_rg"))
-        .withColumn("_rb", g.bbox(F.col("_rg")))
-        .withColumn("_cell", F.explode_outer(grid.cover(F.col("_rb"), cell)))
-    )
-    hot = lhs.groupBy("_cell").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = F.broadcast(hot.select("_cell", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")))
-    parts = F.coalesce("_parts", F.lit(1))
-    spread = lhs.join(hot, "_cell", "left").withColumn("_salt", F.pmod(F.xxhash64("_lid"), parts).cast("int")).drop("_parts")
-    copied = rhs.join(hot, "_cell", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
-    pairs = spread.join(copied, ["_cell", "_salt"])
+    lhs, rhs = _located(left, left_id, left_geom, "l", cell), _located(right, right_id, right_geom, "r", cell)
+    left_levels, right_levels = _levels(lhs, "l"), _levels(rhs, "r")
+    lhs = _placed(lhs, "l", right_levels, _RIGHT_COARSER, _LEFT_COARSER, cell)
+    rhs = _placed(rhs, "r", left_levels, _LEFT_COARSER, _RIGHT_COARSER, cell)
+    parts = F.ceil(F.col("count") / hot_rows).cast("int")
+    crowded = [
+        side.groupBy(*_PLACE).count().filter(F.col("count") > hot_rows).select(*_PLACE, parts.alias(own), F.lit(1).alias(other))
+        for side, own, other in ((lhs, "_lparts", "_rparts"), (rhs, "_rparts", "_lparts"))
+    ]
+    hot = crowded[0].unionByName(crowded[1]).groupBy(*_PLACE).agg(F.max("_lparts").alias("_lparts"), F.max("_rparts").alias("_rparts"))
+
+    def salted(side: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        marked = side.join(F.broadcast(hot), _PLACE, "left")
+        split = F.pmod(F.xxhash64(key), F.coalesce(f"{own}parts", F.lit(1))).cast("int")
+        copies = F.sequence(F.lit(0), F.coalesce(f"{other}parts", F.lit(1)) - 1)
+        return marked.withColumn(f"{own}salt", split).withColumn(f"{other}salt", F.explode(copies)).drop("_lparts", "_rparts")
+
+    pairs = salted(lhs, "_lid", "_l", "_r").join(salted(rhs, "_rid", "_r", "_l"), [*_PLACE, "_lsalt", "_rsalt"])
     near = pairs.filter(
         grid.boxes_meet(F.col("_lb"), F.col("_rb"))
-        & (F.col("_cell") == grid.home_cell(F.col("_lb"), F.col("_rb"), cell))
+        & (F.col("_cell") == grid.home_cell(F.col("_lb"), F.col("_rb"), cell, F.col("_level")))
     )
     if within:
         exact = g.point_within(g.start_point(F.col("_lg")), F.col("_rg"))

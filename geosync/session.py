@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,8 @@ def build_session(app: str = "geosync", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # A checkpoint goes when nothing refers to it any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -46,6 +49,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_STAGED: list[str] = []
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new folder of the shared folder and read back, so that later passes read few columns."""
+    folder = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    _STAGED.append(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def discard_staged(spark: SparkSession) -> None:
+    """Removes what ``stage`` wrote; for the end of a job, when all its results are written."""
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores when its input comes in fewer pieces, as one small file does.
 

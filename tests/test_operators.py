@@ -4,7 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from geosync.operators import audit, guards, keep, links, merge, numbering
+from geosync.functions import geom as g
+from geosync.operators import audit, guards, keep, links, merge, numbering, spatial
 
 c = F.col
 
@@ -190,8 +191,47 @@ def test_json_text_is_escaped(spark):
 
 def test_radius_across_the_meridian(spark):
     from geosync.functions import geom as g
-    from geosync.operators import spatial
 
     df = spark.createDataFrame([(1, 179.999), (2, -179.999), (3, 179.9)], "id int, lon double").withColumn("geom", g.point(c("lon"), F.lit(0.0)))
     for centre in (179.999, -179.999):
         assert sorted(r["id"] for r in spatial.radius_search(df, 0.0, centre, 1000).collect()) == [1, 2]
+
+
+def square(x, y, half):
+    return f"POLYGON (({x - half} {y - half}, {x + half} {y - half}, {x + half} {y + half}, {x - half} {y + half}, {x - half} {y - half}))"
+
+
+def test_boxes_of_any_size_meet_once(spark):
+    from geosync.functions import grid
+
+    rng = random.Random(3)
+    sizes = [0.001, 0.02, 0.3, 4.0, 170.0, 3_000_000.0]
+    sides = []
+    for key in ("a", "b"):
+        rows = [(i, rng.uniform(-60, 60), rng.uniform(-60, 60), rng.choice(sizes)) for i in range(60)]
+        # Many at one place, so that its cells are split on either side.
+        rows += [(100 + i, 10.0, 10.0, 0.001) for i in range(15)]
+        shapes = spark.createDataFrame([(i, square(x, y, h)) for i, x, y, h in rows] + [(999, None)], f"{key} int, wkt string")
+        sides.append((rows, shapes.select(key, g.from_wkt(c("wkt")).alias("geom"))))
+    (left, l), (right, r) = sides
+    wanted = sorted(
+        (i, k) for i, x, y, h in left for k, u, v, w in right if abs(x - u) <= h + w and abs(y - v) <= h + w
+    )
+    for hot in (4, 1_000_000):
+        got = sorted(tuple(x) for x in spatial.spatial_join(l, r, "a", "b", cell=0.05, hot_rows=hot).collect())
+        assert got == wanted
+    assert spatial.spatial_join(l, r.limit(0), "a", "b").isEmpty() and spatial.spatial_join(l.filter("a = 999"), r, "a", "b").isEmpty()
+    cells = l.withColumn("box", g.bbox(c("geom"))).select(F.size(grid.cover(c("box"), 0.05, grid.level_of(c("box"), 0.05))).alias("n"))
+    assert cells.agg(F.max("n")).first()[0] <= 4
+
+
+def test_items_keep_keys_of_other_tables(spark):
+    from geosync.plans import items as item_jobs
+
+    have = spark.createDataFrame([("k1", ["gone"]), ("k2", ["old"]), ("k3", ["gone"])], "key string, area_key array<string>")
+    found = spark.createDataFrame([("k1", 0.5), ("k3", 50.0)], "task_key string, x double").select(
+        "task_key", g.point(c("x"), c("x")).alias("geom"), F.lit(0).alias("prio"), F.lit("t").alias("source"), F.lit(1).alias("row_id")
+    )
+    zones = spark.createDataFrame([(7, square(0.5, 0.5, 0.2))], "key int, wkt string").select("key", g.from_wkt(c("wkt")).alias("geom"))
+    got = {x["key"]: x["area_key"] for x in item_jobs.tag_areas(have, found, zones).collect()}
+    assert got == {"k1": ["7"], "k2": ["old"], "k3": None}
