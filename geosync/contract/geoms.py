@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geosync.contract import bindings as b
@@ -354,6 +354,35 @@ def validity_report(t: Tables):
     return checked.select("id", g.validity(c("geom")).alias("v")).select("id", "v.valid", "v.reason")
 
 
+# Shells, holes and parts beside, across and inside each other, moved by the key.
+_PLACED = (
+    "POLYGON (A, B)", "POLYGON (A, C)", "POLYGON (A, D)", "MULTIPOLYGON ((A), (D))", "MULTIPOLYGON ((A), (C))", "POLYGON (A, B, E)",
+    "MULTIPOLYGON ((A), (A))", "MULTIPOLYGON ((A, B), (E))", "MULTIPOLYGON ((A, F), (E))", "POLYGON (A, B, G)",
+)
+_BOXES = {"A": (0, 10), "B": (2, 5), "C": (20, 25), "D": (8, 14), "E": (4, 6), "F": (3, 7), "G": (6, 8)}
+
+
+def _placed(t: Tables) -> DataFrame:
+    def corner(x: int, y: int) -> Column:
+        return F.concat(c("p_partkey") % 100 + x, F.lit(" "), F.lit(str(y)))
+
+    def ring(low: int, high: int) -> Column:
+        corners = [corner(low, low), corner(high, low), corner(high, high), corner(low, high), corner(low, low)]
+        return F.concat(F.lit("("), F.concat_ws(", ", *corners), F.lit(")"))
+
+    text = F.get(F.array(*[F.lit(x) for x in _PLACED]), (c("p_partkey") % len(_PLACED)).cast("int"))
+    # The word before the first bracket holds such letters too.
+    head, tail = F.regexp_extract(text, r"^(\w+) (.*)$", 1), F.regexp_extract(text, r"^(\w+) (.*)$", 2)
+    for letter, box in _BOXES.items():
+        tail = F.replace(tail, F.lit(letter), ring(*box))
+    return t.part.select(c("p_partkey").alias("id"), g.from_wkt(F.concat_ws(" ", head, tail)).alias("geom"))
+
+
+@query("validity_rings", """SELECT p_partkey AS id, reason IS NULL AS valid, reason FROM (SELECT p_partkey, [NULL, 'hole outside its shell', 'hole outside its shell', 'parts overlap', NULL, 'holes overlap', 'parts overlap', 'parts overlap', NULL, NULL][p_partkey % 10 + 1] AS reason FROM part)""")
+def validity_rings(t: Tables):
+    return _placed(t).select("id", g.validity(c("geom")).alias("v")).select("id", "v.valid", "v.reason")
+
+
 @query("make_valid_basic", """SELECT p_partkey AS id, ['valid', 'cleaned', 'cleaned', 'repaired', 'cleaned'][p_partkey % 5 + 1] AS geom_status, CAST([5, 5, 5, 8, 0][p_partkey % 5 + 1] AS INTEGER) AS n_points FROM part""")
 def make_valid_basic(t: Tables):
     fixed = repair.make_valid(_rings(t), "geom", "fixed")

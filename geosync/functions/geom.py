@@ -919,8 +919,54 @@ def clean(geom: Column) -> Column:
     ).cast(GEOMETRY)
 
 
+def _any_two(items: Column, test) -> Column:
+    """Whether two items of an array pass a test."""
+    placed = F.transform(items, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
+    return F.exists(placed, lambda a: F.exists(F.slice(items, a["i"] + 2, F.size(items)), lambda b: test(a["v"], b)))
+
+
+def _edges_cross(e: Column, f: Column) -> Column:
+    """The edges cross, each between the ends of the other; touching does not count."""
+    a = cross(e["x1"], e["y1"], e["x2"], e["y2"], f["x1"], f["y1"])
+    b = cross(e["x1"], e["y1"], e["x2"], e["y2"], f["x2"], f["y2"])
+    c = cross(f["x1"], f["y1"], f["x2"], f["y2"], e["x1"], e["y1"])
+    d = cross(f["x1"], f["y1"], f["x2"], f["y2"], e["x2"], e["y2"])
+    return (F.signum(a) * F.signum(b) < 0) & (F.signum(c) * F.signum(d) < 0)
+
+
+def _parts_overlap(p: Column, q: Column) -> Column:
+    """Polygon parts share more than border: borders cross, a vertex lies inside the other, or the vertices are the same."""
+
+    def any_vertex_within(one: Column, other: Column) -> Column:
+        return F.exists(F.flatten(one["rings"]), lambda v: position_within(v["x"], v["y"], other))
+
+    def same(one: Column, other: Column) -> Column:
+        return F.array_sort(F.array_distinct(F.flatten(one["rings"]))) == F.array_sort(F.array_distinct(F.flatten(other["rings"])))
+
+    borders = F.exists(part_edges(p), lambda e: F.exists(part_edges(q), lambda f: _edges_cross(e, f)))
+    return borders | any_vertex_within(p, q) | any_vertex_within(q, p) | same(p, q)
+
+
+def _single(ring: Column) -> Column:
+    return F.struct(F.lit("polygon").alias("kind"), F.array(ring).alias("rings"))
+
+
+def _leaves(hole: Column, shell: Column) -> Column:
+    """Some of the hole lies outside its shell."""
+    beyond = F.exists(hole, lambda v: ~position_touches(v["x"], v["y"], _single(shell)))
+    return beyond | F.exists(ring_edges(hole), lambda e: F.exists(ring_edges(shell), lambda f: _edges_cross(e, f)))
+
+
 def validity(geom: Column) -> Column:
-    """``struct(valid, reason)``: unclosed, too few vertices, or crossing itself."""
+    """``struct(valid, reason)``: unclosed, too few vertices, crossing itself, holes or parts in the wrong place.
+
+    Rings and parts may touch each other.
+    """
+
+    def holes(p: Column) -> Column:
+        return F.slice(p["rings"], 2, F.size(p["rings"]))
+
+    solids = F.filter(geom["parts"], lambda p: (p["kind"] == "polygon") & (F.size(p["rings"]) > 0))
 
     def any_ring(test) -> Column:
         return F.exists(
@@ -932,6 +978,9 @@ def validity(geom: Column) -> Column:
         .when(any_ring(lambda r: ~is_closed(r)), F.lit("ring not closed"))
         .when(any_ring(lambda r: F.size(r) < 4), F.lit("too few points"))
         .when(any_ring(self_crossing), F.lit("self-intersection"))
+        .when(F.exists(solids, lambda p: F.exists(holes(p), lambda h: _leaves(h, F.get(p["rings"], F.lit(0))))), F.lit("hole outside its shell"))
+        .when(F.exists(solids, lambda p: _any_two(holes(p), lambda h, i: _parts_overlap(_single(h), _single(i)))), F.lit("holes overlap"))
+        .when(_any_two(solids, _parts_overlap), F.lit("parts overlap"))
     )
     return F.struct(reason.isNull().alias("valid"), reason.alias("reason"))
 

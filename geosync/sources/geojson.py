@@ -11,7 +11,9 @@ from geosync.functions.reproject import reproject
 from geosync.operators.schema import infer_types, to_columns, type_list
 from geosync.session import cut_lineage
 
+# How a collection names its coordinates; any other name is an error, as its numbers would be read as degrees.
 WEB_MERCATOR = "3857"
+DEGREES = "4326|CRS84|WGS ?84"
 
 
 def features_of(collection: Column) -> Column:
@@ -49,7 +51,12 @@ def _parse(listed: DataFrame) -> DataFrame:
         F.get_json_object("_f", "$.properties").alias("properties"),
         g.from_geojson(F.get_json_object("_f", "$.geometry")).alias("_g"),
     )
-    moved = F.when(F.col("_crs").contains(WEB_MERCATOR), reproject(F.col("_g"), 3857)).otherwise(F.col("_g"))
+    crs = F.col("_crs")
+    moved = (
+        F.when(crs.contains(WEB_MERCATOR), reproject(F.col("_g"), 3857))
+        .when(crs.isNull() | crs.rlike(DEGREES), F.col("_g"))
+        .otherwise(F.raise_error(F.concat(F.lit("no way to WGS84 from "), crs)).cast(g.GEOMETRY))
+    )
     return parsed.select("file_name", "ord", "properties", moved.alias("geom"))
 
 
