@@ -1,4 +1,4 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in six stages."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from geosync.llm.staging import discard, documents, stage
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near duplicates here: shingles of five words, similarity of 80 percent or more.
 NEAR = jaccard.Rules(words=5, percent=80)
+#: Words of a passage that is cut where it repeats, however few bytes it has.
+PASSAGE = 51
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +46,15 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     )
 
 
+def cut_short_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of over 50 words that come more than once, also those too short in bytes for the stage before."""
+    found = repeats.strip(docs, keep=COLUMNS[1:], words=PASSAGE)
+    cut = F.col("n_removed") > 0
+    return found.withColumn("text", F.when(cut, F.col("kept").cast("string")).otherwise(F.col("text"))).select(
+        "doc_id", "text", "lang", "source", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
+    )
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of at most 4096 tokens."""
     return packing.pack(docs, default_path())
@@ -54,6 +65,7 @@ STAGES = [
     ("quality", keep_good_documents),
     ("near_duplicates", keep_one_of_near_copies),
     ("repeated_passages", cut_repeated_passages),
+    ("short_passages", cut_short_passages),
     ("packing", pack_sequences),
 ]
 

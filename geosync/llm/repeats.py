@@ -14,13 +14,16 @@
    equal ones meet by their hash.
 
 Starts found come back to their documents, where the bytes they cover are cut out.
+
+Passages of so many words go the same way: each word of the lower-cased text is written as ``CODE`` bytes of its hash, so
+equal runs of words are equal strings of one length, whatever the words' own lengths and the white space between them.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +33,14 @@ from pyspark.sql import functions as F
 
 from geosync.llm.bitmaps import thinned
 from geosync.llm.bwt import MOST, repeated, spans
+from geosync.llm.language import lowered
 from geosync.llm.staging import carried, carried_arrays, documents, stage, tidy
-from geosync.llm.textbytes import Hashes, Slice, mix, text_slices
+from geosync.llm.textbytes import SPACE, Hashes, Slice, group_starts, mix, text_slices
 
 #: Starts of one long text that are handled at once.
 CHUNK = 1 << 20
+#: Bytes that stand for a word, with 7 bits of its hash each, so that they are a string too.
+CODE = 8
 
 
 @dataclass(frozen=True)
@@ -224,18 +230,50 @@ def repeated_starts(docs: DataFrame, rules: Rules) -> DataFrame:
     return copies.unionAll(found).unionAll(singles.where("x OR y").select("key", "start", "n"))
 
 
-def strip(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), rules: Rules = Rules()) -> DataFrame:
+def coded(docs: DataFrame) -> DataFrame:
+    """``docs`` (_key, _text) with each word of the lower-cased text as ``CODE`` bytes, and nothing between them."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(lowered(batch.column(1))):
+                starts, ends, text = part.runs(~SPACE[part.data])
+                codes = Hashes(part.data).of(starts, ends).view(np.uint8) & 0x7F
+                offsets = (group_starts(text, len(part)) * CODE).astype(np.int32)
+                texts = pa.StringArray.from_buffers(len(part), pa.py_buffer(offsets), pa.py_buffer(codes))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.lo, len(part)), texts], names=["_key", "_text"])
+
+    return docs.select("_key", "_text").mapInArrow(tidy(run), "_key long, _text string")
+
+
+def word_spans(data: np.ndarray, starts: np.ndarray, words: int) -> np.ndarray:
+    """First byte and end in a text of the words that starts (first, last) in its coded form cover.
+
+    Only starts of words count; others repeat where words beside the same ones agree in a part of their codes.
+    """
+    inside = np.concatenate([[False], ~SPACE[data], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
+    first, last = -(-starts[:, 0] // CODE), starts[:, 1] // CODE
+    some = first <= last
+    return np.stack([edges[first[some], 0], edges[last[some] + words - 1, 1]], axis=1)
+
+
+def strip(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), rules: Rules = Rules(), words: int = 0
+) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, the removed runs as ``spans`` (start, length) and ``kept``, the rest.
 
     A byte goes if it lies in a string of ``rules.least`` bytes that starts anywhere else too, in the same text or
     another; strings are judged on the input. A null text is empty, and shorter texts stay whole. Repeated rows are each
-    other's copies, so all of a long one goes. ``keep`` are columns carried along
+    other's copies, so all of a long one goes. With ``words``, runs of so many words go instead, from
+    their first word to their last, however few bytes they have; case and white space make no difference, and words are
+    compared by 56 bits of their hashes. ``keep`` are columns carried along
     (the text with null as empty); others are not read. Equality of
     strings outside blocks, and of rows, goes by 64-bit hashes under a key.
     """
     rows = carried(docs, id_column, text_column, keep).withColumn("_text", F.coalesce("_text", F.lit(""))).withColumn("_key", F.xxhash64("_id", "_text"))
     # each row is counted, also where id and text come again
-    starts = repeated_starts(rows, rules).groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("_runs"))
+    found = repeated_starts(coded(rows), replace(rules, least=words * CODE)) if words else repeated_starts(rows, rules)
+    starts = found.groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("_runs"))
     others = (f"_keep_{c}" for c in keep if c != text_column)
     joined = rows.join(starts, rows["_key"] == starts["key"], "left").select("_id", "_text", "_runs", *others)
     names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
@@ -248,8 +286,10 @@ def strip(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
             for at, text in enumerate(batch.column(1)):
                 data = text.as_py().encode()
                 lists: list[dict] = []
-                if runs[at].is_valid:
-                    found = np.array([(r["start"], r["start"] + r["n"] - 1 + rules.least) for r in runs[at].as_py()])
+                found = np.array([(r["start"], r["start"] + r["n"] - 1) for r in runs[at].as_py() or []], np.int64).reshape(-1, 2)
+                if len(found):
+                    found = word_spans(np.frombuffer(data, np.uint8), found, words) if words else found + [0, rules.least]
+                if len(found):
                     found = found[np.argsort(found[:, 0])]
                     reach = np.maximum.accumulate(found[:, 1])
                     heads = np.flatnonzero(np.concatenate([[True], found[1:, 0] > reach[:-1]]))

@@ -86,3 +86,13 @@ def test_empty(spark, folder):
     for name, function in pipeline.STAGES:
         docs = pipeline.stage(function(spark, docs, folder), name)
         assert docs.count() == 0
+
+
+def test_short_passages_of_over_fifty_words_go(spark):
+    passage = [f"w{k}" for k in range(51)]
+    rest = [" ".join(f"{c}{k}" for k in range(80)) for c in "abcd"]
+    texts = [f"{rest[0]} {' '.join(passage)} {rest[1]}", f"{rest[2]}\n{' '.join(passage)}", f"{' '.join(passage[1:])} {rest[3]}"]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pipeline.cut_short_passages(spark, pipeline.cut_repeated_passages(spark, docs, ""), "").collect()}
+    want = [f"{rest[0]}  {rest[1]}", f"{rest[2]}\n", texts[2]]
+    assert len(" ".join(passage)) < 400 and kept == {k: (t, len(t)) for k, t in enumerate(want)}

@@ -1,6 +1,7 @@
 """Repeated strings against a count of all of them."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -106,3 +107,30 @@ def test_interval_expansion():
         order, rank = bwt.suffix_order(line)
         assert (rank[order] == np.arange(len(line))).all()
         assert bwt.repeated(line, least).tolist() == want
+
+
+def plain_words(texts, words):
+    """What stays when repeated runs of words go."""
+    data = [(t or "").encode() for t in texts]
+    places = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", d)] for d in data]
+    said = [[d[a:b].decode().lower() for a, b in p] for d, p in zip(data, places)]
+    runs = [[tuple(w[i : i + words]) for i in range(len(w) - words + 1)] for w in said]
+    counts = Counter(r for rs in runs for r in rs)
+    out = []
+    for d, p, rs in zip(data, places, runs):
+        stays = np.ones(len(d), bool)
+        for i, r in enumerate(rs):
+            if counts[r] > 1:
+                stays[p[i][0] : p[i + words - 1][1]] = False
+        out.append(bytes(np.frombuffer(d, np.uint8)[stays]))
+    return out
+
+
+@pytest.mark.parametrize("seed,rules", [(1, repeats.Rules(gram=16, cell=24, block=200)), (2, repeats.Rules(gram=8, cell=16)), (3, repeats.Rules(gram=12, cell=5, segments=2))])
+def test_repeated_words(spark, seed, rules):
+    texts = [t and t.replace(" longer", "\n\n Longer", 1) if k % 3 else t for k, t in enumerate(corpus(seed))]
+    texts += ["É a É a É a É a É a É a É a", "one\ttwo three four five six Seven", "x One two  three four five six seven\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"]: bytes(r["kept"]) for r in repeats.strip(df, rules=rules, words=7).collect()}
+    assert kept == dict(enumerate(plain_words(texts, 7)))
+    assert kept[len(texts) - 1] == b"x \n" and sum(k == b"" for k in kept.values()) < len(texts) / 2
