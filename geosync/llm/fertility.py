@@ -2,7 +2,7 @@
 
 A subword vocabulary splits ordinary prose into few, varied pieces. Text that it was not made for falls into short
 pieces or bytes, and repetitive text uses few different ones. Three measures say so: characters per token, the share of
-tokens that are single bytes, and the entropy of the tokens as a share of the most that their number allows. A document
+tokens that are single bytes (not those of line breaks and tabs), and the entropy of the tokens as a share of the most that their number allows. A document
 is rejected where a measure lies outside its language's band. The bands come from the quartiles over all documents.
 """
 
@@ -21,6 +21,8 @@ from geosync.llm.staging import carried, carried_arrays, documents, per_worker,
 from geosync.llm.textbytes import SPACE, Hashes, Slice, mix, shingle_hashes, text_slices
 
 VOCABULARY = "piece_bpe_32k.model"
+#: Byte tokens that say nothing of a text's language: line breaks and other white space have no tokens of their own.
+BLANK_BYTES = {f"<0x{b:02X}>" for b in np.flatnonzero(SPACE).tolist()}
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[*b"#*$%&|<>"]] = True
 WINDOW = 8
@@ -107,7 +109,7 @@ def scripts(texts: list[str]) -> list[str]:
 
 
 def fertility(part: Slice, texts: list[str], pieces, is_byte: np.ndarray) -> dict[str, np.ndarray]:
-    """Tokens, characters per token, share of byte tokens and relative entropy of each text."""
+    """Tokens, characters per token, share of byte tokens (``is_byte``, by id) and relative entropy of each text."""
     coded = [np.array(ids, np.int64) for ids in pieces.encode(texts, num_threads=1)]
     n = len(texts)
     sizes = np.array([len(x) for x in coded])
@@ -142,7 +144,7 @@ def measure(docs: DataFrame, path: str, id_column: str = "doc_id", text_column:
 
         def load():
             pieces = sentencepiece.SentencePieceProcessor(model_file=path)
-            return pieces, np.array([pieces.is_byte(i) for i in range(pieces.get_piece_size())])
+            return pieces, np.array([pieces.is_byte(i) and pieces.id_to_piece(i) not in BLANK_BYTES for i in range(pieces.get_piece_size())])
 
         pieces, is_byte = per_worker(("pieces", path), load)
         for batch in batches:

@@ -234,3 +234,14 @@ def test_language_accuracy_on_documents_held_out(spark):
     found = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(found) > 150
     assert sum(r["lang"] == r["lang_pred"] for r in found) >= 0.95 * len(found)
+
+
+def test_line_breaks_are_no_byte_fallback(spark):
+    draw = random.Random(4)
+    words = "the people of this house walk often along rivers and talk about old stories while children play near water every summer evening".split()
+    prose = [[draw.choice(words[k % 7 : 12 + k % 11]) for _ in range(240)] for k in range(80)]
+    texts = [" ".join(w) for w in prose] + ["\n".join(" ".join(w[i : i + 12]) for i in range(0, 240, 12)) for w in prose[:8]]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate([*texts, "a\nb\r\n\tc ὦ"])], "doc_id long, text string, lang string")
+    rows = fertility.judge(fertility.measure(docs, bpe.default_path(fertility.VOCABULARY), keep=("lang",)), "lang").collect()
+    assert {r["doc_id"] for r in rows if not r["kept"] and not r["base_failed"]} == set()
+    assert {r["doc_id"] for r in rows if r["byte_share"] > 0} == {88}
