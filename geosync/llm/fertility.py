@@ -166,23 +166,33 @@ def measure(docs: DataFrame, path: str, id_column: str = "doc_id", text_column:
 def judge(measured: DataFrame, group: str, bands: Bands = Bands()) -> DataFrame:
     """``measured`` with ``base_failed`` and ``kept``: the base rules, then the bands of the rows' group.
 
-    Bands come from the quartiles of all rows that pass the base rules; a group of few rows has none and keeps its rows.
-    Only the quartiles are shuffled, and ``most_bands`` of them broadcast at most.
+    Bands come from the quartiles of all rows that pass the base rules. Rows without a group, or whose group has no band
+    as it is small or beyond the largest ``most_bands``, share bands by script; only where these rows are too few for a
+    band as well are they kept. A large group's band would not do for them, as it rejects what is usual in a rare
+    language. Only the quartiles are shuffled, and ``most_bands`` of them broadcast at most.
     """
     failed = (F.col("n_words") < bands.fewest_words) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    rows = measured.withColumn("base_failed", failed).withColumn("band", F.coalesce(F.col(group), F.concat(F.lit("script:"), F.col("script"))))
-    quartiles = rows.where("NOT base_failed").groupBy("band").agg(
-        F.count("*").alias("band_rows"), *(F.percentile_approx(m, [0.25, 0.75], 2000).alias(f"{m}_q") for m in MEASURES)
-    )
-    quartiles = quartiles.where(F.col("band_rows") >= bands.fewest_documents).orderBy(F.desc("band_rows"), "band").limit(bands.most_bands)
-    judged = rows.join(F.broadcast(quartiles), "band", "left")
+    rows = measured.withColumn("base_failed", failed)
+
+    def quartiles(some: DataFrame, by: str, name: str) -> DataFrame:
+        found = some.where("NOT base_failed").groupBy(F.col(by).alias(f"{name}_of")).agg(
+            F.count("*").alias("band_rows"), F.struct(*(F.percentile_approx(m, [0.25, 0.75], 2000).alias(m) for m in MEASURES)).alias(name)
+        )
+        found = found.where((F.col("band_rows") >= bands.fewest_documents) & F.col(f"{name}_of").isNotNull())
+        found = found.orderBy(F.desc("band_rows"), f"{name}_of").limit(bands.most_bands).drop("band_rows")
+        return F.broadcast(found)
+
+    own = quartiles(rows, group, "own_band")
+    judged = rows.join(own, rows[group] == own["own_band_of"], "left")
+    shared = quartiles(judged.where("own_band IS NULL"), "script", "shared_band")
+    judged = judged.join(shared, judged["script"] == shared["shared_band_of"], "left").withColumn("band", F.coalesce("own_band", "shared_band"))
     good = F.lit(True)
     for m, least in zip(MEASURES, bands.least):
-        low, high = F.col(f"{m}_q")[0], F.col(f"{m}_q")[1]
+        low, high = F.col(f"band.{m}")[0], F.col(f"band.{m}")[1]
         width = F.greatest(high - low, F.lit(least)) * bands.reach * (1 + bands.scatter / F.sqrt(F.greatest("n_tokens", F.lit(1))))
         good &= F.col(m) <= high + width if m == "byte_share" else F.col(m) >= low - width
     kept = ~F.col("base_failed") & F.coalesce(good, F.lit(True))
-    return judged.withColumn("kept", kept).drop("band", "band_rows", *(f"{m}_q" for m in MEASURES))
+    return judged.withColumn("kept", kept).drop("band", *(f"{name}_band{end}" for name in ("own", "shared") for end in ("", "_of")))
 
 
 def op8_tokeniser_fertility(spark: SparkSession, folder: str) -> DataFrame:

@@ -245,3 +245,16 @@ def test_line_breaks_are_no_byte_fallback(spark):
     rows = fertility.judge(fertility.measure(docs, bpe.default_path(fertility.VOCABULARY), keep=("lang",)), "lang").collect()
     assert {r["doc_id"] for r in rows if not r["kept"] and not r["base_failed"]} == set()
     assert {r["doc_id"] for r in rows if r["byte_share"] > 0} == {88}
+
+
+def test_rare_languages_share_bands_by_script(spark):
+    draw = random.Random(2)
+    words = ["the", "people", "of", "this", "house", "walk", "often", "along", "rivers", "and", "talk"]
+    clean = [" ".join(draw.choice(words) for _ in range(200)) for _ in range(120)]
+    odd = " ".join("".join(draw.choice("qxzjkvw#*") for _ in range(6)) for _ in range(200))
+    langs = [f"rare{k // 8}" if k < 80 else None if k < 85 else "en" for k in range(120)]
+    rows = [*zip(range(120), clean, langs), (120, odd, "rare3"), (121, odd + " x", None), (122, " ".join(["слово"] * 3 + [f"дело{k}" for k in range(60)]), "rare1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = fertility.judge(fertility.measure(docs, bpe.default_path(fertility.VOCABULARY), keep=("lang",)), "lang")
+    assert judged.columns == [*(x.split()[0] for x in fertility.RESULT.split(", ")), "lang", "base_failed", "kept"]
+    assert {r["doc_id"] for r in judged.collect() if not r["kept"]} == {120, 121}
