@@ -18,8 +18,12 @@ PASSAGE = 51
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter, and those that are like none of the languages learned."""
-    found = language.identify(docs.select(*COLUMNS), keep=COLUMNS[1:])
+    """Drops documents without a letter, and those that are like none of the languages learned; without any, only the former."""
+    docs = docs.select(*COLUMNS)
+    may_learn = ~language.is_held_out(docs["doc_id"]) & docs["lang"].isNotNull() & docs["text"].rlike(r"\p{L}")
+    if docs.where(may_learn).isEmpty():
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language.identify(docs, keep=COLUMNS[1:])
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= language.LEAST_SCORE)).select(*COLUMNS)
 
 
@@ -36,23 +40,22 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return jaccard.one_of_each(docs.select(*COLUMNS), NEAR)
 
 
-def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts bytes of long strings that come more than once; characters cut in half go, and ``n_chars`` follows."""
-    found = repeats.strip(docs, keep=COLUMNS[1:])
+def what_is_kept(found: DataFrame) -> DataFrame:
+    """The documents with what ``repeats.strip`` left of them."""
     cut = F.col("n_removed") > 0
-    rest = F.when(cut, F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))).otherwise(F.col("text"))
-    return found.withColumn("text", rest).select(
+    return found.withColumn("text", F.when(cut, F.col("kept").cast("string")).otherwise(F.col("text"))).select(
         "doc_id", "text", "lang", "source", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
     )
 
 
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts bytes of long strings that come more than once; characters cut in half go, and ``n_chars`` follows."""
+    return what_is_kept(repeats.strip(docs, keep=COLUMNS[1:], characters=True))
+
+
 def cut_short_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of over 50 words that come more than once, also those too short in bytes for the stage before."""
-    found = repeats.strip(docs, keep=COLUMNS[1:], words=PASSAGE)
-    cut = F.col("n_removed") > 0
-    return found.withColumn("text", F.when(cut, F.col("kept").cast("string")).otherwise(F.col("text"))).select(
-        "doc_id", "text", "lang", "source", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
-    )
+    return what_is_kept(repeats.strip(docs, keep=COLUMNS[1:], words=PASSAGE))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

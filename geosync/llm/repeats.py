@@ -258,7 +258,7 @@ def word_spans(data: np.ndarray, starts: np.ndarray, words: int) -> np.ndarray:
 
 
 def strip(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), rules: Rules = Rules(), words: int = 0
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), rules: Rules = Rules(), words: int = 0, characters: bool = False
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, the removed runs as ``spans`` (start, length) and ``kept``, the rest.
 
@@ -266,7 +266,7 @@ def strip(
     another; strings are judged on the input. A null text is empty, and shorter texts stay whole. Repeated rows are each
     other's copies, so all of a long one goes. With ``words``, runs of so many words go instead, from
     their first word to their last, however few bytes they have; case and white space make no difference, and words are
-    compared by 56 bits of their hashes. ``keep`` are columns carried along
+    compared by 56 bits of their hashes. With ``characters``, those that a run cuts in half go too. ``keep`` are columns carried along
     (the text with null as empty); others are not read. Equality of
     strings outside blocks, and of rows, goes by 64-bit hashes under a key.
     """
@@ -289,6 +289,10 @@ def strip(
                 found = np.array([(r["start"], r["start"] + r["n"] - 1) for r in runs[at].as_py() or []], np.int64).reshape(-1, 2)
                 if len(found):
                     found = word_spans(np.frombuffer(data, np.uint8), found, words) if words else found + [0, rules.least]
+                if len(found) and characters:
+                    inner = np.append((np.frombuffer(data, np.uint8) & 0xC0) == 0x80, False).astype(np.int64)
+                    for _ in range(3):
+                        found += inner[found] * [-1, 1]
                 if len(found):
                     found = found[np.argsort(found[:, 0])]
                     reach = np.maximum.accumulate(found[:, 1])

@@ -96,3 +96,20 @@ def test_short_passages_of_over_fifty_words_go(spark):
     kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pipeline.cut_short_passages(spark, pipeline.cut_repeated_passages(spark, docs, ""), "").collect()}
     want = [f"{rest[0]}  {rest[1]}", f"{rest[2]}\n", texts[2]]
     assert len(" ".join(passage)) < 400 and kept == {k: (t, len(t)) for k, t in enumerate(want)}
+
+
+def test_no_language_to_learn_from(spark):
+    rows = [(k, t, lang, "s", 1) for k, (t, lang) in enumerate([("some text", None), ("слово", None), ("12 !", None), ("", None), (None, "en")])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = pipeline.keep_known_languages(spark, docs, "")
+    assert kept.columns == COLUMNS and sorted(r["doc_id"] for r in kept.collect()) == [0, 1]
+
+
+def test_only_halves_of_characters_go(spark):
+    passage = " ".join(f"abc{k}" for k in range(100))
+    # beside the passage: characters whose halves lie in it, in the first text two that would make a third together
+    texts = [f"\ufffd one é{passage}è", f"two ©{passage}é \ufffd", f"three {'漢'}{passage}{'漣'}"]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pipeline.cut_repeated_passages(spark, docs, "").collect()}
+    want = ["\ufffd one ", "two  \ufffd", "three 漢漣"]
+    assert kept == {k: (t, len(t)) for k, t in enumerate(want)}
