@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geosync.llm import bpe, fertility, jaccard, language, licenses, neighbours, packing, quality, repeats, sharding
+from geosync.llm import bpe, chats, clustering, fertility, jaccard, language, licenses, neighbours, packing, quality, repeats, sharding, vectorcodes
 
 _QUERIES = (
     neighbours.op1_inverted_multi_index,
@@ -19,6 +19,9 @@ _QUERIES = (
     fertility.op8_tokeniser_fertility,
     packing.op9_order_preserving_packing,
     jaccard.op10_multi_order_jaccard,
+    vectorcodes.op11_equal_average_codes,
+    clustering.op12_vantage_point_clustering,
+    chats.op13_event_sourced_chats,
 )
 
 
@@ -27,4 +30,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_permutation_sharding": sharding.op2_sql()}
+    return {
+        "op2_permutation_sharding": sharding.op2_sql(),
+        "op11_equal_average_codes": vectorcodes.op11_sql(),
+        "op12_vantage_point_clustering": clustering.op12_sql(),
+        "op13_event_sourced_chats": chats.op13_sql(),
+    }
