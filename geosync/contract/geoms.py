@@ -9,7 +9,7 @@ from geosync.contract import bindings as b
 from geosync.contract.registry import Tables, query, sub
 from geosync.contract.values import AS_OF
 from geosync.functions import geom as g
-from geosync.functions import grid, repair, wkb
+from geosync.functions import grid, planar, repair, wkb
 from geosync.functions.reproject import LOCAL_SRID, reproject
 from geosync.operators import layers, purge, spatial
 from geosync.plans import areas as area_jobs
@@ -351,42 +351,72 @@ def _rings(t: Tables) -> DataFrame:
 @query("validity_report", """SELECT p_partkey AS id, p_partkey % 5 IN (0, 2) AS valid, CASE p_partkey % 5 WHEN 1 THEN 'ring not closed' WHEN 3 THEN 'self-intersection' WHEN 4 THEN 'too few points' END AS reason FROM part""")
 def validity_report(t: Tables):
     checked = _rings(t).withColumn("geom", F.when(c("id") % 5 == 2, g.clean(c("geom"))).otherwise(c("geom")))
-    return checked.select("id", g.validity(c("geom")).alias("v")).select("id", "v.valid", "v.reason")
+    return checked.select("id", planar.validity(c("geom")).alias("v")).select("id", "v.valid", "v.reason")
 
 
-# Shells, holes and parts beside, across and inside each other, moved by the key.
+# Shells, holes and parts beside, across and inside each other, touching, with spikes and crossing themselves, moved by the key.
 _PLACED = (
     "POLYGON (A, B)", "POLYGON (A, C)", "POLYGON (A, D)", "MULTIPOLYGON ((A), (D))", "MULTIPOLYGON ((A), (C))", "POLYGON (A, B, E)",
-    "MULTIPOLYGON ((A), (A))", "MULTIPOLYGON ((A, B), (E))", "MULTIPOLYGON ((A, F), (E))", "POLYGON (A, B, G)",
-)
-_BOXES = {"A": (0, 10), "B": (2, 5), "C": (20, 25), "D": (8, 14), "E": (4, 6), "F": (3, 7), "G": (6, 8)}
+    "MULTIPOLYGON ((A), (A))", "MULTIPOLYGON ((A, B), (E))", "MULTIPOLYGON ((A, F), (E))", "POLYGON (A, B, G)", "MULTIPOLYGON ((A), (H))", "POLYGON (I, J)",
+    "POLYGON (A, K)", "POLYGON (A, H)", "MULTIPOLYGON ((A), (L))", "POLYGON (M)", "POLYGON (N, O)",
+)
+
+
+def _corners(x0: int, y0: int, x1: int, y1: int) -> list[tuple[int, int]]:
+    return [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+
+
+_NAMED_RINGS = {
+    "A": _corners(0, 0, 10, 10), "B": _corners(2, 2, 5, 5), "C": _corners(20, 20, 25, 25), "D": _corners(8, 8, 14, 14), "E": _corners(4, 4, 6, 6),
+    "F": _corners(3, 3, 7, 7), "G": _corners(6, 6, 8, 8), "H": [(5, 0), (10, 5), (5, 10), (0, 5)],
+    "I": [(0, 0), (10, 0), (10, 10), (7, 10), (7, 3), (3, 3), (3, 10), (0, 10)], "J": [(1, 1), (2, 9), (8, 9), (9, 1)], "K": _corners(0, 2, 3, 5),
+    "L": _corners(10, 0, 20, 10), "M": [(0, 0), (10, 0), (10, 10), (15, 10), (10, 10), (0, 10)], "N": [(0, 0), (10, 10), (10, 0), (0, 10)], "O": _corners(1, 4, 2, 6),
+}
 
 
 def _placed(t: Tables) -> DataFrame:
     def corner(x: int, y: int) -> Column:
         return F.concat(c("p_partkey") % 100 + x, F.lit(" "), F.lit(str(y)))
 
-    def ring(low: int, high: int) -> Column:
-        corners = [corner(low, low), corner(high, low), corner(high, high), corner(low, high), corner(low, low)]
-        return F.concat(F.lit("("), F.concat_ws(", ", *corners), F.lit(")"))
+    def ring(named: list[tuple[int, int]]) -> Column:
+        return F.concat(F.lit("("), F.concat_ws(", ", *[corner(*v) for v in [*named, named[0]]]), F.lit(")"))
 
     text = F.get(F.array(*[F.lit(x) for x in _PLACED]), (c("p_partkey") % len(_PLACED)).cast("int"))
     # The word before the first bracket holds such letters too.
     head, tail = F.regexp_extract(text, r"^(\w+) (.*)$", 1), F.regexp_extract(text, r"^(\w+) (.*)$", 2)
-    for letter, box in _BOXES.items():
-        tail = F.replace(tail, F.lit(letter), ring(*box))
+    for letter, named in _NAMED_RINGS.items():
+        tail = F.replace(tail, F.lit(letter), ring(named))
     return t.part.select(c("p_partkey").alias("id"), g.from_wkt(F.concat_ws(" ", head, tail)).alias("geom"))
 
 
-@query("validity_rings", """SELECT p_partkey AS id, reason IS NULL AS valid, reason FROM (SELECT p_partkey, [NULL, 'hole outside its shell', 'hole outside its shell', 'parts overlap', NULL, 'holes overlap', 'parts overlap', 'parts overlap', NULL, NULL][p_partkey % 10 + 1] AS reason FROM part)""")
+_FAULTS = (
+    "[NULL, 'hole outside its shell', 'hole outside its shell', 'parts overlap', NULL, 'holes overlap', 'parts overlap', 'parts overlap', NULL, NULL, "
+    "'parts overlap', 'hole outside its shell', 'hole outside its shell', 'interior is cut', 'parts overlap', 'self-intersection', 'self-intersection']"
+)
+
+
+@query("validity_rings", f"SELECT p_partkey AS id, reason IS NULL AS valid, reason FROM (SELECT p_partkey, {_FAULTS}[p_partkey % {len(_PLACED)} + 1] AS reason FROM part)")
 def validity_rings(t: Tables):
-    return _placed(t).select("id", g.validity(c("geom")).alias("v")).select("id", "v.valid", "v.reason")
+    return _placed(t).select("id", planar.validity(c("geom")).alias("v")).select("id", "v.valid", "v.reason")
+
 
+# What an odd number of rings covers: the sizes follow from those of the rings and of what they share.
+_ODD_SIZES = "[91, 125, 128, 128, 125, 89, 200, 89, 88, 87, 50, 64, 91, 50, 200, 100, 48]"
+_ODD_PARTS = "[1, 2, 2, 2, 2, 2, 2, 2, 2, 1, 4, 2, 1, 4, 1, 1, 2]"
+_ODD_POINTS = "[10, 10, 14, 14, 10, 19, 10, 19, 15, 15, 16, 18, 9, 16, 7, 5, 13]"
 
-@query("make_valid_basic", """SELECT p_partkey AS id, ['valid', 'cleaned', 'cleaned', 'repaired', 'cleaned'][p_partkey % 5 + 1] AS geom_status, CAST([5, 5, 5, 8, 0][p_partkey % 5 + 1] AS INTEGER) AS n_points FROM part""")
+
+@query("make_valid_basic", f"""SELECT p_partkey AS id, ['valid', 'cleaned', 'cleaned', 'repaired', 'cleaned'][p_partkey % 5 + 1] AS geom_status,
+CAST([1, 1, 1, 2, 0][p_partkey % 5 + 1] AS INTEGER) AS n_parts, CAST([5, 5, 5, 8, 0][p_partkey % 5 + 1] AS INTEGER) AS n_points,
+round(pow((p_size + 1) * 0.001e0, 2) * [1, 1, 1, 0.5e0, 0][p_partkey % 5 + 1], 9) AS size FROM part
+UNION ALL SELECT -p_partkey, CASE WHEN k = 6 THEN 'unrepaired' WHEN k = 4 THEN 'valid' WHEN k IN (0, 8, 9) THEN 'cleaned' ELSE 'repaired' END,
+CAST({_ODD_PARTS}[k + 1] AS INTEGER), CAST({_ODD_POINTS}[k + 1] AS INTEGER), CAST({_ODD_SIZES}[k + 1] AS DOUBLE) FROM (SELECT p_partkey, p_partkey % {len(_PLACED)} AS k FROM part)""")
 def make_valid_basic(t: Tables):
-    fixed = repair.make_valid(_rings(t), "geom", "fixed")
-    return fixed.select("id", "geom_status", g.n_points(c("fixed")).alias("n_points"))
+    rows = _rings(t).select("id", "geom").unionByName(_placed(t).select((-c("id")).alias("id"), "geom"))
+    fixed = repair.make_valid(rows, "geom", "fixed")
+    return fixed.select(
+        "id", "geom_status", F.size("fixed.parts").alias("n_parts"), g.n_points(c("fixed")).alias("n_points"), F.round(g.planar_area(c("fixed")), 9).alias("size")
+    )
 
 
 # A square line per order, its last side open by a share of the order's own.

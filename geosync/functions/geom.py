@@ -496,6 +496,12 @@ def part_area_sqm(p: Column) -> Column:
     return F.when(p["kind"] == "polygon", _rings_area(p["rings"], ring_area_sqm)).otherwise(F.lit(0.0))
 
 
+def planar_area(geom: Column) -> Column:
+    """Area of the polygon parts in the square of the coordinates' unit."""
+    solids = F.filter(geom["parts"], lambda p: p["kind"] == "polygon")
+    return total(F.transform(solids, lambda p: _rings_area(p["rings"], signed_area)))
+
+
 def area_sqm(geom: Column) -> Column:
     """Area of the polygon parts on the ellipsoid, in square metres."""
     return total(F.transform(geom["parts"], part_area_sqm))
@@ -661,20 +667,6 @@ def cross(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column
     return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
 
 
-def _edges_meet(e: Column, f: Column) -> Column:
-    boxes = (
-        (F.least(e["x1"], e["x2"]) <= F.greatest(f["x1"], f["x2"]))
-        & (F.least(f["x1"], f["x2"]) <= F.greatest(e["x1"], e["x2"]))
-        & (F.least(e["y1"], e["y2"]) <= F.greatest(f["y1"], f["y2"]))
-        & (F.least(f["y1"], f["y2"]) <= F.greatest(e["y1"], e["y2"]))
-    )
-    a = F.signum(cross(e["x1"], e["y1"], e["x2"], e["y2"], f["x1"], f["y1"]))
-    b = F.signum(cross(e["x1"], e["y1"], e["x2"], e["y2"], f["x2"], f["y2"]))
-    c = F.signum(cross(f["x1"], f["y1"], f["x2"], f["y2"], e["x1"], e["y1"]))
-    d = F.signum(cross(f["x1"], f["y1"], f["x2"], f["y2"], e["x2"], e["y2"]))
-    return boxes & (a * b <= 0) & (c * d <= 0)
-
-
 def _on_edge(e: Column, x: Column, y: Column) -> Column:
     return (
         (cross(e["x1"], e["y1"], e["x2"], e["y2"], x, y) == 0)
@@ -699,12 +691,6 @@ def position_within(x: Column, y: Column, p: Column) -> Column:
     return _crossings(edges, x, y) & ~F.exists(edges, lambda e: _on_edge(e, x, y))
 
 
-def position_touches(x: Column, y: Column, p: Column) -> Column:
-    """Inside a polygon part or on its border."""
-    edges = part_edges(p)
-    return _crossings(edges, x, y) | F.exists(edges, lambda e: _on_edge(e, x, y))
-
-
 def point_within(pt: Column, geom: Column) -> Column:
     """Position ``struct(x, y)`` strictly inside one of the polygon parts."""
     return F.exists(
@@ -712,136 +698,6 @@ def point_within(pt: Column, geom: Column) -> Column:
     )
 
 
-def _parts_meet(a: Column, b: Column) -> Column:
-    ea, eb = part_edges(a), part_edges(b)
-    va = F.get(F.get(a["rings"], F.lit(0)), F.lit(0))
-    vb = F.get(F.get(b["rings"], F.lit(0)), F.lit(0))
-    borders = F.exists(ea, lambda e: F.exists(eb, lambda f: _edges_meet(e, f)))
-    return (
-        F.when((a["kind"] == "point") & (b["kind"] == "point"), va == vb)
-        .when(
-            a["kind"] == "point",
-            F.when(b["kind"] == "polygon", position_touches(va["x"], va["y"], b)).otherwise(
-                F.exists(eb, lambda f: _on_edge(f, va["x"], va["y"]))
-            ),
-        )
-        .when(
-            b["kind"] == "point",
-            F.when(a["kind"] == "polygon", position_touches(vb["x"], vb["y"], a)).otherwise(
-                F.exists(ea, lambda e: _on_edge(e, vb["x"], vb["y"]))
-            ),
-        )
-        .otherwise(
-            borders
-            | ((b["kind"] == "polygon") & _crossings(eb, va["x"], va["y"]))
-            | ((a["kind"] == "polygon") & _crossings(ea, vb["x"], vb["y"]))
-        )
-    )
-
-
-def intersects(a: Column, b: Column) -> Column:
-    """The geometries share a point."""
-    return F.exists(a["parts"], lambda p: F.exists(b["parts"], lambda q: _parts_meet(p, q)))
-
-
-def area_intersects(geom: Column, area: Column) -> Column:
-    """:func:`intersects`, with the short test for the common case of a point and an area."""
-    x, y = x_of(geom), y_of(geom)
-    return F.when(
-        geom["kind"] == "point",
-        F.exists(area["parts"], lambda q: (q["kind"] == "polygon") & position_touches(x, y, q)),
-    ).otherwise(intersects(geom, area))
-
-
-# --- overlap -----------------------------------------------------------------------------------
-
-
-def _signed_edges(geom: Column, x0: Column, y0: Column) -> Column:
-    """Non-vertical polygon edges in the equal-area plane, left to right.
-
-    ``s`` is +1 for an upper border and -1 for a lower one, so that summing the strips below the
-    edges gives the polygon itself, holes left out.
-    """
-
-    def plane(v: Column) -> Column:
-        return F.struct(
-            ((v["x"] - x0) * (WGS84_A * _RAD)).alias("x"), (_authalic_y(v["y"]) - y0).alias("y")
-        )
-
-    def edges(ring: Column, i: Column) -> Column:
-        def borders(flat: Column, turn: Column) -> Column:
-            return F.transform(
-                F.filter(ring_edges(flat), lambda e: e["x1"] != e["x2"]),
-                lambda e: F.struct(
-                    F.least(e["x1"], e["x2"]).alias("xa"),
-                    F.greatest(e["x1"], e["x2"]).alias("xb"),
-                    F.when(e["x1"] < e["x2"], e["y1"]).otherwise(e["y2"]).alias("ya"),
-                    ((e["y2"] - e["y1"]) / (e["x2"] - e["x1"])).alias("slope"),
-                    (turn * F.when(e["x1"] < e["x2"], -1.0).otherwise(1.0)).alias("s"),
-                ),
-            )
-
-        return let(
-            F.transform(ring, plane),
-            lambda flat: let(
-                F.signum(signed_area(flat)) * F.when(i == 0, 1.0).otherwise(-1.0),
-                lambda turn: borders(flat, turn),
-            ),
-        )
-
-    solids = F.filter(geom["parts"], lambda p: p["kind"] == "polygon")
-    return F.flatten(F.transform(solids, lambda p: F.flatten(F.transform(p["rings"], edges))))
-
-
-def _strip_under_both(e: Column, f: Column) -> Column:
-    """Signed area below both edges, over the x range they share.
-
-    The lower of two straight lines is integrated in closed form, split where they cross.
-    """
-    left, right = F.greatest(e["xa"], f["xa"]), F.least(e["xb"], f["xb"])
-
-    def area(v: Column) -> Column:
-        d0, d1 = v["f0"] - v["e0"], v["f1"] - v["e1"]
-        # Area by which f lies below e: nothing, a whole trapezoid, or a triangle up to the crossing.
-        below = (
-            F.when((d0 >= 0) & (d1 >= 0), F.lit(0.0))
-            .when((d0 <= 0) & (d1 <= 0), (d0 + d1) / 2)
-            .when(d0 < 0, d0 * d0 / (d0 - d1) / 2)
-            .otherwise(d1 * d1 / (d1 - d0) / 2)
-        )
-        return e["s"] * f["s"] * v["width"] * ((v["e0"] + v["e1"]) / 2 + below)
-
-    ends = F.struct(
-        (right - left).alias("width"),
-        (e["ya"] + e["slope"] * (left - e["xa"])).alias("e0"),
-        (e["ya"] + e["slope"] * (right - e["xa"])).alias("e1"),
-        (f["ya"] + f["slope"] * (left - f["xa"])).alias("f0"),
-        (f["ya"] + f["slope"] * (right - f["xa"])).alias("f1"),
-    )
-    return F.when(left < right, let(ends, area)).otherwise(F.lit(0.0))
-
-
-def overlap_sqm(a: Column, b: Column) -> Column:
-    """Area common to two polygon geometries, concave shapes and holes included."""
-
-    def summed(ea: Column, eb: Column) -> Column:
-        # Strips reach down to a common base; with the signs summed, the base cancels.
-        return F.aggregate(
-            ea,
-            F.lit(0.0),
-            lambda acc, e: acc
-            + F.aggregate(eb, F.lit(0.0), lambda inner, f: inner + _strip_under_both(e, f)),
-        )
-
-    def from_origin(o: Column) -> Column:
-        return let(
-            _signed_edges(b, o["x"], o["y"]), lambda eb: summed(_signed_edges(a, o["x"], o["y"]), eb)
-        )
-
-    start = F.get(vertices(a), F.lit(0))
-    return let(F.struct(start["x"].alias("x"), _authalic_y(start["y"]).alias("y")), from_origin)
-
-
 # --- repair ------------------------------------------------------------------------------------
 
 
@@ -865,28 +721,6 @@ def drop_repeats(ring: Column) -> Column:
     )
 
 
-def self_crossing(ring: Column) -> Column:
-    """Two edges of a closed ring that are not neighbours share a point."""
-
-    def any_pair(edges: Column) -> Column:
-        last = F.size(edges) - 1
-        return F.exists(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-            lambda i: let(
-                F.get(edges, i),
-                lambda e: F.exists(
-                    # Later edges that are no neighbours: the last one closes the ring at edge 0.
-                    F.slice(
-                        edges, i + 3, F.greatest(last - i - 1 - F.when(i == 0, 1).otherwise(0), F.lit(0))
-                    ),
-                    lambda f: _edges_meet(e, f),
-                ),
-            ),
-        )
-
-    return let(ring_edges(ring), any_pair)
-
-
 def clean_rings(p: Column) -> Column:
     """Part with repeated vertices dropped, rings closed, degenerate rings removed, shells turned
     counter-clockwise and holes clockwise."""
@@ -919,72 +753,6 @@ def clean(geom: Column) -> Column:
     ).cast(GEOMETRY)
 
 
-def _any_two(items: Column, test) -> Column:
-    """Whether two items of an array pass a test."""
-    placed = F.transform(items, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
-    return F.exists(placed, lambda a: F.exists(F.slice(items, a["i"] + 2, F.size(items)), lambda b: test(a["v"], b)))
-
-
-def _edges_cross(e: Column, f: Column) -> Column:
-    """The edges cross, each between the ends of the other; touching does not count."""
-    a = cross(e["x1"], e["y1"], e["x2"], e["y2"], f["x1"], f["y1"])
-    b = cross(e["x1"], e["y1"], e["x2"], e["y2"], f["x2"], f["y2"])
-    c = cross(f["x1"], f["y1"], f["x2"], f["y2"], e["x1"], e["y1"])
-    d = cross(f["x1"], f["y1"], f["x2"], f["y2"], e["x2"], e["y2"])
-    return (F.signum(a) * F.signum(b) < 0) & (F.signum(c) * F.signum(d) < 0)
-
-
-def _parts_overlap(p: Column, q: Column) -> Column:
-    """Polygon parts share more than border: borders cross, a vertex lies inside the other, or the vertices are the same."""
-
-    def any_vertex_within(one: Column, other: Column) -> Column:
-        return F.exists(F.flatten(one["rings"]), lambda v: position_within(v["x"], v["y"], other))
-
-    def same(one: Column, other: Column) -> Column:
-        return F.array_sort(F.array_distinct(F.flatten(one["rings"]))) == F.array_sort(F.array_distinct(F.flatten(other["rings"])))
-
-    borders = F.exists(part_edges(p), lambda e: F.exists(part_edges(q), lambda f: _edges_cross(e, f)))
-    return borders | any_vertex_within(p, q) | any_vertex_within(q, p) | same(p, q)
-
-
-def _single(ring: Column) -> Column:
-    return F.struct(F.lit("polygon").alias("kind"), F.array(ring).alias("rings"))
-
-
-def _leaves(hole: Column, shell: Column) -> Column:
-    """Some of the hole lies outside its shell."""
-    beyond = F.exists(hole, lambda v: ~position_touches(v["x"], v["y"], _single(shell)))
-    return beyond | F.exists(ring_edges(hole), lambda e: F.exists(ring_edges(shell), lambda f: _edges_cross(e, f)))
-
-
-def validity(geom: Column) -> Column:
-    """``struct(valid, reason)``: unclosed, too few vertices, crossing itself, holes or parts in the wrong place.
-
-    Rings and parts may touch each other.
-    """
-
-    def holes(p: Column) -> Column:
-        return F.slice(p["rings"], 2, F.size(p["rings"]))
-
-    solids = F.filter(geom["parts"], lambda p: (p["kind"] == "polygon") & (F.size(p["rings"]) > 0))
-
-    def any_ring(test) -> Column:
-        return F.exists(
-            geom["parts"], lambda p: (p["kind"] == "polygon") & F.exists(p["rings"], test)
-        )
-
-    reason = (
-        F.when(is_empty(geom), F.lit("empty"))
-        .when(any_ring(lambda r: ~is_closed(r)), F.lit("ring not closed"))
-        .when(any_ring(lambda r: F.size(r) < 4), F.lit("too few points"))
-        .when(any_ring(self_crossing), F.lit("self-intersection"))
-        .when(F.exists(solids, lambda p: F.exists(holes(p), lambda h: _leaves(h, F.get(p["rings"], F.lit(0))))), F.lit("hole outside its shell"))
-        .when(F.exists(solids, lambda p: _any_two(holes(p), lambda h, i: _parts_overlap(_single(h), _single(i)))), F.lit("holes overlap"))
-        .when(_any_two(solids, _parts_overlap), F.lit("parts overlap"))
-    )
-    return F.struct(reason.isNull().alias("valid"), reason.alias("reason"))
-
-
 # --- lines to polygons -------------------------------------------------------------------------
 
 

@@ -15,12 +15,6 @@ def _width(size: float, level: Column) -> Column:
     return F.lit(float(size)) * F.pow(F.lit(float(STEP)), level)
 
 
-def cell_of(x: Column, y: Column, size: float, level: Column) -> Column:
-    """The cell of a level that holds a position; cells of level 0 are ``size`` wide."""
-    width = _width(size, level)
-    return F.struct(F.floor(x / width).alias("cx"), F.floor(y / width).alias("cy"))
-
-
 def level_of(box: Column, size: float) -> Column:
     """The finest level with cells as wide as the box, whatever its size, so that it touches four cells at most."""
     extent = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
@@ -34,15 +28,3 @@ def cover(box: Column, size: float, level: Column) -> Column:
     xs = F.sequence(F.floor(box["xmin"] / width), F.floor(box["xmax"] / width))
     ys = F.sequence(F.floor(box["ymin"] / width), F.floor(box["ymax"] / width))
     return F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
-
-
-def boxes_meet(a: Column, b: Column) -> Column:
-    return (
-        (a["xmin"] <= b["xmax"]) & (b["xmin"] <= a["xmax"])
-        & (a["ymin"] <= b["ymax"]) & (b["ymin"] <= a["ymax"])
-    )
-
-
-def home_cell(a: Column, b: Column, size: float, level: Column) -> Column:
-    """The one cell, of those two meeting boxes share, in which their pair is to be kept."""
-    return cell_of(F.greatest(a["xmin"], b["xmin"]), F.greatest(a["ymin"], b["ymin"]), size, level)

@@ -1,148 +1,32 @@
-"""Repair of crossing rings, points on surfaces, polygons from lines.
-
-Rings that cross themselves are rare and go through one Arrow function; all other rows stay in the JVM.
-"""
+"""Repair of polygons, points on surfaces, polygons from lines."""
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from geosync.functions import geom as g
+from geosync.functions import planar
 from geosync.functions.text import let
 
 
-def _area(ring: list) -> float:
-    x0, y0 = ring[0]
-    return sum(
-        (x1 - x0) * (y2 - y0) - (x2 - x0) * (y1 - y0)
-        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1])
-    ) / 2
-
-
-def _inside(x: float, y: float, ring: list) -> bool:
-    odd = False
-    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
-        if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
-            odd = not odd
-    return odd
-
-
-def _noded(ring: list) -> list | None:
-    """Open vertex list with the crossing points put in; None when edges run along each other."""
-    open_ring = ring[:-1]
-    n = len(open_ring)
-    cuts: list[list] = [[] for _ in range(n)]
-    for i in range(n):
-        ax, ay = open_ring[i]
-        bx, by = open_ring[(i + 1) % n]
-        for j in range(i + 1, n):
-            cx, cy = open_ring[j]
-            dx, dy = open_ring[(j + 1) % n]
-            den = (bx - ax) * (dy - cy) - (by - ay) * (dx - cx)
-            if den == 0:
-                along = (bx - ax) * (cy - ay) - (by - ay) * (cx - ax) == 0
-                neighbours = j == i + 1 or (i == 0 and j == n - 1)
-                overlap = min(max(ax, bx), max(cx, dx)) >= max(min(ax, bx), min(cx, dx)) and min(
-                    max(ay, by), max(cy, dy)
-                ) >= max(min(ay, by), min(cy, dy))
-                if along and overlap and not neighbours:
-                    return None
-                continue
-            t = ((cx - ax) * (dy - cy) - (cy - ay) * (dx - cx)) / den
-            u = ((cx - ax) * (by - ay) - (cy - ay) * (bx - ax)) / den
-            if 0 <= t <= 1 and 0 <= u <= 1:
-                spot = (ax + t * (bx - ax), ay + t * (by - ay))
-                cuts[i].append((t, spot))
-                cuts[j].append((u, spot))
-    path: list = []
-    for i in range(n):
-        stops = [(0.0, tuple(open_ring[i])), *sorted(cuts[i])]
-        for _, spot in stops:
-            key = (round(spot[0], 11), round(spot[1], 11))
-            if not path or path[-1] != key:
-                path.append(key)
-    if len(path) > 1 and path[0] == path[-1]:
-        path.pop()
-    return path
-
-
-def simple_loops(ring: list) -> list | None:
-    """Crossing ring as simple closed loops that do not overlap; None when that cannot be done."""
-    path = _noded(ring)
-    if path is None:
-        return None
-    loops, stack, seen = [], [], {}
-    for spot in [*path, path[0]]:
-        if spot in seen:
-            at = seen[spot]
-            loop = stack[at:]
-            for gone in stack[at + 1 :]:
-                del seen[gone]
-            del stack[at + 1 :]
-            if len(loop) >= 3 and _area(loop) != 0:
-                loops.append(loop)
-        else:
-            seen[spot] = len(stack)
-            stack.append(spot)
-    for a in loops:
-        for b in loops:
-            if a is not b:
-                mx = (a[0][0] + a[1][0] + a[2][0]) / 3
-                my = (a[0][1] + a[1][1] + a[2][1]) / 3
-                if _inside(mx, my, a) and _inside(mx, my, b):
-                    return None
-    return [[list(v) for v in (*loop, loop[0])] for loop in loops] or None
-
-
-@F.pandas_udf(StringType())
-def _untangle(texts: pd.Series, wanted: pd.Series) -> pd.Series:
-    def fixed(text: str) -> str | None:
-        doc = json.loads(text)
-        solids = [doc["coordinates"]] if doc["type"] == "Polygon" else doc["coordinates"]
-        if doc["type"] not in ("Polygon", "MultiPolygon") or any(len(s) > 1 for s in solids):
-            return None
-        made = [simple_loops(s[0]) for s in solids]
-        if any(m is None for m in made):
-            return None
-        loops = [[loop] for m in made for loop in m]
-        if len(loops) == 1:
-            return json.dumps({"type": "Polygon", "coordinates": loops[0]})
-        return json.dumps({"type": "MultiPolygon", "coordinates": loops})
-
-    return pd.Series([fixed(t) if w else None for t, w in zip(texts, wanted)], dtype=object)
-
-
 def make_valid(df: DataFrame, geom: str, out: str = "geom", status: str = "geom_status") -> DataFrame:
     """Adds the repaired geometry and its status: ``valid``, ``cleaned``, ``repaired`` or ``unrepaired``.
 
-    Rows that cannot be repaired keep their geometry and their mark; none is dropped.
+    Rings that are open, repeat vertices or have too few of them are cleaned. Polygons that are still not valid are made anew
+    from all their rings, by the even-odd rule. Rows that cannot be repaired keep their geometry and their mark; none is dropped.
     """
-    step = df.withColumn("_clean", g.clean(F.col(geom))).withColumn(
-        "_tangled", F.col("_clean.kind").isNotNull() & (g.validity(F.col("_clean"))["reason"] == "self-intersection")
-    )
-    # The text is named twice, so that Spark keeps it as a column instead of copying its expression
-    # into the arguments of the Python function, where it could not be evaluated.
-    loops = _untangle(F.col("_text"), F.col("_text").isNotNull())
-    step = step.withColumn("_text", F.when(F.col("_tangled"), g.to_geojson(F.col("_clean")))).withColumn(
-        "_fixed", let(loops, lambda text: g.clean(g.from_geojson(text)))
-    )
+    step = df.withColumn("_clean", g.clean(F.col(geom))).withColumn("_seen", planar.examined(F.col("_clean")))
+    faulty = F.col("_seen.reason").isNotNull() & (F.col("_seen.reason") != "empty")
     mark = (
         F.when(F.col(f"{geom}.kind").isNull(), None)
-        .when(F.coalesce(F.col("_tangled"), F.lit(False)) & F.col("_fixed.kind").isNotNull(), F.lit("repaired"))
-        .when(F.coalesce(F.col("_tangled"), F.lit(False)), F.lit("unrepaired"))
+        .when(faulty & F.col("_seen.fixed.kind").isNotNull(), F.lit("repaired"))
+        .when(faulty, F.lit("unrepaired"))
         .when(F.col("_clean") == F.col(geom), F.lit("valid"))
         .otherwise(F.lit("cleaned"))
     )
-    return (
-        step.withColumn(status, mark)
-        .withColumn(out, F.coalesce(F.when(F.col("_fixed.kind").isNotNull(), F.col("_fixed")), F.col("_clean")))
-        .drop("_clean", "_tangled", "_text", "_fixed")
-    )
+    fixed = F.when(F.col("_seen.fixed.kind").isNotNull(), F.col("_seen.fixed")).otherwise(F.col("_clean"))
+    return step.withColumn(status, mark).withColumn(out, fixed.cast(g.GEOMETRY)).drop("_clean", "_seen")
 
 
 def _widest_span(p: Column) -> Column:

@@ -1,28 +1,124 @@
-"""Spatial joins over a grid: equal cells first, then boxes, then the exact test."""
+"""Spatial joins: boxes first, then the exact test, both on whole batches.
+
+A right side of few vertices is sent to every task, and the left side is not shuffled. Beyond that both sides are dealt
+out by cells of a grid. Either way a task reads each geometry once and prepares it once for all of its candidates.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geosync.functions import geom as g
-from geosync.functions import grid
+from geosync.functions import grid, shapes
 from geosync.session import stage
 
-# Rows of one side in a cell beyond which they are split over several tasks, each with so many.
-HOT_ROWS = 1_000_000
+#: Vertices and rows of a right side that is sent to every task, some 50 MB; a larger one is dealt out.
+SENT = 1 << 20
+#: Vertices and rows of both sides that a bucket of cells holds on average.
+BUCKET = 1 << 20
+#: Rows of one side in a cell beyond which they are split over several buckets, each with so many.
+HOT_ROWS = 250_000
 
 # How two rows may meet in a cell: on one level, or on that of the coarser one.
 _SAME, _LEFT_COARSER, _RIGHT_COARSER = 0, 1, 2
 _PLACE = ["_meet", "_level", "_cell"]
-
-
-def _located(df: DataFrame, key: str, geom: str, side: str, cell: float) -> DataFrame:
-    """Id, geometry, box and level of the rows with a box, parsed and measured once."""
-    boxed = df.select(F.col(key).alias(f"_{side}id"), F.col(geom).alias(f"_{side}g")).withColumn(f"_{side}b", g.bbox(F.col(f"_{side}g")))
-    return stage(boxed.withColumn(f"_{side}l", grid.level_of(F.col(f"_{side}b"), cell)), f"located-{side}")
+_BOX = ("xmin", "ymin", "xmax", "ymax")
+#: What a join gives beside ids and kept columns, and how two geometries must lie.
+_MEETS, _WITHIN, _COVER = "meets", "within", "cover"
+
+
+def _boxed(df: DataFrame, key: str, geom: str, side: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Id, geometry and box of the rows that have one."""
+    named = df.select(F.col(key).alias(f"_{side}id"), F.col(geom).alias(f"_{side}g"), *(F.col(c).alias(f"_keep_{c}") for c in keep))
+    return named.withColumn(f"_{side}b", g.bbox(F.col(f"_{side}g"))).filter(F.col(f"_{side}b").isNotNull())
+
+
+def _weight(side: str) -> Column:
+    return g.n_points(F.col(f"_{side}g")) + 1
+
+
+class _Rows:
+    """One side's rows in Arrow, with what is prepared once for all candidates."""
+
+    def __init__(self, rows: pa.Table | pa.RecordBatch, side: str):
+        whole = rows if isinstance(rows, pa.Table) else pa.Table.from_batches([rows])
+        self.table = whole.combine_chunks()
+        geom, box = (self.array(f"_{side}{c}") for c in "gb")
+        self.box = [box.field(c).to_numpy(zero_copy_only=False) for c in _BOX]
+        self.shapes = shapes.Shapes(geom)
+        self.prepared = shapes.Prepared(self.shapes)
+        self._borders: shapes.Borders | None = None
+
+    def array(self, name: str) -> pa.Array:
+        column = self.table.column(name)
+        return column.chunk(0) if column.num_chunks else pa.array([], column.type)
+
+    def numbers(self, name: str) -> np.ndarray:
+        return self.array(name).to_numpy(zero_copy_only=False)
+
+    @property
+    def borders(self) -> shapes.Borders:
+        if self._borders is None:
+            self._borders = shapes.Borders(self.shapes)
+        return self._borders
+
+
+def _found(left: _Rows, right: _Rows, boxes: shapes.Boxes, want: str, allowed) -> Iterator[list[pa.Array]]:
+    """Ids, kept columns and measures of the pairs that are to be in the result."""
+    kept = [c for c in left.table.column_names if c.startswith("_keep_")]
+    first, owner = left.shapes.first_vertices()
+    start = np.zeros(left.shapes.n, np.int64)
+    start[owner[::-1]] = first[::-1]
+    for i, j in boxes.candidates(*left.box):
+        near = allowed(i, j)
+        i, j = i[near], j[near]
+        if want == _WITHIN:
+            hit = right.prepared.covers(j, left.shapes.x[start[i]], left.shapes.y[start[i]], strict=True)
+        else:
+            hit = shapes.meets(left.prepared, right.prepared, i, j)
+        i, j = i[hit], j[hit]
+        out = [left.array("_lid").take(pa.array(i)), right.array("_rid").take(pa.array(j)), *(left.array(c).take(pa.array(i)) for c in kept)]
+        if want == _COVER:
+            x, y = (np.nan_to_num(left.numbers(f"_keep_{c}")[i], nan=np.inf) for c in ("_mx", "_my"))
+            out += [pa.array(shapes.overlap(left.borders, right.borders, i, j)), pa.array(right.prepared.covers(j, x, y, strict=True))]
+        yield out
+
+
+def _everything(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return np.ones(len(i), bool)
+
+
+def _joined(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_geom: str, right_geom: str, cell: float,
+            want: str, hot_rows: int, sent: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    lhs, rhs = _boxed(left, left_id, left_geom, "l", keep), _boxed(right, right_id, right_geom, "r")
+    names = [left_id, right_id, *keep, *(("overlap_sqm", "centroid_within") if want == _COVER else ())]
+    types = [*(lhs.schema[c].dataType.simpleString() for c in ("_lid",)), rhs.schema["_rid"].dataType.simpleString(), *(lhs.schema[f"_keep_{c}"].dataType.simpleString() for c in keep)]
+    types += ["double", "boolean"] if want == _COVER else []
+    inner = [f"c{k}" for k in range(len(names))]
+    shape = ", ".join(f"{c} {t}" for c, t in zip(inner, types))
+    weight = rhs.agg(F.sum(_weight("r"))).first()[0] or 0
+    made = _sent(lhs, rhs, want, inner, shape) if weight <= sent else _dealt(lhs, rhs, want, inner, shape, cell, hot_rows)
+    return made.toDF(*names)
+
+
+def _sent(lhs: DataFrame, rhs: DataFrame, want: str, names: list[str], shape: str) -> DataFrame:
+    """The right side, whose size was checked, goes to every task."""
+    shared = lhs.sparkSession.sparkContext.broadcast(rhs.toArrow())
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        right = _Rows(shared.value, "r")
+        boxes = shapes.Boxes(*right.box)
+        for batch in batches:
+            for out in _found(_Rows(batch, "l"), right, boxes, want, _everything):
+                yield pa.RecordBatch.from_arrays(out, names=names)
+
+    return lhs.mapInArrow(run, shape)
 
 
 def _levels(located: DataFrame, side: str) -> list[int]:
@@ -47,24 +143,21 @@ def _placed(located: DataFrame, side: str, others: list[int], coarser: int, fine
     return met.withColumn("_cell", F.explode(grid.cover(F.col(f"_{side}b"), cell, F.col("_level"))))
 
 
-def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_geom: str = "geom",
-                 right_geom: str = "geom", cell: float = 0.05, within: bool = False,
-                 hot_rows: int = HOT_ROWS, keep_geometry: bool = False) -> DataFrame:
-    """Pairs (``left_id``, ``right_id``) whose geometries intersect, each once.
+def _dealt(lhs: DataFrame, rhs: DataFrame, want: str, names: list[str], shape: str, cell: float, hot_rows: int) -> DataFrame:
+    """Both sides are staged with their boxes and dealt into buckets of cells.
 
-    ``keep_geometry`` adds ``left_geom`` and ``right_geom``, so that they need not be joined back.
-
-    With ``within`` the left geometry is a point that must lie strictly inside. Ids must be unique on
-    their side. Both sides are staged once with their boxes. A box lies on the level of the grid that fits its size and
-    touches four cells there at most; two rows meet in cells of the coarser one's level, and a pair that meets in
-    several is kept in one of them only, so no distinct is needed. Where one side has more than ``hot_rows`` rows in a
-    cell, they are split and the other side's are copied; the list of such cells has an entry for each ``hot_rows``
-    rows at most. Adaptive execution broadcasts a side of few bytes.
+    A box lies on the level of the grid that fits its size and touches four cells there at most; two rows meet in cells
+    of the coarser one's level, and a pair that meets in several is kept in one of them only, so no distinct is needed.
+    Where one side has more than ``hot_rows`` rows in a cell, they are split and the other side's are copied; the list
+    of such cells has an entry for each ``hot_rows`` rows at most.
     """
-    lhs, rhs = _located(left, left_id, left_geom, "l", cell), _located(right, right_id, right_geom, "r", cell)
+    lhs = stage(lhs.withColumn("_ll", grid.level_of(F.col("_lb"), cell)), "located-l")
+    rhs = stage(rhs.withColumn("_rl", grid.level_of(F.col("_rb"), cell)), "located-r")
     left_levels, right_levels = _levels(lhs, "l"), _levels(rhs, "r")
     lhs = _placed(lhs, "l", right_levels, _RIGHT_COARSER, _LEFT_COARSER, cell)
     rhs = _placed(rhs, "r", left_levels, _LEFT_COARSER, _RIGHT_COARSER, cell)
+    weight = sum((side.agg(F.sum(_weight(name))).first()[0] or 0) for side, name in ((lhs, "l"), (rhs, "r")))
+    buckets = max(1, -(-weight // BUCKET), lhs.sparkSession.sparkContext.defaultParallelism)
     parts = F.ceil(F.col("count") / hot_rows).cast("int")
     crowded = [
         side.groupBy(*_PLACE).count().filter(F.col("count") > hot_rows).select(*_PLACE, parts.alias(own), F.lit(1).alias(other))
@@ -76,20 +169,46 @@ def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         marked = side.join(F.broadcast(hot), _PLACE, "left")
         split = F.pmod(F.xxhash64(key), F.coalesce(f"{own}parts", F.lit(1))).cast("int")
         copies = F.sequence(F.lit(0), F.coalesce(f"{other}parts", F.lit(1)) - 1)
-        return marked.withColumn(f"{own}salt", split).withColumn(f"{other}salt", F.explode(copies)).drop("_lparts", "_rparts")
+        spread = marked.withColumn(f"{own}salt", split).withColumn(f"{other}salt", F.explode(copies)).drop("_lparts", "_rparts")
+        bucket = F.pmod(F.xxhash64(*_PLACE, "_lsalt", "_rsalt"), F.lit(buckets)).cast("int")
+        return spread.select("*", bucket.alias("_bucket"), "_cell.cx", "_cell.cy").drop("_cell")
 
-    pairs = salted(lhs, "_lid", "_l", "_r").join(salted(rhs, "_rid", "_r", "_l"), [*_PLACE, "_lsalt", "_rsalt"])
-    near = pairs.filter(
-        grid.boxes_meet(F.col("_lb"), F.col("_rb"))
-        & (F.col("_cell") == grid.home_cell(F.col("_lb"), F.col("_rb"), cell, F.col("_level")))
-    )
-    if within:
-        exact = g.point_within(g.start_point(F.col("_lg")), F.col("_rg"))
-    else:
-        exact = g.area_intersects(F.col("_lg"), F.col("_rg"))
-    ids = [F.col("_lid").alias(left_id), F.col("_rid").alias(right_id)]
-    geometries = [F.col("_lg").alias("left_geom"), F.col("_rg").alias("right_geom")] if keep_geometry else []
-    return near.filter(exact).select(*ids, *geometries)
+    place = ("_meet", "_level", "cx", "cy", "_lsalt", "_rsalt")
+
+    def meet(held: pa.Table, others: pa.Table) -> pa.Table:
+        left, right = _Rows(held, "l"), _Rows(others, "r")
+        own, other = (np.stack([rows.numbers(c) for c in place], 1) for rows in (left, right))
+
+        def allowed(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            width = cell * float(grid.STEP) ** own[i, 1]
+            home = [np.floor(np.maximum(left.box[k][i], right.box[k][j]) / width) for k in (0, 1)]
+            return (own[i] == other[j]).all(1) & (home[0] == own[i, 2]) & (home[1] == own[i, 3])
+
+        found = [pa.RecordBatch.from_arrays(out, names=names) for out in _found(left, right, shapes.Boxes(*right.box), want, allowed)]
+        if found:
+            return pa.Table.from_batches(found)
+        return pa.Table.from_arrays(_nothing(left, right, want), names=names)
+
+    held = salted(lhs, "_lid", "_l", "_r").groupBy("_bucket")
+    return held.cogroup(salted(rhs, "_rid", "_r", "_l").groupBy("_bucket")).applyInArrow(meet, shape)
+
+
+def _nothing(left: _Rows, right: _Rows, want: str) -> list[pa.Array]:
+    kept = [left.array(c).slice(0, 0) for c in left.table.column_names if c.startswith("_keep_")]
+    measures = [pa.array([], pa.float64()), pa.array([], pa.bool_())] if want == _COVER else []
+    return [left.array("_lid").slice(0, 0), right.array("_rid").slice(0, 0), *kept, *measures]
+
+
+def spatial_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_geom: str = "geom",
+                 right_geom: str = "geom", cell: float = 0.05, within: bool = False,
+                 hot_rows: int = HOT_ROWS, sent: int = SENT) -> DataFrame:
+    """Pairs (``left_id``, ``right_id``) whose geometries intersect, each once.
+
+    With ``within`` the left geometry is a point that must lie strictly inside. Ids must be unique on their side. A
+    right side of at most ``sent`` vertices and rows, which are counted first, goes to every task; else both are dealt
+    out by cells ``cell`` wide, and cells with more than ``hot_rows`` rows of a side are split.
+    """
+    return _joined(left, right, left_id, right_id, left_geom, right_geom, cell, _WITHIN if within else _MEETS, hot_rows, sent)
 
 
 def area_keys(geometries: DataFrame, areas: DataFrame, key: str = "task_key", area_key: str = "area_key",
@@ -108,17 +227,13 @@ def points_within(points: DataFrame, polygons: DataFrame, point_id: str, polygon
 
 
 def coverage(areas: DataFrame, districts: DataFrame, area_id: str, district_id: str,
-             cell: float = 0.05) -> DataFrame:
+             cell: float = 0.05, hot_rows: int = HOT_ROWS, sent: int = SENT) -> DataFrame:
     """Intersecting pairs with their common area, the area's own size, and whether its centroid is inside."""
-    pairs = spatial_join(areas, districts, area_id, district_id, cell=cell, keep_geometry=True)
-    area, district = F.col("left_geom"), F.col("right_geom")
-    return pairs.withColumn("_mid", g.centroid(area)).select(
-        area_id,
-        district_id,
-        g.area_sqm(area).alias("area_sqm"),
-        g.overlap_sqm(area, district).alias("overlap_sqm"),
-        g.point_within(F.col("_mid"), district).alias("centroid_within"),
-    )
+    middle = g.centroid(F.col("geom"))
+    sized = areas.select(area_id, "geom", g.area_sqm(F.col("geom")).alias("area_sqm"), middle.alias("_mid"))
+    sized = sized.select(area_id, "geom", "area_sqm", F.col("_mid.x").alias("_mx"), F.col("_mid.y").alias("_my"))
+    pairs = _joined(sized, districts, area_id, district_id, "geom", "geom", cell, _COVER, hot_rows, sent, ("area_sqm", "_mx", "_my"))
+    return pairs.select(area_id, district_id, "area_sqm", "overlap_sqm", "centroid_within")
 
 
 def best_cover(areas: DataFrame, districts: DataFrame, area_id: str, district_id: str,

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geosync.functions import geom as g
-from geosync.functions import repair, wkb
+from geosync.functions import planar, repair, wkb
 from geosync.functions.reproject import LOCAL_SRID, reproject
 from geosync.operators import layers, spatial
 
@@ -66,10 +66,25 @@ def test_repair(spark):
     texts = ["POLYGON ((0 0, 4 4, 4 0, 0 4, 0 0))", "POLYGON ((0 0, 4 0, 4 0, 4 4, 0 4, 0 0))", "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))",
              "POLYGON ((0 0, 4 0, 2 0, 4 4, 0 4, 0 0))", "POINT (1 1)"]
     fixed = repair.make_valid(shapes(spark, texts), "geom", "fixed")
-    rows = fixed.select("id", "geom_status", F.size("fixed.parts").alias("n"), g.validity(F.col("fixed"))["valid"].alias("ok")).orderBy("id").collect()
+    rows = fixed.select("id", "geom_status", F.size("fixed.parts").alias("n"), planar.validity(F.col("fixed"))["valid"].alias("ok")).orderBy("id").collect()
     assert [r["geom_status"] for r in rows][:3] == ["repaired", "cleaned", "valid"]
     assert rows[0]["n"] == 2 and rows[0]["ok"] and rows[4]["geom_status"] == "valid"
-    assert rows[3]["geom_status"] in ("repaired", "unrepaired") and len(rows) == len(texts)
+    assert rows[3]["geom_status"] == "repaired" and rows[3]["ok"] and len(rows) == len(texts)
+
+
+def test_repair_of_holes_and_parts(spark):
+    square = "(0 0, 10 0, 10 10, 0 10, 0 0)"
+    texts = [f"POLYGON ({square}, (8 3, 14 3, 14 6, 8 6, 8 3))", f"MULTIPOLYGON (({square}), ((5 5, 15 5, 15 15, 5 15, 5 5)))",
+             "POLYGON ((0 0, 10 10, 10 0, 0 10, 0 0), (1 4, 2 4, 2 6, 1 6, 1 4))", "POLYGON ((0 0, 4 0, 2 0, 0 0))",
+             f"GEOMETRYCOLLECTION (POINT (1 2), POLYGON ({square}, (20 3, 24 3, 24 6, 20 6, 20 3)), LINESTRING (0 0, 1 1))",
+             f"POLYGON ({square}, (2 2, 2 4, 4 4, 4 2, 2 2))"]
+    fixed = repair.make_valid(shapes(spark, texts), "geom", "fixed")
+    rows = fixed.select("geom_status", "fixed.kind", F.size("fixed.parts").alias("n"), planar.validity(F.col("fixed"))["valid"].alias("ok")).orderBy("id").collect()
+    assert [r["geom_status"] for r in rows] == ["repaired", "repaired", "repaired", "unrepaired", "repaired", "valid"]
+    assert [r["ok"] for r in rows] == [True, True, True, False, True, True]
+    assert [r["kind"] for r in rows][4] == "geometrycollection" and rows[4]["n"] == 4
+    made = repair.line_to_polygon(shapes(spark, ["LINESTRING (37 55, 37.01 55.01, 37.01 55, 37 55.01, 37 55)"]), "geom", "p")
+    assert column(made, F.size("p.parts")) == [1]
 
 
 def test_area_counts_holes_out(spark):
@@ -90,8 +105,8 @@ def test_overlap_of_concave_shapes(spark):
         *[g.from_wkt(F.col(x)).alias(x) for x in "abcd"]
     )
     got = df.select(
-        g.overlap_sqm(F.col("a"), F.col("b")).alias("ab"), g.area_sqm(F.col("a")).alias("size_a"), g.overlap_sqm(F.col("a"), F.col("c")).alias("ac"),
-        g.overlap_sqm(F.col("b"), F.col("c")).alias("bc"), g.area_sqm(F.col("c")).alias("size_c"), g.overlap_sqm(F.col("d"), F.col("b")).alias("db"),
+        planar.overlap_sqm(F.col("a"), F.col("b")).alias("ab"), g.area_sqm(F.col("a")).alias("size_a"), planar.overlap_sqm(F.col("a"), F.col("c")).alias("ac"),
+        planar.overlap_sqm(F.col("b"), F.col("c")).alias("bc"), g.area_sqm(F.col("c")).alias("size_c"), planar.overlap_sqm(F.col("d"), F.col("b")).alias("db"),
         g.area_sqm(F.col("b")).alias("size_b"),
     ).first()
     assert got["ab"] == pytest.approx(got["size_a"]) and got["ac"] == pytest.approx(0, abs=1e-3)
@@ -127,8 +142,8 @@ def inside(x, y, ring):
     return odd
 
 
-@pytest.mark.parametrize("limit", [50_000, 3])
-def test_grid_join_equals_brute_force(spark, limit):
+@pytest.mark.parametrize("limit,sent", [(50_000, spatial.SENT), (50_000, 0), (3, 0)])
+def test_grid_join_equals_brute_force(spark, limit, sent):
     rng = random.Random(7)
     # A third of the points sit in one cell.
     points = [(i, rng.random() * 0.01, rng.random() * 0.01) if i % 3 == 0 else (i, rng.random(), rng.random()) for i in range(600)]
@@ -139,7 +154,7 @@ def test_grid_join_equals_brute_force(spark, limit):
     left = spark.createDataFrame(points, "id int, x double, y double").withColumn("geom", g.point(F.col("x"), F.col("y")))
     texts = [(k, "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + "))") for k, ring in stars]
     right = spark.createDataFrame(texts, "gid int, wkt string").withColumn("geom", g.from_wkt(F.col("wkt")))
-    pairs = spatial.spatial_join(left, right, "id", "gid", cell=0.07, hot_rows=limit).collect()
+    pairs = spatial.spatial_join(left, right, "id", "gid", cell=0.07, hot_rows=limit, sent=sent).collect()
     wanted = {(i, k) for i, x, y in points for k, ring in stars if inside(x, y, ring)}
     assert len(pairs) == len(wanted) and {tuple(p) for p in pairs} == wanted
 
@@ -148,5 +163,5 @@ def test_shapes_meet_by_edges_and_containment(spark):
     pairs = [("LINESTRING (-1 1, 5 1)", True), ("LINESTRING (5 5, 6 6)", False), ("POLYGON ((1 1, 2 1, 2 2, 1 2, 1 1))", True),
              ("POLYGON ((-9 -9, 9 -9, 9 9, -9 9, -9 -9))", True), ("POINT (0 2)", True), ("POINT (4.1 2)", False), ("MULTIPOINT (9 9, 1 1)", True)]
     df = shapes(spark, [p for p, _ in pairs]).withColumn("area", g.from_wkt(F.lit("POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))")))
-    assert column(df, g.intersects(F.col("geom"), F.col("area"))) == [w for _, w in pairs]
+    assert column(df, planar.intersects(F.col("geom"), F.col("area"))) == [w for _, w in pairs]
     assert column(df.filter("id = 4"), g.point_within(g.start_point(F.col("geom")), F.col("area"))) == [False]

@@ -217,9 +217,10 @@ def test_boxes_of_any_size_meet_once(spark):
     wanted = sorted(
         (i, k) for i, x, y, h in left for k, u, v, w in right if abs(x - u) <= h + w and abs(y - v) <= h + w
     )
-    for hot in (4, 1_000_000):
-        got = sorted(tuple(x) for x in spatial.spatial_join(l, r, "a", "b", cell=0.05, hot_rows=hot).collect())
+    for hot, sent in ((4, 0), (1_000_000, 0), (1_000_000, spatial.SENT)):
+        got = sorted(tuple(x) for x in spatial.spatial_join(l, r, "a", "b", cell=0.05, hot_rows=hot, sent=sent).collect())
         assert got == wanted
+    assert spatial.spatial_join(l, r.limit(0), "a", "b", sent=-1).isEmpty() and spatial.spatial_join(l.filter("a = 999"), r, "a", "b", sent=0).isEmpty()
     assert spatial.spatial_join(l, r.limit(0), "a", "b").isEmpty() and spatial.spatial_join(l.filter("a = 999"), r, "a", "b").isEmpty()
     cells = l.withColumn("box", g.bbox(c("geom"))).select(F.size(grid.cover(c("box"), 0.05, grid.level_of(c("box"), 0.05))).alias("n"))
     assert cells.agg(F.max("n")).first()[0] <= 4
