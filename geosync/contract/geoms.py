@@ -156,12 +156,31 @@ def geom_extract(t: Tables):
     return made.select("id", c("geom.kind").alias("kind"), g.x_of(c("geom")).alias("x"), g.y_of(c("geom")).alias("y"))
 
 
-@query("wkb_roundtrip", f"""SELECT CASE WHEN id % 9 < 8 THEN true END AS same, count(*) AS n,
-CAST(max(CASE id % 9 WHEN 0 THEN 25 WHEN 1 THEN 45 WHEN 2 THEN 97 WHEN 3 THEN 55 WHEN 4 THEN 95 WHEN 5 THEN 106 WHEN 6 THEN 168 WHEN 7 THEN 13 END) AS INTEGER) AS longest FROM {sub(WKT)} GROUP BY 1""")
+def _number(n: int) -> str:
+    return n.to_bytes(4, "little").hex().upper()
+
+
+def _bits(column: str) -> str:
+    """A double's bytes, the lowest first, as hex digits."""
+    big = f"printf('%016X', CAST(CAST(CAST({column} AS DOUBLE) AS BIT) AS BIGINT))"
+    return " || ".join(f"substr({big}, {k}, 2)" for k in range(15, 0, -2))
+
+
+_CORNERS = " || ".join(("x || y", "x2 || y", "x2 || y2", "x || y2", "x || y"))
+_DOT_BYTES, _SEG_BYTES, _BOX_BYTES = "x || y", f"'{_number(2)}' || x || y || x2 || y2", f"'{_number(1)}{_number(5)}' || {_CORNERS}"
+_PART_BYTES = [f"'01{_number(k)}' || {body}" for k, body in ((1, _DOT_BYTES), (2, _SEG_BYTES), (3, _BOX_BYTES))]
+_BODY_BYTES = (
+    _DOT_BYTES, _SEG_BYTES, _BOX_BYTES, f"'{_number(2)}' || {_PART_BYTES[0]} || '01{_number(1)}' || x2 || y2", f"'{_number(2)}' || {_PART_BYTES[1]} || {_PART_BYTES[1]}",
+    f"'{_number(1)}' || {_PART_BYTES[2]}", f"'{_number(3)}' || " + " || ".join(_PART_BYTES), f"'{_number(0)}'",
+)
+_EWKB = " ".join(f"WHEN {k} THEN '01{_number((3 if k == 7 else k + 1) | wkb.SRID_FLAG)}{_number(4326)}' || {body}" for k, body in enumerate(_BODY_BYTES))
+
+
+@query("wkb_roundtrip", f"""WITH w AS (SELECT id, {', '.join(f'{_bits(v)} AS {k}' for k, v in (('x', 'xs'), ('y', 'ys'), ('x2', 'xs2'), ('y2', 'ys2')))} FROM {sub(WKT)})
+SELECT id, CASE id % 9 {_EWKB} END AS ewkb, CASE WHEN id % 9 < 8 THEN true END AS same FROM w""")
 def wkb_roundtrip(t: Tables):
     step = _shapes(t).withColumn("blob", wkb.to_ewkb(c("geom")))
-    back = step.withColumn("back", wkb.from_ewkb(c("blob")))
-    return back.groupBy((c("back") == c("geom")).alias("same")).agg(F.count("*").alias("n"), F.max(F.length("blob")).alias("longest"))
+    return step.withColumn("back", wkb.from_ewkb(c("blob"))).select("id", F.hex("blob").alias("ewkb"), (c("back") == c("geom")).alias("same"))
 
 
 @query("geom_hash", f"SELECT count(*) AS hashed, count(DISTINCT wkt) AS different FROM {sub(WKT)} WHERE id % 9 < 8")
@@ -196,9 +215,30 @@ def _box_area(x0: str, y0: str, x1: str, y1: str) -> str:
 _XY = "CAST(xs AS DOUBLE)", "CAST(ys AS DOUBLE)", "CAST(xs2 AS DOUBLE)", "CAST(ys2 AS DOUBLE)"
 
 
-@query("geodesic_length", f"SELECT id, round(CASE WHEN id % 9 IN (1, 6) THEN 1 WHEN id % 9 = 4 THEN 2 WHEN id % 9 < 8 THEN 0 END * {_dist(*_XY)}, 4) AS length_m FROM {sub(WKT)}")
+# Control lines (lon, lat, lon, lat) and their lengths in metres, from quadrature of the exact integrals along each line.
+CONTROLS = (
+    (37.5, 55.5, 37.57, 55.55), (37.5, 55.0, 47.5, 55.0), (10.0, -30.0, 10.5, 60.0), (-20.0, 10.0, 150.0, -5.0), (5.0, 70.0, 95.0, 71.0), (30.0, -45.0, 60.0, -44.5), (100.0, 20.0, 101.0, 21.0),
+)
+CONTROL_M = ("7108.594182", "639395.864700", "9974291.974075", "18795841.482959", "3049772.463993", "2362677.113105", "152110.338518")
+
+
+@query("geodesic_length", f"""SELECT c_custkey AS id, round(CASE c_custkey % 3 WHEN 0 THEN a WHEN 1 THEN a + b ELSE 0 END, 2) AS length_m
+FROM (SELECT c_custkey, [{', '.join(f'{m}::DOUBLE' for m in CONTROL_M)}] AS m, m[c_custkey % {len(CONTROLS)} + 1] AS a, m[(c_custkey + 1) % {len(CONTROLS)} + 1] AS b FROM customer)""")
 def geodesic_length(t: Tables):
-    return _shapes(t).select("id", F.round(g.length_m(c("geom")), 4).alias("length_m"))
+    # The same lines anywhere on their parallels; some pass the 180th meridian.
+    def line(key: Column) -> Column:
+        ends = F.get(F.array(*[F.array(*[F.lit(v) for v in ends]) for ends in CONTROLS]), (key % len(CONTROLS)).cast("int"))
+        shift = (c("c_custkey") % 90).cast("double")
+        return F.array(g.vertex(ends[0] + shift, ends[1]), g.vertex(ends[2] + shift, ends[3]))
+
+    def part(key: Column) -> Column:
+        return g.part("linestring", F.array(line(key)))
+
+    key = c("c_custkey")
+    shape = F.when(key % 3 == 0, g.linestring(line(key))).when(key % 3 == 1, g.geometry("multilinestring", F.array(part(key), part(key + 1)))).otherwise(
+        g.point(key % 180, F.lit(10.0))
+    )
+    return t.customer.select(key.alias("id"), shape.alias("geom")).select("id", F.round(planar.length_m(c("geom")), 2).alias("length_m"))
 
 
 @query("geodesic_area", f"SELECT id, round(CASE WHEN id % 9 IN (2, 5, 6) THEN 1 WHEN id % 9 < 8 THEN 0 END * {_box_area(_XY[0], _XY[1], _XY[2], _XY[3])}, 2) AS area_sqm FROM {sub(WKT)}")

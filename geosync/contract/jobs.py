@@ -239,7 +239,7 @@ def job_reactivate(t: Tables):
     )
     points = _points(t).select(c("id").alias("task_key"), "geom")
     done = areas.reactivate("NATION_12", t.customer.select(c("c_custkey").alias("key")), points, _districts(t), snapshots.unionByName(extra), cell=CELL)
-    return done[1].filter("status <> 'none'")
+    return done[1].filter("status <> 'none'").drop("items_sum")
 
 
 @query("job_photo_worklist", """SELECT o_orderkey AS oid, CASE WHEN o_totalprice < 150000 THEN 'bad_path' WHEN o_totalprice < 300000 THEN 'missing' ELSE 'photo' END AS outcome FROM orders WHERE (o_orderstatus <> 'F') AND o_orderpriority = '1-URGENT'""")

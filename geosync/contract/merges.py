@@ -10,7 +10,7 @@ from geosync.contract import bindings as b
 from geosync.contract.registry import TABLES, Tables, query, sub
 from geosync.functions.text import blank_to_null, legacy_name
 from geosync.operators import audit, guards, keep, links, merge, numbering
-from geosync.session import shared_folder
+from geosync.session import cut_lineage, shared_folder, stage
 from geosync.sources import runlog, tables
 
 c = F.col
@@ -142,13 +142,16 @@ def insert_if_absent(t: Tables):
     return merge.insert_absent(target, changes, ["label_id"], [c("type")]).drop("action")
 
 
-@query("insert_only_conflicts", """WITH s AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events WHERE event_id % 11 <> 0)
-SELECT event_id, user_id FROM s WHERE rn > 1 OR user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+@query("insert_only_conflicts", """WITH s AS (SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_type, event_id, copy) AS rn
+FROM events, (SELECT unnest([0, 1, 2]) AS copy) WHERE event_id % 11 <> 0 AND (copy = 0 OR event_id % 5 = 0))
+SELECT event_id, user_id, event_type FROM s WHERE rn > 1 OR user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
 def insert_only_conflicts(t: Tables):
+    # Many changes of a user have one kind, by which they are ordered, and every fifth comes three times.
     target = t.customer.filter("c_mktsegment = 'BUILDING'").select(c("c_custkey").alias("user_id"))
-    changes = t.events.select(F.when(c("event_id") % 11 != 0, c("user_id")).alias("user_id"), "event_id")
-    _, refused = merge.insert_only(target, changes, ["user_id"], [c("event_id")])
-    return refused.select("event_id", "user_id")
+    changes = t.events.select(F.when(c("event_id") % 11 != 0, c("user_id")).alias("user_id"), "event_id", "event_type")
+    again = changes.filter("event_id % 5 = 0")
+    _, refused = merge.insert_only(target, changes.unionAll(again).unionAll(again), ["user_id"], [c("event_type")])
+    return refused.select("event_id", "user_id", "event_type")
 
 
 _COMPARE = ["o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
@@ -217,8 +220,10 @@ SELECT status, count(*) AS before, count(key) AS deleted, count(*) - count(key)
 def snapshot_clear(t: Tables):
     items = t.bind(b.ITEMS)
     keys = items.filter("permit_id IS NOT NULL").select(c("key").alias("task_key"))
-    _, report = guards.clear_snapshots(t.bind(_SNAP), keys, items)
-    return report
+    kept, report = guards.clear_snapshots(t.bind(_SNAP), keys, items)
+    report = cut_lineage(report)
+    guards.check_cleared(report, stage(kept, "snapshots"), keys, items)
+    return report.drop("items_sum")
 
 
 @query("flag_reset", f"SELECT CASE WHEN field_observed IS DISTINCT FROM false THEN 'update' ELSE 'keep' END AS action, count(*) AS n, count(*) FILTER (WHERE false) AS still_set FROM {ITEMS} GROUP BY 1")

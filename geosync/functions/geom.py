@@ -434,12 +434,6 @@ def distance_m(p: Column, q: Column) -> Column:
     )
 
 
-def length_m(geom: Column) -> Column:
-    """Length of the line parts in metres."""
-    lines = F.filter(geom["parts"], lambda p: p["kind"] == "linestring")
-    return total(F.transform(lines, lambda p: ring_length_m(F.get(p["rings"], F.lit(0)))))
-
-
 def _authalic_y(lat: Column) -> Column:
     """Height of a latitude in the cylindrical plane that keeps areas, in metres."""
 

@@ -20,7 +20,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from geosync.functions import arrangement
+from geosync.functions import arrangement, geodesic
 from geosync.functions import shapes as s
 
 VERTEX = StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])
@@ -52,6 +52,21 @@ def _overlap(a: pa.Array, b: pa.Array, _: pa.Array, __: pa.Array) -> pa.Array:
     return pa.array(s.overlap(s.Borders(s.Shapes(a)), s.Borders(s.Shapes(b)), every, every))
 
 
+@F.arrow_udf(DoubleType())
+def _length(geom: pa.Array, _: pa.Array) -> pa.Array:
+    shapes = s.Shapes(geom)
+    first = np.flatnonzero((shapes.ring[1:] == shapes.ring[:-1]) & (shapes.kind[shapes.part[shapes.ring[1:]]] == s.LINE))
+    metres = geodesic.distances(shapes.x[first], shapes.y[first], shapes.x[first + 1], shapes.y[first + 1])
+    total = np.bincount(shapes.geom[shapes.part[shapes.ring[first]]], weights=metres, minlength=shapes.n)
+    return pa.array(total, mask=~np.asarray(geom.is_valid()))
+
+
+@F.arrow_udf(DoubleType())
+def _distance(x1: pa.Array, y1: pa.Array, x2: pa.Array, y2: pa.Array) -> pa.Array:
+    metres = geodesic.distances(*(v.to_numpy(zero_copy_only=False).astype(float) for v in (x1, y1, x2, y2)))
+    return pa.array(metres, mask=np.isnan(metres))
+
+
 @F.arrow_udf(VALIDITY)
 def _validity(geom: pa.Array, _: pa.Array) -> pa.Array:
     reasons = _reasons(geom)
@@ -107,6 +122,16 @@ def overlap_sqm(a: Column, b: Column) -> Column:
     return _overlap(a, b, a["srid"], b["srid"])
 
 
+def length_m(geom: Column) -> Column:
+    """Length of the line parts in metres, each edge the shortest line on the ellipsoid."""
+    return _length(geom, geom["srid"])
+
+
+def distance_m(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Metres between two positions in degrees on the ellipsoid, the short way round; NULL beyond a pole."""
+    return _distance(x1, y1, x2, y2)
+
+
 def validity(geom: Column) -> Column:
     """``struct(valid, reason)``: one of ``shapes.REASONS`` or NULL. Rings and parts may touch each other in points."""
     return _validity(geom, geom["srid"])

@@ -103,21 +103,25 @@ def insert_absent(target: DataFrame, changes: DataFrame, keys: list[str], order:
 def insert_only(target: DataFrame, changes: DataFrame, keys: list[str],
                 order: list[Column]) -> tuple[DataFrame, DataFrame]:
     """Insert new keys; the second frame holds the changes refused because their key was there
-    already, in the target or earlier in the changes. Changes with a NULL in the key are never refused."""
+    already, in the target or earlier in the changes. Changes with a NULL in the key are never refused.
+
+    Of changes with one key and equal ``order`` the one with the least other values counts; of equal rows one."""
     lone = changes.filter(~_complete(keys))
-    changes = changes.filter(_complete(keys))
-    first = first_per(changes, [F.col(k) for k in keys], order)
-    first_order = first.select(*keys, F.struct(*order).alias("_first"))
+    columns = [F.col(f"`{c}`") for c in changes.columns]
+    # equal rows are one with their number, so that one of them can be inserted and the others refused
+    counted = changes.filter(_complete(keys)).groupBy(*columns).agg(F.count("*").alias("_copies"))
+    ranked = counted.withColumn("_order", F.struct(*order, *columns))
+    first = ranked.groupBy(*keys).agg(F.min("_order").alias("_first"))
     known = target.filter(_complete(keys)).select(*keys).distinct().withColumn("_known", F.lit(True))
-    judged = changes.withColumn("_order", F.struct(*order)).join(known, keys, "left").join(
-        first_order, keys, "left"
-    )
-    refused = judged.filter(F.col("_known").isNotNull() | (F.col("_order") != F.col("_first")))
-    fresh = first.alias("s").join(known.alias("t"), _equal(keys), "left_anti").unionByName(lone)
+    judged = ranked.join(first, keys).join(known, keys, "left")
+    inserted = F.col("_known").isNull() & F.col("_order").eqNullSafe(F.col("_first"))
+    left = F.col("_copies") - F.when(inserted, 1).otherwise(0)
+    refused = judged.filter(left > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), left))).select(*columns)
+    fresh = judged.filter(inserted).select(*columns).unionByName(lone)
     added = target.unionByName(
-        fresh.select(*[c for c in target.columns if c in first.columns]), allowMissingColumns=True
+        fresh.select(*[c for c in target.columns if c in fresh.columns]), allowMissingColumns=True
     )
-    return added, refused.drop("_known", "_order", "_first")
+    return added, refused
 
 
 def mirror(target: DataFrame, source: DataFrame, key: str, compare: list[str],

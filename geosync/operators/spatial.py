@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geosync.functions import geom as g
-from geosync.functions import grid, shapes
+from geosync.functions import grid, planar, shapes
 from geosync.session import stage
 
 #: Vertices and rows of a right side that is sent to every task, some 50 MB; a larger one is dealt out.
@@ -251,19 +251,23 @@ def best_cover(areas: DataFrame, districts: DataFrame, area_id: str, district_id
 def radius_search(points: DataFrame, lat: float, lng: float, radius_m: float) -> DataFrame:
     """Points within ``radius_m`` metres of a position, by box first and distance after.
 
-    The box may cross the 180th meridian: longitudes are compared by their difference the short way round.
+    The box may cross the 180th meridian: longitudes are compared by their difference the short way round. Where the
+    circle holds a pole, it has points of every longitude.
     """
-    from math import cos, radians
+    from math import asin, cos, degrees, radians, sin
 
     # A degree is nowhere shorter than 110 km on a meridian; the box errs on the large side.
     dy = radius_m / 110_000
-    dx = dy / max(cos(radians(min(abs(lat) + dy, 89.9))), 1e-6)
-    position = F.struct(F.lit(lng).alias("x"), F.lit(lat).alias("y"))
     here = g.start_point(F.col("geom"))
-    away = F.pmod(here["x"] - lng + 180, F.lit(360.0)) - 180
-    boxed = points.filter((F.abs(away) <= dx) & here["y"].between(lat - dy, lat + dy))
-    near = F.struct((F.lit(lng) + away).alias("x"), here["y"].alias("y"))
-    return boxed.filter(g.distance_m(near, position) <= radius_m)
+    named = points.withColumns({"_x": here["x"], "_y": here["y"]})
+    near = F.col("_y").between(lat - dy, lat + dy)
+    if abs(lat) + dy < 90:
+        # where the circle's edge runs along a meridian, on a sphere a little smaller than the earth
+        widest = degrees(asin(min(1.0, sin(radians(dy)) / cos(radians(lat))))) * 1.01
+        near = near & (F.abs(F.pmod(F.col("_x") - lng + 180, F.lit(360.0)) - 180) <= widest)
+    boxed = named.filter(near)
+    away = planar.distance_m(F.col("_x"), F.col("_y"), F.lit(float(lng)), F.lit(float(lat)))
+    return boxed.withColumn("_away", away).filter(F.col("_away") <= radius_m).select(*points.columns)
 
 
 def item_geometries(items: DataFrame, layers: DataFrame | None, by_id: list[tuple[DataFrame, str, str, str]]) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,17 +31,23 @@ def build_session(app: str = "geosync", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder on this machine.
+    Only a local master may fall back to a folder on this machine, one for an application.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="geosync-")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="geosync-")
+    return _LOCAL[application]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -49,24 +58,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_STAGED: list[str] = []
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """What ``stage`` writes inside belongs to this block, in this thread, and is removed at its end.
+
+    Results that read staged tables must be written before; an inner block removes its own tables only.
+    """
+    own: list[str] = []
+    token = _STAGED.set(own)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        for folder in own:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to a new folder of the shared folder and read back, so that later passes read few columns."""
+    """``df`` written as Parquet to a new folder of the shared folder and read back, so that later passes read few columns.
+
+    Inside ``staging`` the folder is removed at the end of the block, else it is the caller's to remove.
+    """
     folder = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    own = _STAGED.get()
+    if own is not None:
+        own.append(folder)
     df.write.parquet(folder)
-    _STAGED.append(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def discard_staged(spark: SparkSession) -> None:
-    """Removes what ``stage`` wrote; for the end of a job, when all its results are written."""
-    while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores when its input comes in fewer pieces, as one small file does.
 

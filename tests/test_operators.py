@@ -1,3 +1,4 @@
+import os
 import json
 import random
 
@@ -236,3 +237,54 @@ def test_items_keep_keys_of_other_tables(spark):
     zones = spark.createDataFrame([(7, square(0.5, 0.5, 0.2))], "key int, wkt string").select("key", g.from_wkt(c("wkt")).alias("geom"))
     got = {x["key"]: x["area_key"] for x in item_jobs.tag_areas(have, found, zones).collect()}
     assert got == {"k1": ["7"], "k2": ["old"], "k3": None}
+
+
+def test_radius_at_the_poles(spark):
+    rows = [(1, 0.0, 89.99), (2, 120.0, 89.99), (3, -120.0, 89.99), (4, 10.0, 89.9), (5, 0.0, -89.99)]
+    df = spark.createDataFrame(rows, "id int, lon double, lat double").withColumn("geom", g.point(c("lon"), c("lat")))
+    assert sorted(r["id"] for r in spatial.radius_search(df, 89.99, 0.0, 5000).collect()) == [1, 2, 3]
+    assert sorted(r["id"] for r in spatial.radius_search(df, -90.0, 77.0, 5000).collect()) == [5]
+    near = spatial.radius_search(df, 89.95, 0.0, 4600)
+    assert near.columns == df.columns and [r["id"] for r in near.collect()] == [1]
+
+
+def test_refused_changes_are_all_counted(spark):
+    target = spark.createDataFrame([("a", 0)], "k string, v int")
+    changes = spark.createDataFrame([("b", 1, 7), ("b", 1, 7), ("b", 1, 3), ("a", 5, 5), ("a", 5, 5), (None, 1, 1), (None, 1, 1), ("c", 2, None)], "k string, v int, w int")
+    done, refused = merge.insert_only(target, changes, ["k"], [c("v")])
+    assert sorted(map(tuple, refused.collect())) == [("a", 5, 5), ("a", 5, 5), ("b", 1, 7), ("b", 1, 7)]
+    assert sorted(map(tuple, done.select("k", "v").collect()), key=repr) == sorted([("a", 0), ("b", 1), ("c", 2), (None, 1), (None, 1)], key=repr)
+
+
+def test_clearing_is_checked_against_what_was_written(spark):
+    snapshots = spark.createDataFrame([("new", "t1"), ("new", "t2"), ("old", "t1"), ("old", None)], "status string, task_key string")
+    items = spark.createDataFrame([("t1", 1), ("t2", 2)], "key string, n int")
+    keys = spark.createDataFrame([("t1",), (None,)], "task_key string")
+    kept, report = guards.clear_snapshots(snapshots, keys, items)
+    report = spark.createDataFrame(report.collect(), report.schema)
+    guards.check_cleared(report, kept, keys, items)
+    wrong = [
+        (snapshots, items), (kept.filter("task_key IS NOT NULL"), items), (kept.limit(0), items),
+        (kept, items.withColumn("n", c("n") + 1)), (kept, items.filter("key <> 't1'")),
+    ]
+    for written, now in wrong:
+        with pytest.raises(RuntimeError):
+            guards.check_cleared(report, written, keys, now)
+
+
+def test_staged_tables_belong_to_their_block(spark, tmp_path):
+    from geosync import session
+
+    def folders():
+        return {f.rpartition("/")[0].removeprefix("file:") for f in made.inputFiles()}
+
+    df = spark.range(3)
+    with session.staging(spark):
+        made = session.stage(df, "outer")
+        outer = folders()
+        with session.staging(spark):
+            made = session.stage(df, "inner")
+            inner = folders()
+        assert not any(os.path.exists(f) for f in inner) and all(os.path.exists(f) for f in outer)
+    assert not any(os.path.exists(f) for f in outer)
+    assert session.shared_folder(spark) == session.shared_folder(spark)
