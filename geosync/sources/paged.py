@@ -9,9 +9,10 @@ import urllib.parse
 import urllib.request
 from collections.abc import Iterator
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from geosync.functions.jsonx import unwrap_envelope
 
@@ -94,6 +95,121 @@ class PagedFeatures(DataSource):
         return _Reader(dict(self.options))
 
 
+class _Span(InputPartition):
+    """Rows ``first`` up to ``last`` (None: all) of a page."""
+
+    def __init__(self, page: int, first: int, last: int | None):
+        self.page, self.first, self.last = page, first, last
+
+
+class _Pages:
+    """Stored pages: a folder ``page=<n>`` each, in any number of files, that do not change once they are there."""
+
+    def __init__(self, path: str):
+        self.files, self.path = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+
+    def _listed(self, path: str) -> list[fs.FileInfo]:
+        return self.files.get_file_info(fs.FileSelector(path, allow_not_found=True))
+
+    def end(self, page: int) -> tuple[int, int]:
+        """The first page from ``page`` on that is not there yet."""
+        there = {f.base_name for f in self._listed(self.path) if f.type == fs.FileType.Directory}
+        while f"page={page}" in there:
+            page += 1
+        return page, 0
+
+    def bodies(self, page: int) -> Iterator[str]:
+        for f in sorted(self._listed(f"{self.path}/page={page}"), key=lambda f: f.base_name):
+            if f.type == fs.FileType.File and f.base_name[0] not in "._":
+                yield self.files.open_input_stream(f.path).read().decode("utf-8")
+
+
+class _Service:
+    """Pages of a service: all are full but the last, which may still grow."""
+
+    def __init__(self, reader: _Reader):
+        self.reader = reader
+
+    def _rows(self, page: int) -> int:
+        return _size(self.reader._load(page))
+
+    def end(self, page: int) -> tuple[int, int]:
+        """The first page from ``page`` on that is not full, and its rows: by doubled steps, then by halves."""
+        step, low = 1, page
+        rows = self._rows(page)
+        if rows < self.reader.page_size:
+            return page, rows
+        while self._rows(low + step) >= self.reader.page_size:
+            low += step
+            step *= 2
+        high = low + step
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if self._rows(middle) >= self.reader.page_size else (low, middle)
+        return high, self._rows(high)
+
+    def bodies(self, page: int) -> Iterator[str]:
+        yield self.reader._load(page)
+
+
+class _StreamReader(DataSourceStreamReader):
+    """Offsets are a page and the rows of it that were read; all pages before are done."""
+
+    def __init__(self, options: dict):
+        path = options["path"]
+        self.source = _Service(_Reader(options)) if path.startswith(("http://", "https://")) else _Pages(path)
+        self.known = 0
+
+    def initialOffset(self) -> dict:
+        return {"page": 0, "row": 0}
+
+    def latestOffset(self) -> dict:
+        page, row = self.source.end(self.known)
+        self.known = page
+        return {"page": page, "row": row}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        self.known = max(self.known, start["page"])
+        spans = [_Span(p, start["row"] if p == start["page"] else 0, None) for p in range(start["page"], end["page"])]
+        first = start["row"] if start["page"] == end["page"] else 0
+        return [*spans, *([_Span(end["page"], first, end["row"])] if end["row"] > first else [])]
+
+    def read(self, partition: _Span) -> Iterator[tuple]:
+        before = 0
+        for body in self.source.bodies(partition.page):
+            size = _size(body)
+            last = before + size if partition.last is None else partition.last
+            if before < last and before + size > partition.first:
+                yield partition.page, before, partition.first, last, body
+            before += size
+
+    def commit(self, end: dict) -> None:
+        """Pages stay where they are, so there is nothing to let go."""
+
+
+class PagedFeatureStream(DataSource):
+    """Pages as a stream: the rows ``first`` up to ``last`` of each page are new; ``before`` stand in its other files."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "paged_feature_stream"
+
+    def schema(self) -> str:
+        return "page bigint, before int, first int, last int, body string"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _StreamReader(dict(self.options))
+
+
+def paged_feature_stream(spark: SparkSession, path: str, page_size: int = PAGE_SIZE, start: int = FIRST_ROW) -> DataFrame:
+    """``page``, ``idx`` and ``feature`` of a service or of stored pages, as they arrive. Batches are read again alike."""
+    spark.dataSource.register(PagedFeatureStream)
+    pages = spark.readStream.format("paged_feature_stream").options(path=path, pagesize=page_size, start=start).load()
+    listed = pages.select("page", "before", "first", "last", F.posexplode(unwrap_envelope(F.col("body"))).alias("_at", "feature"))
+    idx = F.col("before") + F.col("_at")
+    return listed.filter((idx >= F.col("first")) & (idx < F.col("last"))).select("page", idx.alias("idx"), "feature")
+
+
 def _stored(spark: SparkSession, path: str) -> DataFrame:
     """Features of pages stored below ``page=<n>``, each in any number of files, in any folder that Spark can read."""
     pages = spark.read.text(path, wholetext=True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from geosync.operators.spatial import area_keys
+from geosync.sources import buckets
 
 
 def refresh_changed(changes: DataFrame, geometries: DataFrame, areas: DataFrame, cell: float = 0.05) -> DataFrame:
@@ -18,12 +19,18 @@ def refresh_changed(changes: DataFrame, geometries: DataFrame, areas: DataFrame,
     return area_keys(geometries.join(touched, "task_key", "left_semi"), areas, cell=cell)
 
 
-def refresh_stream(changes: DataFrame, geometries: DataFrame, areas: DataFrame, path: str, checkpoint: str,
+def refresh_stream(changes: DataFrame, geometries: str, areas: DataFrame, path: str, checkpoint: str,
                    cell: float = 0.05) -> StreamingQuery:
-    """Writes the fresh keys of every batch of changes below ``path``, one folder per batch."""
+    """Writes the fresh keys of every batch of changes below ``path``, one folder per batch.
+
+    ``geometries`` is the root of a table (``task_key``, ``geom``) in buckets of ``task_key``; a batch opens only the
+    buckets its keys lie in.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # A repeated batch overwrites its own folder.
-        refresh_changed(batch, geometries, areas, cell).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        touched = buckets.touched_by(batch.select("task_key").filter("task_key IS NOT NULL"), geometries)
+        held = buckets.read(batch.sparkSession, geometries, touched)
+        refresh_changed(batch, held, areas, cell).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

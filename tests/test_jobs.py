@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from geosync.functions import geom as g
 from geosync.plans import areas, features, items, mirrors, photos
-from geosync.sources import geojson, runlog, versions
+from geosync.sources import buckets, geojson, paged, runlog, versions
 from geosync.sources.paged import paged_features
 from geosync.streaming import inbox
 
@@ -134,14 +134,100 @@ def test_inbox_applies_files_once(spark, tmp_path):
     (folder / "a.csv").write_text("order_no,date,executor\nN1,2026-08-12,Old\nN1,12.08.2026,New\n,2026-08-12,X\nN2,bad,Y\nN3,45292,\nO2,45292,Second\nZ,1/2/2026,Lost\n")
     (folder / "~$b.csv").write_text("order_no,date,executor\nN1,2026-08-12,Locked\n")
     target = spark.createDataFrame([("N1", "O1", None, None), (None, "O2", None, None)], "order_name string, order string, assigned_on date, executor string")
-    versions.write_version(target, f"{tmp_path}/target")
+    buckets.create(target, f"{tmp_path}/target", ["order"])
     for _ in range(2):
         inbox.inbox_stream(spark, str(folder), f"{tmp_path}/target", f"{tmp_path}/log", f"{tmp_path}/cp", once=True).awaitTermination()
-    got = {r["order"]: (r["assigned_on"], r["executor"]) for r in versions.read_current(spark, f"{tmp_path}/target").collect()}
+    got = {r["order"]: (r["assigned_on"], r["executor"]) for r in buckets.read(spark, f"{tmp_path}/target").collect()}
     assert got == {"O1": (date(2026, 8, 12), "New"), "O2": (date(2024, 1, 1), "Second")}
     log = spark.read.parquet(f"{tmp_path}/log").first()
     assert (log["rows"], log["filled_first"], log["filled_second"], log["missing"], log["skipped_rows"]) == (3, 1, 1, 1, 3)
-    assert versions.current_version(spark, f"{tmp_path}/target") == 2
+    assert versions.current_version(spark, f"{tmp_path}/target/list") == 2
+
+
+def test_inbox_rewrites_the_buckets_of_its_matches(spark, tmp_path):
+    target = spark.range(400).select(
+        c("id"), F.concat(F.lit("N"), "id").alias("order_name"), F.concat(F.lit("O"), "id").alias("order"),
+        F.lit(None).cast("date").alias("assigned_on"), F.lit(None).cast("string").alias("executor"),
+    )
+    root = f"{tmp_path}/target"
+    buckets.create(target, root, ["id"], buckets=32)
+    before = set(buckets.read(spark, root).inputFiles())
+    rows = spark.createDataFrame([("N3", "2026-08-12", "A"), ("O5", "2026-08-12", "B"), ("N7", "2026-08-12", "C"), ("none", "2026-08-12", "D")], inbox.ASSIGNMENT)
+    rows = rows.withColumn("file_name", F.lit("f")).withColumn("ord", F.struct(F.lit(0).alias("block"), F.lit(1).alias("row")))
+    for _ in range(2):  # run again, the same
+        log, touched = inbox.apply_to_buckets(rows, root)
+        assert 0 < len(touched) <= 3 and log.first()["missing"] == 1
+    after = set(buckets.read(spark, root).inputFiles())
+    assert len(before) == len(after) == 32 and len(before - after) == len(touched)
+    table = {r["id"]: r["executor"] for r in buckets.read(spark, root).collect()}
+    assert len(table) == 400 and {k: v for k, v in table.items() if v} == {3: "A", 5: "B", 7: "C"}
+    assert inbox.apply_to_buckets(rows.limit(0), root)[1] == []
+
+
+def test_buckets(spark, tmp_path):
+    root = f"{tmp_path}/t"
+    rows = spark.createDataFrame([(k, f"v{k}") for k in range(50)] + [(None, "no key")], "k long, v string")
+    buckets.create(rows, root, ["k"], buckets=8)
+    assert sorted(map(tuple, buckets.read(spark, root).collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+    touched = buckets.touched_by(spark.createDataFrame([(4,), (4,), (9,)], "k long"), root)
+    some = buckets.read(spark, root, touched)
+    assert len(some.inputFiles()) == len(touched) <= 2
+    with pytest.raises(ValueError):
+        buckets.replace(buckets.read(spark, root), root, touched)
+    # a write that was not committed is not seen, and the next one takes its place
+    assert buckets.read(spark, root).count() == 51
+    assert buckets.replace(some.filter("k <> 4"), root, touched) == len(touched)
+    assert buckets.read(spark, root).count() == 50 and buckets.read(spark, root).filter("k = 4").isEmpty()
+    assert buckets.replace(some.limit(0), root, touched) == len(touched)
+    assert buckets.read(spark, root, touched).isEmpty() and buckets.read(spark, root, touched).schema == rows.schema
+    buckets.create(rows.limit(0), f"{tmp_path}/none", ["k"])
+    assert buckets.read(spark, f"{tmp_path}/none").isEmpty()
+
+
+def test_paged_stream_goes_on_from_its_checkpoint(spark, tmp_path):
+    def write(page, features, part=0):
+        (tmp_path / "pages" / f"page={page}").mkdir(parents=True, exist_ok=True)
+        body = {"features": [{"geometry": None, "properties": {"rowNo": k}} for k in features]}
+        (tmp_path / "pages" / f"page={page}" / f"part-{part}.txt").write_text(json.dumps(body))
+
+    paths = [f"{tmp_path}/{x}" for x in ("pages", "rows", "types", "cp")]
+    write(0, [0, 1])
+    write(1, [2], 0)
+    write(1, [3, 4], 1)
+    write(3, [7])  # not before page 2 is there
+    inbox.paged_stream(spark, *paths, once=True).awaitTermination()
+    assert sorted((r["page"], r["ord"], r["row_no"]) for r in spark.read.parquet(paths[1]).collect()) == [(0, 0, 0), (0, 1, 1), (1, 0, 2), (1, 1, 3), (1, 2, 4)]
+    write(2, [5, 6])
+    for _ in range(2):
+        inbox.paged_stream(spark, *paths, once=True).awaitTermination()
+    assert sorted(r["row_no"] for r in spark.read.parquet(paths[1]).collect()) == list(range(8))
+
+
+def test_offsets_of_a_growing_service(monkeypatch):
+    size, asked = 5, []
+    total = [0]
+
+    def load(self, page):
+        asked.append(page)
+        return json.dumps({"features": list(range(page * size, min(total[0], (page + 1) * size)))})
+
+    monkeypatch.setattr(paged._Reader, "_load", load)
+    reader = paged._StreamReader({"path": "http://service/x", "pagesize": str(size)})
+    at, seen = reader.initialOffset(), []
+    for n in (0, 3, 5, 12, 12, 2003):
+        total[0] = n
+        asked.clear()
+        end = reader.latestOffset()
+        assert (end["page"], end["row"]) == (n // size, n % size) and len(asked) < 30
+        for span in reader.partitions(at, end):
+            for page, before, first, last, body in reader.read(span):
+                seen += [k for i, k in enumerate(json.loads(body)["features"]) if first <= before + i < last]
+        at = end
+        assert seen == list(range(n))
+    # started again, and a span read again: the same rows
+    again = paged._StreamReader({"path": "http://service/x", "pagesize": str(size)})
+    spans = again.partitions({"page": 1, "row": 2}, {"page": 2, "row": 1})
+    assert [(s.page, s.first, s.last) for s in spans] == [(1, 2, None), (2, 0, 1)]
 
 
 def test_pages_are_all_read(spark, tmp_path):
@@ -194,6 +280,9 @@ def test_touched_items_are_refreshed(spark, tmp_path):
     places = spark.createDataFrame([("a", 0.7, 0.5), ("b", 0.2, 0.5), ("c", 9.0, 9.0)], "task_key string, x double, y double").select("task_key", g.point(c("x"), c("y")).alias("geom"))
     spark.createDataFrame([("a",), ("c",), ("a",), (None,)], "task_key string").write.parquet(f"{tmp_path}/changes")
     changes = spark.readStream.schema("task_key string").parquet(f"{tmp_path}/changes")
-    refresh_stream(changes, places, zones, f"{tmp_path}/out", f"{tmp_path}/cp", cell=0.3).awaitTermination()
+    buckets.create(places, f"{tmp_path}/places", ["task_key"])
+    refresh_stream(changes, f"{tmp_path}/places", zones, f"{tmp_path}/out", f"{tmp_path}/cp", cell=0.3).awaitTermination()
+    touched = buckets.touched_by(spark.createDataFrame([("a",)], "task_key string"), f"{tmp_path}/places")
+    assert len(buckets.read(spark, f"{tmp_path}/places", touched).inputFiles()) == 1 < len(buckets.read(spark, f"{tmp_path}/places").inputFiles())
     got = {r["task_key"]: r["area_keys"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {"a": ["z1", "z2"], "c": None}
