@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from geosync.functions import grid, planar, repair, wkb
 from geosync.functions.reproject import LOCAL_SRID, reproject
 from geosync.operators import layers, purge, spatial
 from geosync.plans import areas as area_jobs
+from geosync.session import shared_folder
 from geosync.sources import docs, geojson
 from geosync.streaming import refresh
 
@@ -117,15 +120,38 @@ def lonlat_point(t: Tables):
     return t.customer.select(c("c_custkey").alias("id"), made.isNotNull().alias("has_point"))
 
 
-_FEATURE = f"""concat('{{{{"type":"Feature","geometry":', CASE WHEN id % 4 = 0 THEN 'null' ELSE concat('{{{{"type":"LineString","coordinates":[[', xs, ',', ys, '],[', xs2, ',', ys2, ']]}}}}') END, ',"properties":{{{{"n":', CAST(id AS STRING), '}}}}}}}}')"""
-COLLECTIONS = f"SELECT id, concat('{{{{\"type\":\"FeatureCollection\",\"features\":[', {_FEATURE}, ',', {_FEATURE}, ']}}}}') AS value, concat('f', CAST(id AS STRING)) AS file_name, xs, ys FROM ({WKT})"
+# One point in each of some systems: its name, coordinates, and where that is. The places follow from forward formulas.
+SYSTEMS = (
+    (None, "37.5", "55.25", "37.5", "55.25"), ("urn:ogc:def:crs:OGC:1.3:CRS84", "-7.125", "44.5", "-7.125", "44.5"), ("EPSG:32638", "444140.54", "3684706.36", "44.4", "33.3"),
+    ("urn:ogc:def:crs:EPSG::27700", "434231.56", "261431.24", "-1.5", "52.25"), ("EPSG:28407", "7531913.611", "6125277.188", "39.5", "55.25"),
+    ("urn:ogc:def:crs:EPSG::31467", "3518460.036", "5401416.004", "9.25", "48.75"), ("EPSG:3034", "4181241.052", "2346437.558", "12.5", "47.75"),
+    ("EPSG:2154", "700000", "6600000", "3", "46.5"), ("EPSG:3857", "0", "0", "0", "0"),
+)
 
 
-@query("geojson_read", f"""SELECT 'f' || id AS file_name, CAST(i AS INTEGER) AS ord, CAST(id AS VARCHAR) AS n, CASE WHEN id % 4 <> 0 THEN 'linestring' END AS kind, CASE WHEN id % 4 <> 0 THEN CAST(xs AS DOUBLE) END AS x FROM {sub(WKT)}, range(2) r(i)""")
+@query("geojson_read", f"""WITH c AS (SELECT k, lon, lat FROM (VALUES {', '.join(f'({k}, {s[3]}::DOUBLE, {s[4]}::DOUBLE)' for k, s in enumerate(SYSTEMS))}) t(k, lon, lat)),
+f AS (SELECT o_orderkey AS id, o_orderkey % {len(SYSTEMS)} AS k, row_number() OVER (PARTITION BY o_orderkey % {len(SYSTEMS)} ORDER BY o_orderkey) - 1 AS ord FROM orders)
+SELECT 'k' || k AS name, ord, CAST(id AS VARCHAR) AS n, CASE WHEN id % 4 <> 0 THEN 'linestring' END AS kind,
+CASE WHEN id % 4 <> 0 THEN lon END AS x, CASE WHEN id % 4 <> 0 THEN lat END AS y FROM f JOIN c USING (k)""")
 def geojson_read(t: Tables):
-    features = geojson.parse_collections(t.spread(COLLECTIONS))
+    # A collection for each system, in files of one line, read in ranges of 64 KB.
+    which = (c("o_orderkey") % len(SYSTEMS)).cast("int")
+    x, y = (F.get(F.array(*[F.lit(s[n]) for s in SYSTEMS]), which) for n in (1, 2))
+    shape = F.when(c("o_orderkey") % 4 == 0, F.lit("null")).otherwise(
+        F.concat(F.lit('{"type":"LineString","coordinates":[['), x, F.lit(","), y, F.lit("],["), x, F.lit(","), y, F.lit("]]}"))
+    )
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"n":'), c("o_orderkey"), F.lit(',"note":"}]{[ \\\\\\""},"geometry":'), shape, F.lit("}"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", feature.alias("f")))), lambda f: f["f"])
+    made = t.orders.groupBy(which.alias("k")).agg(F.array_join(listed, ",").alias("body"))
+    named = F.get(F.array(*[F.lit(s[0]) for s in SYSTEMS]), c("k"))
+    head = F.coalesce(F.concat(F.lit('"crs":{"type":"name","properties":{"name":"'), named, F.lit('"}},')), F.lit(""))
+    text = F.concat(F.lit('{"type":"FeatureCollection",'), head, F.lit('"features":['), c("body"), F.lit("]}"))
+    folder = f"{shared_folder(t.spark)}/collections-{uuid.uuid4().hex}"
+    made.select("k", text.alias("value")).write.partitionBy("k").text(folder)
+    features = geojson.read_geojson(t.spark, folder, 1 << 16).withColumn("n", F.get_json_object("properties", "$.n"))
     return features.select(
-        "file_name", "ord", F.get_json_object("properties", "$.n").alias("n"), c("geom.kind").alias("kind"), g.x_of(c("geom")).alias("x")
+        F.concat(F.lit("k"), c("n").cast("long") % len(SYSTEMS)).alias("name"), "ord", "n", c("geom.kind").alias("kind"),
+        (F.round(g.x_of(c("geom")), 6) + 0.0).alias("x"), (F.round(g.y_of(c("geom")), 6) + 0.0).alias("y"),
     )
 
 

@@ -6,25 +6,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geosync.functions import geom as g
+from geosync.functions.crs import WGS84, code_of, to_wgs84
 from geosync.functions.jsonx import flatten_properties, unwrap_envelope
-from geosync.functions.reproject import reproject
 from geosync.operators.schema import infer_types, to_columns, type_list
 from geosync.session import cut_lineage
-
-# How a collection names its coordinates; any other name is an error, as its numbers would be read as degrees.
-WEB_MERCATOR = "3857"
-DEGREES = "4326|CRS84|WGS ?84"
-
+from geosync.sources.ranges import RANGE, split_features
 
 def features_of(collection: Column) -> Column:
     """Feature texts of a collection."""
     return unwrap_envelope(collection)
 
 
-def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """``properties``, ``geom`` in WGS84 and ``ord`` for every feature of the collections at ``path``."""
-    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file_name"))
-    return parse_collections(files)
+def read_geojson(spark: SparkSession, path: str, range_bytes: int = RANGE) -> DataFrame:
+    """``file_name``, ``ord``, ``properties`` and ``geom`` in WGS84 for every feature of the collections at ``path``.
+
+    A file is read in ranges of bytes, by as many tasks.
+    """
+    listed = split_features(spark, path, range_bytes)
+    return _parse(listed.select("file_name", F.get_json_object("crs", "$.properties.name").alias("_crs"), "ord", F.col("feature").alias("_f")))
 
 
 def parse_collections(files: DataFrame) -> DataFrame:
@@ -51,13 +50,12 @@ def _parse(listed: DataFrame) -> DataFrame:
         F.get_json_object("_f", "$.properties").alias("properties"),
         g.from_geojson(F.get_json_object("_f", "$.geometry")).alias("_g"),
     )
-    crs = F.col("_crs")
-    moved = (
-        F.when(crs.contains(WEB_MERCATOR), reproject(F.col("_g"), 3857))
-        .when(crs.isNull() | crs.rlike(DEGREES), F.col("_g"))
-        .otherwise(F.raise_error(F.concat(F.lit("no way to WGS84 from "), crs)).cast(g.GEOMETRY))
-    )
-    return parsed.select("file_name", "ord", "properties", moved.alias("geom"))
+    # Degrees pass by the projection as NULL.
+    placed = parsed.withColumn("_code", code_of(F.col("_crs")))
+    foreign = placed.withColumn("_away", F.when(F.col("_code") != WGS84, F.col("_g")).cast(g.GEOMETRY))
+    moved = to_wgs84(F.col("_away"), F.col("_code"))
+    geom = F.when(F.col("_code") == WGS84, F.col("_g")).otherwise(F.col("_moved"))
+    return foreign.withColumn("_moved", moved).select("file_name", "ord", "properties", geom.alias("geom"))
 
 
 def typed_features(features: DataFrame, known: list[tuple[str, str]] | None = None) -> tuple[DataFrame, list]:
