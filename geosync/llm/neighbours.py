@@ -38,13 +38,15 @@ class Index:
     rounds: int = 12
     #: Entries a cell holds on average; a half gets the root of entries / per_cell centroids, if that is fewer.
     per_cell: float = 8.0
-    #: Entries a query ranks at least, before it stops; of all entries, the share that is learned for this recall.
-    ranked: int = 5_000
+    #: A query ranks the share of all entries that is learned for this recall, and ``ranked`` entries at least.
+    ranked: int = 0
     recall: float = 0.96
     probes: int = 100
     #: Entries of a cell that go to one bucket, and of a bucket on average.
     cell_part: int = 2_000
     bucket: int = 4_000
+    #: Queries that meet a bucket in one task, on average.
+    asked: int = 20_000
 
 
 def entries(vectors: DataFrame, keep: int) -> DataFrame:
@@ -168,7 +170,7 @@ def search(vectors: DataFrame, is_query: str, index: Index = Index()) -> DataFra
     k = max(1, min(index.centroids, round(math.sqrt(n / index.per_cell))))
     halves = tuple(centroids_of(part, k, index.rounds) for part in np.split(x, [width // 2], axis=1))
     quantiser = Quantiser(halves, width)
-    enough = max(index.ranked, math.ceil(n * quantiser.share(x, index.probes, index.nearest, index.recall)))
+    enough = max(index.ranked, index.nearest + 1, math.ceil(n * quantiser.share(x, index.probes, index.nearest, index.recall)))
 
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,6 +200,7 @@ def search(vectors: DataFrame, is_query: str, index: Index = Index()) -> DataFra
                 continue
             raw = matrix(batch.column(1), width)
             directions = unit(raw)
+            asked_part = mix(np.asarray(batch.column(0)).astype(np.uint64)) % np.uint64(parts_asked)
             for at in range(len(batch)):
                 cells = np.array(own.walk(directions[at], enough), np.int64)
                 parts = 1 + own.sizes[cells] // most
@@ -205,7 +208,7 @@ def search(vectors: DataFrame, is_query: str, index: Index = Index()) -> DataFra
                 part = np.arange(len(spread)) - np.repeat(np.cumsum(parts) - parts, parts)
                 bucket = own.bucket(spread, part, buckets)
                 order = np.argsort(bucket, kind="stable")
-                bucket, spread = bucket[order], spread[order]
+                bucket, spread = bucket[order] * parts_asked + int(asked_part[at]), spread[order]
                 names, starts = np.unique(bucket, return_index=True)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(bucket)), pa.int32()), pa.array(spread))
                 key = batch.column(0).take(pa.array([at] * len(names)))
@@ -241,10 +244,14 @@ def search(vectors: DataFrame, is_query: str, index: Index = Index()) -> DataFra
         columns = list(zip(*out)) if out else [[], [], []]
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["query", "vec_id", "score"])
 
-    held = assigned.mapInArrow(deal, "bucket long, key long, vector array<double>, ids array<long>, cell long")
     asking = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vector")
     # a distinct query vector is searched once, under its entry's key
-    asking = asking.join(kept.select("key", "vector"), "vector").select("query_id", "key")
+    asking = stage(asking.join(kept.select("key", "vector"), "vector").select("query_id", "key"), "asking")
+    # queries beyond a number go in parts, each of which meets a copy of the bucket
+    parts_asked = max(1, math.ceil(asking.count() / index.asked))
+    held = assigned.mapInArrow(deal, "bucket long, key long, vector array<double>, ids array<long>, cell long")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(parts_asked - 1)))
+    held = held.withColumn("copy", copies).withColumn("bucket", F.col("bucket") * parts_asked + F.col("copy")).drop("copy")
     asked = kept.join(asking.select("key").distinct(), "key", "left_semi").select("key", "vector")
     asked = asked.repartition(buckets, "key").mapInArrow(visit, "bucket long, query long, vector array<double>, cells array<long>")
     ranked = asked.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(rank, "query long, vec_id long, score double")

@@ -69,14 +69,14 @@ def found(df):
     return out
 
 
-def test_small_tables_are_exact(spark):
+def test_ranking_all_is_exact(spark):
     draw = np.random.RandomState(0)
     rows = [(int(k), draw.randn(8).round(1).tolist()) for k in range(300)]
     rows += [(k, rows[7][1]) for k in range(1000, 1400)]  # one very common vector
     odd = [(2000, None), (2001, []), (2002, [0.0] * 8), (2003, [float("nan")] * 8), (2004, [float("inf")] + [1.0] * 7), (2005, [None] + [1.0] * 7), (2006, [1.0] * 3), (None, rows[0][1])]
     df = spark.createDataFrame([(*r, "x") for r in rows + odd + rows[:5]], "vec_id long, vector array<double>, score string")
     usable = [(i, np.array(v)) for i, v in rows]
-    got = found(neighbours.search(df, "vec_id % 50 = 0"))
+    got = found(neighbours.search(df, "vec_id % 50 = 0", neighbours.Index(ranked=1000, asked=3)))
     want = brute(usable, [(i, v) for i, v in usable if i % 50 == 0], 5)
     assert got.keys() == want.keys()
     for q in want:
@@ -92,18 +92,30 @@ def test_small_tables_are_exact(spark):
 
 def test_recall(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", F.col("embedding").alias("vector"))
-    index = neighbours.Index(ranked=100, sample=1_000, cell_part=20, bucket=150)
+    index = neighbours.Index(sample=1_000, cell_part=20, bucket=150, asked=30)
     rows = [(r[0], np.array(r[1], float)) for r in vectors.collect()]
     want = brute(rows, [r for r in rows if r[0] % 20 == 0], 5)
     got = found(neighbours.search(vectors, "vec_id % 20 = 0", index))
     hits = sum(len({i for i, _ in want[q]} & {i for i, _ in got[q]}) for q in want)
     assert hits >= 0.9 * 5 * len(want)
+    assert all(len(hit) == 5 for hit in got.values())
     exact = dict(rows)
     for q, hit in list(got.items())[:20]:
         for i, s in hit:
             assert s == pytest.approx(exact[q] @ exact[i] / np.sqrt((exact[q] @ exact[q]) * (exact[i] @ exact[i])), abs=1e-14)
 
 
+@pytest.mark.parametrize("scale", ["0.01", "0.1"])
+def test_recall_with_production_parameters(spark, scale):
+    vectors = spark.read.parquet(f"/root/testdata/sf{scale}/embeddings.parquet").select("vec_id", F.col("embedding").alias("vector"))
+    rows = [(r[0], np.array(r[1], float)) for r in vectors.collect()]
+    want = brute(rows, [r for r in rows if r[0] % 50 == 0], 5)
+    got = found(neighbours.search(vectors, "vec_id % 50 = 0"))
+    hits = sum(len({i for i, _ in want[q]} & {i for i, _ in got[q]}) for q in want)
+    print("recall", hits / (5 * len(want)))
+    assert 0.9 * 5 * len(want) <= hits and all(len(hit) == 5 for hit in got.values())
+
+
 def test_cells_come_by_summed_distance():
     draw = np.random.RandomState(1)
     own = neighbours.Quantiser((draw.randn(6, 3), draw.randn(5, 3)), 6, np.ones(30, int))
