@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geosync.llm.bitmaps import thinned
+from geosync.llm.bitmaps import marked, thinned
 from geosync.llm.bwt import MOST, repeated, spans
 from geosync.llm.language import lowered
 from geosync.llm.staging import carried, carried_arrays, documents, stage, tidy
@@ -179,8 +179,11 @@ def compared(segments: DataFrame, rules: Rules) -> DataFrame:
     return dealt.select("cell", "key", "start", "n", "bytes").mapInArrow(tidy(run), "key long, start long, n int")
 
 
-def repeated_starts(docs: DataFrame, rules: Rules) -> DataFrame:
-    """Where strings of ``least`` bytes start that start elsewhere too: key, and runs as start and n. ``docs``: _key, _text."""
+def repeated_starts(docs: DataFrame, rules: Rules, scratch: list[DataFrame]) -> DataFrame:
+    """Where strings of ``least`` bytes start that start elsewhere too: key, and runs as start and n. ``docs``: _key, _text.
+
+    ``scratch`` gets the tables it stages, to be discarded when the result is written.
+    """
     by = Window.partitionBy("cell").orderBy("segment", "key", "start")
     same_before = F.coalesce(F.lag("segment").over(by) == F.col("segment"), F.lit(False))
     rows = cells(docs, rules).select(
@@ -191,6 +194,7 @@ def repeated_starts(docs: DataFrame, rules: Rules) -> DataFrame:
     head = F.when(F.expr("rank = 2 AND NOT before"), F.col("head")).alias("head")  # the first segment, once there is a second
     several = rows.where("row > 1 OR next IS NOT NULL OR more IS NOT NULL")
     several = stage(several.select("cell", "key", "start", "n", "more", "before", after, "rank", head), "cells")
+    scratch.append(several)
     copies = several.where("before OR after OR more IS NOT NULL").select("key", "start", "n")
     copies = copies.unionAll(several.where("more IS NOT NULL").select("n", F.explode("more").alias("m")).select("m.key", "m.start", "n"))
 
@@ -199,6 +203,7 @@ def repeated_starts(docs: DataFrame, rules: Rules) -> DataFrame:
     crowded = different.groupBy("cell").count().where(F.col("count") > rules.most_segments()).select("cell", F.lit(True).alias("crowded"))
     place = F.struct("cell", "start", "n", F.coalesce("crowded", F.lit(False)).alias("crowded"))
     asked = stage(different.join(crowded, "cell", "left").groupBy("key").agg(F.collect_list(place).alias("cuts")), "cuts")
+    scratch.append(asked)
     texts = thinned(docs.select(F.col("_key").alias("key"), F.col("_text").alias("text")), "key", asked.select("key")).dropDuplicates(["key"])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,6 +229,7 @@ def repeated_starts(docs: DataFrame, rules: Rules) -> DataFrame:
 
     shape = "cell long, key long, start long, n int, bytes binary, window long"
     segments = stage(asked.join(texts, "key").select("key", "cuts", "text").mapInArrow(tidy(cut), shape), "segments")
+    scratch.append(segments)
     found = compared(segments.where("window IS NULL"), rules)
     alike = Window.partitionBy("cell", "window").orderBy("key", "start")
     singles = segments.where("window IS NOT NULL").select("key", "start", "n", F.lag("key").over(alike).isNotNull().alias("x"), F.lead("key").over(alike).isNotNull().alias("y"))
@@ -258,8 +264,9 @@ def word_spans(data: np.ndarray, starts: np.ndarray, words: int) -> np.ndarray:
 
 
 def strip(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), rules: Rules = Rules(), words: int = 0, characters: bool = False
-) -> DataFrame:
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), rules: Rules = Rules(), words: int = 0, characters: bool = False,
+    scratch: list[DataFrame] | None = None,
+) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, the removed runs as ``spans`` (start, length) and ``kept``, the rest.
 
     A byte goes if it lies in a string of ``rules.least`` bytes that starts anywhere else too, in the same text or
@@ -268,14 +275,20 @@ def strip(
     their first word to their last, however few bytes they have; case and white space make no difference, and words are
     compared by 56 bits of their hashes. With ``characters``, those that a run cuts in half go too. ``keep`` are columns carried along
     (the text with null as empty); others are not read. Equality of
-    strings outside blocks, and of rows, goes by 64-bit hashes under a key.
+    strings outside blocks, and of rows, goes by 64-bit hashes under a key. ``scratch`` gets the tables staged on the
+    way, which a caller may discard once the result is written.
     """
+    scratch = [] if scratch is None else scratch
     rows = carried(docs, id_column, text_column, keep).withColumn("_text", F.coalesce("_text", F.lit(""))).withColumn("_key", F.xxhash64("_id", "_text"))
     # each row is counted, also where id and text come again
-    found = repeated_starts(coded(rows), replace(rules, least=words * CODE)) if words else repeated_starts(rows, rules)
-    starts = found.groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("_runs"))
-    others = (f"_keep_{c}" for c in keep if c != text_column)
-    joined = rows.join(starts, rows["_key"] == starts["key"], "left").select("_id", "_text", "_runs", *others)
+    found = repeated_starts(coded(rows), replace(rules, least=words * CODE), scratch) if words else repeated_starts(rows, rules, scratch)
+    starts = stage(found.groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("_runs")), "starts")
+    scratch.append(starts)
+    columns = ["_id", "_text", "_runs", *(f"_keep_{c}" for c in keep if c != text_column)]
+    # texts that nothing was found in stay where they are
+    met = marked(rows, "_key", starts.select("key"), "left")
+    joined = met.where("_met").join(starts, F.col("_key") == F.col("key"), "left").select(*columns)
+    joined = joined.unionAll(met.where("NOT _met").withColumn("_runs", F.lit(None).cast(starts.schema["_runs"].dataType)).select(*columns))
     names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
