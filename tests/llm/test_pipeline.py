@@ -4,13 +4,14 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
 
 import corpus_pipeline as pipeline  # noqa: E402
 from geosync.llm import bpe, fertility, jaccard, language, packing  # noqa: E402
 from test_jaccard import plain_components, plain_set  # noqa: E402
-from test_repeats import plain_strip  # noqa: E402
+from test_repeats import plain_strip, plain_words  # noqa: E402
 from test_text_operators import check_packing  # noqa: E402
 
 COLUMNS = list(pipeline.COLUMNS)
@@ -59,8 +60,10 @@ def test_stages(spark, folder):
 
     before, after = seen["repeated_passages"]
     rows = before.collect()
-    kept = {r["doc_id"]: x[3].decode("utf-8", "ignore") for r, x in zip(rows, plain_strip([r["text"] for r in rows], 400))}
-    assert {r["doc_id"]: r["text"] for r in after.collect()} == kept
+    kept = [x[3].decode("utf-8", "ignore") for x in plain_strip([r["text"] for r in rows], 400)]
+    kept = [x if isinstance(x, str) else bytes(x).decode() for x in plain_words(kept, pipeline.PASSAGE)]
+    assert {r["doc_id"]: r["text"] for r in after.collect()} == dict(zip([r["doc_id"] for r in rows], kept))
+    assert [name for name, _ in pipeline.STAGES] == ["language", "quality", "near_duplicates", "repeated_passages", "packing"]
     assert all(r["n_chars"] == len(r["text"]) for r in after.collect())
 
 
@@ -93,11 +96,22 @@ def test_short_passages_of_over_fifty_words_go(spark):
     rest = [" ".join(f"{c}{k}" for k in range(80)) for c in "abcd"]
     texts = [f"{rest[0]} {' '.join(passage)} {rest[1]}", f"{rest[2]}\n{' '.join(passage)}", f"{' '.join(passage[1:])} {rest[3]}"]
     docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pipeline.cut_short_passages(spark, pipeline.cut_repeated_passages(spark, docs, ""), "").collect()}
+    kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pipeline.cut_repeated_passages(spark, docs, "").collect()}
     want = [f"{rest[0]}  {rest[1]}", f"{rest[2]}\n", texts[2]]
     assert len(" ".join(passage)) < 400 and kept == {k: (t, len(t)) for k, t in enumerate(want)}
 
 
+def test_passages_of_messy_rows(spark, messy, nothing):
+    passage = " ".join(f"w{k}" for k in range(51))
+    more = [(700, f"{passage} tail", "en", "s", 1), (701, f"head {passage}", None, None, None), (None, None, None, None, None)]
+    columns = list(pipeline.COLUMNS)
+    docs = messy.select(*columns).unionByName(spark.createDataFrame(more, messy.select(*columns).schema)).withColumn("cell", F.lit(1)).withColumn("key", F.lit("x"))
+    made = pipeline.cut_repeated_passages(spark, docs, "")
+    assert made.columns == columns and made.count() == docs.count()
+    assert {r["doc_id"]: r["text"] for r in made.where("doc_id IN (700, 701)").collect()} == {700: " tail", 701: "head "}
+    assert pipeline.cut_repeated_passages(spark, nothing.withColumn("key", F.lit(1)), "").count() == 0
+
+
 def test_no_language_to_learn_from(spark):
     rows = [(k, t, lang, "s", 1) for k, (t, lang) in enumerate([("some text", None), ("слово", None), ("12 !", None), ("", None), (None, "en")])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
