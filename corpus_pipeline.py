@@ -1,4 +1,4 @@
-"""From raw documents to packed training sequences, in six stages."""
+"""From raw documents to packed training sequences, in five stages."""
 
 from __future__ import annotations
 
@@ -49,13 +49,15 @@ def what_is_kept(found: DataFrame) -> DataFrame:
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts bytes of long strings that come more than once; characters cut in half go, and ``n_chars`` follows."""
-    return what_is_kept(repeats.strip(docs, keep=COLUMNS[1:], characters=True))
+    """Cuts strings of 400 bytes that come more than once, then passages of over 50 words that still do.
 
-
-def cut_short_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages of over 50 words that come more than once, also those too short in bytes for the stage before."""
-    return what_is_kept(repeats.strip(docs, keep=COLUMNS[1:], words=PASSAGE))
+    The latter may have far fewer bytes. Characters cut in half go, and ``n_chars`` follows.
+    """
+    scratch: list[DataFrame] = []
+    whole = stage(what_is_kept(repeats.strip(docs, keep=COLUMNS[1:], characters=True, scratch=scratch)), "passages")
+    for table in scratch:
+        discard(table)
+    return what_is_kept(repeats.strip(whole, keep=COLUMNS[1:], words=PASSAGE))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +70,6 @@ STAGES = [
     ("quality", keep_good_documents),
     ("near_duplicates", keep_one_of_near_copies),
     ("repeated_passages", cut_repeated_passages),
-    ("short_passages", cut_short_passages),
     ("packing", pack_sequences),
 ]
 
