@@ -221,9 +221,9 @@ def snapshot_clear(t: Tables):
     items = t.bind(b.ITEMS)
     keys = items.filter("permit_id IS NOT NULL").select(c("key").alias("task_key"))
     kept, report = guards.clear_snapshots(t.bind(_SNAP), keys, items)
-    report = cut_lineage(report)
-    guards.check_cleared(report, stage(kept, "snapshots"), keys, items)
-    return report.drop("items_sum")
+    report, before = cut_lineage(report), guards.items_state(items, keys)
+    guards.check_cleared(report, before, stage(kept, "snapshots"), keys, items)
+    return report
 
 
 @query("flag_reset", f"SELECT CASE WHEN field_observed IS DISTINCT FROM false THEN 'update' ELSE 'keep' END AS action, count(*) AS n, count(*) FILTER (WHERE false) AS still_set FROM {ITEMS} GROUP BY 1")

@@ -262,14 +262,15 @@ def test_clearing_is_checked_against_what_was_written(spark):
     keys = spark.createDataFrame([("t1",), (None,)], "task_key string")
     kept, report = guards.clear_snapshots(snapshots, keys, items)
     report = spark.createDataFrame(report.collect(), report.schema)
-    guards.check_cleared(report, kept, keys, items)
+    before = guards.items_state(items, keys)
+    guards.check_cleared(report, before, kept, keys, items)
     wrong = [
         (snapshots, items), (kept.filter("task_key IS NOT NULL"), items), (kept.limit(0), items),
         (kept, items.withColumn("n", c("n") + 1)), (kept, items.filter("key <> 't1'")),
     ]
     for written, now in wrong:
         with pytest.raises(RuntimeError):
-            guards.check_cleared(report, written, keys, now)
+            guards.check_cleared(report, before, written, keys, now)
 
 
 def test_staged_tables_belong_to_their_block(spark, tmp_path):
