@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from geosync.llm.bitmaps import marked, thinned, without
 from geosync.llm.components import components
-from geosync.llm.staging import documents, stage, tidy
+from geosync.llm.staging import documents, few_rows, stage, tidy
 from geosync.llm.textbytes import BASE, LOWER, SPACE, Hashes, Slice, mix, shingle_hashes, text_slices
 
 #: Counters of the sketch, and the parts it travels in.
@@ -270,6 +270,7 @@ def near_groups(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     its texts. A row without an id joins the component of its copies, else its component is null. Equal texts, ties and
     repeated rows change nothing; other columns are not read.
     """
+    few_rows(docs.sparkSession)
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     rows, classes = profiles(docs, rules)
     sets = rows.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"))

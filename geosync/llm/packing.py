@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from geosync.llm.bpe import default_path, library_encoder
-from geosync.llm.staging import documents, tidy
+from geosync.llm.staging import documents, few_rows, tidy
 
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Rows of a result batch.
@@ -161,6 +161,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, rules: Rules = Rules(), id
     ``rules.planned`` and of one document. ``sequence_id`` is the partition's number times 2^33 plus a running number,
     so it depends on how the input is split.
     """
+    few_rows(docs.sparkSession)
     marks = (".</w>", "!</w>", "?</w>")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

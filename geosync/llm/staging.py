@@ -60,16 +60,22 @@ def tidy(run: Callable) -> Callable:
     return whole
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents; and Arrow batches of few rows from now on, as a batch of the usual 10,000 may hold long texts."""
+def few_rows(spark: SparkSession) -> None:
+    """Arrow batches of few rows from now on, in the whole session, as a batch of the usual 10,000 may hold long texts."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
         spark.conf.set(key, str(TEXT_ROWS))
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents, to be handled in batches of few rows."""
+    few_rows(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
 def carried(docs: DataFrame, id_column: str, text_column: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Id and text, and the columns to carry along, under names that can't clash; the text is there once."""
+    """Id and text, and the columns to carry along, under names that can't clash; the text is there once. Sets ``few_rows``."""
+    few_rows(docs.sparkSession)
     return docs.select(
         docs[id_column].cast("long").alias("_id"),
         docs[text_column].cast("string").alias("_text"),
