@@ -10,8 +10,9 @@
    Copies that one task meets travel as one row.
 4. *Blocks.* The different segments of a key are compared by interval expansion on the Burrows-Wheeler transform
    (``bwt.repeated``), which stops at ``least``. A block holds whole keys, up to a bounded number of bytes.
-5. A key with more segments than a block may hold is not given to one task: each of its windows becomes a row, and
-   equal ones meet by their hash.
+5. A key with more segments than a block may hold is not given to one task: its segments are dealt again, into cells of
+   a quarter of the width. Their windows share a longer core, so keys are rarer; copies and blocks are found as before,
+   and keys that still are too large are dealt again. A cell of width one is a single window, whose copies are alike.
 
 Starts found come back to their documents, where the bytes they cover are cut out.
 
@@ -24,6 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ from geosync.llm.textbytes import SPACE, Hashes, Slice, group_starts, mix, text_
 
 #: Starts of one long text that are handled at once.
 CHUNK = 1 << 20
+#: Segments of a text whose anchors are looked for at once.
+CUTS = 1 << 11
 #: Bytes that stand for a word, with 7 bits of its hash each, so that they are a string too.
 CODE = 8
 
@@ -83,18 +87,35 @@ def cells_of(part: Slice, rules: Rules) -> tuple[np.ndarray, ...]:
     anchors = (sliding_least((grams >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64), least - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     text = np.repeat(np.arange(len(part)), np.diff(part.offsets))
     starts = np.flatnonzero(text[: n - least + 1] == text[least - 1 :])
-    anchors = anchors[starts]
+    key, segment, first, count = dealt(hashes, starts, anchors[starts], least, cell)
+    owner = text[first]
+    return key, segment, owner, first - part.offsets[owner], count
+
+
+def dealt(hashes: Hashes, starts: np.ndarray, anchors: np.ndarray, least: int, cell: int) -> tuple[np.ndarray, ...]:
+    """Key, segment, first start and number of starts of the cells that ascending starts with these anchors fall into."""
     place = (starts - anchors) // cell
     new = np.ones(len(starts), bool)
-    new[1:] = (anchors[1:] != anchors[:-1]) | (place[1:] != place[:-1])
+    new[1:] = (anchors[1:] != anchors[:-1]) | (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
     heads = np.flatnonzero(new)
     count = np.diff(np.append(heads, len(starts)))
     first, anchor, place = starts[heads], anchors[heads], place[heads]
     core = anchor + place * cell
     key = mix(hashes.of(core + cell - 1, core + least) + place.astype(np.uint64))
     segment = mix(hashes.of(first, first + count - 1 + least) + (first - anchor).astype(np.uint64))
-    owner = text[first]
-    return key, segment, owner, first - part.offsets[owner], count
+    return key, segment, first, count
+
+
+def dealt_again(data: np.ndarray, first: np.ndarray, n: np.ndarray, rules: Rules, cell: int) -> tuple[np.ndarray, ...]:
+    """``dealt`` for segments of one text, given by first start and number of starts, with cells of another width."""
+    hashes = Hashes(data)
+    order = np.argsort(first, kind="stable")
+    first, n = first[order], n[order]
+    anchors = np.empty(len(first), np.int64)
+    for lo in range(0, len(first), CUTS):  # the windows of a segment have one anchor
+        at = first[lo : lo + CUTS, None] + np.arange(rules.least - rules.gram + 1)
+        anchors[lo : lo + CUTS] = first[lo : lo + CUTS] + (hashes.of(at, at + rules.gram) >> np.uint64(32)).argmin(axis=1)
+    return dealt(hashes, spans(first, first + n), np.repeat(anchors, n), rules.least, cell)
 
 
 def pieces(part: Slice, rules: Rules) -> Iterator[tuple[Slice, int]]:
@@ -179,32 +200,21 @@ def compared(segments: DataFrame, rules: Rules) -> DataFrame:
     return dealt.select("cell", "key", "start", "n", "bytes").mapInArrow(tidy(run), "key long, start long, n int")
 
 
-def repeated_starts(docs: DataFrame, rules: Rules, scratch: list[DataFrame]) -> DataFrame:
-    """Where strings of ``least`` bytes start that start elsewhere too: key, and runs as start and n. ``docs``: _key, _text.
-
-    ``scratch`` gets the tables it stages, to be discarded when the result is written.
-    """
+def several_under_a_key(rows: DataFrame) -> DataFrame:
+    """Those of the cells that share their key with another, and how their segments compare with those beside them."""
     by = Window.partitionBy("cell").orderBy("segment", "key", "start")
     same_before = F.coalesce(F.lag("segment").over(by) == F.col("segment"), F.lit(False))
-    rows = cells(docs, rules).select(
+    rows = rows.select(
         "*", same_before.alias("before"), F.lead("segment").over(by).alias("next"), F.dense_rank().over(Window.partitionBy("cell").orderBy("segment")).alias("rank"), F.row_number().over(by).alias("row"),
         F.first(F.struct("key", "start", "n")).over(by).alias("head"),
     )
     after = F.coalesce(F.col("next") == F.col("segment"), F.lit(False)).alias("after")
     head = F.when(F.expr("rank = 2 AND NOT before"), F.col("head")).alias("head")  # the first segment, once there is a second
-    several = rows.where("row > 1 OR next IS NOT NULL OR more IS NOT NULL")
-    several = stage(several.select("cell", "key", "start", "n", "more", "before", after, "rank", head), "cells")
-    scratch.append(several)
-    copies = several.where("before OR after OR more IS NOT NULL").select("key", "start", "n")
-    copies = copies.unionAll(several.where("more IS NOT NULL").select("n", F.explode("more").alias("m")).select("m.key", "m.start", "n"))
-
-    different = several.where("rank > 1 AND NOT before").select("cell", "key", "start", "n")
-    different = different.unionAll(several.where("head IS NOT NULL").select("cell", "head.key", "head.start", "head.n"))
-    crowded = different.groupBy("cell").count().where(F.col("count") > rules.most_segments()).select("cell", F.lit(True).alias("crowded"))
-    place = F.struct("cell", "start", "n", F.coalesce("crowded", F.lit(False)).alias("crowded"))
-    asked = stage(different.join(crowded, "cell", "left").groupBy("key").agg(F.collect_list(place).alias("cuts")), "cuts")
-    scratch.append(asked)
-    texts = thinned(docs.select(F.col("_key").alias("key"), F.col("_text").alias("text")), "key", asked.select("key")).dropDuplicates(["key"])
+    return rows.where("row > 1 OR next IS NOT NULL OR more IS NOT NULL").select("cell", "key", "start", "n", "more", "before", after, "rank", head)
+
+
+def cut_out(asked: DataFrame, rules: Rules, cell: int) -> DataFrame:
+    """The bytes of the segments that ``asked`` (key, cuts, text) names; crowded ones as cells of the width ``cell`` instead."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,25 +225,50 @@ def repeated_starts(docs: DataFrame, rules: Rules, scratch: list[DataFrame]) ->
                 whole = [c for c in cuts if not c["crowded"]]
                 columns = [[c["cell"] for c in whole], [key] * len(whole), [c["start"] for c in whole], [c["n"] for c in whole]]
                 columns += [[data[c["start"] : c["start"] + c["n"] - 1 + rules.least] for c in whole], [None] * len(whole)]
-                single = [c for c in cuts if c["crowded"]]
-                if single:
-                    hashes = Hashes(np.frombuffer(data, np.uint8))
-                    first = np.array([c["start"] for c in single])
-                    n = np.array([c["n"] for c in single])
-                    starts = spans(first, first + n)
-                    windows = hashes.of(starts, starts + rules.least).view(np.int64)
-                    new = [np.repeat([c["cell"] for c in single], n).tolist(), [key] * len(starts), starts.tolist(), [1] * len(starts), [None] * len(starts), windows.tolist()]
+                many = [c for c in cuts if c["crowded"]]
+                if many:
+                    first, n = (np.array([c[name] for c in many], np.int64) for name in ("start", "n"))
+                    keys, segments, starts, counts = dealt_again(np.frombuffer(data, np.uint8), first, n, rules, cell)
+                    new = [keys.view(np.int64).tolist(), [key] * len(keys), starts.tolist(), counts.tolist(), [None] * len(keys), segments.view(np.int64).tolist()]
                     columns = [a + b for a, b in zip(columns, new)]
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["cell", "key", "start", "n", "bytes", "window"])
-
-    shape = "cell long, key long, start long, n int, bytes binary, window long"
-    segments = stage(asked.join(texts, "key").select("key", "cuts", "text").mapInArrow(tidy(cut), shape), "segments")
-    scratch.append(segments)
-    found = compared(segments.where("window IS NULL"), rules)
-    alike = Window.partitionBy("cell", "window").orderBy("key", "start")
-    singles = segments.where("window IS NOT NULL").select("key", "start", "n", F.lag("key").over(alike).isNotNull().alias("x"), F.lead("key").over(alike).isNotNull().alias("y"))
-    return copies.unionAll(found).unionAll(singles.where("x OR y").select("key", "start", "n"))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["cell", "key", "start", "n", "bytes", "segment"])
+
+    return asked.mapInArrow(tidy(cut), "cell long, key long, start long, n int, bytes binary, segment long")
+
+
+def repeated_starts(docs: DataFrame, rules: Rules, scratch: list[DataFrame]) -> DataFrame:
+    """Where strings of ``least`` bytes start that start elsewhere too: key, and runs as start and n. ``docs``: _key, _text.
+
+    ``scratch`` gets the tables it stages, to be discarded when the result is written.
+    """
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(stage(df, name))
+        return scratch[-1]
+
+    rows, width = cells(docs, rules), rules.cell
+    found: list[DataFrame] = []
+    while True:
+        several = kept(several_under_a_key(rows), "cells")
+        found.append(several.where("before OR after OR more IS NOT NULL").select("key", "start", "n"))
+        found.append(several.where("more IS NOT NULL").select("n", F.explode("more").alias("m")).select("m.key", "m.start", "n"))
+        if width == 1:
+            break
+        width = max(1, width // 4)
+        different = several.where("rank > 1 AND NOT before").select("cell", "key", "start", "n")
+        different = different.unionAll(several.where("head IS NOT NULL").select("cell", "head.key", "head.start", "head.n"))
+        crowded = different.groupBy("cell").count().where(F.col("count") > rules.most_segments()).select("cell", F.lit(True).alias("crowded"))
+        place = F.struct("cell", "start", "n", F.coalesce("crowded", F.lit(False)).alias("crowded"))
+        asked = kept(different.join(crowded, "cell", "left").groupBy("key").agg(F.collect_list(place).alias("cuts")), "cuts")
+        texts = thinned(docs.select(F.col("_key").alias("key"), F.col("_text").alias("text")), "key", asked.select("key")).dropDuplicates(["key"])
+        segments = kept(cut_out(asked.join(texts, "key").select("key", "cuts", "text"), rules, width), "segments")
+        found.append(compared(segments.where("bytes IS NOT NULL"), rules))
+        again = segments.where("bytes IS NULL")
+        if again.isEmpty():
+            break
+        rows = again.select("cell", "segment", "key", "start", "n", F.lit(None).cast("array<struct<key:long,start:long>>").alias("more"))
+    return reduce(DataFrame.unionAll, found)
 
 
 def coded(docs: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def corpus(seed, n=60):
     [
         (1, repeats.Rules(least=24, gram=6, cell=5, block=200)),
         (2, repeats.Rules(least=40, gram=8, cell=16)),
-        (3, repeats.Rules(least=24, gram=6, cell=5, segments=2)),  # every larger key goes by single windows
+        (3, repeats.Rules(least=24, gram=6, cell=5, segments=2)),  # every larger key is dealt again
         (4, repeats.Rules(least=16, gram=5, cell=1)),
     ],
 )
