@@ -15,6 +15,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 NEAR = jaccard.Rules(words=5, percent=80)
 #: Words of a passage that is cut where it repeats, however few bytes it has.
 PASSAGE = 51
+#: Cells twice as wide as usual, as two searches' shuffles lie on the disks at once; what is found is the same.
+WIDE = repeats.Rules(cell=192)
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +56,10 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     The latter may have far fewer bytes. Characters cut in half go, and ``n_chars`` follows.
     """
     scratch: list[DataFrame] = []
-    whole = stage(what_is_kept(repeats.strip(docs, keep=COLUMNS[1:], characters=True, scratch=scratch)), "passages")
+    whole = stage(what_is_kept(repeats.strip(docs, keep=COLUMNS[1:], rules=WIDE, characters=True, scratch=scratch)), "passages")
     for table in scratch:
         discard(table)
-    return what_is_kept(repeats.strip(whole, keep=COLUMNS[1:], words=PASSAGE))
+    return what_is_kept(repeats.strip(whole, keep=COLUMNS[1:], rules=WIDE, words=PASSAGE))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
