@@ -73,27 +73,44 @@ def _validity(geom: pa.Array, _: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array([r is None for r in reasons], pa.bool_()), pa.array(reasons, pa.string())], names=["valid", "reason"])
 
 
-def mended(geom: dict) -> dict | None:
-    """A geometry whose polygons are made anew, each member of a collection by itself; None if that can't be done."""
+def mended(geoms: list[dict]) -> list[dict | None]:
+    """Faulty geometries whose polygons are made anew, each member of a collection by itself; None where that can't be done."""
+    members: list[tuple[int, int, list]] = []
+    for k, geom in enumerate(geoms):
+        solids: dict[int, list] = {}
+        for p in geom["parts"]:
+            if p["kind"] == "polygon":
+                solids.setdefault(p["member"], []).append(p)
+        members += [(k, member, own) for member, own in solids.items()]
+    # Of a geometry with several members some may be sound.
+    several = [n for n, (k, _, _) in enumerate(members) if any(0 <= m < len(members) and members[m][0] == k for m in (n - 1, n + 1))]
+    alone = pa.array([{"kind": "multipolygon", "parts": members[n][2], "srid": None} for n in several], _GEOMETRY)
+    sound = {n for n, reason in zip(several, _reasons(alone)) if reason is None}
+    broken = [n for n in range(len(members)) if n not in sound]
+    made = arrangement.rebuilt_all([[[(v["x"], v["y"]) for v in r] for q in members[n][2] for r in q["rings"]] for n in broken])
+    parts: list[dict] = [{} for _ in geoms]
+    for n in sound:
+        k, member, own = members[n]
+        parts[k][member] = own
+    for n, polygons in zip(broken, made):
+        k, member, _ = members[n]
+        parts[k][member] = None if polygons is None else [
+            {"kind": "polygon", "member": member, "rings": [[{"x": x, "y": y} for x, y in r] for r in polygon]} for polygon in polygons
+        ]
+    return [_joined(geom, solids) for geom, solids in zip(geoms, parts)]
+
+
+def _joined(geom: dict, solids: dict[int, list | None]) -> dict | None:
+    """A geometry with other polygons for its members, where the first of each stood."""
+    if any(made is None for made in solids.values()):
+        return None
     parts, done = [], set()
-    solids: dict[int, list] = {}
-    for p in geom["parts"]:
-        if p["kind"] == "polygon":
-            solids.setdefault(p["member"], []).append(p)
     for p in geom["parts"]:
         if p["kind"] != "polygon":
             parts.append(p)
         elif p["member"] not in done:
             done.add(p["member"])
-            own = solids[p["member"]]
-            alone = pa.array([{"kind": "multipolygon", "parts": own, "srid": geom["srid"]}], _GEOMETRY)
-            if _reasons(alone)[0] is None:
-                parts += own
-                continue
-            made = arrangement.rebuilt([[(v["x"], v["y"]) for v in r] for q in own for r in q["rings"]])
-            if made is None:
-                return None
-            parts += [{"kind": "polygon", "member": p["member"], "rings": [[{"x": x, "y": y} for x, y in r] for r in polygon]} for polygon in made]
+            parts += solids[p["member"]]
     kind = geom["kind"]
     if kind in ("polygon", "multipolygon"):
         kind = "polygon" if len(parts) == 1 else "multipolygon"
@@ -104,9 +121,9 @@ def mended(geom: dict) -> dict | None:
 def _examined(geom: pa.Array, _: pa.Array) -> pa.Array:
     reasons = _reasons(geom)
     fixed: list[dict | None] = [None] * len(reasons)
-    for k, reason in enumerate(reasons):
-        if reason in s.REASONS[s.CROSSED :]:
-            fixed[k] = mended(geom[k].as_py())
+    faulty = [k for k, reason in enumerate(reasons) if reason in s.REASONS[s.CROSSED :]]
+    for k, made in zip(faulty, mended(geom.take(pa.array(faulty, pa.int64())).to_pylist())):
+        fixed[k] = made
     made = pa.array(fixed, _GEOMETRY)
     still = s.faults(s.Shapes(made)) != s.NONE
     return pa.StructArray.from_arrays([pa.array(reasons, pa.string()), pa.array([None if bad else f for f, bad in zip(fixed, still)], _GEOMETRY)], names=["reason", "fixed"])

@@ -38,3 +38,30 @@ def test_boxes_made_of_one_ring_fill_their_box(spark):
     ]
     made = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "id int, wkt string").coalesce(1).select(g.from_wkt(F.col("wkt")).alias("geom"))
     assert shapes.Shapes(made.toArrow().column("geom")).fills_box().tolist() == [w for _, w in texts]
+
+
+def test_a_batch_of_broken_polygons_is_cut_at_once(monkeypatch):
+    import pyarrow as pa
+
+    from geosync.functions import arrangement, planar
+
+    def ring(*points):
+        return [{"x": float(x), "y": float(y)} for x, y in points]
+
+    def geom(k, *members):
+        return {"kind": "geometrycollection", "parts": [{"kind": "polygon", "member": m, "rings": [r]} for m, r in enumerate(members)], "srid": 4326}
+
+    bows = [ring((k, 0), (k + 2, 2), (k + 2, 0), (k, 2), (k, 0)) for k in range(200)]
+    fine = ring((9, 9), (10, 9), (10, 10), (9, 10), (9, 9))
+    calls, noded = [0], arrangement.noded
+
+    def counted(*args):
+        calls[0] += 1
+        return noded(*args)
+
+    monkeypatch.setattr(arrangement, "noded", counted)
+    fixed = planar._examined.func(pa.array([geom(k, bow, fine) for k, bow in enumerate(bows)], planar._GEOMETRY), None).field("fixed").to_pylist()
+    assert calls[0] == 1
+    for k, made in enumerate(fixed):
+        assert [p["member"] for p in made["parts"]] == [0, 0, 1] and made["parts"][2]["rings"] == [fine]
+        assert sorted({v["x"] - k for p in made["parts"][:2] for v in p["rings"][0]}) == [0, 1, 2]
