@@ -65,3 +65,57 @@ def test_a_batch_of_broken_polygons_is_cut_at_once(monkeypatch):
     for k, made in enumerate(fixed):
         assert [p["member"] for p in made["parts"]] == [0, 0, 1] and made["parts"][2]["rings"] == [fine]
         assert sorted({v["x"] - k for p in made["parts"][:2] for v in p["rings"][0]}) == [0, 1, 2]
+
+
+def _crowd(spark):
+    """Points that all lie in 60 squares, beside some in none, one without a place and one without a key."""
+    from geosync.functions import geom as g
+    from pyspark.sql import functions as F
+
+    x = F.when(F.col("id") < 150, 0.5).otherwise(9.0 + F.col("id"))
+    points = spark.range(160).select(
+        F.when(F.col("id") != 3, F.col("id")).alias("task_key"), F.when(F.col("id") != 4, g.point(x, F.lit(0.5))).cast(g.GEOMETRY).alias("geom")
+    )
+    squares = spark.range(60).select(
+        F.when(F.col("id") != 7, F.col("id").cast("string")).alias("area_key"), g.polygon(g.box_ring(F.lit(0.0), F.lit(0.0), F.col("id") * 0.001 + 1, F.lit(1.0))).alias("geom")
+    )
+    wanted = sorted(str(k) for k in range(60) if k != 7)
+    return points, squares, {k: wanted if k is not None and k < 150 and k != 4 else None for k in [*range(3), None, *range(4, 160)]}
+
+
+def test_area_keys_are_gathered_where_they_are_found(spark, monkeypatch):
+    from geosync.operators import spatial
+
+    points, squares, wanted = _crowd(spark)
+    gathered = spatial.area_keys(points, squares)
+    assert {r["task_key"]: r["area_keys"] for r in gathered.collect()} == wanted
+    plan = gathered._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Join" not in plan
+    dealt = spatial.area_keys(points, squares, sent=0)
+    assert {r["task_key"]: r["area_keys"] for r in dealt.collect()} == wanted
+
+
+def test_gathered_rows_are_halved_where_pairs_are_many(spark, monkeypatch):
+    import pyarrow as pa
+
+    from geosync.functions import geom as g
+    from geosync.operators import spatial
+    from pyspark.sql import functions as F
+
+    points, squares, wanted = _crowd(spark)
+    left = points.select(F.col("task_key").alias("_lid"), F.col("geom").alias("_lg"), g.bbox(F.col("geom")).alias("_lb")).toArrow().combine_chunks().to_batches()[0]
+    right = spatial._Rows(spatial._boxed(squares, "area_key", "geom", "r").toArrow(), "r")
+    monkeypatch.setattr(spatial, "GATHERED_PAIRS", 500)
+    parts = list(spatial._gathered(left, right, shapes.Boxes(*right.box), spatial._Names(right.array("_rid"))))
+    assert len(parts) > 8 and pa.concat_arrays([rows.column("_lid") for rows, _ in parts]).equals(left.column("_lid"))
+    assert [v for _, lists in parts for v in lists.to_pylist()] == [wanted[k] for k in left.column("_lid").to_pylist()]
+
+
+def test_dealt_pairs_are_handed_on_in_steps(spark, monkeypatch):
+    from geosync.operators import spatial
+
+    points, squares, _ = _crowd(spark)
+    pairs = spatial.spatial_join(points.filter("task_key IS NOT NULL"), squares.filter("area_key IS NOT NULL"), "task_key", "area_key", sent=0)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" not in plan and "MapInArrow" in plan
+    assert pairs.count() == 148 * 59
