@@ -19,8 +19,10 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 RANGE = 64 << 20
-#: Bytes read at once behind a range, and looked at before an opening bracket for its key.
-MORE, KEY = 1 << 20, 256
+#: Bytes read at once behind a range, at most and at least, and looked at before an opening bracket for its key.
+MORE, LITTLE, KEY = 1 << 20, 1 << 12, 256
+#: Tasks for each core that ranges are dealt to, if a task has no more than ``RANGE`` bytes then.
+WAVES = 4
 LIST = "features"
 _KEY = re.compile(rb'"((?:[^"\\]|\\.)*)"\s*:\s*$')
 
@@ -162,7 +164,7 @@ def _features(file: _File, start: int, size: int, inside: bool, depth: int, list
         place = np.searchsorted(ends, objects)
         if not len(objects) or place[-1] < len(ends):
             break
-        more = file.read(start + len(raw), max(MORE, len(raw) - size))
+        more = file.read(start + len(raw), max(min(MORE, max(LITTLE, size // 16)), len(raw) - size))
         if not more:
             raise ValueError("a collection ends within a feature")
         raw += more
@@ -193,7 +195,10 @@ def split_features(spark: SparkSession, path: str, size: int = RANGE) -> DataFra
     ranges = [(name, k, start, min(size, length - start)) for name, length in _files(spark, path) for k, start in enumerate(range(0, length, size))]
     if not ranges:
         raise FileNotFoundError(path)
-    tasks = spark.createDataFrame(ranges, "path string, k int, start long, size long").repartition(len(ranges), "path", "k")
+    # small ranges share tasks
+    whole = -(-sum(r[3] for r in ranges) // RANGE)
+    number = min(len(ranges), max(whole, WAVES * spark.sparkContext.defaultParallelism))
+    tasks = spark.createDataFrame(ranges, "path string, k int, start long, size long").repartition(number, "path", "k")
 
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,4 +235,4 @@ def split_features(spark: SparkSession, path: str, size: int = RANGE) -> DataFra
                 if out:
                     yield made(out, first)
 
-    return tasks.repartition(len(ranges), "path", "k").mapInArrow(read, "file_name string, crs string, ord long, feature string")
+    return tasks.repartition(number, "path", "k").mapInArrow(read, "file_name string, crs string, ord long, feature string")

@@ -119,3 +119,25 @@ def test_dealt_pairs_are_handed_on_in_steps(spark, monkeypatch):
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "CoGroups" not in plan and "MapInArrow" in plan
     assert pairs.count() == 148 * 59
+
+
+def test_small_ranges_share_tasks_and_read_little_behind(spark, tmp_path):
+    from geosync.sources import ranges
+
+    path = tmp_path / "one.geojson"
+    path.write_text('{"type":"FeatureCollection","features":[' + ",".join('{"type":"Feature","properties":{"n":%d},"geometry":null}' % k for k in range(3000)) + "]}")
+    features = ranges.split_features(spark, str(path), 256)
+    assert features.rdd.getNumPartitions() <= ranges.WAVES * spark.sparkContext.defaultParallelism
+    assert [r["ord"] for r in features.select("ord").orderBy("ord").collect()] == list(range(3000))
+
+    read = []
+
+    class Counted(ranges._File):
+        def read(self, start, size):
+            out = super().read(start, size)
+            read.append(len(out))
+            return out
+
+    start = path.read_text().index('{"type":"Feature"', 1 << 14)
+    found = list(ranges._features(Counted(str(path)), start, 1 << 14, False, 2, True))
+    assert len(found) > 100 and sum(read) < 3 << 14
