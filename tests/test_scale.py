@@ -141,3 +141,38 @@ def test_small_ranges_share_tasks_and_read_little_behind(spark, tmp_path):
     start = path.read_text().index('{"type":"Feature"', 1 << 14)
     found = list(ranges._features(Counted(str(path)), start, 1 << 14, False, 2, True))
     assert len(found) > 100 and sum(read) < 3 << 14
+
+
+def test_many_pages_share_tasks(tmp_path):
+    import json
+
+    from geosync.sources import paged
+
+    for page in range(700):
+        (tmp_path / f"page={page}").mkdir()
+        (tmp_path / f"page={page}" / "part-0.txt").write_text(json.dumps({"features": [2 * page, 2 * page + 1]}))
+    reader = paged._StreamReader({"path": str(tmp_path), "pagesize": "2"})
+    spans = reader.partitions({"page": 1, "row": 1}, reader.latestOffset())
+    assert len(spans) <= paged.SPANS + 1
+    seen = []
+    for span in spans:
+        for page, before, first, last, body in reader.read(span):
+            seen += [k for i, k in enumerate(json.loads(body)["features"]) if first <= before + i < last]
+    assert seen == list(range(3, 1400))
+
+
+def test_nfc_makes_few_python_strings_at_once(spark, monkeypatch):
+    import unicodedata
+
+    import pyarrow as pa
+
+    from geosync.functions import text
+    from pyspark.sql import functions as F
+
+    long = "e\u0301\u1100\u1161 \u0438\u0306" * 300
+    texts = spark.range(40).coalesce(1).select("id", F.when(F.col("id") % 9 != 0, F.lit(long)).alias("t"))
+    rows = texts.select("id", text.nfc(F.col("t")).alias("name")).collect()
+    assert [r["name"] for r in rows] == [None if k % 9 == 0 else unicodedata.normalize("NFC", long) for k in range(40)]
+    held = []
+    monkeypatch.setattr(text.pa, "array", lambda values, kind: held.append(len(values)) or pa.lib.array(values, kind))
+    assert len(text._compose.func(pa.lib.array([long] * 1000))) == 1000 and sum(held) == 1000 and max(held) <= text.NFC_ROWS
