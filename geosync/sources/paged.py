@@ -24,6 +24,8 @@ RETRIES = 5
 
 # Where a page holds its elements.
 LISTS = ("features", "data", "Items")
+#: Tasks that the whole pages of a batch are dealt to, at most.
+SPANS = 256
 
 SCHEMA = "page bigint, body string"
 
@@ -96,10 +98,10 @@ class PagedFeatures(DataSource):
 
 
 class _Span(InputPartition):
-    """Rows ``first`` up to ``last`` (None: all) of a page."""
+    """Rows ``first`` up to ``last`` (None: all) of a page, and all of the pages that follow, ``pages`` with it."""
 
-    def __init__(self, page: int, first: int, last: int | None):
-        self.page, self.first, self.last = page, first, last
+    def __init__(self, page: int, first: int, last: int | None, pages: int = 1):
+        self.page, self.first, self.last, self.pages = page, first, last, pages
 
 
 class _Pages:
@@ -170,18 +172,22 @@ class _StreamReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         self.known = max(self.known, start["page"])
-        spans = [_Span(p, start["row"] if p == start["page"] else 0, None) for p in range(start["page"], end["page"])]
+        per = max(1, -(-(end["page"] - start["page"]) // SPANS))
+        spans = [
+            _Span(p, start["row"] if p == start["page"] else 0, None, min(per, end["page"] - p)) for p in range(start["page"], end["page"], per)
+        ]
         first = start["row"] if start["page"] == end["page"] else 0
         return [*spans, *([_Span(end["page"], first, end["row"])] if end["row"] > first else [])]
 
     def read(self, partition: _Span) -> Iterator[tuple]:
-        before = 0
-        for body in self.source.bodies(partition.page):
-            size = _size(body)
-            last = before + size if partition.last is None else partition.last
-            if before < last and before + size > partition.first:
-                yield partition.page, before, partition.first, last, body
-            before += size
+        for page in range(partition.page, partition.page + partition.pages):
+            first, before = partition.first if page == partition.page else 0, 0
+            for body in self.source.bodies(page):
+                size = _size(body)
+                last = before + size if partition.last is None else partition.last
+                if before < last and before + size > first:
+                    yield page, before, first, last, body
+                before += size
 
     def commit(self, end: dict) -> None:
         """Pages stay where they are, so there is nothing to let go."""
