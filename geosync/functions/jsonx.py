@@ -62,7 +62,9 @@ def maybe_dict(text: Column) -> Column:
             F.when(F.try_parse_json(trimmed).isNotNull(), trimmed).otherwise(literal),
         )
 
-    return let(strip_all(text), read)
+    # What begins and ends with braces has nothing to strip.
+    bare = F.when(text.startswith("{") & text.endswith("}"), text).otherwise(strip_all(text))
+    return let(bare, read)
 
 
 _ENTRY_ARRAY = "array<struct<name:string,raw:string,kind:string>>"
@@ -105,12 +107,10 @@ def flatten_properties(properties: Column) -> Column:
     )
 
     def last_of_name(members: Column) -> Column:
+        # A name's first place from the end is that of its last member; no list is copied for a member.
         return let(
-            F.transform(members, lambda e: e["name"]),
-            lambda names: F.filter(
-                members,
-                lambda e, i: ~F.array_contains(F.slice(names, i + F.lit(2), F.size(names)), e["name"]),
-            ),
+            F.reverse(F.transform(members, lambda e: e["name"])),
+            lambda names: F.filter(members, lambda e, i: F.array_position(names, e["name"]) + i == F.size(names)),
         )
 
     return let(every, last_of_name)

@@ -176,3 +176,21 @@ def test_nfc_makes_few_python_strings_at_once(spark, monkeypatch):
     held = []
     monkeypatch.setattr(text.pa, "array", lambda values, kind: held.append(len(values)) or pa.lib.array(values, kind))
     assert len(text._compose.func(pa.lib.array([long] * 1000))) == 1000 and sum(held) == 1000 and max(held) <= text.NFC_ROWS
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_key_passes_one_pattern_and_members_are_not_sliced(spark):
+    from geosync.functions import jsonx, text
+    from pyspark.sql import functions as F
+
+    given = {"aBCd": "a_b_cd", "ABc9D-eF": "a_bc9_d_e_f", "__A1B": "a1_b", "éA": "a", "x\U0001f600Y": "x_y", "- -": None}
+    named = spark.createDataFrame([(k,) for k in given], "k string").coalesce(1).select("k", text.to_column_name(F.col("k")).alias("n"))
+    assert {r.k: r.n for r in named.collect()} == given
+    assert plan_of(named).count("regexp_replace(") == 1
+    doc = '{"A": 1, "b": 2, "a": 3, "attributes": {"B": 4, "c": 5, "C": 6}}'
+    flat = spark.createDataFrame([(doc,)], "d string").select(jsonx.flatten_properties(F.col("d")).alias("m"))
+    assert [(m["name"], m["raw"]) for m in flat.first().m] == [("a", "3"), ("b", "4"), ("c", "6")]
+    assert "slice(" not in plan_of(flat)
