@@ -194,3 +194,15 @@ def test_a_key_passes_one_pattern_and_members_are_not_sliced(spark):
     flat = spark.createDataFrame([(doc,)], "d string").select(jsonx.flatten_properties(F.col("d")).alias("m"))
     assert [(m["name"], m["raw"]) for m in flat.first().m] == [("a", "3"), ("b", "4"), ("c", "6")]
     assert "slice(" not in plan_of(flat)
+
+
+def test_a_point_is_parsed_once(spark):
+    from geosync.functions import geom as g
+    from pyspark.sql import functions as F
+
+    given = {"[1, 2]": [(1.0, 2.0)], "[1, 2, 3]": [(1.0, 2.0)], "[]": [], "[1]": None, "[1, null]": None, "null": None}
+    texts = spark.createDataFrame([(c, '{"type": "Point", "coordinates": ' + c + "}") for c in given], "c string, t string")
+    read = texts.select("c", g.from_geojson(F.col("t")).alias("geom"))
+    found = {r.c: r.geom and [(v.x, v.y) for p in r.geom.parts for ring in p.rings for v in ring] for r in read.collect()}
+    assert found == given
+    assert plan_of(read).count("from_json(ArrayType(DoubleType,true)") == 1
