@@ -62,9 +62,11 @@ def maybe_dict(text: Column) -> Column:
             F.when(F.try_parse_json(trimmed).isNotNull(), trimmed).otherwise(literal),
         )
 
-    # What begins and ends with braces has nothing to strip.
-    bare = F.when(text.startswith("{") & text.endswith("}"), text).otherwise(strip_all(text))
-    return let(bare, read)
+    def bare(given: Column) -> Column:
+        # What begins and ends with braces has nothing to strip.
+        return F.when(given.startswith("{") & given.endswith("}"), given).otherwise(strip_all(given))
+
+    return let(let(text, bare), read)
 
 
 _ENTRY_ARRAY = "array<struct<name:string,raw:string,kind:string>>"

@@ -194,6 +194,7 @@ def test_a_key_passes_one_pattern_and_members_are_not_sliced(spark):
     flat = spark.createDataFrame([(doc,)], "d string").select(jsonx.flatten_properties(F.col("d")).alias("m"))
     assert [(m["name"], m["raw"]) for m in flat.first().m] == [("a", "3"), ("b", "4"), ("c", "6")]
     assert "slice(" not in plan_of(flat)
+    assert plan_of(flat).count("get_json_object(") == 1
 
 
 def test_a_point_is_parsed_once(spark):
