@@ -2,10 +2,15 @@
 
 import random
 import re
+import time
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from geosync.llm import components, jaccard
+from geosync.llm.staging import stage
+from geosync.session import shared_folder
 
 
 def plain_set(text):
@@ -96,3 +101,51 @@ def test_an_id_links_the_copies_of_its_texts(spark):
     assert {(r["doc_id"], r["component_id"]) for r in found} == {(d, 9 if d == 9 else 2) for d, _ in rows} and len(found) == len(rows)
     assert {r["n_links"] for r in found} == {0}
     assert sorted(r["doc_id"] for r in jaccard.one_of_each(docs).collect()) == [2, 9]
+
+
+def test_only_what_the_result_reads_stays_on_disk(spark):
+    shared = Path(shared_folder(spark))
+    before = set(shared.iterdir())
+    docs = spark.createDataFrame(corpus(3, 12, 4), "doc_id long, text string")
+    kept = jaccard.one_of_each(docs)
+    assert {p.name.partition("-")[0] for p in set(shared.iterdir()) - before} <= {"gone"}
+    assert 0 < kept.count() < docs.count()
+
+
+def test_shuffle_files_go_with_the_query_that_made_them(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while files.hasNext():
+            names.add(files.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffled()
+    made = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "shuffled")
+    assert made.count() == 7
+    for _ in range(50):  # they go in the background
+        left = {n for n in shuffled() - before if n.endswith(".data")}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert len(left) <= 1  # that of the count itself
+
+
+def test_what_pairs_share_is_counted_and_no_prefix_joined(spark):
+    draw, rules = random.Random(4), jaccard.Rules(words=1, percent=80)
+    base = [sorted(draw.sample(range(60), 30)) for _ in range(6)]
+    sets = {k: sorted({*draw.sample(base[k % 6], 28), *draw.sample(range(60), 2)}) for k in range(60)}
+    first = {k: s[: len(s) + (-80 * len(s) // 100) + 1] for k, s in sets.items()}
+    members = spark.createDataFrame([(k, len(sets[k]), k % 7, at, t) for k, p in first.items() for at, t in enumerate(p)], "id long, n long, label long, at int, token long")
+    apart = [(a, b) for a in sets for b in sets if a % 7 < b % 7]
+    near = {(a, b) for a, b in apart if 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})}
+    found = {(r["a"], r["b"]) for r in jaccard.crossing(members, rules).collect()}
+    assert near and near <= found
+    for a, b in found:
+        asked = -(-80 * (len(sets[a]) + len(sets[b])) // 180)
+        assert len({*first[a]} & {*first[b]}) >= asked - max(len(sets[k]) - len(first[k]) for k in (a, b))
+    nodes = spark.createDataFrame([(k, len(sets[k]), first[k], [[1], [1]]) for k in sets], "id long, n long, prefix array<long>, others array<array<short>>")
+    pairs = spark.createDataFrame(sorted(found), "a long, b long")
+    plan = jaccard.sharing(pairs, nodes, rules, counted=True)
+    assert {(r["a"], r["b"]) for r in plan.collect()} == found
+    assert "array_intersect" not in plan._jdf.queryExecution().optimizedPlan().toString()
