@@ -207,3 +207,48 @@ def test_a_point_is_parsed_once(spark):
     found = {r.c: r.geom and [(v.x, v.y) for p in r.geom.parts for ring in p.rings for v in ring] for r in read.collect()}
     assert found == given
     assert plan_of(read).count("from_json(ArrayType(DoubleType,true)") == 1
+
+
+def test_keys_of_a_place_are_added_without_a_shuffle(spark):
+    from geosync.operators import spatial
+    from pyspark.sql import functions as F
+
+    points, squares, wanted = _crowd(spark)
+    rows = points.select("task_key", F.col("geom").alias("at"), F.concat(F.lit("n"), "task_key").alias("note"))
+    made = spatial.placed_keys(rows, "at", squares, "task_key")
+    assert made.columns == ["task_key", "note", "area_keys"]
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Join" not in plan
+    for found in (made, spatial.placed_keys(rows, "at", squares, "task_key", sent=0)):
+        assert {r["task_key"]: (r["note"], r["area_keys"]) for r in found.collect()} == {k: (None if k is None else f"n{k}", w) for k, w in wanted.items()}
+
+
+def test_backfill_looks_for_keys_last(spark):
+    from datetime import date
+
+    from geosync.functions import geom as g
+    from geosync.plans import items
+    from pyspark.sql import functions as F
+
+    _, squares, _ = _crowd(spark)
+    areas = squares.select(F.col("area_key").alias("key"), "geom")
+    services = []
+    for k, name in enumerate(("permits", "earthworks")):
+        # rows of both are linked to one item, which the second moves out of the areas
+        rows = spark.range(3).select(
+            "id", F.col("id").alias("source_id"), F.col("id").alias("global_id"), F.lit("points").alias("layer"), F.lit("h").alias("geom_hash"),
+            g.point(0.5 + 40 * k * (F.col("id") % 2), F.lit(0.5)).alias("geom"), F.when(F.col("id") < 2, F.concat(F.lit("t"), "id")).alias("task_key"),
+        )
+        parents = rows.select("id", F.lit(False).alias("tasked"))
+        services.append((items.Service(name, name, f"{name[:-1]}_id"), rows, parents))
+    current = spark.createDataFrame([("t0", ["old"]), ("t1", ["old"]), ("t9", ["old"])], "key string, area_key array<string>")
+    current = spark.createDataFrame([], items.ITEM_SCHEMA).unionByName(current, allowMissingColumns=True)
+    made, results = items.backfill(services, current, F.lit(date(2024, 1, 1)), areas=areas)
+    assert made.columns == current.columns == results["permits"]["items"].columns
+    every = sorted(str(k) for k in range(60) if k != 7)
+    found = {r["key"]: r["area_key"] for r in made.collect()}
+    assert (found["t0"], found["t1"], found["t9"]) == (every, None, ["old"])
+    assert {tuple(v or ()) for k, v in found.items() if k[0] != "t"} == {tuple(every)} and len(found) == 5
+    assert {r["key"]: r["area_key"] for r in results["permits"]["items"].collect()}["t1"] == every
+    # no checkpoint holds the keys
+    assert "MapInArrow" in made._jdf.queryExecution().optimizedPlan().toString()
